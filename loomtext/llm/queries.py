@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_rules, url_filter
-from .common import table
+from . import language_id, mixing, quality_ranker, quality_rules, token_counts, url_filter
+from .common import Scratch, table
 
 URL_RULES = (
     ("allow", "com", "/"),
@@ -36,7 +36,40 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _crc_part(col: str, parts: int, value: int):
+    return F.coalesce(F.crc32(F.col(col).cast("string").cast("binary")) % parts == value, F.lit(False))
+
+
+def op4_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = _crc_part("doc_id", 3, 1)
+    ranker = quality_ranker.learn(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
+    return quality_ranker.score(docs, ranker).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = _crc_part("doc_id", 4, 2)
+    model = language_id.learn(docs.where(~held))
+    return language_id.identify(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts every document once, commits the inserts in four batches, and commits one of them again."""
+    docs = table(spark, sf_dir, "documents")
+    scratch = Scratch(spark)
+    counted = scratch.put(token_counts.count_tokens(docs, version="byte_bpe_50k"), "counted")
+    ledger = token_counts.Ledger(spark, scratch.path("ledger"))
+    for n in (0, 1, 2, 3, 0):
+        part = counted.where(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4, F.lit(0)) == n)
+        ledger.commit(f"load-{n}", token_counts.inserts(part))
+    return ledger.totals()
+
+
 QUERIES = {
+    "op4_quality_ranker": op4_quality_ranker,
+    "op6_language_id": op6_language_id,
+    "op9_token_counts": op9_token_counts,
     "op1_mix_sources": op1_mix_sources,
     "op2_url_filter": op2_url_filter,
     "op3_quality_rules": op3_quality_rules,
