@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language_id, mixing, quality_ranker, quality_rules, token_counts, url_filter
+from . import decontaminate, language_id, line_dedup, mixing, quality_ranker, quality_rules, token_counts, url_filter
 from .common import Scratch, table
 
 URL_RULES = (
@@ -47,6 +47,19 @@ def op4_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ranker.score(docs, ranker).select("doc_id", held.alias("held_out"), "score", "predicted")
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_counts=True)
+    n = F.col("_lines")
+    return done.select(
+        "doc_id", n["lines"].cast("long").alias("n_lines"), n["removed"].cast("long").alias("n_removed"), n["runs"].cast("long").alias("n_runs"),
+        F.md5(F.coalesce("text", F.lit(""))).alias("kept_md5"),
+    )
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held = _crc_part("doc_id", 4, 2)
@@ -68,6 +81,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_quality_ranker": op4_quality_ranker,
+    "op5_line_dedup": op5_line_dedup,
+    "op8_decontaminate": op8_decontaminate,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
     "op1_mix_sources": op1_mix_sources,
