@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 
 from .common import SPACES, fresh, let, words
 
-SYMBOLS = "#*$%&|<>"
+SYMBOLS = r"[#*$%&|<>]"
 #: Marks that running prose uses rarely; a line dense in them fails the punctuation rule.
-ODD_MARKS = SYMBOLS + "!?^~=_{}[]\\@+"
-SEPARATORS = "|»›•·>"
+ODD_MARKS = r"[#*$%&|<>!?^~=_{}\[\]\\@+]"
+SEPARATORS = r"[|»›•·>]"
 #: Phrases of page furniture, lower case.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "accept cookies", "cookie policy", "privacy policy",
@@ -29,28 +29,19 @@ BOILERPLATE = (
 )
 
 
-def _count(text: Column, chars: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, chars, ""))
-
-
 def repeated_window_words(ws: Column) -> Column:
-    """Words that lie in a 3-word window found at least twice in the array."""
+    """Words that lie in a 3-word window found at least twice in the array.
 
-    def marked(h: Column) -> Column:
-        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        twice = let(
-            pairs,
-            lambda s: F.transform(
-                F.filter(
-                    s,
-                    lambda x, i: (F.get(s, i - 1)["h"].eqNullSafe(x["h"])) | (F.get(s, i + 1)["h"].eqNullSafe(x["h"])),
-                ),
-                lambda x: x["i"],
-            ),
-        )
+    Windows are compared by 64-bit hashes. Their positions are brought together by sorting numbers whose high
+    bits are the hash's and whose low 20 bits are the position; where the high bits alone would merge different
+    hashes, or a text has over 2^20 words, (hash, position) pairs are sorted instead.
+    """
+    low = (1 << 20) - 1
+
+    def covered(positions: Column) -> Column:
         zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("n"))
         return F.aggregate(
-            F.sort_array(twice),
+            positions,
             zero,
             lambda a, p: F.struct(
                 (p + 3).alias("end"), (a["n"] + (p + 3) - F.greatest(a["end"], p)).cast("long").alias("n")
@@ -58,18 +49,48 @@ def repeated_window_words(ws: Column) -> Column:
             lambda a: a["n"],
         )
 
+    def by_pairs(h: Column) -> Column:
+        pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        same = lambda s, x, j: F.get(s, j)["h"].eqNullSafe(x["h"])
+        twice = let(pairs, lambda s: F.transform(F.filter(s, lambda x, i: same(s, x, i - 1) | same(s, x, i + 1)), lambda x: x["i"]))
+        return covered(F.sort_array(twice))
+
+    def by_packed(h: Column, n_distinct: Column) -> Column:
+        packed = F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.lit(~low)).bitwiseOR(i.cast("long"))))
+        near = lambda s, x, j: F.shiftright(F.get(s, j), 20).eqNullSafe(F.shiftright(x, 20))
+        return let(
+            packed,
+            lambda s: F.when(
+                F.size(F.filter(s, lambda x, i: ~near(s, x, i - 1))) == n_distinct,
+                covered(
+                    F.sort_array(
+                        F.transform(
+                            F.filter(s, lambda x, i: near(s, x, i - 1) | near(s, x, i + 1)),
+                            lambda x: x.bitwiseAND(F.lit(low)).cast("int"),
+                        )
+                    )
+                ),
+            ).otherwise(by_pairs(h)),
+        )
+
     def windows(w: Column) -> Column:
         n = F.size(w)
         two = F.zip_with(w, F.slice(w, F.lit(2), n), lambda a, b: F.xxhash64(a, b))
         three = F.zip_with(two, F.slice(w, F.lit(3), n), lambda h, c: F.xxhash64(h, c))
         return F.slice(three, F.lit(1), F.greatest(n - 2, F.lit(0)))
 
+    none = F.lit(0).cast("long")
     return let(
         ws,
-        lambda w: F.when(F.size(w) < 4, F.lit(0).cast("long")).otherwise(
+        lambda w: F.when(F.size(w) < 4, none).otherwise(
             let(
                 windows(w),
-                lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(marked(h)),
+                lambda h: let(
+                    F.size(F.array_distinct(h)),
+                    lambda d: F.when(d == F.size(h), none)
+                    .when(F.size(h) > low, by_pairs(h))
+                    .otherwise(by_packed(h, d)),
+                ),
             )
         ),
     )
@@ -77,14 +98,16 @@ def repeated_window_words(ws: Column) -> Column:
 
 def line_passes(line: Column, *, max_mark_share: float, max_separators: int) -> Column:
     """False for a line that looks like symbol noise, navigation or boilerplate; blank lines pass."""
-    solid = F.length(F.translate(line, SPACES, ""))
-    low = F.lower(line)
-    boiler = F.lit(False)
-    for phrase in BOILERPLATE:
-        boiler = boiler | F.contains(low, F.lit(phrase))
-    punctuation = _count(line, ODD_MARKS) > solid * F.lit(max_mark_share)
-    navigation = _count(line, SEPARATORS) >= max_separators
-    return ~(punctuation | navigation | boiler)
+    noisy = F.regexp_count(line, F.lit(ODD_MARKS)) > F.length(line) * F.lit(max_mark_share)
+    navigation = F.regexp_count(line, F.lit(SEPARATORS)) >= max_separators
+
+    def boilerplate(low: Column) -> Column:
+        found = F.lit(False)
+        for phrase in BOILERPLATE:
+            found = found | F.contains(low, F.lit(phrase))
+        return found
+
+    return ~(noisy | navigation | let(F.lower(line), boilerplate))
 
 
 def judged(
@@ -92,53 +115,45 @@ def judged(
     *,
     min_words: int = 50,
     max_repeat_percent: int = 50,
-    max_mark_share: float = 0.1,
+    max_mark_share: float = 0.08,
     max_separators: int = 3,
     max_lost_percent: int = 30,
 ) -> Column:
     """A struct of counts, the cleaned text and the verdict for one text."""
-    safe = F.coalesce(text, F.lit(""))
-
-    def with_lines(t: Column) -> Column:
-        lines = F.split(t, "\n", -1)
-
-        def count_dups(ls: Column) -> Column:
-            full = F.filter(ls, lambda x: F.btrim(x, F.lit(SPACES)) != "")
-            return let(full, lambda f: (F.size(f) - F.size(F.array_distinct(f))).cast("long"))
-
-        passed = lambda x: line_passes(x, max_mark_share=max_mark_share, max_separators=max_separators)
-        cleaned = F.array_join(F.filter(lines, passed), "\n")
-        base = let(
-            words(t),
-            lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated_window_words(w).alias("r")),
+    passed = lambda x: line_passes(x, max_mark_share=max_mark_share, max_separators=max_separators)
+
+    def counts(t: Column, w: Column, lines: Column) -> Column:
+        full = F.filter(lines, lambda x: F.btrim(x, F.lit(SPACES)) != "")
+        clean_lines = F.filter(lines, passed)
+        return F.struct(
+            F.size(w).cast("long").alias("n_words"),
+            F.aggregate(w, F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("word_chars"),
+            F.regexp_count(t, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
+            let(full, lambda f: (F.size(f) - F.size(F.array_distinct(f))).cast("long")).alias("n_dup_lines"),
+            repeated_window_words(w).alias("n_repeat_words"),
+            let(clean_lines, lambda c: F.when(F.size(c) == F.size(lines), t).otherwise(F.array_join(c, "\n"))).alias("clean_text"),
         )
+
+    def verdict(t: Column, c: Column) -> Column:
+        n, repeated = c["n_words"], c["n_repeat_words"]
+        failed = (n < min_words) | (repeated * 100 > n * max_repeat_percent)
+        lost = F.when(c["clean_text"] == t, F.lit(0).cast("long")).otherwise(n - F.size(words(c["clean_text"])))
         return let(
-            F.struct(
-                base.alias("b"),
-                count_dups(lines).alias("d"),
-                cleaned.alias("c"),
-                F.size(words(cleaned)).cast("long").alias("k"),
-            ),
-            lambda s: F.struct(
-                s["b"]["n"].alias("n_words"),
-                F.length(F.translate(t, SPACES, "")).cast("long").alias("word_chars"),
-                _count(t, SYMBOLS).cast("long").alias("n_symbols"),
-                s["d"].alias("n_dup_lines"),
-                s["b"]["r"].alias("n_repeat_words"),
-                ((s["b"]["n"] < min_words) | (s["b"]["r"] * 100 > s["b"]["n"] * max_repeat_percent)).alias(
-                    "base_failed"
-                ),
-                s["c"].alias("clean_text"),
-                (s["b"]["n"] - s["k"]).alias("n_lost_words"),
-                (
-                    (s["b"]["n"] >= min_words)
-                    & (s["b"]["r"] * 100 <= s["b"]["n"] * max_repeat_percent)
-                    & ((s["b"]["n"] - s["k"]) * 100 <= s["b"]["n"] * max_lost_percent)
-                ).alias("kept"),
+            F.struct(failed.alias("f"), lost.alias("l")),
+            lambda v: F.struct(
+                *[c[k].alias(k) for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
+                v["f"].alias("base_failed"),
+                c["clean_text"].alias("clean_text"),
+                v["l"].alias("n_lost_words"),
+                (~v["f"] & (v["l"] * 100 <= n * max_lost_percent)).alias("kept"),
             ),
         )
 
-    return let(safe, with_lines)
+    def judge(t: Column) -> Column:
+        counted = let(words(t), lambda w: let(F.split(t, "\n", -1), lambda lines: counts(t, w, lines)))
+        return let(counted, lambda c: verdict(t, c))
+
+    return let(F.coalesce(text, F.lit("")), judge)
 
 
 def assess(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **rules) -> DataFrame:
