@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, mixing, quality_ranker, quality_rules, token_counts, url_filter
+from . import decontaminate, language_id, line_dedup, mixing, near_dedup, quality_ranker, quality_rules, token_counts, url_filter
 from .common import Scratch, table
 
 URL_RULES = (
@@ -56,6 +56,10 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.group(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -82,6 +86,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op4_quality_ranker": op4_quality_ranker,
     "op5_line_dedup": op5_line_dedup,
+    "op7_near_dedup": op7_near_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op6_language_id": op6_language_id,
     "op9_token_counts": op9_token_counts,
