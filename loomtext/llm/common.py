@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -77,6 +78,11 @@ class Scratch:
         path = jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Let Spark delete shuffle files of finished steps now rather than at some later collection of garbage."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, mixing, near_dedup, quality_ranker, quality_rules, token_counts, url_filter
+from . import decontaminate, language_id, line_dedup, mixing, near_dedup, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
 from .common import Scratch, table
 
 URL_RULES = (
@@ -83,7 +83,15 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substring_dedup.dedup(table(spark, sf_dir, "documents"), length=100)
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
+    "op10_substring_dedup": op10_substring_dedup,
     "op4_quality_ranker": op4_quality_ranker,
     "op5_line_dedup": op5_line_dedup,
     "op7_near_dedup": op7_near_dedup,
