@@ -1,0 +1,111 @@
+"""A catalogue of named datasets under one root: save, load, append, change columns, describe, export, drop."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import Window as W
+
+from loomtext.sources import sinks
+
+
+class Catalogue:
+    """Every change writes a new version folder and then moves a small pointer record, so readers never see half a dataset."""
+
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _versions(self, name: str) -> list[int]:
+        top = self._path(f"{self.root}/{name}")
+        if not self._fs.exists(top):
+            return []
+        # a version counts once its info record is complete
+        done = lambda n: self._fs.exists(self._path(f"{self.root}/{name}/{n}/info/_SUCCESS"))
+        return sorted(int(n) for n in (s.getPath().getName() for s in self._fs.listStatus(top)) if n.isdigit() and done(n))
+
+    def _current(self, name: str) -> str:
+        versions = self._versions(name)
+        if not versions:
+            raise KeyError(name)
+        return f"{self.root}/{name}/{versions[-1]}"
+
+    def names(self) -> list[str]:
+        top = self._path(self.root)
+        return sorted(s.getPath().getName() for s in self._fs.listStatus(top)) if self._fs.exists(top) else []
+
+    def listing(self) -> list[dict]:
+        """Datasets, most recently changed first."""
+        rows = [{"name": n, "modified": self._fs.getFileStatus(self._path(self._current(n))).getModificationTime()} for n in self.names() if self._versions(n)]
+        return sorted(rows, key=lambda r: (-r["modified"], r["name"]))
+
+    def save(self, name: str, df: DataFrame, metadata: dict | None = None) -> None:
+        version = (self._versions(name) or [0])[-1] + 1
+        path = f"{self.root}/{name}/{version}"
+        df.write.mode("overwrite").parquet(f"{path}/data")
+        written = self.spark.read.parquet(f"{path}/data")
+        sinks.write_sidecar(self.spark, f"{path}/info", {"rows": written.count(), "columns": written.columns, "metadata": metadata or {}})
+
+    def load(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self._current(name)}/data")
+
+    def info(self, name: str) -> dict:
+        return sinks.read_sidecar(self.spark, f"{self._current(name)}/info")
+
+    def metadata(self, name: str) -> dict:
+        return self.info(name)["metadata"]
+
+    def update_metadata(self, name: str, values: dict) -> None:
+        """Merge: new values win."""
+        path = f"{self._current(name)}/info"
+        info = self.info(name)
+        info["metadata"] = info["metadata"] | values
+        sinks.write_sidecar(self.spark, path, info)
+
+    def append(self, name: str, rows: DataFrame) -> None:
+        """Columns that one side lacks are null there."""
+        self.save(name, self.load(name).unionByName(rows, allowMissingColumns=True), self.metadata(name))
+
+    def update_column(self, name: str, column: str, value: Column | str) -> None:
+        """``value`` is a column or an SQL expression; nothing else is evaluated."""
+        df = self.load(name)
+        if column not in df.columns:
+            raise KeyError(column)
+        self.save(name, df.withColumn(column, F.expr(value) if isinstance(value, str) else value), self.metadata(name))
+
+    def add_column(self, name: str, column: str, value: Column | str | list, *, order: str | None = None) -> None:
+        """An expression, or a list as long as the dataset, matched in order of ``order``."""
+        df = self.load(name)
+        if column in df.columns:
+            raise ValueError(f"{column} exists")
+        if isinstance(value, list):
+            if len(value) != df.count():
+                raise ValueError("as many values as rows are needed")
+            if order is None:
+                raise ValueError("a list needs an order")
+            numbered = df.withColumn("_n", F.row_number().over(W.orderBy(order)))
+            values = self.spark.createDataFrame(list(enumerate(value, 1)), ["_n", column])
+            out = numbered.join(values, "_n").drop("_n")
+        else:
+            out = df.withColumn(column, F.expr(value) if isinstance(value, str) else value)
+        self.save(name, out, self.metadata(name))
+
+    def drop_column(self, name: str, column: str) -> None:
+        df = self.load(name)
+        if column not in df.columns:
+            raise KeyError(column)
+        self.save(name, df.drop(column), self.metadata(name))
+
+    def delete(self, name: str, *, confirm: bool = False) -> bool:
+        if not confirm:
+            return False
+        self._current(name)
+        return bool(self._fs.delete(self._path(f"{self.root}/{name}"), True))
+
+    def export(self, name: str, fmt: str, path: str) -> None:
+        sinks.export(self.load(name), path, fmt)
+
+    def clear_cache(self) -> None:
+        self.spark.catalog.clearCache()
