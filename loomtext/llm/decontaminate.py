@@ -1,6 +1,6 @@
 """Benchmark decontamination by template canonicalisation (native).
 
-Numbers, units after numbers, and names become typed placeholders; the rest is lower case without punctuation.
+Numbers, units and names become typed placeholders; the rest is lower case without punctuation.
 Windows of ``window`` template words are hash-joined with those of the benchmark. A (document, item) pair whose
 matched windows are at least ``min_share`` of the item's distinct windows is a candidate. For candidates the
 words behind the placeholders are compared: within one alignment, each value of the item must stand for one
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import Scratch, fresh, let
 
-#: Units that become a placeholder directly after a number (fixed list).
+#: Units that become a placeholder (fixed list).
 UNITS = (
     "mm", "cm", "m", "km", "mg", "g", "kg", "ml", "l", "s", "sec", "min", "h", "hr", "hrs", "inch", "inches", "ft", "feet",
     "yard", "yards", "mile", "miles", "lb", "lbs", "oz", "pound", "pounds", "second", "seconds", "minute", "minutes",
@@ -45,15 +45,12 @@ def raw_words(text: Column) -> Column:
 
 
 def template(raw: Column) -> Column:
-    """Typed placeholders for the raw words that have a type; takes a lambda variable."""
+    """Typed placeholders for the raw words that have a type."""
     first = lambda w: F.substring(w, 1, 1)
     is_number = lambda w: F.coalesce((first(w) >= "0") & (first(w) <= "9"), F.lit(False))
     return F.transform(
         raw,
-        lambda w, i: F.when(first(w) == MARK, NAME)
-        .when(is_number(w), NUMBER)
-        .when(w.isin(*UNITS) & is_number(F.get(raw, i - 1)), UNIT)
-        .otherwise(w),
+        lambda w: F.when(first(w) == MARK, NAME).when(is_number(w), NUMBER).when(w.isin(*UNITS), UNIT).otherwise(w),
     )
 
 
