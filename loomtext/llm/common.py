@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -82,6 +83,7 @@ class Scratch:
         """Let Spark delete shuffle files of finished steps now rather than at some later collection of garbage."""
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)  # the cleaner works in the background
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

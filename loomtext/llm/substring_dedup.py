@@ -105,15 +105,24 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return docs.join(lists, F.col("d").eqNullSafe(F.col("wd"))).select("d", "t", "ps").mapInArrow(run, f"d {kind}, p long, off int, ctx binary")
 
 
-def _bucketed(entries: DataFrame, key: list[str], hull: str, scratch: Scratch, name: str) -> DataFrame:
-    """Entries that are not alone in their bucket, with ``first`` (earliest of its hull) and ``mixed`` (other hulls there)."""
-    sizes = entries.groupBy(*key).agg(F.count("*").alias("k"), (F.min(hull) != F.max(hull)).alias("mixed")).where("k > 1").drop("k")
+def _bucketed(entries: DataFrame, key: list[str], hull: str, scratch: Scratch, name: str, stale: str | None = None) -> DataFrame:
+    """Entries that are not alone in their bucket, with ``first`` (earliest of its hull) and ``mixed`` (other hulls there).
+
+    ``stale`` names a written table that only ``entries`` reads: it is dropped as soon as it has been read, and shuffle
+    files go after each step, so that disk holds one step's data.
+    """
+    sizes = scratch.put(entries.groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").drop("k"), f"{name}-sizes")
+    scratch.release()
     shared = scratch.put(entries.join(sizes, key), f"{name}-shared")
+    for done in (f"{name}-sizes", stale):
+        if done:
+            scratch.drop(done)
     scratch.release()
     place = F.struct("d", "p")
     least = shared.groupBy(*key, hull).agg(F.min(place).alias("least"), F.count("*").alias("k")).where("k > 1").drop("k")
+    hulls = shared.groupBy(*key).agg((F.min(hull) != F.max(hull)).alias("mixed"))
     marked = shared.join(least, [*key, hull], "left").withColumn("first", F.col("least").isNull() | place.eqNullSafe(F.col("least"))).drop("least")
-    out = scratch.put(marked, f"{name}-marked")
+    out = scratch.put(marked.join(hulls, key), f"{name}-marked")
     scratch.drop(f"{name}-shared")
     scratch.release()
     return out
@@ -135,8 +144,7 @@ def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     high = lambda: (F.col("p") % reach).cast("int")
     spans = [scratch.put(entries.where("copy").select(*_span(reach, length, low(), high())), "spans-batch")]
 
-    marked = _bucketed(entries.where("not copy").drop("copy"), ["core"], "hull", scratch, "root")
-    scratch.drop("entries")
+    marked = _bucketed(entries.where("not copy").drop("copy"), ["core"], "hull", scratch, "root", stale="entries")
     spans.append(marked.where("not first").select(*_span(reach, length, low(), high())))
     live = scratch.put(_contexts(named, marked.where("first and mixed").select("d", "p"), length).withColumn("s", F.lit(0)), "live-0")
     scratch.release()
