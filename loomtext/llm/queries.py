@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, mixing, near_dedup, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
+from . import decontaminate, language_id, line_dedup, mixing, near_dedup, oracle, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
 from .common import Scratch, table
 
 URL_RULES = (
@@ -103,4 +103,4 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op3_quality_rules": oracle.QUALITY, "op7_near_dedup": oracle.NEAR}
