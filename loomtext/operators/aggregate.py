@@ -69,3 +69,24 @@ def training_config(counts: DataFrame) -> DataFrame:
         "specialist", "phase", "n",
         F.when(n < 100, 5).when(n < 1000, 3).otherwise(2).alias("epochs"), F.when(n < 100, 2).when(n < 1000, 4).otherwise(8).alias("batch_size"),
     )
+
+
+def citation_analysis(hits: DataFrame) -> DataFrame:
+    """(dimension, value, n) of hits by level, jurisdiction and area, and the landmarks (score above 0.8, boost above 1.2)."""
+    marked = hits.withColumn("landmark", F.when((F.col("score") > 0.8) & (F.col("citation_boost") > 1.2), F.col("title")))
+    return histograms(marked, ["authority_level", "jurisdiction", "area", "landmark"]).where("value is not null")
+
+
+def run_statistics(runs: DataFrame) -> DataFrame:
+    """Means and success rate (score above 0.6) over runs, by query type and in all."""
+    return runs.rollup("query_type").agg(
+        F.count("*").alias("n"), F.avg("score").alias("avg_score"), F.avg("n_authorities").alias("avg_authorities"), F.avg((F.col("score") > 0.6).cast("int")).alias("success_rate")
+    )
+
+
+def corpus_summary(docs: DataFrame) -> DataFrame:
+    """One pass over tax records: counts by domain, type and level as rows, and the four conditional totals."""
+    counts = histograms(docs, ["tax_domain", "document_type", "authority_level"])
+    flags = docs.agg(*[F.count_if(F.col(c)).alias(c) for c in ("has_examples", "has_calculations", "affects_individuals", "affects_companies")])
+    long = flags.select(F.explode(F.array(*[F.struct(F.lit("total").alias("dimension"), F.lit(c).alias("value"), F.col(c).alias("n")) for c in flags.columns])).alias("p"))
+    return counts.unionByName(long.select("p.*"))

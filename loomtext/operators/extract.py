@@ -234,6 +234,27 @@ def tax_metadata(docs: DataFrame) -> DataFrame:
     return out.withColumn("completeness_score", score.tax_completeness()).drop("content")
 
 
+QA_SECTIONS = (
+    r"(?ms)^(?:Section|SECTION)\s+\d+.*?(?=^(?:Section|SECTION)\s+\d+|\z)",
+    r"(?ms)^\d+\.\s.*?(?=^\d+\.\s|\z)",
+    r"(?ms)^\(\d+\)\s.*?(?=^\(\d+\)\s|\z)",
+    r"(?ms)^(?:Article|ARTICLE)\s+\d+.*?(?=^(?:Article|ARTICLE)\s+\d+|\z)",
+)
+
+
+def qa_sections(text: Column) -> Column:
+    """array<struct<number, text>>: matches of the first form with more than one, else paragraphs (at most 20); those of
+    100 characters or less are left out and keep their number."""
+    out = None
+    name = lambda label: lambda x, i: F.struct(F.concat(F.lit(label), (i + 1).cast("string")).alias("number"), F.trim(x).alias("text"))
+    long = lambda a: F.filter(a, lambda x: F.length(x["text"]) > 100)
+    for pattern in QA_SECTIONS:
+        found = _all(text, pattern)
+        value = long(F.transform(found, name("")))
+        out = F.when(F.size(found) > 1, value) if out is None else out.when(F.size(found) > 1, value)
+    return out.otherwise(F.slice(long(F.transform(F.split(text, "\n\n"), name("Para "))), 1, 20))
+
+
 def call_model(df: DataFrame, prompt: str, fn, out: str = "response") -> DataFrame:
     """Apply an injected text function (a language model) to a prompt column, a batch at a time."""
     schema = df.withColumn(out, F.lit("")).schema

@@ -216,3 +216,87 @@ def reasoning_chain(kind: Column, jurisdiction: Column) -> Column:
         steps = F.when(kind == name, value) if steps is None else steps.when(kind == name, value)
     steps = steps.otherwise(F.array(*[F.lit(t) for t in REASONING_STEPS["legal_analysis"]]))
     return F.transform(steps, lambda s, i: F.when(jurisdiction.isNotNull() & (i == 1), F.concat(s, F.lit(" in "), jurisdiction)).otherwise(s))
+
+
+TAX_PROFILES = (("a company director", 60_000, 40_000),)
+OPTIMISATION_STARTS = (
+    "How should salary and dividends be balanced for ", "Which pension payments suit ", "How can gains be timed by ",
+    "Which allowances are open to ", "What can a spouse's allowances add for ", "Which reliefs for investment suit ",
+)
+COMPLIANCE_STARTS = (
+    "Which returns are due from ", "Which records must be kept by ", "Which deadlines bind ", "Which penalties threaten ", "How can errors be put right by ",
+)
+
+
+def tax_planning(spark) -> DataFrame:
+    """kind, question: six rows on optimisation and five on compliance for each profile."""
+    profiles = spark.createDataFrame(list(TAX_PROFILES), "who string, salary long, dividends long")
+    who = _c(F.col("who"), " with a salary of £", F.format_number("salary", 0), " and dividends of £", F.format_number("dividends", 0), "?")
+    rows = [{"kind": F.lit("optimisation"), "question": _c(s, who)} for s in OPTIMISATION_STARTS] + [{"kind": F.lit("compliance"), "question": _c(s, who)} for s in COMPLIANCE_STARTS]
+    return profiles.select(F.explode(_rows(*rows)).alias("r")).select("r.*")
+
+
+def tax_scenarios(spark) -> DataFrame:
+    """All 18 rows: kind, question."""
+    return tax_calculations(spark).select("kind", "question").unionByName(tax_planning(spark))
+
+
+def all_phases(rows: DataFrame, *, domains: dict[str, list[str]], key: str) -> DataFrame:
+    """Chat rows of both specialists and all phases, with ``split`` (80 / 20 by hash) within each.
+
+    ``rows`` has domain and a unique key besides the columns of ``chat_rows``; a specialist takes its domains' rows.
+    """
+    from .chunk import hash_split
+
+    out = None
+    for specialist, own in domains.items():
+        for phase, _, _ in PHASES:
+            one = chat_rows(rows.where(F.col("domain").isin(*own)), specialist, phase)
+            out = one if out is None else out.unionByName(one)
+    return hash_split(out.withColumn(key, F.sha2("text", 256)), key, by=["specialist_type", "training_phase"], test_share=0.2).drop(key)
+
+
+def alternatives(query: Column, authorities: Column) -> Column:
+    """At most three other views worth stating."""
+    low = F.lower(query)
+    return F.slice(
+        F.array_compact(
+            F.array(
+                F.when(F.size(authorities) > 1, "The authorities may be read differently"),
+                F.when(F.contains(low, F.lit("contract")), "The claim may lie in tort as well"),
+                F.when(F.contains(low, F.lit("tax")), "Another tax treatment may apply"),
+                F.lit("Settlement may serve better than a decision"),
+            )
+        ),
+        1,
+        3,
+    )
+
+
+def procedural_points(query: Column, area: Column) -> Column:
+    """At most five steps of procedure to check."""
+    low = F.lower(query)
+    return F.slice(
+        F.array_compact(
+            F.array(
+                F.lit("Check time limits"),
+                F.when(F.contains(low, F.lit("court")), "Check the court's rules"),
+                F.when(F.contains(low, F.lit("appeal")), "Check whether leave is needed"),
+                F.when(area == "tax", "Check the review and appeal route"),
+                F.when(area == "employment", "Check early conciliation"),
+                F.when(area == "housing", "Check notice requirements"),
+            )
+        ),
+        1,
+        5,
+    )
+
+
+def model_questions(sections: DataFrame, fn, *, title: str = "title", text: str = "text") -> DataFrame:
+    """Question and answer rows that an injected model writes for each section; answers that do not parse give none."""
+    from .extract import call_model, json_rows
+
+    asked = sections.withColumn("prompt", _c("Write question and answer pairs as a JSON list on ", F.col(title), ":\n\n", F.substring(F.col(text), 1, 50_000)))
+    answered = call_model(asked, "prompt", fn)
+    pairs = answered.withColumn("qa", F.explode(json_rows(F.col("response"), "struct<question:string,answer:string>")))
+    return pairs.select(*sections.columns, F.col("qa")["question"].alias("question"), F.col("qa")["answer"].alias("answer"))

@@ -6,6 +6,7 @@ keeps k rows for each query and task before the shuffle. ``cells`` gives an inve
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -65,8 +66,6 @@ def nearest_cell(vector: Column, centres: list[list[float]]) -> Column:
 
 def embed(df: DataFrame, text: str, fn, out: str = "embedding") -> DataFrame:
     """Apply an injected embedding function (list of texts to list of vectors), a batch at a time."""
-    import pandas as pd
-
     @F.pandas_udf("array<float>")
     def run(texts: pd.Series) -> pd.Series:
         return pd.Series([list(map(float, v)) for v in fn(texts.fillna("").tolist())])
