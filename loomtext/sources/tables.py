@@ -5,8 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Tables of texts, on which the work for each byte is large.
+TEXT_TABLES = ("documents", "pages", "conversations")
+
+
+def spread(df: DataFrame, *, least: int = 4 << 20, most: int = 1 << 30) -> DataFrame:
+    """Deal out a table of a few small files, which would keep most cores idle, once over all cores.
+
+    Only inputs between ``least`` and ``most`` bytes in fewer files than cores are dealt out; larger ones are split by
+    the scan, and smaller ones are not worth a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return df.repartition(cores) if least <= size <= most and len(df.inputFiles()) < cores else df
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 #: Deterministic projection of ``documents`` with titles, citations, references and sections; the same in all engines.
