@@ -10,6 +10,10 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomtext.sources.tables import load as table
+
+__all__ = ["SPACES", "Scratch", "ascii_lower", "fresh", "let", "shared_dir", "table", "words"]
+
 #: ASCII white space of the operators' word definition: space, TAB, LF, VT, FF, CR.
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[ \t-\r]+"
@@ -84,7 +88,3 @@ class Scratch:
         gc.collect()
         self.spark.sparkContext._jvm.System.gc()
         time.sleep(0.3)  # the cleaner works in the background
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
