@@ -16,7 +16,7 @@ def spread(df: DataFrame, *, least: int = 4 << 20, most: int = 1 << 30) -> DataF
     the scan, and smaller ones are not worth a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if least <= size <= most and len(df.inputFiles()) < cores else df
 
 
