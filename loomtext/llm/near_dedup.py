@@ -129,16 +129,19 @@ def _across(open_ids: DataFrame, sets: DataFrame, roots: DataFrame, scratch: Scr
     # a shingle of one class cannot be common: it fills prefixes but is never joined
     ranked = terms.join(often, "x").groupBy("d", "c", "n").agg(F.sort_array(F.collect_list(F.struct("df", "x"))).alias("o"))
     longest = F.floor((F.col("n") * (100 - percent)) / 100).cast("int") + 1
+    placed = F.transform(F.slice("o", F.lit(1), longest), lambda y, i: F.struct(y["df"].alias("df"), y["x"].alias("x"), i.alias("at")))
     prefix = scratch.put(
-        ranked.select("d", "c", "n", F.explode(F.filter(F.slice("o", F.lit(1), longest), lambda y: y["df"] > 1)).alias("y")).select("d", "c", "n", F.col("y")["x"].alias("x")),
+        ranked.select("d", "c", "n", F.explode(F.filter(placed, lambda y: y["df"] > 1)).alias("y")).select("d", "c", "n", F.col("y")["x"].alias("x"), F.col("y")["at"].alias("at")),
         "prefixes",
     )
     shares = prefix.groupBy("x", "c").agg(F.count("*").alias("k"))
     largest = shares.groupBy("x").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("x", F.col("top")["c"].alias("main"))
     mixed = prefix.join(largest, "x")
-    seek = mixed.where("c <> main").select("x", F.col("d").alias("u"), F.col("c").alias("cu"), F.col("n").alias("nu"))
-    hold = mixed.select("x", F.col("d").alias("v"), F.col("c").alias("cv"), F.col("n").alias("nv"))
-    near = F.least("nu", "nv") * 100 >= F.greatest("nu", "nv") * percent
+    seek = mixed.where("c <> main").select("x", F.col("d").alias("u"), F.col("c").alias("cu"), F.col("n").alias("nu"), F.col("at").alias("pu"))
+    hold = mixed.select("x", F.col("d").alias("v"), F.col("c").alias("cv"), F.col("n").alias("nv"), F.col("at").alias("pv"))
+    # if x is the first common shingle, no more can be common than the fewer of those that follow it
+    rest = F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv"))
+    near = rest * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent
     met = seek.join(hold, "x").where((F.col("cu") != F.col("cv")) & near)
     return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
