@@ -64,11 +64,21 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 class Scratch:
-    """Written intermediate tables of one run: they cut lineage and outlive lost executors."""
+    """Written intermediate tables of one run: they cut lineage and outlive lost executors.
+
+    Results read from them lazily, so the folder stays until the application ends and is removed then.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/loomtext-{uuid.uuid4().hex}"
+        top, fs = self._open(self.root)
+        fs.mkdirs(top)
+        fs.deleteOnExit(top)
+
+    def _open(self, path: str):
+        top = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return top, top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -79,9 +89,8 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Remove a table that no later step reads."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        path, fs = self._open(self.path(name))
+        fs.delete(path, True)
 
     def release(self) -> None:
         """Let Spark delete shuffle files of finished steps now rather than at some later collection of garbage."""
