@@ -3,10 +3,13 @@
 Every document is a sequence of line IDs (blank lines are skipped and always stay). Names of stretches of
 2^k lines are made by prefix doubling: the name of 2^(k+1) lines is that of a pair of names of 2^k lines. Names
 are 128-bit content hashes, so equal stretches have equal names in every task and no round needs a global sort
-or a shuffle; two overlapping stretches name a stretch of any length. For each start the shortest stretch of at
-least ``min_words`` words is named and sent once, to be grouped: an interval of equal names is an interval of
-suffixes whose longest common prefix reaches that length. In it the earliest start (smallest id, then line)
-stays; later starts are copies. Adjacent copies join to maximal repeated runs, whose lines are deleted.
+or a shuffle; two overlapping stretches name a stretch of any length. Named and sent once, to be grouped, are the
+stretches of at least ``min_words`` words that would have fewer without their last line (the shortest from a start)
+or without their first (the shortest up to an end): an interval of equal names is an interval of suffixes whose
+longest common prefix reaches that length. In it the earliest start (smallest id, then line) stays; later starts
+are copies. Copies join to maximal repeated runs, whose lines are deleted: a line of such a run is in the shortest
+stretch from it, or, where fewer than ``min_words`` words of the run are left from it on, in the shortest stretch
+up to the run's end; both lie within the run, so both are copies as the run is.
 
 Groups are never gathered: the earliest start is a combined minimum, and the join back to the starts can be
 split by AQE where one name is hot. What is gathered is at most the lines of one document.
@@ -41,7 +44,7 @@ def _doubled(names: Column, step: int) -> Column:
 
 
 def starts(text: Column, *, min_words: int) -> Column:
-    """array<struct<at, lines, a, b>>: for each line that begins one, its shortest stretch of ``min_words`` words."""
+    """array<struct<at, lines, a, b>>: the shortest stretches of ``min_words`` words from each line and up to each line."""
     full = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
     levels = [0]
     while 2 ** (levels[-1] + 1) <= min_words:
@@ -84,14 +87,17 @@ def starts(text: Column, *, min_words: int) -> Column:
                     ),
                 )
 
+            def sent(ms: Column) -> Column:
+                """From a start, its shortest stretch and those up to each end before that of the next start's."""
+
+                def each(m: Column, i: Column) -> Column:
+                    last = F.greatest(m, F.coalesce(F.get(ms, i + 1), F.size(ms) - i))
+                    return F.when(m.isNotNull(), F.transform(F.sequence(m, last), lambda x: name(i, x)))
+
+                return F.flatten(F.filter(F.transform(ms, each), lambda s: s.isNotNull()))
+
             counts = F.transform(lines, lambda x: F.size(words(x)))
-            return let(
-                counts,
-                lambda cs: let(
-                    lengths(cs),
-                    lambda ms: F.filter(F.transform(ms, lambda m, i: F.when(m.isNotNull(), name(i, m))), lambda s: s.isNotNull()),
-                ),
-            )
+            return let(counts, lambda cs: let(lengths(cs), sent))
 
         return let(ids, lambda first: all_levels([first], 1))
 

@@ -62,6 +62,22 @@ def line_dedup(docs, min_words):
     return out
 
 
+def maximal_runs(docs, min_words):
+    """doc_id -> kept text: every start's longest common stretch with any earlier start goes if it has ``min_words`` words."""
+    full = {d: [(j, x) for j, x in enumerate((t or "").split("\n")) if x.strip(SPACE)] for d, t in docs}
+    places = [(d, i) for d in sorted(full) for i in range(len(full[d]))]
+    gone = {d: set() for d in full}
+    for n, (d, i) in enumerate(places):
+        for e, k in places[:n]:
+            m = 0
+            while i + m < len(full[d]) and k + m < len(full[e]) and full[d][i + m][1] == full[e][k + m][1]:
+                m += 1
+            run = full[d][i : i + m]
+            if sum(len(words(x)) for _, x in run) >= min_words:
+                gone[d] |= {j for j, _ in run}
+    return {d: None if t is None else "\n".join(x for j, x in enumerate(t.split("\n")) if j not in gone[d]) for d, t in docs}
+
+
 def shingles(text, k):
     w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))) if w else frozenset()

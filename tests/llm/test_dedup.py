@@ -33,6 +33,23 @@ def test_runs_are_maximal(spark):
     assert [(r["doc_id"], [(x["from"], x["to"]) for x in r["runs"]]) for r in got] == [(2, [(1, 8)])]
 
 
+def test_runs_keep_no_tail(spark):
+    """Last lines of a repeated run go too, also where fewer than min_words words are left from them on."""
+    a, b, c = "a " * 30, "b " * 20, "c " * 4
+    texts = [(1, f"{a}\n{b}\nx"), (2, f"new\n{a}\n{b}\ny"), (3, f"{a}\n{b}\n{c}"), (4, f"{a}\n\n{b}\n{c}"), (5, f"{b}\n{c}\nz")]
+    df = spark.createDataFrame(texts, ["doc_id", "text"])
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()}
+    assert got == {1: texts[0][1], 2: "new\ny", 3: c, 4: "", 5: texts[4][1]}
+    rng = random.Random(8)
+    lines = [f"{i} " * n for i, n in enumerate((1, 2, 3, 5, 8, 11, 24, 25, 26, 40))]
+    pool = [[rng.choice(lines) for _ in range(rng.randrange(1, 12))] for _ in range(8)]
+    texts = [(i, "\n".join(x for _ in range(4) for x in [*rng.choice(pool), *rng.choices(lines, k=rng.randrange(3))])) for i in range(40)]
+    df = spark.createDataFrame(texts, ["doc_id", "text"]).repartition(3)
+    for least in (1, 7, 25, 60):
+        got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df, min_words=least).collect()}
+        assert got == brute.maximal_runs(texts, least)
+
+
 @pytest.mark.parametrize("k, percent", [(3, 85), (5, 80), (1, 50)])
 def test_near_dedup(docs, rows, k, percent):
     got = {r["doc_id"]: r for r in near_dedup.group(docs, shingle=k, percent=percent, tuples=16 if percent < 80 else 8, width=1 if percent < 80 else 2).collect()}
