@@ -1,8 +1,11 @@
 """Benchmark decontamination by template canonicalisation (native).
 
-Numbers, units and names become typed placeholders; the rest is lower case without punctuation.
+Numbers, units and names become typed placeholders; the rest is lower case without punctuation. A capitalised
+word that begins the text or a sentence, or follows a quote, bracket or other mark, may be a name or not: there are
+two templates, a narrow one in which it is a plain word and a wide one in which it is a name.
 Windows of ``window`` template words are hash-joined with those of the benchmark. A (document, item) pair whose
-matched windows are at least ``min_share`` of the item's distinct windows is a candidate. For candidates the
+windows matched by either template are at least ``min_share`` of the item's distinct windows is a candidate (a pair
+that passes by the narrow template alone is judged and counted by that alone). For candidates the
 words behind the placeholders are compared: within one alignment, each value of the item must stand for one
 value of the document. A pair is reported if at least ``min_consistent`` of its slot values do, so questions
 with other numbers or names are caught and chance matches of placeholders are not.
@@ -33,40 +36,75 @@ UNITS = (
 #: Marks a capitalised word that follows a letter, digit or comma: a name.
 MARK = "\x01"
 NAME_PATTERN = r"(?<=[\p{L}\p{N},;][ \t-\r])(?=\p{Lu}\p{Ll})"
-PUNCTUATION = r"[^\p{L}\p{N}\x01]+"
+#: Marks a capitalised word anywhere else: a name in the wide template.
+START = "\x02"
+START_PATTERN = r"(?<![\p{L}\p{N}\x01])(?=\p{Lu}\p{Ll})"
+PUNCTUATION = r"[^\p{L}\p{N}\x01\x02]+"
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 
 
 def raw_words(text: Column) -> Column:
-    """Lower-case words without punctuation; a name begins with ``MARK``; decimal marks inside numbers are dropped."""
-    marked = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), MARK, " "), NAME_PATTERN, MARK)
+    """Lower-case words without punctuation; a name begins with ``MARK``, or ``START`` if it may be none; decimal marks inside numbers are dropped."""
+    names = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), MARK + START, "  "), NAME_PATTERN, MARK)
+    marked = F.regexp_replace(names, START_PATTERN, START)
     numbers = F.when(marked.rlike("[0-9][.,][0-9]"), F.regexp_replace(marked, "(?<=[0-9])[.,](?=[0-9])", "")).otherwise(marked)
     return F.filter(F.split(F.lower(numbers), PUNCTUATION, -1), lambda w: (w != "") & (w != MARK))
 
 
-def template(raw: Column) -> Column:
-    """Typed placeholders for the raw words that have a type."""
-    first = lambda w: F.substring(w, 1, 1)
-    is_number = lambda w: F.coalesce((first(w) >= "0") & (first(w) <= "9"), F.lit(False))
+def _first(w: Column) -> Column:
+    return F.substring(w, 1, 1)
+
+
+def _plain(w: Column) -> Column:
+    """The word without a ``START``."""
+    return F.when(_first(w) == START, F.substring(w, 2, 2**30)).otherwise(w)
+
+
+def template(raw: Column, *, wide: bool = False) -> Column:
+    """Typed placeholders for the raw words that have a type; words with a ``START`` are names if ``wide``."""
+    is_number = lambda w: F.coalesce((_first(w) >= "0") & (_first(w) <= "9"), F.lit(False))
+
+    def typed(w: Column) -> Column:
+        start = F.when(_plain(w).isin(*UNITS), UNIT).otherwise(NAME if wide else _plain(w))
+        return F.when(_first(w) == MARK, NAME).when(_first(w) == START, start).when(is_number(w), NUMBER).when(w.isin(*UNITS), UNIT).otherwise(w)
+
+    return F.transform(raw, typed)
+
+
+def slot_words(raw: Column) -> Column:
+    """The words as slots hold them: every name begins with ``MARK``."""
     return F.transform(
-        raw,
-        lambda w: F.when(first(w) == MARK, NAME).when(is_number(w), NUMBER).when(w.isin(*UNITS), UNIT).otherwise(w),
+        raw, lambda w: F.when(_first(w) == START, F.when(_plain(w).isin(*UNITS), _plain(w)).otherwise(F.concat(F.lit(MARK), _plain(w)))).otherwise(w)
     )
 
 
-def window_hashes(text: Column, window: int) -> Column:
+def window_hashes(t: Column, window: int) -> Column:
     """Hashes of all windows of template words, in order; one for the whole of a shorter text; none for no words."""
+    n = F.size(t)
+    each = F.transform(
+        F.slice(t, F.lit(1), F.greatest(n - (window - 1), F.lit(0))),
+        lambda w, i: F.xxhash64(w, *[F.get(t, i + k) for k in range(1, window)]),
+    )
+    whole = F.xxhash64(F.lit("short"), F.array_join(t, " "))
+    return F.when(n >= window, each).when(n > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
 
-    def hashes(t: Column) -> Column:
-        n = F.size(t)
-        each = F.transform(
-            F.slice(t, F.lit(1), F.greatest(n - (window - 1), F.lit(0))),
-            lambda w, i: F.xxhash64(w, *[F.get(t, i + k) for k in range(1, window)]),
+
+def all_windows(raw: Column, window: int) -> Column:
+    """array<struct<h, key, p, wide>>: windows of the narrow template in order, then those of the wide one that differ.
+
+    ``key`` is the hash by the narrow template of the window at place ``p``.
+    """
+
+    def listed(narrow: Column, other: Column) -> Column:
+        one = lambda h, p, wide: F.struct(h.alias("h"), F.get(narrow, p).alias("key"), p.alias("p"), F.lit(wide).alias("wide"))
+        return F.concat(
+            F.transform(narrow, lambda h, p: one(h, p, False)), F.filter(F.transform(other, lambda h, p: one(h, p, True)), lambda x: x["h"] != x["key"])
         )
-        whole = F.xxhash64(F.lit("short"), F.array_join(t, " "))
-        return F.when(n >= window, each).when(n > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
 
-    return let(let(raw_words(text), template), hashes)
+    def hashed(wide: bool) -> Column:
+        return let(template(raw, wide=wide), lambda t: window_hashes(t, window))
+
+    return let(hashed(False), lambda narrow: let(hashed(True), lambda other: listed(narrow, other)))
 
 
 def find_leaks(
@@ -86,74 +124,95 @@ def find_leaks(
     scratch = Scratch(docs.sparkSession)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
     windows = scratch.put(
-        items.select("item", F.posexplode(window_hashes(F.col("item_text"), window)).alias("q", "h")), "windows"
+        items.select("item", F.explode(let(raw_words(F.col("item_text")), lambda raw: all_windows(raw, window))).alias("w"))
+        .select("item", "w.h", "w.key", F.col("w.wide").alias("item_wide"))
+        .distinct(),
+        "windows",
     )
     few = windows.limit(broadcast_windows + 1).count() <= broadcast_windows
     small = F.broadcast if few else (lambda x: x)
-    sizes = windows.groupBy("item").agg(F.countDistinct("h").alias("n_windows"))
-    by_hash = windows.select("h", "item").distinct()
+    sizes = windows.groupBy("item").agg(F.countDistinct("key").alias("n_windows"))
     texts = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t"))
     hits = (
-        texts.select("d", F.explode(window_hashes(F.col("t"), window)).alias("h"))
-        .join(small(by_hash), "h")
+        texts.select("d", F.explode(let(raw_words(F.col("t")), lambda raw: all_windows(raw, window))).alias("w"))
+        .select("d", "w.h", "w.wide")
+        .join(small(windows), "h")
+        .groupBy("d", "item", "key")
+        .agg(F.min(F.col("wide") | F.col("item_wide")).alias("wide"))
         .groupBy("d", "item")
-        .agg(F.countDistinct("h").alias("n_matched"))
-    )
-    pairs = scratch.put(
-        hits.join(small(sizes), "item").where(F.col("n_matched") >= F.ceil(F.col("n_windows") * min_share - 1e-9)), "candidates"
+        .agg(F.count_if(~F.col("wide")).alias("narrow_matched"), F.count("*").alias("n_matched"))
     )
+    least_matched = F.ceil(F.col("n_windows") * min_share - 1e-9)
+    pairs = scratch.put(hits.join(small(sizes), "item").where(F.col("n_matched") >= least_matched), "candidates")
     some = pairs.limit(broadcast_windows + 1).count() <= broadcast_windows
     # the slots behind the windows of the candidates
     wanted = pairs.select(F.col("d").alias("pd"), "item").join(items.withColumnRenamed("item", "i2"), F.col("item").eqNullSafe(F.col("i2"))).select("pd", "item", "item_text")
     both = texts.join(F.broadcast(wanted) if some else wanted, F.col("d").eqNullSafe(F.col("pd")))
     slots = both.select("d", "item", _slots(F.col("t"), F.col("item_text"), window).alias("s")).select("d", "item", F.explode("s").alias("s"))
-    values = slots.select("d", "item", "s.*").groupBy("d", "item", "shift", "theirs").agg(F.countDistinct("ours").alias("n"))
-    checked = values.groupBy("d", "item").agg(F.count("*").alias("n_slots"), F.count_if(F.col("n") == 1).alias("n_consistent"))
-    checked = checked.select(F.col("d").alias("cd"), F.col("item").alias("ci"), "n_slots", "n_consistent")
+    values = slots.select("d", "item", "s.*").groupBy("d", "item", "shift", "theirs", "ours").agg(F.min("wide").alias("wide"))
+    values = values.groupBy("d", "item", "shift", "theirs").agg(F.count_if(~F.col("wide")).alias("narrow"), F.count("*").alias("n"))
+    checked = values.groupBy(F.col("d").alias("cd"), F.col("item").alias("ci")).agg(
+        F.count_if(F.col("narrow") > 0).alias("narrow_slots"), F.count_if(F.col("narrow") == 1).alias("narrow_consistent"),
+        F.count("*").alias("n_slots"), F.count_if(F.col("n") == 1).alias("n_consistent"),
+    )
     judged = pairs.join(checked, F.col("d").eqNullSafe(F.col("cd")) & F.col("item").eqNullSafe(F.col("ci")), "left")
-    zero = F.lit(0).cast("long")
     out_item = item_col if item_col.lower() != id_col.lower() else fresh([id_col], item_col)
-    return judged.select(
-        F.col("d").alias(id_col), F.col("item").alias(out_item), "n_windows", "n_matched",
-        F.coalesce("n_slots", zero).alias("n_slots"), F.coalesce("n_consistent", zero).alias("n_consistent"),
-    ).where(F.col("n_consistent") >= F.ceil(F.col("n_slots") * min_consistent - 1e-9))
+
+    def verdict(matched: str, slots_: str, consistent: str) -> Column:
+        """The three counts, or null if they do not make a leak."""
+        n, c = (F.coalesce(x, F.lit(0).cast("long")) for x in (slots_, consistent))
+        passed = (F.col(matched) >= least_matched) & (c >= F.ceil(n * min_consistent - 1e-9))
+        return F.when(passed, F.struct(F.col(matched).alias("n_matched"), n.alias("n_slots"), c.alias("n_consistent")))
+
+    leak = F.coalesce(verdict("narrow_matched", "narrow_slots", "narrow_consistent"), verdict("n_matched", "n_slots", "n_consistent"))
+    found = judged.select(F.col("d").alias(id_col), F.col("item").alias(out_item), "n_windows", leak.alias("_leak"))
+    return found.where("_leak is not null").select(id_col, out_item, "n_windows", "_leak.*")
 
 
 def _slots(text: Column, item_text: Column, window: int) -> Column:
-    """array<struct<shift, theirs, ours>>: the item's and the document's words at the placeholders of matched windows.
+    """array<struct<shift, theirs, ours, wide>>: the item's and the document's words at the placeholders of matched windows.
 
-    The item's windows are a map from hash to their first place, so the pass over the document is linear in it
-    times the item's windows, and runs for candidate pairs only.
+    The item's windows are looked up by hash for their first place, narrow ones first; this runs for candidate
+    pairs only.
     """
 
-    def compare(raw: Column, t: Column, hs: Column, iraw: Column, ihs: Column) -> Column:
-        def at(h: Column, p: Column) -> Column:
-            q = F.array_position(ihs, h).cast("int") - 1
+    def compare(raw: Column, narrow: Column, wide: Column, ours: Column, theirs: Column, iw: Column, ih: Column) -> Column:
+        def at(x: Column) -> Column:
+            found = F.get(iw, F.array_position(ih, x["h"]).cast("int") - 1)
             return let(
-                q,
-                lambda q_: F.filter(
+                found,
+                lambda f: F.filter(
                     F.transform(
                         F.sequence(F.lit(0), F.lit(window - 1)),
                         lambda k: F.struct(
-                            (p - q_).alias("shift"), F.get(iraw, q_ + k).alias("theirs"), F.get(raw, p + k).alias("ours"), F.get(t, p + k).alias("kind")
+                            (x["p"] - f["p"]).alias("shift"), F.get(theirs, f["p"] + k).alias("theirs"), F.get(ours, x["p"] + k).alias("ours"),
+                            (x["wide"] | f["wide"]).alias("wide"), F.when(x["wide"], F.get(wide, x["p"] + k)).otherwise(F.get(narrow, x["p"] + k)).alias("kind"),
                         ),
                     ),
                     lambda s: s["kind"].isin(NUMBER, UNIT, NAME) & s["theirs"].isNotNull(),
                 ),
-            )
+            )
+
+        hit = F.filter(all_windows(raw, window), lambda x: F.array_contains(ih, x["h"]))
+        found = F.flatten(F.transform(hit, at))
+        return F.array_distinct(F.transform(found, lambda s: F.struct(*[s[c].alias(c) for c in ("shift", "theirs", "ours", "wide")])))
 
-        hit = F.filter(F.transform(hs, lambda h, p: F.struct(h.alias("h"), p.alias("p"))), lambda x: F.array_contains(ihs, x["h"]))
-        found = F.flatten(F.transform(hit, lambda x: at(x["h"], x["p"])))
-        return F.array_distinct(F.transform(found, lambda s: F.struct(s["shift"].alias("shift"), s["theirs"].alias("theirs"), s["ours"].alias("ours"))))
+    def bind(values: list, body, *done: Column) -> Column:
+        return let(values[0](*done), lambda v: bind(values[1:], body, *done, v)) if values else body(*done)
 
     return let(
-        raw_words(text),
-        lambda raw: let(
-            template(raw),
-            lambda t: let(
-                window_hashes(text, window),
-                lambda hs: let(raw_words(item_text), lambda iraw: let(window_hashes(item_text, window), lambda ihs: compare(raw, t, hs, iraw, ihs))),
-            ),
+        raw_words(item_text),
+        lambda iraw: bind(
+            [
+                lambda: raw_words(text),
+                lambda raw: template(raw),
+                lambda raw, *_: template(raw, wide=True),
+                lambda raw, *_: slot_words(raw),
+                lambda *_: slot_words(iraw),
+                lambda *_: all_windows(iraw, window),
+                lambda *done: F.transform(done[-1], lambda x: x["h"]),
+            ],
+            compare,
         ),
     )
 

@@ -137,3 +137,29 @@ def test_leaks(spark):
     left = decontaminate.drop_leaks(df, bench)
     assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == {4, 5, 6, 7, 9}
     assert decontaminate.find_leaks(df.limit(0), bench).count() == 0 and decontaminate.find_leaks(df, bench.limit(0)).count() == 0
+
+
+def test_leaks_with_other_names_at_sentence_starts(spark):
+    items = [
+        (1, "Tom has 3 apples. Sara gives him 4 more apples. Sara keeps 2 for herself. How many apples does Tom have now?"),
+        (2, "'Nina' (Omar) sold 12 old books: Nina kept 5 of them. Omar sold the rest. How many books did Omar sell?"),
+    ]
+    docs = [
+        (1, "Ben has 7 apples. Lily gives him 2 more apples. Lily keeps 5 for herself. How many apples does Ben have now?"),
+        (2, "Intro text first. Ben has 7 apples. Lily gives him 2 more apples. Lily keeps 5 for herself. how many apples does Ben have now? And more."),
+        (3, "'Ruth' (Saul) sold 30 old books: Ruth kept 8 of them. Saul sold the rest. How many books did Saul sell?"),
+        (4, items[0][1].lower()), (5, items[1][1]),
+        (6, "Ben has 7 apples. Lily gives him 2 more pears. They keep 5 for a friend. How many apples does Ben have now?"),
+        (7, "Ben walks to school. Lily gives him a book. Lily keeps it for herself. How many pages does Ben read now?"),
+    ]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for rows in (1_000_000, 0):
+        got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.find_leaks(df, bench, broadcast_windows=rows).collect()}
+        assert set(got) == {(1, 1), (2, 1), (3, 2), (4, 1), (5, 2)}
+        assert all(r["n_matched"] <= r["n_windows"] and r["n_consistent"] <= r["n_slots"] for r in got.values())
+    # names at sentence starts must stand for one name each, too
+    mixed = [(1, "Ann saw Bob. Bob met Ann. Ann likes Bob. Bob thanks Ann. Ann helps Bob. Bob calls Ann. Ann hugs Bob.")]
+    other = [(1, "Cid saw Dora. Ewan met Fay. Gus likes Hal. Ian thanks Jo. Kim helps Leo. Max calls Ned. Oz hugs Pam."), (2, mixed[0][1].replace("Ann", "Gus").replace("Bob", "Hal"))]
+    got = decontaminate.find_leaks(spark.createDataFrame(other, df.schema), spark.createDataFrame(mixed, bench.schema)).collect()
+    assert [r["doc_id"] for r in got] == [2]
