@@ -6,6 +6,8 @@ keeps k rows for each query and task before the shuffle. ``cells`` gives an inve
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,15 +32,28 @@ def normalised(df: DataFrame, col: str) -> DataFrame:
     return length.withColumn(col, F.when(F.col("_len") > 0, F.transform(col, lambda x: x.cast("double") / F.col("_len")))).drop("_len")
 
 
-def search(items: DataFrame, queries: DataFrame, k: int, *, item: str = "vec_id", query: str = "query_id", vector: str = "embedding", max_queries: int = 10_000) -> DataFrame:
-    """(query, item, score): the k best items for each query; ties by item."""
-    if queries.limit(max_queries + 1).count() > max_queries:
-        raise ValueError(f"more than {max_queries} queries: search them in blocks")
-    left = normalised(items.select(item, F.col(vector).alias("_v")), "_v").where("_v is not null")
+def search(items: DataFrame, queries: DataFrame, k: int, *, item: str = "vec_id", query: str = "query_id", vector: str = "embedding", max_queries: int = 10_000, boost: Column | None = None) -> DataFrame:
+    """(query, item, score): the k best items for each query; ties by item; more than ``max_queries`` go in blocks of about that size.
+
+    ``boost``, a column over ``items``, adds ``final``, score times boost, and the k best are those by it.
+    """
+    blocks = -(-queries.count() // max_queries)
+    if blocks > 1:
+        number = F.pmod(F.xxhash64(query), F.lit(blocks))
+        parts = [_search(items, queries.where(number == b), k, item, query, vector, boost) for b in range(blocks)]
+        return reduce(DataFrame.unionByName, parts)
+    return _search(items, queries, k, item, query, vector, boost)
+
+
+def _search(items: DataFrame, queries: DataFrame, k: int, item: str, query: str, vector: str, boost: Column | None) -> DataFrame:
+    extra = [] if boost is None else [boost.alias("_boost")]
+    left = normalised(items.select(item, F.col(vector).alias("_v"), *extra), "_v").where("_v is not null")
     right = normalised(queries.select(query, F.col(vector).alias("_q")), "_q").where("_q is not null")
     pairs = left.join(F.broadcast(right), how="cross")  # a stated query set against all rows
-    scored = pairs.select(query, item, dot(F.col("_v"), F.col("_q")).alias("score"))
-    best = W.partitionBy(query).orderBy(F.desc("score"), item)
+    scored = pairs.select(query, item, dot(F.col("_v"), F.col("_q")).alias("score"), *(["_boost"] if extra else []))
+    if extra:
+        scored = scored.withColumn("final", F.col("score") * F.col("_boost")).drop("_boost")
+    best = W.partitionBy(query).orderBy(F.desc("final" if extra else "score"), item)
     return scored.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
 
 

@@ -573,10 +573,10 @@ def vector_topk(spark, sf_dir):
 def vector_boosted(spark, sf_dir):
     items = load(spark, sf_dir, "embeddings").where("label % 2 = 0")
     queries = load(spark, sf_dir, "embeddings").where("vec_id = 0").select(F.col("vec_id").alias("query_id"), "embedding")
-    hits = vector.search(items, queries, 1_000_000).join(items.select("vec_id", "label"), "vec_id")
     weight = score.chunk_authority_weight(1 + F.col("label") % 8)
-    out = vector.boosted(hits, authority=score.authority_boost(weight), temporal=score.temporal_boost(F.lit(None).cast("date"), F.lit("2024-01-01").cast("date")), citation=F.lit(1.0))
-    return out.orderBy(F.desc("final"), "vec_id").limit(10).select("vec_id", F.round("final", 6).alias("final"))
+    boost = score.authority_boost(weight) * score.temporal_boost(F.lit(None).cast("date"), F.lit("2024-01-01").cast("date"))
+    out = vector.search(items, queries, 10, boost=boost)
+    return out.select("vec_id", F.round("final", 6).alias("final"))
 
 
 # --- set operations, upserts ----------------------------------------------------------------------------------

@@ -190,3 +190,11 @@ def test_licenses(spark):
     assert got == {"p": ("MIT", "a longer text"), "q": ("MIT", "x")}
     assert one(spark, classify.license_name(lit(" Apache 2.0 "))) == "Apache-2.0"
     assert one(spark, classify.license_of_text(lit("Apache License, Version 2.0"))) == "Apache-2.0"
+
+
+def test_search_in_blocks_and_boosts_before_cut(spark):
+    items = spark.createDataFrame([(0, [1.0, 0.0], 1.0), (1, [0.9, 0.1], 1.0), (2, [0.6, 0.8], 5.0)], "vec_id long, embedding array<double>, w double")
+    queries = items.select(F.col("vec_id").alias("query_id"), "embedding")
+    got = vector.search(items, queries, 1, max_queries=1).collect()
+    assert sorted((r["query_id"], r["vec_id"]) for r in got) == [(0, 0), (1, 1), (2, 2)]
+    assert [r["vec_id"] for r in vector.search(items, queries.where("query_id = 0"), 1, boost=F.col("w")).collect()] == [2]
