@@ -1,58 +1,49 @@
-"""Line dedup: repeated runs of lines, by prefix doubling over line-ID sequences.
-
-Every document is a sequence of line IDs (blank lines are skipped and always stay). Names of stretches of
-2^k lines are made by prefix doubling: the name of 2^(k+1) lines is that of a pair of names of 2^k lines. Names
-are 128-bit content hashes, so equal stretches have equal names in every task and no round needs a global sort
-or a shuffle; two overlapping stretches name a stretch of any length. Named and sent once, to be grouped, are the
-stretches of at least ``min_words`` words that would have fewer without their last line (the shortest from a start)
-or without their first (the shortest up to an end): an interval of equal names is an interval of suffixes whose
-longest common prefix reaches that length. In it the earliest start (smallest id, then line) stays; later starts
-are copies. Copies join to maximal repeated runs, whose lines are deleted: a line of such a run is in the shortest
-stretch from it, or, where fewer than ``min_words`` words of the run are left from it on, in the shortest stretch
-up to the run's end; both lie within the run, so both are copies as the run is.
-
-Groups are never gathered: the earliest start is a combined minimum, and the join back to the starts can be
-split by AQE where one name is hot. What is gathered is at most the lines of one document.
-
-Defined results: null text stays null with no lines; text without a qualifying run is kept as it is; rows that
-share an id are one document, so they do not make each other copies; a null id orders first; an empty table
-gives an empty table; extra columns pass through ``dedup``.
+"""Line dedup: suffix array over line-ID sequences by distributed prefix doubling.
+
+A document is a sequence of line IDs (128-bit hashes of its lines; blank lines are skipped and always stay). Its
+suffixes are ranked by prefix doubling: the rank at level k orders suffixes by their first 2^k lines, and the rank at
+level k + 1 is the place of the pair (own rank, rank 2^k lines on) in the sorted table of all such pairs. A suffix
+that is alone in its bucket is decided and leaves, as does one with fewer than 2^(k + 1) lines left; only the others
+are carried, so that most lines leave in the first round and the last round is the longest repeat's.
+
+Longest-common-prefix intervals are found from the ranks, without comparing neighbours one by one. A suffix is a copy
+to depth 2^k if its bucket there has an earlier member (smaller id, then line). For each suffix the deepest such
+level is taken; below it the bucket is split at depths of 2^k + 2^(k-1), 2^k + 2^(k-1) + 2^(k-2) and so on by the
+ranks of the lines that follow. The earliest suffix of a part stands for it in what is left of the parent, the
+others go on into the part. What is reached is the deepest interval in which the suffix is not the earliest one: the
+interval's depth is the length of the longest run from there that also starts earlier. Runs that lie in no other one
+are the maximal repeated runs; those with ``min_words`` words are deleted, and the earliest start stays.
+
+Everything is a sort, a combined aggregate or an equality join whose hot keys AQE can split; nothing per line or per
+bucket is gathered. Each round is written to the shared folder. Text is shuffled once, for the cut.
+
+Defined results: null text stays null with no lines; text without a qualifying run is kept as it is; rows that share
+id and text are one document, so they do not make each other copies; rows that share an id only are documents of
+their own, in order of their text's hash; a null id orders first; an empty table gives an empty table; extra columns
+pass through ``dedup``, and its count column takes a name that none of them has.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
-from .common import SPACES, fresh, let, words
+from .common import SPACES, Scratch, fresh, let, words
 
-NAME = "struct<a:bigint,b:bigint>"
+MIN_WORDS = 3
 
 
-def _doubled(names: Column, step: int) -> Column:
-    """Names of twice the length from names of ``step`` lines."""
-    return F.zip_with(
-        names,
-        F.slice(names, F.lit(step + 1), F.size(names)),
-        lambda x, y: F.when(
-            y.isNotNull(),
-            F.struct(
-                F.xxhash64(x["a"], x["b"], y["a"], y["b"]).alias("a"), F.xxhash64(F.lit(step), y["b"], y["a"], x["b"], x["a"]).alias("b")
-            ),
-        ),
-    )
-
+def full_lines(text: Column) -> Column:
+    """The non-blank lines."""
+    return F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
 
-def starts(text: Column, *, min_words: int) -> Column:
-    """array<struct<at, lines, a, b>>: the shortest stretches of ``min_words`` words from each line and up to each line."""
-    full = F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")
-    levels = [0]
-    while 2 ** (levels[-1] + 1) <= min_words:
-        levels.append(levels[-1] + 1)
 
-    def lengths(counts: Column) -> Column:
-        """Lines of the shortest stretch from each start; null if the document ends before."""
+def line_table(docs: DataFrame, *, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """(d, u, at, rest, need, a, b): document, hash of its text, line number, lines from there on, the number of lines
+    that have ``min_words`` words (null if the document ends before), and the line's ID."""
 
+    def needs(counts: Column) -> Column:
         def reach(i: Column) -> Column:
             zero = F.struct(F.lit(0).alias("w"), F.lit(0).alias("m"))
             end = F.aggregate(
@@ -64,81 +55,131 @@ def starts(text: Column, *, min_words: int) -> Column:
 
         return F.transform(counts, lambda c, i: F.when(c >= min_words, F.lit(1)).otherwise(reach(i)))
 
-    def named(lines: Column) -> Column:
-        ids = F.transform(lines, lambda x: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x, F.length(x)).alias("b")))
-
-        def all_levels(chain: list[Column], level: int) -> Column:
-            if level == len(levels):
-                return pick(chain)
-            return let(_doubled(chain[-1], 2 ** (level - 1)), lambda nxt: all_levels([*chain, nxt], level + 1))
-
-        def pick(chain: list[Column]) -> Column:
-            def name(i: Column, m: Column) -> Column:
-                out = None
-                for k in reversed(levels):
-                    two = F.struct(F.get(chain[k], i).alias("x"), F.get(chain[k], i + m - 2**k).alias("y"))
-                    out = F.when(m >= 2**k, two) if out is None else out.when(m >= 2**k, two)
-                return let(
-                    out,
-                    lambda p: F.struct(
-                        i.alias("at"), m.alias("lines"),
-                        F.xxhash64(m, p["x"]["a"], p["x"]["b"], p["y"]["a"], p["y"]["b"]).alias("a"),
-                        F.xxhash64(p["y"]["b"], p["y"]["a"], p["x"]["b"], p["x"]["a"], m).alias("b"),
-                    ),
-                )
-
-            def sent(ms: Column) -> Column:
-                """From a start, its shortest stretch and those up to each end before that of the next start's."""
-
-                def each(m: Column, i: Column) -> Column:
-                    last = F.greatest(m, F.coalesce(F.get(ms, i + 1), F.size(ms) - i))
-                    return F.when(m.isNotNull(), F.transform(F.sequence(m, last), lambda x: name(i, x)))
-
-                return F.flatten(F.filter(F.transform(ms, each), lambda s: s.isNotNull()))
-
-            counts = F.transform(lines, lambda x: F.size(words(x)))
-            return let(counts, lambda cs: let(lengths(cs), sent))
-
-        return let(ids, lambda first: all_levels([first], 1))
-
-    return let(full, named)
-
-
-def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = 25) -> DataFrame:
-    """(id, runs) for documents with copies: runs is a sorted array of struct<from, to>, line numbers among the
-    document's non-blank lines, ``to`` exclusive, maximal and apart."""
-    sent = docs.select(F.col(id_col).alias("d"), F.explode(starts(F.col(text_col), min_words=min_words)).alias("s")).select("d", "s.*")
-    place = F.struct("d", "at")
-    first = sent.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    copies = sent.join(first, ["a", "b"]).where(~place.eqNullSafe(F.col("first")))
-    lines = F.transform(F.collect_set(F.struct("at", "lines")), lambda s: F.sequence(s["at"], s["at"] + s["lines"] - 1))
-    covered = copies.groupBy("d").agg(F.sort_array(F.array_distinct(F.flatten(lines))).alias("c"))
-
-    def joined(c: Column) -> Column:
-        begin = F.filter(c, lambda x, i: ~F.get(c, i - 1).eqNullSafe(x - 1))
-        end = F.filter(c, lambda x, i: ~F.get(c, i + 1).eqNullSafe(x + 1))
-        return F.zip_with(begin, end, lambda x, y: F.struct(x.alias("from"), (y + 1).alias("to")))
-
-    return covered.select(F.col("d").alias(id_col), let(F.col("c"), joined).alias("runs"))
-
+    def listed(lines: Column) -> Column:
+        return let(
+            F.transform(lines, lambda x: F.size(words(x))),
+            lambda counts: F.zip_with(
+                lines,
+                needs(counts),
+                lambda x, m: F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x, F.length(x)).alias("b"), m.alias("need"), F.size(lines).alias("n")),
+            ),
+        )
 
-def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", keep_counts: bool = False, min_words: int = 25) -> DataFrame:
+    text = F.col(text_col)
+    each = docs.select(F.col(id_col).alias("d"), F.xxhash64(text).alias("u"), F.posexplode(let(full_lines(text), listed)).alias("at", "x"))
+    return each.select("d", "u", "at", (F.col("x.n") - F.col("at")).alias("rest"), "x.need", "x.a", "x.b")
+
+
+def _ranked(pairs: DataFrame, scratch: Scratch, level: int) -> DataFrame:
+    """Suffixes (doc, at, rest, need, x, y) that share (x, y) with another one, with rank ``r`` and the bucket's earliest (fd, fa)."""
+    place = F.struct("doc", "at")
+    shared = pairs.groupBy("x", "y").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    # numbers that rise along a global sort: ranks need order, not gaps of one
+    buckets = shared.orderBy("x", "y").select("x", "y", "first", F.monotonically_increasing_id().alias("r"))
+    found = pairs.join(buckets, ["x", "y"]).select("doc", "at", "rest", "need", "r", F.col("first.doc").alias("fd"), F.col("first.at").alias("fa"))
+    return scratch.put(found, f"ranks-{level}")
+
+
+def suffix_ranks(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[DataFrame]]:
+    """(d, u, doc) for documents with shared lines, ``doc`` in their order; and by level the ranks of undecided suffixes."""
+    keys = lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    shared = scratch.put(lines.join(keys, ["a", "b"]), "shared")
+    order = scratch.put(shared.select("d", "u").distinct().orderBy("d", "u").withColumn("doc", F.monotonically_increasing_id()), "order")
+    of = order.select(F.col("d").alias("od"), F.col("u").alias("ou"), "doc")
+    suffixes = shared.join(of, F.col("d").eqNullSafe(F.col("od")) & (F.col("u") == F.col("ou"))).dropDuplicates(["doc", "at"])
+    levels = [_ranked(suffixes.select("doc", "at", "rest", "need", F.col("a").alias("x"), F.col("b").alias("y")), scratch, 0)]
+    while not levels[-1].isEmpty():
+        step = 2 ** (len(levels) - 1)
+        here = levels[-1].where(F.col("rest") >= 2 * step).select("doc", "at", "rest", "need", F.col("r").alias("x"))
+        there = levels[-1].select("doc", (F.col("at") - step).alias("at"), F.col("r").alias("y"))
+        levels.append(_ranked(here.join(there, ["doc", "at"]), scratch, len(levels)))
+    return order, levels[:-1]
+
+
+def copied_lengths(levels: list[DataFrame], scratch: Scratch) -> DataFrame | None:
+    """(doc, at, need, gd, ga, m): the longest run of ``m`` lines from a suffix that also starts earlier, at (gd, ga)."""
+    copies = None
+    for k, ranks in enumerate(levels):
+        later = ranks.where("doc <> fd or at <> fa").select("doc", "at", F.struct(F.lit(k).alias("k"), "fd", "fa", "need").alias("s"))
+        copies = later if copies is None else copies.unionByName(later)
+    if copies is None:
+        return None
+    deepest = copies.groupBy("doc", "at").agg(F.max("s").alias("s"))
+    start = deepest.select("doc", "at", "s.need", "s.k", F.col("s.fd").alias("gd"), F.col("s.fa").alias("ga"), F.expr("shiftleft(1, s.k)").alias("m"))
+    start = scratch.put(start, "copies")
+    found = start.where(F.col("k") == len(levels) - 1)
+    for s in reversed(range(len(levels) - 1)):
+        step = 2**s
+        ahead = levels[s].select(F.col("doc").alias("xd"), F.col("at").alias("xa"), F.col("r").alias("x"))
+        ahead_of_first = ahead.select(F.col("xd").alias("yd"), F.col("xa").alias("ya"), F.col("x").alias("y"))
+        looked = (
+            found.join(ahead, (F.col("doc") == F.col("xd")) & (F.col("at") + F.col("m") == F.col("xa")), "left")
+            .join(ahead_of_first, (F.col("gd") == F.col("yd")) & (F.col("ga") + F.col("m") == F.col("ya")), "left")
+            .select("doc", "at", "need", "k", "gd", "ga", "m", "x", F.col("x").eqNullSafe(F.col("y")).alias("same"))
+        )
+        # parts of the interval that its earliest suffix is not in have an earliest one of their own, which stays behind
+        part = ["gd", "ga", "m", "x"]
+        heads = looked.where("x is not null and not same").groupBy(*part).agg(F.min(F.struct("doc", "at")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+        split = looked.join(heads, part, "left")
+        on = F.col("x").isNotNull() & F.col("same")
+        away = F.col("head").isNotNull() & (F.struct("doc", "at") != F.col("head"))
+        moved = split.select(
+            "doc", "at", "need", "k",
+            F.when(away & ~on, F.col("head.doc")).otherwise(F.col("gd")).alias("gd"),
+            F.when(away & ~on, F.col("head.at")).otherwise(F.col("ga")).alias("ga"),
+            F.when(on | away, F.col("m") + step).otherwise(F.col("m")).alias("m"),
+        )
+        found = scratch.put(moved, f"copies-{s}").unionByName(start.where(F.col("k") == s))
+    return found.select("doc", "at", "need", "gd", "ga", "m")
+
+
+def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, text_hash, runs, spans) for documents with copies, by number among the document's non-blank lines.
+
+    ``runs`` are the maximal repeated runs, array<struct<from, to, like, like_from>>: ``to`` is exclusive, ``like`` is the
+    id of the earliest document with that run and ``like_from`` its line there. ``spans`` are the lines that they cover,
+    array<struct<from, to>> apart from each other.
+    """
+    scratch = Scratch(docs.sparkSession)
+    lines = scratch.put(line_table(docs, id_col=id_col, text_col=text_col, min_words=min_words), "lines")
+    order, levels = suffix_ranks(lines, scratch)
+    copied = copied_lengths(levels, scratch)
+    if copied is None:
+        kind = docs.schema[id_col].dataType.simpleString()
+        return docs.sparkSession.createDataFrame([], f"`{id_col}` {kind}, text_hash bigint, runs array<struct<from:int,to:int,like:{kind},like_from:int>>, spans array<struct<from:int,to:int>>")
+    by_start = W.partitionBy("doc").orderBy("at")  # one document's lines
+    before = by_start.rowsBetween(W.unboundedPreceding, -1)
+    runs = copied.where("m >= need").select("doc", "at", (F.col("at") + F.col("m")).alias("to"), "gd", "ga")
+    maximal = runs.withColumn("reached", F.max("to").over(before)).where("reached is null or to > reached")
+    marked = maximal.withColumn("opens", F.coalesce(F.col("at") > F.col("reached"), F.lit(True)).cast("int"))
+    spans = marked.withColumn("span", F.sum("opens").over(by_start.rowsBetween(W.unboundedPreceding, W.currentRow)))
+    sources = order.select(F.col("doc").alias("gd"), F.col("d").alias("like"))
+    run = F.struct(F.col("at").alias("from"), "to", "like", F.col("ga").alias("like_from"))
+    per_span = spans.join(sources, "gd").groupBy("doc", "span").agg(F.min("at").alias("from"), F.max("to").alias("to"), F.collect_list(run).alias("rs"))
+    per_doc = per_span.groupBy("doc").agg(F.sort_array(F.flatten(F.collect_list("rs"))).alias("runs"), F.sort_array(F.collect_list(F.struct("from", "to"))).alias("spans"))
+    return order.join(per_doc, "doc").select(F.col("d").alias(id_col), F.col("u").alias("text_hash"), "runs", "spans")
+
+
+def dedup(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", counts_col: str | None = None, min_words: int = MIN_WORDS
+) -> DataFrame:
     """Documents without the later copies of repeated runs, in the input's columns.
 
-    ``keep_counts`` adds struct ``_lines``: lines, removed and runs.
+    ``counts_col`` adds a struct of lines, removed and runs under that name, or the next free one.
     """
     runs = repeated_runs(docs, id_col=id_col, text_col=text_col, min_words=min_words)
-    key, col, out = (fresh(docs.columns, c) for c in ("_id", "_runs", "_lines"))
-    joined = docs.join(runs.select(F.col(id_col).alias(key), F.col("runs").alias(col)), F.col(id_col).eqNullSafe(F.col(key)), "left")
+    key, mark, found, out = (fresh(docs.columns, c) for c in ("_id", "_hash", "_runs", "_lines"))
+    runs = runs.select(F.col(id_col).alias(key), F.col("text_hash").alias(mark), F.struct("spans", F.size("runs").alias("n")).alias(found))
+    joined = docs.join(runs, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(mark)), "left")
 
-    def cut(text: Column, runs_: Column) -> Column:
+    def cut(text: Column, spans: Column) -> Column:
         def by_number(lines: Column) -> Column:
             numbered = F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
             full = F.filter(numbered, lambda x: F.btrim(x["x"], F.lit(SPACES)) != "")
             return let(full, lambda f: without(lines, f))
 
         def without(lines: Column, full: Column) -> Column:
-            gone = F.flatten(F.transform(runs_, lambda r: F.transform(F.slice(full, r["from"] + 1, r["to"] - r["from"]), lambda x: x["i"])))
+            gone = F.flatten(F.transform(spans, lambda r: F.transform(F.slice(full, r["from"] + 1, r["to"] - r["from"]), lambda x: x["i"])))
             stay = lambda g: F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), g)
             return let(
                 gone,
@@ -152,17 +193,13 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", le
         return let(F.split(text, "\n", -1), by_number)
 
     text = F.col(text_col)
-    done = let(F.coalesce(F.col(col), F.array().cast("array<struct<from:int,to:int>>")), lambda r: cut(text, r))
-    plain = F.struct(
-        text.alias("text"),
-        F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.btrim(x, F.lit(SPACES)) != "")).alias("lines"),
-        F.lit(0).alias("removed"),
-    )
-    result = joined.withColumn(out, F.when(F.col(col).isNull() | text.isNull(), plain).otherwise(done))
+    plain = F.struct(text.alias("text"), F.size(full_lines(text)).alias("lines"), F.lit(0).alias("removed"))
+    done = let(F.col(found)["spans"], lambda s: cut(text, s))
+    result = joined.withColumn(out, F.when(F.col(found).isNull() | text.isNull(), plain).otherwise(done))
     result = result.withColumn(text_col, F.col(out)["text"])
     if length_col in docs.columns:
         result = result.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
-    if not keep_counts:
+    if counts_col is None:
         return result.select(*docs.columns)
-    counts = F.struct(F.col(out)["lines"].alias("lines"), F.col(out)["removed"].alias("removed"), F.coalesce(F.size(col), F.lit(0)).alias("runs"))
-    return result.select(*docs.columns, counts.alias("_lines"))
+    counts = F.struct(F.col(out)["lines"].alias("lines"), F.col(out)["removed"].alias("removed"), F.coalesce(F.col(found)["n"], F.lit(0)).alias("runs"))
+    return result.select(*docs.columns, counts.alias(fresh(docs.columns, counts_col)))

@@ -48,7 +48,7 @@ def op4_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), keep_counts=True)
+    done = line_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), counts_col="_lines")
     n = F.col("_lines")
     return done.select(
         "doc_id", n["lines"].cast("long").alias("n_lines"), n["removed"].cast("long").alias("n_removed"), n["runs"].cast("long").alias("n_runs"),

@@ -38,7 +38,7 @@ def test_runs_keep_no_tail(spark):
     a, b, c = "a " * 30, "b " * 20, "c " * 4
     texts = [(1, f"{a}\n{b}\nx"), (2, f"new\n{a}\n{b}\ny"), (3, f"{a}\n{b}\n{c}"), (4, f"{a}\n\n{b}\n{c}"), (5, f"{b}\n{c}\nz")]
     df = spark.createDataFrame(texts, ["doc_id", "text"])
-    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()}
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df, min_words=25).collect()}
     assert got == {1: texts[0][1], 2: "new\ny", 3: c, 4: "", 5: texts[4][1]}
     rng = random.Random(8)
     lines = [f"{i} " * n for i, n in enumerate((1, 2, 3, 5, 8, 11, 24, 25, 26, 40))]
@@ -50,6 +50,37 @@ def test_runs_keep_no_tail(spark):
         assert got == brute.maximal_runs(texts, least)
 
 
+def test_short_repeated_lines_go(spark):
+    """A short line that recurs alone goes from every document but the first; one or two words are too few."""
+    line = "all eight words of this line come back"
+    texts = [(i, f"own{i} text of document {i}\n{line}\nBye now\nlast{i} of {i}") for i in range(50)]
+    df = spark.createDataFrame(texts, ["doc_id", "text"]).repartition(4)
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()}
+    # together with the line before it, the two-word line belongs to the repeated run
+    assert got == {0: texts[0][1]} | {i: f"own{i} text of document {i}\nlast{i} of {i}" for i in range(1, 50)}
+    alone = [(i, f"own{i} text of document {i}\nBye now\nlast{i} of {i}") for i in range(9)]
+    df = spark.createDataFrame(alone, ["doc_id", "text"])
+    assert {r["doc_id"]: r["text"] for r in line_dedup.dedup(df).collect()} == dict(alone)
+    assert line_dedup.MIN_WORDS == 3
+
+
+def test_maximal_runs_and_their_sources(spark):
+    """Touching copies of different documents are two maximal runs and one span; runs in others are not listed."""
+    a, b = [f"first {i} in one text" for i in range(5)], [f"other {i} in two text" for i in range(3)]
+    df = spark.createDataFrame([(1, "\n".join([*a, "x"])), (2, "\n".join(["y", *b])), (3, "\n".join([*a[1:], *b, "z", *b[:2]]))], ["doc_id", "text"])
+    got = [r for r in line_dedup.repeated_runs(df).collect()]
+    assert [(r["doc_id"], [tuple(x) for x in r["runs"]], [tuple(x) for x in r["spans"]]) for r in got] == [
+        (3, [(0, 4, 1, 1), (4, 7, 2, 1), (8, 10, 2, 1)], [(0, 7), (8, 10)])
+    ]
+
+
+def test_line_dedup_column_names(spark):
+    df = spark.createDataFrame([(1, "one two three four\nx", 5), (2, "one two three four\ny", 6)], "doc_id long, text string, _lines int")
+    out = line_dedup.dedup(df, counts_col="_lines")
+    assert out.columns == ["doc_id", "text", "_lines", "_lines_1"]
+    assert sorted((r["doc_id"], r["_lines"], tuple(r["_lines_1"])) for r in out.collect()) == [(1, 5, (2, 0, 0)), (2, 6, (2, 1, 1))]
+
+
 @pytest.mark.parametrize("k, percent", [(3, 85), (5, 80), (1, 50)])
 def test_near_dedup(docs, rows, k, percent):
     got = {r["doc_id"]: r for r in near_dedup.group(docs, shingle=k, percent=percent, tuples=16 if percent < 80 else 8, width=1 if percent < 80 else 2).collect()}

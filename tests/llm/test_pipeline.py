@@ -5,6 +5,8 @@ import corpus_pipeline
 import pytest
 from pyspark.sql import functions as F
 
+from loomtext.llm import line_dedup
+
 
 @pytest.fixture(scope="module")
 def folder(spark, docs, rows, tmp_path_factory):
@@ -33,7 +35,7 @@ def test_stages(spark, folder):
     kept = {d for d, t in pairs(before) if (q := brute.quality_counts(t))[0] >= 50 and q[4] * 2 <= q[0]}
     assert {d for d, _ in pairs(after)} <= kept and 900 in {d for d, _ in pairs(after)}
     before, after = seen["line_dedup"]
-    assert dict(pairs(after)) == brute.line_dedup(pairs(before), 25)
+    assert dict(pairs(after)) == brute.maximal_runs(pairs(before), line_dedup.MIN_WORDS)
     before, after = seen["near_dedup"]
     assert {d for d, _ in pairs(after)} == {c for _, c in brute.components(pairs(before), 5, 80).values()}
     before, after = seen["decontamination"]
