@@ -85,18 +85,54 @@ def route_chunks(docs: DataFrame, *, size: int = 1000, overlap: int = 150) -> Da
 
 
 def hash_split(df: DataFrame, key: str, *, by: list[str] | None = None, test_share: float = 0.1, seed: int = 42) -> DataFrame:
-    """Adds ``split`` of exact size: the ceil(share * n) rows that come first by a seeded hash are ``test``."""
+    """Adds ``split`` of exact size: the ceil(share * n) rows of each group that come first by a seeded hash are ``test``.
+
+    Rows are counted by the first 16 bits of the hash; only those of the one range that holds the cut are sorted.
+    """
     groups = by or []
-    order = F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)
-    ranked = df.withColumn("_n", F.row_number().over(W.partitionBy(*groups).orderBy(order, key)))
-    ranked = ranked.withColumn("_all", F.count("*").over(W.partitionBy(*groups)))
-    return ranked.withColumn("split", F.when(F.col("_n") <= F.ceil(F.col("_all") * test_share), "test").otherwise("train")).drop("_n", "_all")
+    hashed = df.withColumn("_h", F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256)).withColumn("_b", F.substring("_h", 1, 4))
+    counts = hashed.groupBy(*groups, "_b").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, 0))
+    wanted = F.ceil(F.sum("c").over(W.partitionBy(*groups)) * test_share)
+    return _cut(hashed, counts.select(*groups, F.col("_b").alias("_cut"), "c", upto.alias("upto"), wanted.alias("wanted")), groups, F.col("_b"), ["_h", key], ("test", "train")).drop("_h", "_b")
+
 
+def ordered_split(df: DataFrame, key: str, *, by: list[str] | None = None, train_share: float = 0.8, ranges: int = 1000) -> DataFrame:
+    """Adds ``split``: the first int(share * n) rows of each group in order of ``key``, a number or a time, are ``train``.
 
-def ordered_split(df: DataFrame, key: str, *, by: list[str], train_share: float = 0.8) -> DataFrame:
-    """Adds ``split``: the first int(share * n) rows of each group in order of ``key`` are ``train``."""
-    ranked = df.withColumn("_n", F.row_number().over(W.partitionBy(*by).orderBy(key))).withColumn("_all", F.count("*").over(W.partitionBy(*by)))
-    return ranked.withColumn("split", F.when(F.col("_n") <= F.floor(F.col("_all") * train_share), "train").otherwise("validation")).drop("_n", "_all")
+    Rows are counted by range of the key between approximate quantiles; only those of the range that holds the cut are sorted.
+    """
+    groups = by or []
+    bounds = df.groupBy(*groups).agg(F.percentile_approx(key, [i / ranges for i in range(1, ranges)], 10 * ranges).alias("_q"))
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    bounds = bounds.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], "_q")
+    # the number of quantiles below the key, by binary search
+    middle = lambda s: F.floor((s["a"] + s["z"]) / 2).cast("int")
+    state = lambda a, z: F.struct(a.alias("a"), z.alias("z"))
+    halved = lambda s, _: F.when(s["a"] >= s["z"], s).when(F.get("_q", middle(s)) < F.col(key), state(middle(s) + 1, s["z"])).otherwise(state(s["a"], middle(s)))
+    below = F.aggregate(F.sequence(F.lit(1), F.lit(ranges.bit_length())), state(F.lit(0), F.size("_q")), halved)["a"]
+    placed = df.join(bounds, same, "left").withColumn("_b", below).drop("_q", *[f"_g{i}" for i in range(len(groups))])
+    counts = placed.groupBy(*groups, "_b").agg(F.count("*").alias("c"))
+    upto = F.sum("c").over(W.partitionBy(*groups).orderBy("_b").rowsBetween(W.unboundedPreceding, 0))
+    wanted = F.floor(F.sum("c").over(W.partitionBy(*groups)) * train_share)
+    return _cut(placed, counts.select(*groups, F.col("_b").alias("_cut"), "c", upto.alias("upto"), wanted.alias("wanted")), groups, F.col("_b"), [key], ("train", "validation")).drop("_b")
+
+
+def _cut(df: DataFrame, counts: DataFrame, groups: list[str], bucket: Column, order: list[str], labels: tuple[str, str]) -> DataFrame:
+    """Adds ``split``: the first label for the first ``wanted`` rows of a group. counts: one row for each group and bucket."""
+    edge = counts.where("wanted > upto - c and wanted <= upto").select(*[F.col(g).alias(f"_e{i}") for i, g in enumerate(groups)], "_cut", (F.col("wanted") - F.col("upto") + F.col("c")).alias("_rest"))
+    same = F.lit(True)
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_e{i}"))
+    marked = df.join(edge, same, "left")
+    first, second = (F.lit(x) for x in labels)
+    at_edge = bucket.eqNullSafe(F.col("_cut"))
+    clear = marked.where(~at_edge).withColumn("split", F.when(bucket < F.col("_cut"), first).otherwise(second))
+    ranked = marked.where(at_edge).withColumn("_n", F.row_number().over(W.partitionBy(*groups).orderBy(*order)))
+    tied = ranked.withColumn("split", F.when(F.col("_n") <= F.col("_rest"), first).otherwise(second)).drop("_n")
+    return clear.unionByName(tied).select(*df.columns, "split")
 
 
 def shuffled(df: DataFrame, key: str, *, seed: int = 0) -> DataFrame:

@@ -106,39 +106,58 @@ def reachable(edges: DataFrame, seeds: DataFrame, *, max_depth: int = 3, durable
     return seen
 
 
-def shortest_path(edges: DataFrame, source, target, *, max_depth: int = 20) -> DataFrame:
-    """One row (path array) with the fewest hops from source to target, least in order among equals; none if unreachable."""
-    spark = edges.sparkSession
-    e = edges.select(F.col("src").cast("string"), F.col("dst").cast("string")).distinct()
-    return spark.sql(
-        """
-        WITH RECURSIVE walk(node, path, depth) AS (
-          SELECT :source, array(:source), 0
-          UNION ALL
-          SELECT e.dst, concat(w.path, array(e.dst)), w.depth + 1
-          FROM walk w JOIN {e} e ON e.src = w.node
-          WHERE w.depth < :max_depth AND w.node <> :target AND NOT array_contains(w.path, e.dst)
-        )
-        SELECT path FROM walk WHERE node = :target ORDER BY depth, array_join(path, ' ') LIMIT 1
-        """,
-        args={"source": str(source), "target": str(target), "max_depth": max_depth},
-        e=e,
-    )
-
+def shortest_paths(edges: DataFrame, pairs: DataFrame, *, durable=None) -> DataFrame:
+    """(source, target, path) for pairs (source, target) with a way: the path with the fewest hops, the least in order among equals.
 
-def page_rank(nodes: DataFrame, edges: DataFrame, *, rounds: int = 10, damping: float = 0.85, durable=None) -> DataFrame:
-    """(id, rank): power iteration with uniform restart; rank of nodes without links out is spread evenly."""
+    One search runs backwards from each distinct target, a frontier a round, until nothing new is met; then every pair
+    walks forwards, at each node to the least neighbour that is one hop nearer. No path is enumerated.
+    """
+    keep = durable or (lambda df: df)
+    steps = keep(edges.select("src", "dst").distinct())
+    met = keep(pairs.select("target", F.col("target").alias("id"), F.lit(0).alias("hops")).distinct())
+    front, hops = met, 0
+    while not front.isEmpty():
+        hops += 1
+        back = steps.join(front.select("target", F.col("id").alias("dst")), "dst").select("target", F.col("src").alias("id")).distinct()
+        front = keep(back.join(met.select("target", "id"), ["target", "id"], "left_anti").withColumn("hops", F.lit(hops)))
+        met = met.unionByName(front)
+    met = keep(met)
+    walk = keep(pairs.distinct().join(met.withColumnRenamed("id", "source"), ["target", "source"]).select("source", "target", F.col("source").alias("at"), F.array("source").alias("path"), "hops"))
+    arrived = walk.where("hops = 0")
+    going = walk.where("hops > 0")
+    while not going.isEmpty():
+        onward = going.join(steps.withColumnRenamed("src", "at"), "at").join(met.select("target", F.col("id").alias("dst"), F.col("hops").alias("left")), ["target", "dst"])
+        nearest = onward.where(F.col("left") == F.col("hops") - 1).groupBy("source", "target").agg(F.min("dst").alias("to"))
+        walk = keep(going.join(nearest, ["source", "target"]).select("source", "target", F.col("to").alias("at"), F.concat("path", F.array("to")).alias("path"), (F.col("hops") - 1).alias("hops")))
+        arrived, going = arrived.unionByName(walk.where("hops = 0")), walk.where("hops > 0")
+    return arrived.select("source", "target", "path")
+
+
+def shortest_path(edges: DataFrame, source, target, *, durable=None) -> DataFrame:
+    """One row (path, array of strings) from source to target; none if it is unreachable."""
+    kind = edges.schema["src"].dataType
+    pair = edges.sparkSession.range(1).select(F.lit(source).cast(kind).alias("source"), F.lit(target).cast(kind).alias("target"))
+    return shortest_paths(edges, pair, durable=durable).select(F.col("path").cast("array<string>").alias("path"))
+
+
+def page_rank(nodes: DataFrame, edges: DataFrame, *, rounds: int = 50, tolerance: float = 1e-9, damping: float = 0.85, durable=None) -> DataFrame:
+    """(id, rank): power iteration with uniform restart until what nodes receive changes by less than ``tolerance`` in all,
+    ``rounds`` times at most; rank of nodes without links out is spread evenly."""
     keep = durable or (lambda df: df)
     n = nodes.count()
     out = edges.groupBy("src").agg(F.count("*").alias("k"))
     weighted = keep(edges.join(out, "src").select("src", "dst", (1.0 / F.col("k")).alias("w")))
-    ranks = keep(nodes.select("id", F.lit(1.0 / max(n, 1)).alias("rank")))
+    zero = F.lit(0.0)
+    ranks = nodes.select("id", zero.alias("got"), F.lit(1.0 / max(n, 1)).alias("rank"))
     for _ in range(rounds):
-        sent = weighted.join(ranks.withColumnRenamed("id", "src"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("got"))
-        flows = ranks.join(sent, "id", "left").select("id", F.coalesce("got", F.lit(0.0)).alias("got"))
-        lost = flows.agg((1.0 - F.sum("got")).alias("x")).first()["x"] or 0.0
-        ranks = keep(flows.select("id", (F.lit((1 - damping) / max(n, 1)) + damping * (F.col("got") + F.lit(lost / max(n, 1)))).alias("rank")))
-    return ranks
+        sent = weighted.join(ranks.select(F.col("id").alias("src"), "rank"), "src").groupBy(F.col("dst").alias("id")).agg(F.sum(F.col("rank") * F.col("w")).alias("new"))
+        flows = keep(ranks.join(sent, "id", "left").select("id", F.coalesce("new", zero).alias("got"), F.abs(F.coalesce("new", zero) - F.col("got")).alias("moved")))
+        state = flows.agg((1.0 - F.sum("got")).alias("lost"), F.sum("moved").alias("moved")).first()
+        spread = (1 - damping) / max(n, 1) + damping * (state["lost"] or 0.0) / max(n, 1)
+        ranks = flows.select("id", "got", (F.lit(spread) + damping * F.col("got")).alias("rank"))
+        if (state["moved"] or 0.0) < tolerance:
+            break
+    return ranks.select("id", "rank")
 
 
 def label_propagation(nodes: DataFrame, edges: DataFrame, *, rounds: int = 5, durable=None) -> DataFrame:

@@ -7,20 +7,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 
-def as_of_join(left: DataFrame, right: DataFrame, *, on: str, left_time: str, right_time: str, values: list[str]) -> DataFrame:
+def as_of_join(left: DataFrame, right: DataFrame, *, on: str, left_time: str, right_time: str, values: list[str], cut: float = 86_400.0) -> DataFrame:
     """Each left row with the latest right row of its key at or before its time (nulls where there is none).
 
-    Both sides are put into one stream per key and the last right row is carried forward: one shuffle, one sort, no
-    pair of rows is ever made.
+    Both sides are put into one stream for each key and stretch of ``cut`` (seconds of time, or units of a number), and
+    the last right row is carried forward inside it; the last one of earlier stretches comes from a table of one row for
+    each key and stretch. So a hot key is many tasks, and no pair of rows is ever made.
     """
     struct = lambda cols: F.struct(*[F.col(c) for c in cols])
+
+
+    def stretch(df: DataFrame, c: str) -> Column:
+        is_time = df.schema[c].dataType.simpleString().startswith(("timestamp", "date"))
+        return F.floor((F.col(c).cast("timestamp") if is_time else F.col(c)).cast("double") / cut)
+
     lcols = [c for c in left.columns if c != on]
-    a = left.select(F.col(on).alias("_k"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), struct(lcols).alias("_l"))
-    b = right.select(F.col(on).alias("_k"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"), struct([right_time, *values]).alias("_r"))
+    a = left.select(F.col(on).alias("_k"), stretch(left, left_time).alias("_b"), F.col(left_time).alias("_t"), F.lit(1).alias("_side"), struct(lcols).alias("_l"))
+    b = right.select(F.col(on).alias("_k"), stretch(right, right_time).alias("_b"), F.col(right_time).alias("_t"), F.lit(0).alias("_side"), struct([right_time, *values]).alias("_r"))
     both = a.unionByName(b, allowMissingColumns=True)
-    carried = F.last("_r", ignorenulls=True).over(W.partitionBy("_k").orderBy("_t", "_side").rowsBetween(W.unboundedPreceding, 0))
-    out = both.withColumn("_m", carried).where("_side = 1")
-    return out.select(F.col("_k").alias(on), *[F.col("_l")[c].alias(c) for c in lcols], *[F.col("_m")[c].alias(f"matched_{c}") for c in (right_time, *values)])
+    ends = both.groupBy("_k", "_b").agg(F.max_by("_r", F.when(F.col("_side") == 0, F.col("_t"))).alias("_end"))
+    before = F.last("_end", ignorenulls=True).over(W.partitionBy("_k").orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
+    entering = ends.select(F.col("_k").alias("_ek"), F.col("_b").alias("_eb"), before.alias("_before")).where("_before is not null")
+    carried = F.last("_r", ignorenulls=True).over(W.partitionBy("_k", "_b").orderBy("_t", "_side").rowsBetween(W.unboundedPreceding, 0))
+    out = both.withColumn("_m", carried).where("_side = 1").join(entering, (F.col("_k") == F.col("_ek")) & (F.col("_b") == F.col("_eb")), "left")
+    found = out.withColumn("_m", F.coalesce("_m", "_before"))
+    return found.select(F.col("_k").alias(on), *[F.col("_l")[c].alias(c) for c in lcols], *[F.col("_m")[c].alias(f"matched_{c}") for c in (right_time, *values)])
 
 
 def range_join(points: DataFrame, ranges: DataFrame, *, point: str, low: str, high: str, width: float) -> DataFrame:

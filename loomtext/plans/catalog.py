@@ -13,6 +13,7 @@ from loomtext.functions.text import content_id
 from loomtext.operators import aggregate, chunk, classify, evaluate, extract, filters, generate, graph, rank, relational, score, validate, vector
 from loomtext.plans import oracles as O
 from loomtext.sources import web
+from loomtext.sources.scratch import durable
 from loomtext.sources.tables import legal_corpus, load
 from loomtext.streaming import events as stream_events
 
@@ -319,15 +320,18 @@ def precedent_top(spark, sf_dir):
     return graph.precedents(_authority(spark, sf_dir).withColumn("authority", F.round("authority", 9))).select("id", "cites")
 
 
-@query("WITH RECURSIVE w(node, depth) AS (SELECT CAST(500 AS BIGINT), 0 UNION ALL SELECT CAST(floor(node / 2.0) AS BIGINT), depth + 1 FROM w WHERE node > 0 AND depth < 20) SELECT string_agg(CAST(node AS VARCHAR), ' ' ORDER BY depth) AS path FROM w WHERE node >= 0 AND (SELECT max(doc_id) FROM documents) >= 500")
+@query(f"WITH RECURSIVE {_EDGES}, p(source, node, path) AS (SELECT doc_id, doc_id, CAST(doc_id AS VARCHAR) FROM documents WHERE doc_id % 100 = 0 AND doc_id > 0 UNION ALL SELECT p.source, e.dst, concat(p.path, ' ', CAST(e.dst AS VARCHAR)) FROM p JOIN e ON e.src = p.node) SELECT source, path FROM p WHERE node = 0")
 def citation_path(spark, sf_dir):
-    return graph.shortest_path(_edges(spark, sf_dir), 500, 0).select(F.array_join("path", " ").alias("path"))
+    """Shortest citation paths from every hundredth document to document 0."""
+    edges = _edges(spark, sf_dir)
+    sources = load(spark, sf_dir, "documents").where("doc_id % 100 = 0 and doc_id > 0").select(F.col("doc_id").alias("source"), F.lit(0).cast("long").alias("target"))
+    return graph.shortest_paths(edges, sources, durable=durable(spark)).select("source", F.array_join("path", " ").alias("path"))
 
 
 @query("WITH RECURSIVE w(id, depth) AS (SELECT doc_id, 0 FROM documents WHERE doc_id IN (100, 777) UNION ALL SELECT CAST(floor(id / 2.0) AS BIGINT), depth + 1 FROM w WHERE id > 0 AND depth < 3) SELECT id, min(depth) AS depth FROM w GROUP BY id")
 def crawl_within(spark, sf_dir):
     seeds = load(spark, sf_dir, "documents").where(F.col("doc_id").isin(100, 777)).select(F.col("doc_id").alias("id"))
-    return web.crawl(_edges(spark, sf_dir), seeds, max_depth=3)
+    return web.crawl(_edges(spark, sf_dir), seeds, max_depth=3, durable=durable(spark))
 
 
 @query()
@@ -476,7 +480,7 @@ def chat_training_rows(spark, sf_dir):
 
 
 @query("SELECT lang, count(*) AS n, round(avg(length(text)), 3) AS avg_length, min(length(text)) AS min_length, max(length(text)) AS max_length FROM documents GROUP BY lang")
-def dataset_stats(spark, sf_dir):
+def length_statistics(spark, sf_dir):
     return aggregate.length_stats(load(spark, sf_dir, "documents"), ["lang"], F.col("text")).withColumn("avg_length", F.round("avg_length", 3))
 
 

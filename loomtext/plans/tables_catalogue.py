@@ -1,4 +1,4 @@
-"""A catalogue of named datasets under one root: save, load, append, change columns, describe, export, drop."""
+"""A catalogue of named tables under one root: save, load, append, change columns, describe, export, drop."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ from loomtext.sources import sinks
 
 
 class Catalogue:
-    """Every change writes a new version folder and then moves a small pointer record, so readers never see half a dataset."""
+    """Every change writes a new version folder and then moves a small pointer record, so readers never see half a table."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
@@ -37,7 +37,7 @@ class Catalogue:
         return sorted(s.getPath().getName() for s in self._fs.listStatus(top)) if self._fs.exists(top) else []
 
     def listing(self) -> list[dict]:
-        """Datasets, most recently changed first."""
+        """Tables, most recently changed first."""
         rows = [{"name": n, "modified": self._fs.getFileStatus(self._path(self._current(n))).getModificationTime()} for n in self.names() if self._versions(n)]
         return sorted(rows, key=lambda r: (-r["modified"], r["name"]))
 
@@ -76,7 +76,7 @@ class Catalogue:
         self.save(name, df.withColumn(column, F.expr(value) if isinstance(value, str) else value), self.metadata(name))
 
     def add_column(self, name: str, column: str, value: Column | str | list, *, order: str | None = None) -> None:
-        """An expression, or a list as long as the dataset, matched in order of ``order``."""
+        """An expression, or a list as long as the table, matched in order of ``order``."""
         df = self.load(name)
         if column in df.columns:
             raise ValueError(f"{column} exists")

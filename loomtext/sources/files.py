@@ -1,4 +1,4 @@
-"""File sources: paired metadata and text folders, XML, JSON records, mixed trees, and dataset readers."""
+"""File sources: paired metadata and text folders, XML, JSON records, mixed trees, and table readers."""
 
 from __future__ import annotations
 
@@ -75,15 +75,15 @@ def many_paired(spark: SparkSession, roots: list[str], *, least: int = 100, max_
 
 
 def keyed_union(frames: dict[str, DataFrame], *, distinct: bool = True) -> DataFrame:
-    """Several datasets under their keys; a row that two keys share counts once unless ``distinct`` is False."""
+    """Several tables under their keys; a row that two keys share counts once unless ``distinct`` is False."""
     out = None
     for key, df in frames.items():
-        one = df.withColumn("dataset_key", F.lit(key))
+        one = df.withColumn("table_key", F.lit(key))
         out = one if out is None else out.unionByName(one, allowMissingColumns=True)
-    return out.dropDuplicates([c for c in out.columns if c != "dataset_key"]) if distinct else out
+    return out.dropDuplicates([c for c in out.columns if c != "table_key"]) if distinct else out
 
 
-def read_dataset(spark: SparkSession, path: str) -> DataFrame:
+def read_table(spark: SparkSession, path: str) -> DataFrame:
     """By suffix: parquet (or a folder of it), json, csv, orc, xml."""
     suffix = path.rstrip("/").rsplit(".", 1)[-1].lower()
     if suffix == "json":
@@ -94,7 +94,7 @@ def read_dataset(spark: SparkSession, path: str) -> DataFrame:
         return spark.read.orc(path)
     if suffix == "parquet" or "." not in path.rstrip("/").rsplit("/", 1)[-1]:
         return spark.read.parquet(path)
-    raise ValueError(f"unsupported dataset: {path}")
+    raise ValueError(f"unsupported table: {path}")
 
 
 def ingest_tree(spark: SparkSession, root: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Sinks: tables and files for documents, graphs, vectors and datasets; upserts by latest version."""
+"""Sinks: tables and files for documents, graphs, vectors and tables; upserts by latest version."""
 
 from __future__ import annotations
 
@@ -84,7 +84,7 @@ def read_json(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_sidecar(spark: SparkSession, path: str, values: dict) -> None:
-    """A small JSON record beside a dataset."""
+    """A small JSON record beside a table."""
     spark.createDataFrame([(json.dumps(values, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(path)
 
 

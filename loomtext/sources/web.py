@@ -149,10 +149,10 @@ def searches(categories: list[str], terms: list[str], spark: SparkSession) -> Da
     return spark.createDataFrame([(c, t) for c in categories for t in terms], "category string, term string")
 
 
-def crawl(link_pairs: DataFrame, seeds: DataFrame, *, max_depth: int = 3, is_leaf: Column | None = None) -> DataFrame:
+def crawl(link_pairs: DataFrame, seeds: DataFrame, *, max_depth: int = 3, is_leaf: Column | None = None, durable=None) -> DataFrame:
     """Pages within ``max_depth`` links of the seeds; pages that ``is_leaf`` (on column src) are not followed."""
     followed = link_pairs if is_leaf is None else link_pairs.where(~is_leaf)
-    return reachable(followed, seeds, max_depth=max_depth)
+    return reachable(followed, seeds, max_depth=max_depth, durable=durable)
 
 
 def capped_per_court(cases: DataFrame, n: int, *, first_court: str, seq: str = "seq") -> DataFrame:

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.plans.datasets import Catalogue
+from loomtext.plans.tables_catalogue import Catalogue
 from loomtext.plans.steps import Pipeline
 from loomtext.sources import files, sinks, web
 from loomtext.streaming import events
@@ -94,7 +94,7 @@ def test_catalogue(spark, tmp_path):
 def test_export_round_trip(spark, tmp_path, fmt):
     path = str(tmp_path / f"x.{fmt}")
     sinks.export(spark.createDataFrame([(1, "a"), (2, "b")], ["id", "v"]), path, fmt)
-    assert files.read_dataset(spark, path).count() == 2
+    assert files.read_table(spark, path).count() == 2
     with pytest.raises(ValueError):
         sinks.export(spark.range(1), path, "xlsx")
 

@@ -1,10 +1,15 @@
 """Small cases worked out by hand."""
 
 import datetime
+import math
+import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from loomtext.functions import lexicons
+from loomtext.sources.scratch import durable
 from loomtext.operators import aggregate, chunk, classify, evaluate, extract, filters, generate, graph, rank, relational, score, validate, vector
 
 
@@ -104,12 +109,20 @@ def test_graph(spark, tiny_graph):
     assert deg == {1: (1, 2), 2: (1, 1), 3: (1, 1), 4: (1, 0), 6: (0, 0)}
     assert graph.shortest_path(edges, 2, 4).first()["path"] == ["2", "3", "1", "4"]
     assert graph.shortest_path(edges, 4, 1).count() == 0
+    assert graph.shortest_path(edges, 2, 2).first()["path"] == ["2"]
+    # a dense layered graph has many paths; nodes of equal distance, the least first; and more than 20 hops
+    dense = spark.createDataFrame([(10 * i + a, 10 * (i + 1) + b) for i in range(25) for a in range(4) for b in range(4)], "src long, dst long")
+    pairs = spark.createDataFrame([(1, 252), (3, 43), (251, 1)], "source long, target long")
+    found = {(r["source"], r["target"]): r["path"] for r in graph.shortest_paths(dense, pairs, durable=durable(spark)).collect()}
+    assert found == {(1, 252): [1, *range(10, 250, 10), 252], (3, 43): [3, 10, 20, 30, 43]}
     seen = {r["id"]: r["depth"] for r in graph.reachable(edges, spark.createDataFrame([(2,)], "id long"), max_depth=2).collect()}
     assert seen == {2: 0, 3: 1, 1: 2}
     auth = {r["id"]: r for r in graph.authority(nodes, edges, as_of=F.lit("2024-01-01").cast("date")).collect()}
     assert auth[6]["authority"] == pytest.approx(0.4 + 0.15) and auth[3]["negative"] == 1.0
     ranks = [r["rank"] for r in graph.page_rank(nodes, edges, rounds=5).collect()]
     assert sum(ranks) == pytest.approx(1.0)
+    settled = [{r["id"]: r["rank"] for r in graph.page_rank(nodes, edges, rounds=30, tolerance=t, durable=durable(spark)).collect()} for t in (0.02, 0.0)]
+    assert settled[0] == pytest.approx(settled[1], abs=0.05)
     labels = {r["id"]: r["label"] for r in graph.label_propagation(nodes, edges, rounds=3).collect()}
     assert labels[6] == 6
 
@@ -146,6 +159,30 @@ def test_filters(spark):
     assert [r["item"] for r in filters.complete_downloads(files).collect()] == ["a"]
 
 
+def test_statutory_references_of_long_texts(spark):
+    """The same references as the plain pattern gives, and time in proportion to the length."""
+    rng = random.Random(1)
+    bits = ["Act 1988", "act\t1990 ", "Housing", "x", " ", "\n", "5", ".", "the Rent Act 1977", "aAct 1999", "Act Act 20011"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(1, 14))) for _ in range(400)] + ["word " * 100_000 + "Rent Act 1977", "word " * 100_000]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", extract.statutory_references(F.col("t")).alias("r")).collect()
+    for i, refs in got:
+        want = re.findall(lexicons.ACT_REFERENCE, texts[i]) if i < 400 else ["word " * 100_000 + "Rent Act 1977"][: 401 - i]
+        assert refs == sorted(set(want)), texts[i]
+
+
+def test_splits_are_exact(spark):
+    df = spark.range(1003).select("id", F.when(F.col("id") < 400, "a").when(F.col("id") < 1000, "b").alias("g"))
+    for by in (None, ["g"]):
+        sizes = {r["g"]: r["n"] for r in df.groupBy("g").agg(F.count("*").alias("n")).collect()} if by else {None: 1003}
+        tests = chunk.hash_split(df, "id", by=by).where("split = 'test'")
+        assert {r["g"]: r["n"] for r in (tests if by else tests.withColumn("g", F.lit(None).cast("string"))).groupBy("g").agg(F.count("*").alias("n")).collect()} == {g: math.ceil(0.1 * n) for g, n in sizes.items()}
+        train = chunk.ordered_split(df, "id", by=by).where("split = 'train'").collect()
+        assert len(train) == sum(int(0.8 * n) for n in sizes.values())
+    assert {r["id"] for r in chunk.ordered_split(df, "id").where("split = 'train'").collect()} == set(range(802))
+    ties = spark.range(100).select("id", F.lit(7).alias("k"))
+    assert chunk.ordered_split(ties, "k").where("split = 'train'").count() == 80
+
+
 def test_rank_and_set_operations(spark):
     df = spark.createDataFrame([("u", 2, "b"), ("u", 1, "a"), ("w", 5, "c")], ["url", "seq", "v"])
     assert {r["v"] for r in rank.keep_first(df, "url", "seq").collect()} == {"a", "c"}
@@ -161,6 +198,10 @@ def test_joins(spark):
     right = spark.createDataFrame([("a", 0, "x"), ("a", 5, "y"), ("a", 9, "z")], ["k", "t", "v"])
     got = {(r["k"], r["t"]): r["matched_v"] for r in relational.as_of_join(left, right, on="k", left_time="t", right_time="t", values=["v"]).collect()}
     assert got == {("a", 1): "x", ("a", 5): "y", ("b", 1): None}
+    # a cut between the row and its match, and keys that have no match in earlier stretches
+    for cut in (1.0, 2.0, 100.0):
+        got = {(r["k"], r["t"]): r["matched_v"] for r in relational.as_of_join(left, right, on="k", left_time="t", right_time="t", values=["v"], cut=cut).collect()}
+        assert got == {("a", 1): "x", ("a", 5): "y", ("b", 1): None}
     big, small = spark.range(100).withColumn("k", F.lit(1)), spark.createDataFrame([(1, "v")], "k int, v string")
     assert relational.salted_join(big, small, "k").count() == 100
     assert relational.salted_join(big, small, "k", hot=[1]).count() == 100
