@@ -23,6 +23,10 @@ class Anchored:
     hull: np.ndarray  # hash of the bytes that the anchor's strings cover, with low and high
 
 
+#: Bits of a place in a text: texts are under 2 GiB.
+PLACE_BITS = 31
+
+
 class Anchorer:
     def __init__(self, length: int):
         if length < 8:
@@ -40,8 +44,8 @@ class Anchorer:
         prefix = self.cores.prefix(data)
         starts = np.arange(n - self.q + 1)
         grams = self.cores.stretches(prefix, starts, starts + self.q)
-        # the hash's high bits and the place: the least number is the leftmost of the least hashes
-        bits = np.uint64(max(8, int(n).bit_length()))
+        # the hash's high bits and the place: the least number is the leftmost of the least hashes, whatever the text's length
+        bits = np.uint64(PLACE_BITS)
         least = ((grams >> bits) << bits) | starts.astype(np.uint64)
         step = 1
         while step < self.reach:

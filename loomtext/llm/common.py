@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import time
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from loomtext.sources.scratch import Scratch, shared_dir
 from loomtext.sources.tables import load as table
 
 __all__ = ["SPACES", "Scratch", "ascii_lower", "fresh", "let", "shared_dir", "table", "words"]
@@ -50,50 +46,3 @@ def fresh(taken, base: str) -> str:
         n += 1
         name = f"{base}_{n}"
     return name
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is configured."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="loomtext-")
-        spark.sparkContext.setCheckpointDir(base)
-    return base.rstrip("/")
-
-
-class Scratch:
-    """Written intermediate tables of one run: they cut lineage and outlive lost executors.
-
-    Results read from them lazily, so the folder stays until the application ends and is removed then.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark = spark
-        self.root = f"{shared_dir(spark)}/loomtext-{uuid.uuid4().hex}"
-        top, fs = self._open(self.root)
-        fs.mkdirs(top)
-        fs.deleteOnExit(top)
-
-    def _open(self, path: str):
-        top = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return top, top.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name))
-        return self.spark.read.schema(df.schema).parquet(self.path(name))
-
-    def drop(self, name: str) -> None:
-        """Remove a table that no later step reads."""
-        path, fs = self._open(self.path(name))
-        fs.delete(path, True)
-
-    def release(self) -> None:
-        """Let Spark delete shuffle files of finished steps now rather than at some later collection of garbage."""
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)  # the cleaner works in the background

@@ -3,19 +3,24 @@
 Every byte that lies in a string of ``length`` bytes which also starts earlier (smaller id, or same document and
 earlier start) is removed; strings are judged on the input and never cross documents.
 
-1. Initial buckets: suffixes are entered at content-defined anchors only (see ``anchors``), about 1 in 30 bytes,
-   bucketed by the hash of the q-gram there. Each entry also carries a hash of the whole stretch (hull) that its
-   strings cover. Equal hulls in a bucket are copies of the earliest; a bucket of one entry is done.
-2. Refinement: an entry whose hull is new in a bucket with others shares some of its strings or none. Its strings
-   are split by their offset from the anchor into four parts; each part is bucketed by the bytes that all its
-   strings have in common (a longer q-gram, so a later offset's bucket refines the earlier one), with the hull of
-   the part, and so on down to single strings. Updates of one round are the entries of the next; what has become
-   unique, or a copy of the earliest, leaves. With 64 offsets three rounds settle everything.
-
-Buckets are 64-bit hashes with a second hash beside them for every decision (128 bits together). Groups are never
-gathered: bucket sizes and earliest entries are combined sums and minima, the joins back are open to AQE's split of
-hot keys, and equal entries inside a batch are combined before the first shuffle. Texts are shuffled twice (for the
-entries to refine, and for the final cut), and only in documents' order of ids.
+A suffix for every byte would need over 16 bytes of disk for each byte of text, so suffixes are entered in runs: the
+starts of consecutive strings that share an anchor (see ``anchors``) are one entry, about 1 for 30 bytes, which holds
+the anchor's place and the least and greatest distance of its starts before the anchor.
+
+1. Initial buckets: entries are bucketed by the q-gram at the anchor; a bucket's identifier is its place in the sorted
+   table of shared q-grams. An entry alone in its bucket is decided and leaves.
+2. In a bucket, entries whose strings cover equal bytes (equal hulls) are copies of the earliest of them and leave. If
+   a bucket holds one hull only, it is done; else the earliest entry of every hull is undecided.
+3. Refinement: an undecided entry's starts are split into ``PARTS`` parts. Two pointers lead to the initial q-gram
+   buckets at later offsets of these strings, which stand next to the bytes that the bucket has settled already.
+   Sorting on (bucket, part, pointer, pointer) gives the refined buckets and their identifiers, which are the first
+   sort key of the next round: updates are reused recursively, on the undecided entries only. With 64 starts to an
+   entry three rounds settle every single string.
+
+Groups are never gathered: bucket sizes and earliest entries are combined aggregates, the joins back are open to AQE's
+split of hot keys, and equal entries inside a batch are combined before the first shuffle. Texts are shuffled twice
+(for the entries to refine, and for the final cut), and only in documents' order of ids. A decision of equality rests
+on 128 bits of hash or more.
 
 Defined results: null counts as empty; texts shorter than ``length`` lose nothing; rows that share an id are one
 document, so equal places in them are no copies of each other; a null id orders first; an empty table gives an
@@ -105,69 +110,76 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     return docs.join(lists, F.col("d").eqNullSafe(F.col("wd"))).select("d", "t", "ps").mapInArrow(run, f"d {kind}, p long, off int, ctx binary")
 
 
-def _bucketed(entries: DataFrame, key: list[str], hull: str, scratch: Scratch, name: str, stale: str | None = None) -> DataFrame:
-    """Entries that are not alone in their bucket, with ``first`` (earliest of its hull) and ``mixed`` (other hulls there).
+def _refined(entries: DataFrame, key: list[str], scratch: Scratch, step: int, done: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(copies, undecided) of entries (*key, s, hull, d, p, low, high) after one sort on ``key``.
 
-    ``stale`` names a written table that only ``entries`` reads: it is dropped as soon as it has been read, and shuffle
-    files go after each step, so that disk holds one step's data.
+    copies: (d, p, low, high) that equal an earlier entry; undecided: (b, s, d, p), b being the identifier of the new
+    bucket. ``done`` names written tables that nothing reads after this step.
     """
-    sizes = scratch.put(entries.groupBy(*key).agg(F.count("*").alias("k")).where("k > 1").drop("k"), f"{name}-sizes")
-    scratch.release()
-    shared = scratch.put(entries.join(sizes, key), f"{name}-shared")
-    for done in (f"{name}-sizes", stale):
-        if done:
-            scratch.drop(done)
-    scratch.release()
+    sizes = entries.groupBy(*key).agg(F.count("*").alias("k")).where("k > 1")
+    buckets = scratch.put(sizes.orderBy(*key).select(*[F.col(c).alias(f"k_{c}") for c in key], F.monotonically_increasing_id().alias("nb")), f"buckets-{step}")
+    same = [F.col(c) == F.col(f"k_{c}") for c in key]
+    shared = scratch.put(entries.join(buckets, same).select("nb", "s", "hull", "d", "p", "low", "high"), f"shared-{step}")
+    for name in [*done, f"buckets-{step}"]:
+        scratch.drop(name)
     place = F.struct("d", "p")
-    least = shared.groupBy(*key, hull).agg(F.min(place).alias("least"), F.count("*").alias("k")).where("k > 1").drop("k")
-    hulls = shared.groupBy(*key).agg((F.min(hull) != F.max(hull)).alias("mixed"))
-    marked = shared.join(least, [*key, hull], "left").withColumn("first", F.col("least").isNull() | place.eqNullSafe(F.col("least"))).drop("least")
-    out = scratch.put(marked.join(hulls, key), f"{name}-marked")
-    scratch.drop(f"{name}-shared")
-    scratch.release()
-    return out
+    classes = scratch.put(shared.groupBy("nb", "s", "hull").agg(F.min(place).alias("least"), F.count("*").alias("n")), f"classes-{step}")
+    copied = shared.join(classes.where("n > 1").select("nb", "hull", "least"), ["nb", "hull"]).where(~place.eqNullSafe(F.col("least")))
+    copies = scratch.put(copied.select("d", "p", "low", "high"), f"copies-{step}")
+    scratch.drop(f"shared-{step}")
+    mixed = classes.groupBy("nb").agg(F.count("*").alias("k")).where("k > 1").select("nb")
+    undecided = classes.join(mixed, "nb").select(F.col("nb").alias("b"), "s", F.col("least.d").alias("d"), F.col("least.p").alias("p"))
+    return copies, scratch.put(undecided, f"undecided-{step}")
 
 
-def _span(reach: int, length: int, low: Column, high: Column) -> list[Column]:
-    at = F.floor(F.col("p") / (reach * reach))
-    return [F.col("d"), (at - high).cast("int").alias("from"), (at - low + length).cast("int").alias("to")]
+def _pointers(start: Column, width: int, part: int, q: int) -> list[Column]:
+    """Identifiers of the q-gram buckets that take the settled bytes from starts ``start`` .. + width - 1 to .. + part - 1.
+
+    All strings that begin ``o`` bytes before the anchor, o in start .. start + width - 1, share the bytes from
+    -start to q + reach - width - start beside the anchor. Halving the width adds half of it to the left (the upper
+    half of the starts) or to the right of them; a q-gram is long enough to bridge that.
+    """
+    found, half = [], width // 2
+    while half >= part:
+        upper = F.col("s") % (2 * half) >= half  # in the upper half of its interval of starts
+        base = F.col("s") - F.col("s") % half
+        found.append(F.xxhash64(F.lit(half), F.substring("ctx", F.col("off") + F.when(upper, -base).otherwise(start - base - (half - 1)) + 1, F.lit(q))))
+        half //= 2
+    return found
 
 
 def repeated_spans(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
     """(d, spans): for documents with copies, array<struct<from, to>> of byte places that cover what is removed."""
     anchorer = Anchorer(length)
-    reach = anchorer.reach
+    reach, q = anchorer.reach, anchorer.q
     scratch = Scratch(docs.sparkSession)
     named = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t"))
-    entries = scratch.put(_entries(named, length), "entries")
-    low = lambda: (F.floor(F.col("p") / reach) % reach).cast("int")
-    high = lambda: (F.col("p") % reach).cast("int")
-    spans = [scratch.put(entries.where("copy").select(*_span(reach, length, low(), high())), "spans-batch")]
-
-    marked = _bucketed(entries.where("not copy").drop("copy"), ["core"], "hull", scratch, "root", stale="entries")
-    spans.append(marked.where("not first").select(*_span(reach, length, low(), high())))
-    live = scratch.put(_contexts(named, marked.where("first and mixed").select("d", "p"), length).withColumn("s", F.lit(0)), "live-0")
-    scratch.release()
-
-    size, step = reach, 0
-    while size > 1:
-        part, step = max(1, size // PARTS), step + 1
-        split = live.withColumn("lo", low()).withColumn("hi", high())
-        split = split.withColumn("s", F.explode(F.sequence(F.col("s"), F.col("s") + F.lit(size - part), F.lit(part))))
-        split = split.where(f"s <= hi and s + {part - 1} >= lo")
-        split = split.withColumn("lo", F.greatest("lo", "s")).withColumn("hi", F.least("hi", F.col("s") + (part - 1)))
-        # common bytes of the part's valid and invalid offsets alike: places off - s .. off - (s + part - 1) + length
-        common = F.substring("ctx", F.col("off") - F.col("s") + 1, F.lit(length - part + 1))
-        hull = F.substring("ctx", F.col("off") - F.col("hi") + 1, F.col("hi") - F.col("lo") + length)
-        split = split.withColumn("ka", F.xxhash64("s", common)).withColumn("kb", F.xxhash64(F.lit(1), common, "s")).withColumn("hull", F.xxhash64("lo", "hi", hull))
-        marked = _bucketed(split, ["ka", "kb"], "hull", scratch, f"step{step}")
-        spans.append(marked.where("not first").select(*_span(reach, length, F.col("lo"), F.col("hi"))))
-        live = marked.where("first and mixed").select("d", "p", "off", "ctx", "s")
-        size = part
-    every = spans[0]
-    for more in spans[1:]:
+    low, high = (F.floor(F.col("p") / reach) % reach).cast("int"), (F.col("p") % reach).cast("int")
+    entries = scratch.put(_entries(named, length), "entries").withColumn("low", low).withColumn("high", high)
+    copies = [scratch.put(entries.where("copy").select("d", "p", "low", "high"), "copies-batch")]
+
+    own = entries.where("not copy").withColumn("s", F.lit(0))
+    copied, undecided = _refined(own, ["core"], scratch, 0, ["entries"])
+    copies.append(copied)
+    contexts = scratch.put(_contexts(named, undecided, length), "contexts").select(F.col("d").alias("cd"), F.col("p").alias("cp"), "off", "ctx")
+    width, step = reach, 0
+    while width > 1:
+        part, step = max(1, width // PARTS), step + 1
+        live = undecided.join(contexts, F.col("d").eqNullSafe(F.col("cd")) & (F.col("p") == F.col("cp"))).withColumn("low", low).withColumn("high", high)
+        split = live.withColumn("s", F.explode(F.sequence(F.col("s"), F.col("s") + F.lit(width - part), F.lit(part)))).where(f"s <= high and s + {part - 1} >= low")
+        split = split.withColumn("low", F.greatest("low", "s")).withColumn("high", F.least("high", F.col("s") + (part - 1)))
+        pointers = _pointers(F.lit(length - q), width, part, q)
+        hull = F.xxhash64("low", "high", F.substring("ctx", F.col("off") - F.col("high") + 1, F.col("high") - F.col("low") + length))
+        keyed = split.select("b", "s", *[x.alias(f"pointer{i}") for i, x in enumerate(pointers)], hull.alias("hull"), "d", "p", "low", "high")
+        copied, undecided = _refined(keyed, ["b", "s", *[f"pointer{i}" for i in range(len(pointers))]], scratch, step, [f"undecided-{step - 1}"])
+        copies.append(copied)
+        width = part
+    every = copies[0]
+    for more in copies[1:]:
         every = every.unionByName(more)
-    return every.groupBy("d").agg(F.collect_set(F.struct("from", "to")).alias("spans"))
+    at = F.floor(F.col("p") / (reach * reach))
+    span = F.struct((at - F.col("high")).cast("int").alias("from"), (at - F.col("low") + length).cast("int").alias("to"))
+    return every.groupBy("d").agg(F.collect_set(span).alias("spans"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
