@@ -2,7 +2,8 @@
 
 Host and path are cut from the URL; the longest fitting rule decides. A URL without a rule goes to a
 logistic regression on hashed character n-grams of host and path. Its small labelled URL table is a
-bounded sample (``max_training_urls``, by hash order of the URL) of URLs that a rule decides. Training is
+bounded sample of URLs that a rule decides: of each class at most half of ``max_training_urls``, the first by a
+hash of the URL, so that a rare class is learned as well as a frequent one. Training is
 full-batch gradient descent inside one SQL expression over that bounded table; the weights (``buckets``
 numbers) reach the scoring projection as a scalar subquery, so no join and no Python touch the URLs.
 
@@ -75,18 +76,16 @@ def fit(
 ) -> DataFrame:
     """One row, one column ``model``: struct(w array<double>, b double).
 
-    ``labelled`` has host, path and blocked (0/1); ``max_training_urls`` bounds what is used. Each example is
-    scaled to unit length and both classes weigh the same. Posting lists (bucket -> examples) make an epoch
+    ``labelled`` has host, path and blocked (0/1); ``max_training_urls`` bounds what is used, half of it for each
+    class. Each example is scaled to unit length and both classes weigh the same. Posting lists (bucket -> examples) make an epoch
     linear in the number of grams.
     """
     scratch = Scratch(labelled.sparkSession)
     grams = gram_buckets(F.col("host"), F.col("path"), n=n, buckets=buckets)
-    sample = (
-        labelled.distinct()
-        .orderBy(F.xxhash64("host", "path"), "host", "path", "blocked")
-        .limit(max_training_urls)
-        .select("host", "path", grams.alias("g"), F.col("blocked").cast("double").alias("y"))
-    )
+    order = [F.xxhash64("host", "path"), "host", "path"]
+    known = labelled.distinct()
+    allowed, blocked = (known.where(F.col("blocked") == v).orderBy(*order).limit(max_training_urls // 2) for v in (0, 1))
+    sample = allowed.unionByName(blocked).select("host", "path", grams.alias("g"), F.col("blocked").cast("double").alias("y"))
     # at most max_training_urls rows from here on
     numbered = scratch.put(
         sample.coalesce(1).select(
