@@ -3,7 +3,7 @@
 A document's set is its distinct word shingles. Two small collections of minhash tuples are computed, ``tuples``
 left and ``tuples`` right ones of ``width`` hashes; every (left, right) pair forms a table key, so tuples^2 keys
 cost 2 * tuples * width minhashes. At similarity s a pair shares a key with probability
-(1 - (1 - s^width)^tuples)^2: 0.99993 at 0.85 and 0.9999966 at 0.9 for the defaults.
+(1 - (1 - s^width)^tuples)^2. By default the tuples are as few as give 0.9999 at the threshold: 8 for 0.85, 10 for 0.8.
 
 Work stays linear in the size of a group of copies:
 1. Equal sets are one class, stood for by its smallest id.
@@ -38,6 +38,10 @@ from .common import Scratch, fresh
 from .components import components
 
 
+#: Classes of one shingle that meet a seeking class in one task.
+SLOT = 64
+
+
 class Shingler:
     def __init__(self, size: int):
         self.size, self.hash = size, RollingHash(71)
@@ -59,6 +63,14 @@ def _factors(n: int) -> np.ndarray:
     return np.random.default_rng(1009).integers(0, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
+def tuples_for(similarity: float, width: int, *, recall: float = 0.9999) -> int:
+    """The fewest tuples on each side with which a pair of that similarity shares a table key with probability ``recall``."""
+    tuples = 1
+    while (1 - (1 - similarity**width) ** tuples) ** 2 < recall:
+        tuples += 1
+    return tuples
+
+
 def minhash_tuples(shingles: np.ndarray, tuples: int, width: int, factors: np.ndarray) -> np.ndarray:
     """2 * tuples numbers: the left collection, then the right one; each stands for ``width`` minhashes."""
     mins = np.empty(len(factors), dtype=np.uint64)
@@ -135,14 +147,22 @@ def _across(open_ids: DataFrame, sets: DataFrame, roots: DataFrame, scratch: Scr
         "prefixes",
     )
     shares = prefix.groupBy("x", "c").agg(F.count("*").alias("k"))
-    largest = shares.groupBy("x").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts")).where("parts > 1").select("x", F.col("top")["c"].alias("main"))
-    mixed = prefix.join(largest, "x")
-    seek = mixed.where("c <> main").select("x", F.col("d").alias("u"), F.col("c").alias("cu"), F.col("n").alias("nu"), F.col("at").alias("pu"))
-    hold = mixed.select("x", F.col("d").alias("v"), F.col("c").alias("cv"), F.col("n").alias("nv"), F.col("at").alias("pv"))
+    largest = shares.groupBy("x").agg(F.max(F.struct("k", "c")).alias("top"), F.count("*").alias("parts"), F.sum("k").alias("k")).where("parts > 1")
+    # a shingle of many classes is dealt out: who holds it by a hash of the class, who seeks it to each of these parts
+    slots = F.ceil(F.col("k") / SLOT).cast("int")
+    # written, so that the join below is of two plain shuffles, whose hot keys AQE can split
+    largest = scratch.put(largest.select("x", F.col("top")["c"].alias("main"), slots.alias("slots")), "shared_shingles")
+    mixed = scratch.put(prefix.join(largest, "x"), "mixed")
+    seek = mixed.where("c <> main").select(
+        "x", F.explode(F.sequence(F.lit(0), F.col("slots") - 1)).alias("slot"), F.col("d").alias("u"), F.col("c").alias("cu"), F.col("n").alias("nu"), F.col("at").alias("pu")
+    )
+    hold = mixed.select(
+        "x", F.pmod(F.xxhash64("d"), F.col("slots")).cast("int").alias("slot"), F.col("d").alias("v"), F.col("c").alias("cv"), F.col("n").alias("nv"), F.col("at").alias("pv")
+    )
     # if x is the first common shingle, no more can be common than the fewer of those that follow it
     rest = F.least(F.col("nu") - F.col("pu"), F.col("nv") - F.col("pv"))
     near = rest * (100 + percent) >= (F.col("nu") + F.col("nv")) * percent
-    met = seek.join(hold, "x").where((F.col("cu") != F.col("cv")) & near)
+    met = seek.join(hold, ["x", "slot"]).where((F.col("cu") != F.col("cv")) & near)
     return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
 
 
@@ -153,11 +173,12 @@ def group(
     text_col: str = "text",
     shingle: int = 5,
     percent: int = 80,
-    tuples: int = 8,
+    tuples: int | None = None,
     width: int = 2,
-    broadcast_ids: int = 500_000,
+    broadcast_ids: int = 100_000,
 ) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row."""
+    tuples = tuples or tuples_for(percent / 100, width)
     scratch = Scratch(docs.sparkSession)
     sigs = scratch.put(signatures(docs, id_col=id_col, text_col=text_col, shingle=shingle, tuples=tuples, width=width), "signatures")
     full = sigs.where("n > 0 and d is not null")
@@ -203,5 +224,5 @@ def keep_first(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFra
     key = fresh(docs.columns, "_gone")
     gone = group(docs, id_col=id_col, **options).where("not kept").select(F.col(id_col).alias(key)).distinct()
     gone = Scratch(docs.sparkSession).put(gone, "gone")
-    few = gone.limit(1_000_001).count() <= 1_000_000
+    few = gone.limit(100_001).count() <= 100_000
     return docs.join(F.broadcast(gone) if few else gone, F.col(id_col) == F.col(key), "left_anti")
