@@ -1,17 +1,21 @@
 """Benchmark decontamination by template canonicalisation (native).
 
-Numbers, units and names become typed placeholders; the rest is lower case without punctuation. A capitalised
+Numbers, units and names become typed placeholders; the rest is lower case without punctuation. Numbers are digits or
+number words, and a run of number words ("one hundred") is one number. A capitalised
 word that begins the text or a sentence, or follows a quote, bracket or other mark, may be a name or not: there are
-two templates, a narrow one in which it is a plain word and a wide one in which it is a name.
+two templates, a narrow one in which it is a plain word and a wide one in which it is a name. A third one, plain, has no
+names at all, so that a copy in lower case, whose names cannot be told, is found by the words themselves.
 Windows of ``window`` template words are hash-joined with those of the benchmark. A (document, item) pair whose
-windows matched by either template are at least ``min_share`` of the item's distinct windows is a candidate (a pair
+windows matched by any template are at least ``min_share`` of the item's distinct windows is a candidate (a pair
 that passes by the narrow template alone is judged and counted by that alone). For candidates the
 words behind the placeholders are compared: within one alignment, each value of the item must stand for one
 value of the document. A pair is reported if at least ``min_consistent`` of its slot values do, so questions
-with other numbers or names are caught and chance matches of placeholders are not.
+with other numbers or names are caught and chance matches of placeholders are not. A copy in lower case with other
+names than the item's is not caught.
 
 The benchmark's windows are written to the shared folder and counted: up to ``broadcast_windows`` they are
-broadcast and documents are not shuffled, beyond that it is an ordinary join. The same holds for candidates.
+broadcast and documents are not shuffled, beyond that it is an ordinary join. Candidates with their items' texts are
+broadcast up to ``broadcast_bytes``, as counted from the written table.
 
 Defined results: null or empty text, and an item without words, match nothing; a text or item with fewer words
 than ``window`` has one window, its whole sequence; repeated rows and rows that share an id count as one
@@ -33,6 +37,12 @@ UNITS = (
     "metres", "gram", "grams", "litre", "litres", "liter", "liters", "dollar", "dollars", "cent", "cents", "euro",
     "euros", "percent", "degrees", "mph", "kmh", "kw", "kwh", "hz",
 )
+#: Words that are numbers (fixed list).
+NUMBERS = (
+    "zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve", "thirteen",
+    "fourteen", "fifteen", "sixteen", "seventeen", "eighteen", "nineteen", "twenty", "thirty", "forty", "fifty", "sixty",
+    "seventy", "eighty", "ninety", "hundred", "thousand", "million", "billion",
+)
 #: Marks a capitalised word that follows a letter, digit or comma: a name.
 MARK = "\x01"
 NAME_PATTERN = r"(?<=[\p{L}\p{N},;][ \t-\r])(?=\p{Lu}\p{Ll})"
@@ -41,41 +51,49 @@ START = "\x02"
 START_PATTERN = r"(?<![\p{L}\p{N}\x01])(?=\p{Lu}\p{Ll})"
 PUNCTUATION = r"[^\p{L}\p{N}\x01\x02]+"
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
+#: What a word is.
+LITERAL, IS_NUMBER, IS_UNIT, IS_NAME, MAY_BE_NAME = range(5)
+#: The kinds that are names, by template.
+NARROW, WIDE, PLAIN = (IS_NAME,), (IS_NAME, MAY_BE_NAME), ()
 
 
 def raw_words(text: Column) -> Column:
-    """Lower-case words without punctuation; a name begins with ``MARK``, or ``START`` if it may be none; decimal marks inside numbers are dropped."""
+    """array<struct<w, k>>: lower-case words without punctuation and their kinds; decimal marks inside numbers are dropped."""
     names = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), MARK + START, "  "), NAME_PATTERN, MARK)
     marked = F.regexp_replace(names, START_PATTERN, START)
     numbers = F.when(marked.rlike("[0-9][.,][0-9]"), F.regexp_replace(marked, "(?<=[0-9])[.,](?=[0-9])", "")).otherwise(marked)
-    return F.filter(F.split(F.lower(numbers), PUNCTUATION, -1), lambda w: (w != "") & (w != MARK))
-
-
-def _first(w: Column) -> Column:
-    return F.substring(w, 1, 1)
 
+    def kind(first: Column, w: Column) -> Column:
+        plain = F.when(w.isin(*NUMBERS), IS_NUMBER)
+        return (
+            F.when(first == MARK, plain.otherwise(IS_NAME))
+            .when(first == START, plain.when(w.isin(*UNITS), IS_UNIT).otherwise(MAY_BE_NAME))
+            .when(first.between("0", "9"), IS_NUMBER)
+            .otherwise(plain.when(w.isin(*UNITS), IS_UNIT).otherwise(LITERAL))
+        )
 
-def _plain(w: Column) -> Column:
-    """The word without a ``START``."""
-    return F.when(_first(w) == START, F.substring(w, 2, 2**30)).otherwise(w)
+    def typed(token: Column) -> Column:
+        first = F.substring(token, 1, 1)
+        bare = F.when(first.isin(MARK, START), F.substring(token, 2, 2**30)).otherwise(token)
+        return let(F.struct(first.alias("f"), bare.alias("w")), lambda x: F.struct(x["w"].alias("w"), kind(x["f"], x["w"]).alias("k")))
 
+    def one_number(each: Column) -> Column:
+        digits = lambda x: F.substring(x["w"], 1, 1).between("0", "9")
+        follows = lambda i: F.get(each, i - 1)["k"].eqNullSafe(IS_NUMBER)
+        return F.filter(each, lambda x, i: (x["k"] != IS_NUMBER) | digits(x) | ~follows(i))
 
-def template(raw: Column, *, wide: bool = False) -> Column:
-    """Typed placeholders for the raw words that have a type; words with a ``START`` are names if ``wide``."""
-    is_number = lambda w: F.coalesce((_first(w) >= "0") & (_first(w) <= "9"), F.lit(False))
+    tokens = F.split(F.lower(numbers), PUNCTUATION, -1)
+    return let(F.filter(F.transform(tokens, typed), lambda x: x["w"] != ""), one_number)
 
-    def typed(w: Column) -> Column:
-        start = F.when(_plain(w).isin(*UNITS), UNIT).otherwise(NAME if wide else _plain(w))
-        return F.when(_first(w) == MARK, NAME).when(_first(w) == START, start).when(is_number(w), NUMBER).when(w.isin(*UNITS), UNIT).otherwise(w)
 
-    return F.transform(raw, typed)
+def template(raw: Column, names: tuple[int, ...]) -> Column:
+    """Typed placeholders for the words that have a type; ``names`` are the kinds that count as names."""
 
+    def placed(x: Column) -> Column:
+        out = F.when(x["k"] == LITERAL, x["w"]).when(x["k"] == IS_NUMBER, NUMBER).when(x["k"] == IS_UNIT, UNIT)
+        return out.when(x["k"].isin(*names), NAME).otherwise(x["w"]) if names else out.otherwise(x["w"])
 
-def slot_words(raw: Column) -> Column:
-    """The words as slots hold them: every name begins with ``MARK``."""
-    return F.transform(
-        raw, lambda w: F.when(_first(w) == START, F.when(_plain(w).isin(*UNITS), _plain(w)).otherwise(F.concat(F.lit(MARK), _plain(w)))).otherwise(w)
-    )
+    return F.transform(raw, placed)
 
 
 def window_hashes(t: Column, window: int) -> Column:
@@ -90,21 +108,19 @@ def window_hashes(t: Column, window: int) -> Column:
 
 
 def all_windows(raw: Column, window: int) -> Column:
-    """array<struct<h, key, p, wide>>: windows of the narrow template in order, then those of the wide one that differ.
-
-    ``key`` is the hash by the narrow template of the window at place ``p``.
+    """array<struct<h, key, p, t>>: windows of the narrow template (t = 0) in order, then those of the wide (1) and the
+    plain one (2) that differ. ``key`` is the hash by the narrow template of the window at place ``p``.
     """
 
-    def listed(narrow: Column, other: Column) -> Column:
-        one = lambda h, p, wide: F.struct(h.alias("h"), F.get(narrow, p).alias("key"), p.alias("p"), F.lit(wide).alias("wide"))
-        return F.concat(
-            F.transform(narrow, lambda h, p: one(h, p, False)), F.filter(F.transform(other, lambda h, p: one(h, p, True)), lambda x: x["h"] != x["key"])
-        )
+    def listed(narrow: Column, *others: Column) -> Column:
+        one = lambda h, p, t: F.struct(h.alias("h"), F.get(narrow, p).alias("key"), p.alias("p"), F.lit(t).alias("t"))
+        differ = lambda other, t: F.filter(F.transform(other, lambda h, p: one(h, p, t)), lambda x: x["h"] != x["key"])
+        return F.concat(F.transform(narrow, lambda h, p: one(h, p, 0)), *[differ(x, t) for t, x in enumerate(others, 1)])
 
-    def hashed(wide: bool) -> Column:
-        return let(template(raw, wide=wide), lambda t: window_hashes(t, window))
+    def hashed(names: tuple[int, ...]) -> Column:
+        return let(template(raw, names), lambda t: window_hashes(t, window))
 
-    return let(hashed(False), lambda narrow: let(hashed(True), lambda other: listed(narrow, other)))
+    return let(hashed(NARROW), lambda narrow: let(hashed(WIDE), lambda wide: let(hashed(PLAIN), lambda plain: listed(narrow, wide, plain))))
 
 
 def find_leaks(
@@ -118,14 +134,15 @@ def find_leaks(
     window: int = 5,
     min_share: float = 0.8,
     min_consistent: float = 0.8,
-    broadcast_windows: int = 1_000_000,
+    broadcast_windows: int = 500_000,
+    broadcast_bytes: int = 32 << 20,
 ) -> DataFrame:
     """(id, item id, n_windows, n_matched, n_slots, n_consistent): one row for each contaminated pair."""
     scratch = Scratch(docs.sparkSession)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
     windows = scratch.put(
         items.select("item", F.explode(let(raw_words(F.col("item_text")), lambda raw: all_windows(raw, window))).alias("w"))
-        .select("item", "w.h", "w.key", F.col("w.wide").alias("item_wide"))
+        .select("item", "w.h", "w.key", (F.col("w.t") > 0).alias("item_wide"))
         .distinct(),
         "windows",
     )
@@ -135,7 +152,7 @@ def find_leaks(
     texts = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t"))
     hits = (
         texts.select("d", F.explode(let(raw_words(F.col("t")), lambda raw: all_windows(raw, window))).alias("w"))
-        .select("d", "w.h", "w.wide")
+        .select("d", "w.h", (F.col("w.t") > 0).alias("wide"))
         .join(small(windows), "h")
         .groupBy("d", "item", "key")
         .agg(F.min(F.col("wide") | F.col("item_wide")).alias("wide"))
@@ -144,10 +161,11 @@ def find_leaks(
     )
     least_matched = F.ceil(F.col("n_windows") * min_share - 1e-9)
     pairs = scratch.put(hits.join(small(sizes), "item").where(F.col("n_matched") >= least_matched), "candidates")
-    some = pairs.limit(broadcast_windows + 1).count() <= broadcast_windows
     # the slots behind the windows of the candidates
     wanted = pairs.select(F.col("d").alias("pd"), "item").join(items.withColumnRenamed("item", "i2"), F.col("item").eqNullSafe(F.col("i2"))).select("pd", "item", "item_text")
-    both = texts.join(F.broadcast(wanted) if some else wanted, F.col("d").eqNullSafe(F.col("pd")))
+    wanted = scratch.put(wanted, "candidate_items")
+    weight = wanted.agg(F.sum(F.octet_length("item_text") + 64)).first()[0] or 0
+    both = texts.join(F.broadcast(wanted) if weight <= broadcast_bytes else wanted, F.col("d").eqNullSafe(F.col("pd")))
     slots = both.select("d", "item", _slots(F.col("t"), F.col("item_text"), window).alias("s")).select("d", "item", F.explode("s").alias("s"))
     values = slots.select("d", "item", "s.*").groupBy("d", "item", "shift", "theirs", "ours").agg(F.min("wide").alias("wide"))
     values = values.groupBy("d", "item", "shift", "theirs").agg(F.count_if(~F.col("wide")).alias("narrow"), F.count("*").alias("n"))
@@ -176,22 +194,18 @@ def _slots(text: Column, item_text: Column, window: int) -> Column:
     pairs only.
     """
 
-    def compare(raw: Column, narrow: Column, wide: Column, ours: Column, theirs: Column, iw: Column, ih: Column) -> Column:
+    def compare(iraw: Column, iw: Column, ih: Column, raw: Column, *templates: Column) -> Column:
         def at(x: Column) -> Column:
+            def slot(f: Column, k: Column) -> Column:
+                placed = F.when(x["t"] == 0, F.get(templates[0], x["p"] + k)).when(x["t"] == 1, F.get(templates[1], x["p"] + k)).otherwise(F.get(templates[2], x["p"] + k))
+                return F.struct(
+                    (x["p"] - f["p"]).alias("shift"), F.get(iraw, f["p"] + k)["w"].alias("theirs"), F.get(raw, x["p"] + k)["w"].alias("ours"),
+                    ((x["t"] > 0) | (f["t"] > 0)).alias("wide"), placed.alias("kind"),
+                )
+
             found = F.get(iw, F.array_position(ih, x["h"]).cast("int") - 1)
-            return let(
-                found,
-                lambda f: F.filter(
-                    F.transform(
-                        F.sequence(F.lit(0), F.lit(window - 1)),
-                        lambda k: F.struct(
-                            (x["p"] - f["p"]).alias("shift"), F.get(theirs, f["p"] + k).alias("theirs"), F.get(ours, x["p"] + k).alias("ours"),
-                            (x["wide"] | f["wide"]).alias("wide"), F.when(x["wide"], F.get(wide, x["p"] + k)).otherwise(F.get(narrow, x["p"] + k)).alias("kind"),
-                        ),
-                    ),
-                    lambda s: s["kind"].isin(NUMBER, UNIT, NAME) & s["theirs"].isNotNull(),
-                ),
-            )
+            each = F.sequence(F.lit(0), F.lit(window - 1))
+            return let(found, lambda f: F.filter(F.transform(each, lambda k: slot(f, k)), lambda s: s["kind"].isin(NUMBER, UNIT, NAME) & s["theirs"].isNotNull()))
 
         hit = F.filter(all_windows(raw, window), lambda x: F.array_contains(ih, x["h"]))
         found = F.flatten(F.transform(hit, at))
@@ -200,24 +214,21 @@ def _slots(text: Column, item_text: Column, window: int) -> Column:
     def bind(values: list, body, *done: Column) -> Column:
         return let(values[0](*done), lambda v: bind(values[1:], body, *done, v)) if values else body(*done)
 
-    return let(
-        raw_words(item_text),
-        lambda iraw: bind(
-            [
-                lambda: raw_words(text),
-                lambda raw: template(raw),
-                lambda raw, *_: template(raw, wide=True),
-                lambda raw, *_: slot_words(raw),
-                lambda *_: slot_words(iraw),
-                lambda *_: all_windows(iraw, window),
-                lambda *done: F.transform(done[-1], lambda x: x["h"]),
-            ],
-            compare,
-        ),
+    return bind(
+        [
+            lambda: raw_words(item_text),
+            lambda iraw: all_windows(iraw, window),
+            lambda _, iw: F.transform(iw, lambda x: x["h"]),
+            lambda *_: raw_words(text),
+            lambda *done: template(done[3], NARROW),
+            lambda *done: template(done[3], WIDE),
+            lambda *done: template(done[3], PLAIN),
+        ],
+        compare,
     )
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", broadcast_ids: int = 1_000_000, **options) -> DataFrame:
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", broadcast_ids: int = 100_000, **options) -> DataFrame:
     """The documents that contain no benchmark item, in the input's columns."""
     leaks = find_leaks(docs, benchmark, id_col=id_col, **options)
     key = fresh(docs.columns, "_leak")
