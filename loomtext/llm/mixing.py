@@ -4,9 +4,10 @@ Sizes are summed per source, targets are shared out by weight with a ceiling of
 the source, and each document is emitted floor(rate) times plus one more time with probability equal
 to the rate's fraction, decided by a seeded hash of its id: reruns and retries agree.
 
-The only shuffle is the per-source sum, combined before it is sent. The per-source table (one row per
-source) is written to the shared folder and counted; up to ``broadcast_sources`` rows it is broadcast,
-beyond that the join is an ordinary one, which AQE can split for a hot source.
+Documents are not shuffled: their sizes are summed per source, combined before they are sent. The table of sources
+is sorted and summed over all tasks, however many sources there are; it is written to the shared folder and counted;
+up to ``broadcast_sources`` rows it is broadcast, beyond that the join is an ordinary one, which AQE can split for a
+hot source.
 
 Defined results: null text has size 0; a null source is a source of its own, last in order; sources
 without words get target 0 and no copies; repeated rows share their id's decision; a null id is decided
@@ -30,37 +31,46 @@ def uniform(key: Column, seed: str) -> Column:
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def numbered(sizes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Adds ``n``, the place of a source in order of code points, null last, from 0.
+
+    Sources are sorted by range over all tasks; places count up inside a range, from the sum of the ranges before.
+    """
+    dealt = scratch.put(sizes.orderBy(F.col("source").asc_nulls_last()).withColumn("part", F.spark_partition_id()), "ordered")
+    counts = dealt.groupBy("part").agg(F.count("*").alias("k"))
+    before = counts.select("part", (F.sum("k").over(W.orderBy("part")) - F.col("k")).alias("before"))  # a row for each range
+    place = F.row_number().over(W.partitionBy("part").orderBy(F.col("source").asc_nulls_last())) - 1
+    return dealt.withColumn("place", place).join(before, "part").select("source", "source_size", (F.col("place") + F.col("before")).alias("n"))
+
+
 def source_targets(sizes: DataFrame, *, weights=(1, 2, 3), max_repeat: int = 3) -> DataFrame:
     """From (source, source_size): weight, target and rate per source.
 
-    Targets rise with weight until they meet ``max_repeat`` times the source; what is cut off is
-    shared among the rest by weight. Ordered by ceiling over weight, the capped sources are a prefix,
-    so one running sum finds the fixed point without iteration.
+    Targets rise with weight until they meet ``max_repeat`` times the source; what is cut off is shared among the rest
+    by weight. The share for a unit of weight is found by sharing out again until no further source is capped: every
+    round is one combined sum over the sources, and as the sum of targets is concave in that share, rounds are few.
     """
-    order = W.orderBy(F.col("source").asc_nulls_last())
+    scratch = Scratch(sizes.sparkSession)
     cycle = F.array(*[F.lit(w) for w in weights])
-    ranked = sizes.withColumn(
-        "weight", F.get(cycle, ((F.row_number().over(order) - 1) % len(weights)).cast("int")).cast(WIDE)
-    ).withColumn("s", F.col("source_size").cast(WIDE))
-    everyone = W.orderBy(F.lit(1)).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    run = W.orderBy(F.col("s").cast("double") / F.col("weight").cast("double"), F.col("source").asc_nulls_last()).rowsBetween(
-        W.unboundedPreceding, W.currentRow
+    weighed = numbered(sizes, scratch).select("source", "source_size", F.get(cycle, (F.col("n") % len(weights)).cast("int")).alias("weight"))
+    table = scratch.put(weighed, "weighed")
+    w, s = F.col("weight").cast("double"), F.col("source_size").cast("double")
+    total = lambda x, on: F.sum(F.when(on, x.cast(WIDE)).otherwise(F.lit(0).cast(WIDE))).cast("double")
+    num, den, n_capped = 0.0, 1.0, -1
+    capped = F.lit(False)
+    while True:
+        state = table.agg(
+            F.count_if(capped).alias("n"), total(F.col("source_size"), F.lit(True)).alias("all_s"), total(F.col("source_size"), capped).alias("cut_s"),
+            total(F.col("weight"), F.lit(True)).alias("all_w"), total(F.col("weight"), capped).alias("cut_w"),
+        ).first()
+        if state["n"] == n_capped or not state["all_w"] or state["all_w"] == state["cut_w"]:
+            break
+        n_capped, num, den = state["n"], state["all_s"] - max_repeat * state["cut_s"], state["all_w"] - state["cut_w"]
+        capped = capped | (w * num > max_repeat * s * den)
+    target = F.when(capped | (s == 0), max_repeat * s).otherwise(F.least(w * num / den, max_repeat * s))
+    return table.withColumn("target", target).select(
+        "source", "source_size", "weight", "target", F.when(s > 0, F.least(F.col("target") / s, F.lit(float(max_repeat)))).otherwise(0.0).alias("rate")
     )
-    summed = ranked.select(
-        "source", "source_size", "weight", "s",
-        F.sum("s").over(everyone).cast("double").alias("all_s"), F.sum("weight").over(everyone).cast("double").alias("all_w"),
-        (F.sum("s").over(run).cast("double") - F.col("s").cast("double")).alias("before_s"), (F.sum("weight").over(run).cast("double") - F.col("weight").cast("double")).alias("before_w"),
-    )
-    w, s = F.col("weight").cast("double"), F.col("s").cast("double")
-    capped = (F.col("all_s") - max_repeat * F.col("before_s")) * w > max_repeat * s * (F.col("all_w") - F.col("before_w"))
-    flagged = summed.withColumn("capped", capped)
-    gone = lambda x: F.sum(F.when(F.col("capped"), x).otherwise(0.0)).over(everyone)
-    shared = flagged.withColumn("num", F.col("all_s") - max_repeat * gone(s)).withColumn("den", F.col("all_w") - gone(w))
-    target = F.when(F.col("capped") | (s == 0), max_repeat * s).otherwise(F.least(w * F.col("num") / F.col("den"), max_repeat * s))
-    return shared.withColumn("target", target).select(
-        "source", "source_size", F.col("weight").cast("int").alias("weight"), "target",
-        F.when(s > 0, F.least(F.col("target") / s, F.lit(float(max_repeat)))).otherwise(0.0).alias("rate"),
-    )
 
 
 def plan_mix(
