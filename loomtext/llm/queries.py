@@ -72,14 +72,22 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Counts every document once, commits the inserts in four batches, and commits one of them again."""
+    """Totals after a history of all documents: loaded in four batches, one of them sent twice; documents in other languages
+    than English counted anew by the multilingual vocabulary; and documents that are labelled toxic taken out."""
     docs = table(spark, sf_dir, "documents")
     scratch = Scratch(spark)
-    counted = scratch.put(token_counts.count_tokens(docs, version="byte_bpe_50k"), "counted")
     ledger = token_counts.Ledger(spark, scratch.path("ledger"))
+    counted = scratch.put(token_counts.count_tokens(docs, version="byte_bpe_50k"), "counted")
     for n in (0, 1, 2, 3, 0):
         part = counted.where(F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4, F.lit(0)) == n)
         ledger.commit(f"load-{n}", token_counts.inserts(part))
+    foreign = F.col("lang").isNotNull() & (F.col("lang") != "en")
+    anew = scratch.put(token_counts.count_tokens(docs.where(foreign), version="byte_bpe_multi_50k", ranks_path=token_counts.MULTI_RANKS), "anew")
+    ledger.commit("multilingual", token_counts.revisions(counted.where(foreign), anew))
+    ledger.compact()
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    now = counted.where(~foreign).unionByName(anew)
+    ledger.commit("toxic", token_counts.deletes(now.join(toxic, "doc_id", "left_semi")))
     return ledger.totals()
 
 

@@ -1,10 +1,11 @@
 """Token counts as delta-maintained rollups.
 
 Every change to the corpus is a signed delta: an insert adds (documents, tokens) to its (source, language,
-tokenizer version), a delete takes them away, a revision does both. A batch of changes is summed per key and
-committed once under its batch id: it is written beside the ledger and renamed into place, so a retried,
-repeated or half-written batch never counts twice. Totals are the sum over committed batches, which is
-additive and small: keys times batches. Sums are combined before each shuffle, so hot keys cost nothing.
+tokenizer version), a delete takes them away, a revision does both. A batch of changes is summed per key, written to a
+folder of its own, and committed under its batch id by a small record that names this folder. A record is moved into
+place only where there is none, so a retried, repeated or half-written batch never counts twice, and of two writers of
+one batch the later one is told so. Totals are the sum over committed batches; ``compact`` sums them into one table
+that stands for them. Sums are combined before each shuffle, so hot keys cost nothing.
 
 Defined results: null text has 0 tokens; null source or language is a key of its own; totals of a key whose
 documents are all gone are dropped; several rows with one id count each; an empty batch commits and adds
@@ -14,13 +15,17 @@ nothing; a ledger without batches has no rows; extra columns are ignored.
 from __future__ import annotations
 
 import base64
+import json
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+MULTI_RANKS = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 #: The public pre-tokenisation pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 KEYS = ["source", "lang", "tokenizer_version"]
@@ -87,41 +92,88 @@ def revisions(before: DataFrame, after: DataFrame) -> DataFrame:
 
 
 class Ledger:
-    """Committed batches of summed deltas under one folder of a Hadoop file system."""
+    """Committed batches of summed deltas under one folder of a Hadoop file system.
+
+    ``data`` has a folder for each write, ``committed`` a record for each batch, ``compacted`` one for each compaction.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
         self._path = jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self._fs = self._path(self.root).getFileSystem(conf)
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.root).toUri(), conf)
+        self._no_options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+
+    def _record(self, folder: str, name: str, content: str) -> bool:
+        """Move a record into place; False, and nothing changes, if there is one."""
+        final, staged = self._path(f"{self.root}/{folder}/{name}"), self._path(f"{self.root}/staged/{uuid.uuid4().hex}")
+        self._fs.mkdirs(final.getParent())
+        stream = self._fs.create(staged, False)
+        stream.write(bytearray(content.encode()))
+        stream.close()
+        try:
+            self._context.rename(staged, final, self._no_options)
+        except Py4JJavaError as e:
+            if not self._fs.exists(final):
+                raise
+            if "FileAlreadyExists" not in str(e.java_exception):
+                raise
+            self._fs.delete(staged, False)
+            return False
+        return True
 
-    def _batch(self, batch_id: str) -> str:
-        if not batch_id or not all(c.isalnum() or c in "-_." for c in batch_id) or batch_id.startswith((".", "_")):
-            raise ValueError(f"unusable batch id {batch_id!r}")
-        return f"{self.root}/committed/batch_id={batch_id}"
+    def _records(self, folder: str) -> dict[str, str]:
+        top = self._path(f"{self.root}/{folder}")
+        if not self._fs.exists(top) or not len(self._fs.listStatus(top)):
+            return {}
+        rows = self.spark.read.text(f"{self.root}/{folder}", wholetext=True).select(F.input_file_name(), "value").collect()
+        return {name.rsplit("/", 1)[1]: value for name, value in rows}
+
+    def _write(self, deltas: DataFrame) -> str:
+        summed = deltas.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
+        name = uuid.uuid4().hex
+        summed.write.parquet(f"{self.root}/data/{name}")
+        return name
 
     def committed(self) -> list[str]:
-        top = self._path(f"{self.root}/committed")
-        if not self._fs.exists(top):
-            return []
-        return sorted(s.getPath().getName().removeprefix("batch_id=") for s in self._fs.listStatus(top))
+        return sorted(self._records("committed"))
 
     def commit(self, batch_id: str, deltas: DataFrame) -> bool:
         """Sum and commit a batch; False, and nothing changes, if the id is committed already."""
-        final = self._batch(batch_id)
-        if self._fs.exists(self._path(final)):
+        if not batch_id or not all(c.isalnum() or c in "-_." for c in batch_id) or batch_id.startswith((".", "_")):
+            raise ValueError(f"unusable batch id {batch_id!r}")
+        if self._fs.exists(self._path(f"{self.root}/committed/{batch_id}")):
             return False
-        staged = f"{self.root}/staged/{batch_id}"
-        summed = deltas.groupBy(*KEYS).agg(F.sum("d_docs").alias("d_docs"), F.sum("d_tokens").alias("d_tokens"))
-        summed.write.mode("overwrite").parquet(staged)
-        self._fs.mkdirs(self._path(f"{self.root}/committed"))
-        # a rename that loses a race leaves the first commit in place
-        return bool(not self._fs.exists(self._path(final)) and self._fs.rename(self._path(staged), self._path(final)))
+        name = self._write(deltas)
+        if self._record("committed", batch_id, name):
+            return True
+        self._fs.delete(self._path(f"{self.root}/data/{name}"), True)
+        return False
+
+    def _live(self, batches: dict[str, str], compactions: dict[str, str]) -> list[str]:
+        """Data folders that count: the last compaction's and those of batches that it does not cover."""
+        base = json.loads(compactions[max(compactions)]) if compactions else {"data": None, "covers": []}
+        covered = set(base["covers"])
+        rest = [data for batch, data in sorted(batches.items()) if batch not in covered]
+        return ([base["data"]] if base["data"] else []) + rest
+
+    def _deltas(self, names: list[str]) -> DataFrame:
+        schema = "source string, lang string, tokenizer_version string, d_docs long, d_tokens long"
+        paths = [f"{self.root}/data/{n}" for n in names]
+        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+
+    def compact(self) -> bool:
+        """Sum what is committed into one table; False if another compaction came first or there is nothing to do."""
+        compactions, batches = self._records("compacted"), self._records("committed")
+        live = self._live(batches, compactions)
+        if len(live) < 2:
+            return False
+        name = self._write(self._deltas(live))
+        return self._record("compacted", f"{len(compactions):012d}", json.dumps({"data": name, "covers": sorted(batches)}))
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer_version, n_docs, n_tokens over all committed batches."""
-        schema = "source string, lang string, tokenizer_version string, d_docs long, d_tokens long"
-        paths = [self._batch(b) for b in self.committed()]
-        deltas = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-        sums = deltas.groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
+        compactions, batches = self._records("compacted"), self._records("committed")  # a later batch is in neither
+        sums = self._deltas(self._live(batches, compactions)).groupBy(*KEYS).agg(F.sum("d_docs").alias("n_docs"), F.sum("d_tokens").alias("n_tokens"))
         return sums.where("n_docs <> 0 or n_tokens <> 0")

@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -65,7 +66,7 @@ def brute_word(word, probs):
     if not word:
         return 1.0
     total = 0.0
-    for n in range(1, min(language_id.MAX_PIECE, len(word)) + 1):
+    for n in range(1, len(word) + 1):
         p = probs.get(word[:n], 0.0)
         if n == 1:
             p = max(p, language_id.FLOOR)
@@ -84,6 +85,42 @@ def test_forward_sums_all_segmentations():
             assert math.isclose(got[i, k], math.log(brute_word(w, {p: probs[j, k] for j, p in enumerate(pieces)})), rel_tol=1e-9)
 
 
+def plain_log(word, probs):
+    """log of the sum over all segmentations, by exact fractions."""
+    alpha = [Fraction(1)]
+    for t in range(1, len(word) + 1):
+        alpha.append(sum(alpha[t - n] * Fraction(max(probs.get(word[t - n : t], 0.0), language_id.FLOOR if n == 1 else 0.0)) for n in range(1, t + 1)))
+    return math.log(alpha[-1].numerator) - math.log(alpha[-1].denominator)
+
+
+def test_long_words_lose_no_segmentation():
+    """Words over the length that needs no rescaling, pieces of many letters, and letters that no piece has."""
+    rng = random.Random(3)
+    pieces = sorted({"a", "b", "ab", "abba", "abababababab", "babababababababababa", "bb", "b" * 25})
+    probs = np.random.default_rng(2).random((len(pieces) + 1, 2)) / 50
+    probs[-1] = 0
+    ws = ["ab" * 20, "".join(rng.choice("ab") for _ in range(90)), "b" * 64, "x" * 40, "abx" * 120]
+    got = language_id.log_likelihoods(ws, language_id.Pieces(pieces), probs)
+    for i, w in enumerate(ws):
+        for k in (0, 1):
+            assert math.isclose(got[i, k], plain_log(w, {p: probs[j, k] for j, p in enumerate(pieces)}), rel_tol=1e-9)
+    uses = language_id.expected_counts(ws[:2], np.array([1.0, 2.0]), language_id.Pieces(pieces), probs[:, :1])
+    assert math.isclose(sum(u * len(p) for u, p in zip(uses, pieces)), 40 + 2 * 90)
+
+
+def test_words_are_letters():
+    assert language_id.text_words("½ ² ³ ① Ⅷ 123 _") == []
+    assert language_id.text_words("Straße x²y naïve_日本語") == ["straße", "x", "y", "naïve", "日本語"]
+    model = language_id.em({"de": Counter(DE.split()), "en": Counter(EN.split())}, list("abcdefghijklmnopqrstuvwxyz"))
+    assert language_id.Scorer(model).score(["½ ² ³", "①"])[0] == ["und", "und"]
+
+
+def test_ties_go_to_the_first_language():
+    same = Counter(EN.split())
+    model = language_id.em({"b": same, "a": same, "c": same}, sorted(set("".join(EN.split()))))
+    assert language_id.Scorer(model).score([EN])[0] == ["a"]
+
+
 def test_expected_counts_add_up():
     pieces = language_id.Pieces(["a", "b", "ab"])
     probs = np.array([[0.4], [0.3], [0.3], [0.0]])
@@ -113,6 +150,16 @@ def test_language_held_out(spark):
     got = {r["doc_id"]: r for r in language_id.identify(df, model).collect()}
     assert all(got[i]["lang_pred"] == ("en" if i % 2 else "de") for i in range(60))
     assert got[100]["lang_pred"] == got[101]["lang_pred"] == "und" and got[None]["lang_pred"] == "en" and got[2**53 + 1]["lang_pred"] == "de"
+    # the same sums in one process and over Spark; repeated rows are judged alike
+    words = {k: Counter() for k in ("de", "en")}
+    for r in rows:
+        if r[0] is not None and r[0] % 3 and r[2]:
+            words[r[2]].update(language_id.text_words(r[1]))
+    assert np.allclose(language_id.em(words, model.pieces).probs, model.probs)
+    clash = df.unionByName(df).withColumn("lang_pred", F.lit("clash"))
+    again = language_id.identify(clash, model)
+    assert again.columns == ["doc_id", "lang_pred", "score"] and again.count() == 2 * len(rows)
+    assert {(r["doc_id"], r["lang_pred"]) for r in again.collect()} == {(k, r["lang_pred"]) for k, r in got.items()}
     nothing = language_id.learn(df.limit(0))
     assert {r["lang_pred"] for r in language_id.identify(df, nothing).collect()} == {"und"}
     assert language_id.identify(df.limit(0), model).count() == 0
@@ -141,10 +188,26 @@ def test_ledger(spark, tmp_path):
     assert ledger.commit("2", token_counts.deletes(make(b)))
     assert ledger.commit("3", token_counts.revisions(make(a), make((1, "s", "fr", "v2", 12))))
     assert ledger.commit("4", token_counts.inserts(make()))
-    # a batch that was staged but never committed does not count
-    token_counts.inserts(make(a)).write.parquet(str(tmp_path / "ledger/staged/9"))
+    # a batch that was written but never committed does not count
+    token_counts.inserts(make(a)).write.parquet(str(tmp_path / "ledger/data/stray"))
     got = {tuple(r) for r in ledger.totals().collect()}
     assert got == {("s", None, "v1", 1, 7), ("s", "fr", "v2", 1, 12)}
     assert ledger.committed() == ["1", "2", "3", "4"]
     with pytest.raises(ValueError):
         ledger.commit("../x", token_counts.inserts(make(a)))
+    # a compaction changes no total, and what it covers stays committed
+    assert ledger.compact() and not ledger.compact()
+    assert {tuple(r) for r in ledger.totals().collect()} == got and not ledger.commit("2", token_counts.inserts(make(a)))
+    assert ledger.commit("5", token_counts.deletes(make((1, "s", "fr", "v2", 12)))) and ledger.compact()
+    assert {tuple(r) for r in ledger.totals().collect()} == {("s", None, "v1", 1, 7)}
+
+
+def test_ledger_race(spark, tmp_path):
+    """Of two writers of a batch the later one is told so, and its numbers do not count."""
+    schema = "doc_id long, source string, lang string, tokenizer_version string, n_tokens long"
+    rows = token_counts.inserts(spark.createDataFrame([(1, "s", "en", "v1", 10)], schema))
+    ledger, other = (token_counts.Ledger(spark, str(tmp_path / "ledger")) for _ in range(2))
+    write = ledger._write
+    ledger._write = lambda deltas: (other.commit("b", rows), write(deltas))[1]  # the other one comes in between
+    assert not ledger.commit("b", rows)
+    assert [tuple(r) for r in ledger.totals().collect()] == [("s", "en", "v1", 1, 10)]
