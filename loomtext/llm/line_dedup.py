@@ -82,7 +82,8 @@ def _ranked(pairs: DataFrame, scratch: Scratch, level: int) -> DataFrame:
 
 def suffix_ranks(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[DataFrame]]:
     """(d, u, doc) for documents with shared lines, ``doc`` in their order; and by level the ranks of undecided suffixes."""
-    keys = lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b")
+    # written, so that the join is of two plain shuffles, whose hot lines AQE can split
+    keys = scratch.put(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "line-ids")
     shared = scratch.put(lines.join(keys, ["a", "b"]), "shared")
     order = scratch.put(shared.select("d", "u").distinct().orderBy("d", "u").withColumn("doc", F.monotonically_increasing_id()), "order")
     of = order.select(F.col("d").alias("od"), F.col("u").alias("ou"), "doc")

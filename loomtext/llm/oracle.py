@@ -50,3 +50,37 @@ r(id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.id, w.v FROM
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.root AS component_id, m.root = d.doc_id AS kept
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN (SELECT id, min(root) AS root FROM r GROUP BY id) m ON m.id = d.doc_id
 """
+
+#: A run is an island of equal lines on one diagonal of two places; every run of three words is removed.
+LINES = rf"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+u AS (SELECT doc_id, unnest(ls) AS x, generate_subscripts(ls, 1) AS pos FROM d),
+a AS (SELECT doc_id, pos, x, len(regexp_extract_all(x, '{WORD}')) AS w FROM u),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n, sum(w) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM a WHERE w > 0),
+q AS (SELECT a.doc_id AS d, a.n AS i, b.doc_id AS e, b.n AS k FROM l a JOIN l b ON a.x = b.x AND (b.doc_id < a.doc_id OR (b.doc_id = a.doc_id AND b.n < a.n))),
+g AS (SELECT d, e, i, i - k AS diagonal, i - row_number() OVER (PARTITION BY d, e, i - k ORDER BY i) AS island FROM q),
+r AS (SELECT DISTINCT d, f, t FROM (SELECT d, min(i) AS f, max(i) AS t FROM g GROUP BY d, e, diagonal, island)),
+o AS (SELECT r.* FROM r JOIN l x ON x.doc_id = r.d AND x.n = r.f JOIN l y ON y.doc_id = r.d AND y.n = r.t WHERE y.upto - x.upto + x.w >= 3),
+m AS (SELECT d, count(*) AS runs FROM o WHERE NOT EXISTS (SELECT 1 FROM o p WHERE p.d = o.d AND p.f <= o.f AND p.t >= o.t AND (p.f < o.f OR p.t > o.t)) GROUP BY d),
+z AS (SELECT DISTINCT d, unnest(range(f, t + 1)) AS n FROM o),
+y AS (SELECT l.doc_id, l.pos FROM l JOIN z ON z.d = l.doc_id AND z.n = l.n),
+c AS (SELECT a.doc_id, count(CASE WHEN a.w > 0 THEN 1 END) AS n_lines, count(y.pos) AS n_removed, string_agg(CASE WHEN y.pos IS NULL THEN a.x END, chr(10) ORDER BY a.pos) AS kept FROM a LEFT JOIN y ON y.doc_id = a.doc_id AND y.pos = a.pos GROUP BY a.doc_id)
+SELECT d.doc_id, CAST(coalesce(n_lines, 0) AS BIGINT) AS n_lines, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(runs, 0) AS BIGINT) AS n_runs, md5(coalesce(kept, '')) AS kept_md5
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id LEFT JOIN m ON m.d = d.doc_id
+"""
+
+#: Bytes are handled as pairs of hexadecimal digits.
+SUBSTRINGS = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+s AS (SELECT doc_id, h, unnest(range(0, CAST(len(h) / 2 AS BIGINT) - 99)) AS i FROM d),
+k AS (SELECT doc_id, i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), 200)) AS x FROM s),
+f AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY x ORDER BY doc_id, i) AS r FROM k) WHERE r > 1),
+b AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END AS opens FROM f),
+g AS (SELECT doc_id, i, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS span FROM b),
+p AS (SELECT doc_id, min(i) AS a, max(i) + 100 AS z FROM g GROUP BY doc_id, span),
+o AS (SELECT doc_id, a, z, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM p),
+c AS (SELECT o.doc_id, sum(z - a) AS removed, count(*) AS spans, max(z) AS last, string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS kept FROM o JOIN d ON d.doc_id = o.doc_id GROUP BY o.doc_id)
+SELECT d.doc_id, CAST(len(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN c.doc_id IS NULL THEN h ELSE concat(kept, substr(h, CAST(2 * last + 1 AS BIGINT))) END)) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id
+"""

@@ -111,4 +111,10 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
 }
 
-ORACLES: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op3_quality_rules": oracle.QUALITY, "op7_near_dedup": oracle.NEAR}
+ORACLES: dict[str, str] = {
+    "op1_mix_sources": oracle.MIX,
+    "op3_quality_rules": oracle.QUALITY,
+    "op5_line_dedup": oracle.LINES,
+    "op7_near_dedup": oracle.NEAR,
+    "op10_substring_dedup": oracle.SUBSTRINGS,
+}

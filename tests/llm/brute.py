@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import re
+import unicodedata
 
 SPACE = " \t\n\x0b\x0c\r"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -118,3 +120,104 @@ def substring_dedup(docs, length):
         spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
         out[doc] = (len(data), len(data) - len(kept), spans, hashlib.sha256(kept).hexdigest())
     return out
+
+
+UNIT_WORDS = set(
+    "mm cm m km mg g kg ml l s sec min h hr hrs inch inches ft feet yard yards mile miles lb lbs oz pound pounds second seconds minute minutes hour hours "
+    "day days week weeks month months year years meter meters metre metres gram grams litre litres liter liters dollar dollars cent cents euro euros percent degrees mph kmh kw kwh hz".split()
+)
+NUMBER_WORDS = set(
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
+)
+
+
+def typed_words(text):
+    """(word, kind) by a walk over the characters: kinds are number, unit, name, start (a name or not) and word."""
+    text = (text or "").replace("\x01", " ").replace("\x02", " ")
+    alnum = lambda c: unicodedata.category(c)[0] in "LN"
+    out, i, n = [], 0, len(text)
+    while i < n:
+        if not alnum(text[i]):
+            i += 1
+            continue
+        j = i
+        while j < n and (alnum(text[j]) or (text[j] in ".," and text[j - 1] in "0123456789" and j + 1 < n and text[j + 1] in "0123456789")):
+            j += 1
+        word = text[i:j].lower() if text[i] not in "0123456789" else text[i:j].lower()
+        word = "".join(c for k, c in enumerate(word) if c not in ".,")
+        capital = j - i >= 2 and unicodedata.category(text[i]) == "Lu" and unicodedata.category(text[i + 1]) == "Ll"
+        inside = i >= 2 and text[i - 1] in " \t\n\x0b\x0c\r" and (alnum(text[i - 2]) or text[i - 2] in ",;")
+        if word in NUMBER_WORDS or (not capital and word[0] in "0123456789"):
+            kind = "number"
+        elif capital and inside:
+            kind = "name"
+        elif word in UNIT_WORDS:
+            kind = "unit"
+        else:
+            kind = "start" if capital else "word"
+        if not (kind == "number" and word[0] not in "0123456789" and out and out[-1][1] == "number"):
+            out.append((word, kind))
+        i = j
+    return out
+
+
+def template_windows(ws, window):
+    """[(template window, narrow window there, place, number of the template)]: narrow ones, then others that differ."""
+    lists = []
+    for names in ({"name"}, {"name", "start"}, set()):
+        t = [f"<{k}>" if k in ("number", "unit") else "<name>" if k in names else w for w, k in ws]
+        lists.append([tuple(t[p : p + window]) for p in range(len(t) - window + 1)] if len(t) >= window else [("short", *t)] if t else [])
+    return [(h, lists[0][p], p, n) for n, one in enumerate(lists) for p, h in enumerate(one) if n == 0 or h != lists[0][p]]
+
+
+def leaks(docs, items, window=5, share=0.8, consistent=0.8):
+    """{(doc, item): (n_windows, n_matched, n_slots, n_consistent)} of rows (id, text)."""
+    found = {}
+    for item, item_text in items:
+        iws = typed_words(item_text)
+        iw = template_windows(iws, window)
+        first = {}
+        for x in iw:
+            first.setdefault(x[0], x)
+        n_windows = len({x[1] for x in iw})
+        least = math.ceil(n_windows * share - 1e-9)
+        for doc, text in docs:
+            ws = typed_words(text)
+            hits = [x for x in template_windows(ws, window) if x[0] in first]
+            keys = collections.defaultdict(lambda: True)
+            for h, _, _, n in hits:
+                for ih, key, _, m in iw:
+                    if ih == h:
+                        keys[key] &= n > 0 or m > 0
+            if not n_windows or len(keys) < least:
+                continue
+            pairs = collections.defaultdict(lambda: collections.defaultdict(lambda: True))
+            for h, _, p, n in hits:
+                _, _, q, m = first[h]
+                for k in range(window):
+                    if q + k < len(iws) and p + k < len(ws):
+                        names = ({"name"}, {"name", "start"}, set())[n]
+                        if ws[p + k][1] in {"number", "unit"} | names:
+                            pairs[(p - q, iws[q + k][0])][ws[p + k][0]] &= n > 0 or m > 0
+            for narrow in (True, False):
+                matched = sum(not wide for wide in keys.values()) if narrow else len(keys)
+                values = [sum(not wide for wide in v.values()) if narrow else len(v) for v in pairs.values()]
+                slots, good = sum(v > 0 for v in values), sum(v == 1 for v in values)
+                if matched >= least and good >= math.ceil(slots * consistent - 1e-9):
+                    found[(doc, item)] = (n_windows, matched, slots, good)
+                    break
+    return found
+
+
+def ranker_features(text, odd_marks):
+    text = text or ""
+    w = words(text)
+    n, solid = max(len(w), 1), max(sum(map(len, w)), 1)
+    lines = [x for x in text.split("\n") if x.strip(SPACE)]
+    share = lambda pattern: len(re.findall(pattern, text)) / solid
+    distinct = len(set(w)) / n
+    return [
+        math.log1p(len(w)), solid / n, share("[A-Z]"), share(odd_marks), share("!"), share("[|]"), share("[.,;:]"), share("[0-9]"), distinct,
+        math.log(distinct + 0.01), (len(lines) - len(set(lines))) / max(len(lines), 1), sum(a == b for a, b in zip(w, w[1:])) / n, float(len(w) < 20),
+    ]

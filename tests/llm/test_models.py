@@ -211,3 +211,28 @@ def test_ledger_race(spark, tmp_path):
     ledger._write = lambda deltas: (other.commit("b", rows), write(deltas))[1]  # the other one comes in between
     assert not ledger.commit("b", rows)
     assert [tuple(r) for r in ledger.totals().collect()] == [("s", "en", "v1", 1, 10)]
+
+
+def test_ranker_features_as_by_hand(spark, docs, rows):
+    from brute import ranker_features
+
+    got = {r["doc_id"]: r["f"] for r in docs.select("doc_id", quality_ranker.features(F.col("text")).alias("f")).collect()}
+    for doc, text, *_ in rows:
+        assert got[doc] == pytest.approx(ranker_features(text, quality_ranker.ODD_MARKS), rel=1e-12), doc
+
+
+def test_ranker_scores_as_by_hand(labelled):
+    """Scores from plain features and the fitted numbers; repeated rows score alike."""
+    from brute import ranker_features
+
+    docs, labels = labelled
+    ranker = quality_ranker.learn(docs, labels)
+    got = quality_ranker.score(docs.unionByName(docs).withColumn("predicted", F.lit("clash")), ranker).collect()
+    seen = {}
+    for r in got:
+        assert seen.setdefault(r["doc_id"], r["score"]) == r["score"]
+    assert len(got) == 2 * docs.count()
+    for r in docs.collect():
+        f = ranker_features(r["text"], quality_ranker.ODD_MARKS)
+        z = sum((x - m) / s * w for x, m, s, w in zip(f, ranker.mean, ranker.scale, ranker.weights)) - ranker.threshold
+        assert seen[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)

@@ -1,6 +1,7 @@
 """Mixing, URL filter, quality rules and decontamination."""
 
 import math
+import random
 import re
 
 import brute
@@ -163,3 +164,69 @@ def test_leaks_with_other_names_at_sentence_starts(spark):
     other = [(1, "Cid saw Dora. Ewan met Fay. Gus likes Hal. Ian thanks Jo. Kim helps Leo. Max calls Ned. Oz hugs Pam."), (2, mixed[0][1].replace("Ann", "Gus").replace("Bob", "Hal"))]
     got = decontaminate.find_leaks(spark.createDataFrame(other, df.schema), spark.createDataFrame(mixed, bench.schema)).collect()
     assert [r["doc_id"] for r in got] == [2]
+
+
+def _leak_rows(df):
+    return {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_matched"], r["n_slots"], r["n_consistent"]) for r in df.collect()}
+
+
+def test_leaks_as_by_hand(spark, docs, rows):
+    """All counts as a plain version gives them, on re-worded questions and on odd texts."""
+    rng = random.Random(12)
+    names, units = ["Alice", "Bob", "Carol", "Dan", "Éva", "Ottó"], ["miles", "km", "hours", "apples", "pears"]
+    items = []
+    for i in range(12):
+        ws = [rng.choice([*names, *units, str(rng.randrange(200)), "1,200.5", "two hundred", "Seven", "the", "of", "gives", "how", "many", "does", "he", "get."]) for _ in range(rng.randrange(3, 25))]
+        items.append((i, " ".join(ws) + rng.choice([".", "?", ""])))
+    texts = [(r[0], r[1]) for r in rows if r[1] is None or len(r[1]) < 4000]
+    for n, (_, t) in enumerate(items * 4):
+        swap = {a: rng.choice(names) for a in names} if n % 2 else dict(zip(names, rng.sample(names, len(names))))
+        t = " ".join(swap.get(w, str(rng.randrange(99)) if w.isdigit() else w) for w in t.split(" "))
+        t = [t, t.lower(), f"Well, {t} and more.", f"({t})", t.replace("two hundred", "three thousand")][n % 5]
+        texts.append((1000 + n, t))
+    df = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([*items, (50, None), (51, ""), (52, "tiny item")], "item_id long, text string")
+    want = brute.leaks(texts, items + [(52, "tiny item")])
+    assert len(want) > 30
+    assert _leak_rows(decontaminate.find_leaks(df, bench)) == want
+    assert _leak_rows(decontaminate.find_leaks(df, bench, broadcast_windows=0, broadcast_bytes=0)) == want
+
+
+def test_leaks_that_are_written_otherwise(spark):
+    item = "Alice drove one hundred miles in three hours with her friend Bob. How many miles did Alice drive in one hour?"
+    docs = [
+        (1, item.lower()), (2, "Alice drove two hundred miles in four hours with her friend Bob. How many miles did Alice drive in one hour?"),
+        (3, "Carol drove 250 km in 4 hours with her friend Dan. How many km did Carol drive in one hour?"), (4, "It was late. alice drove two hundred miles in four hours with her friend bob. how many miles did alice drive in one hour?"),
+        (5, "Alice drove home with her friend. How many hours did it take?"),
+    ]
+    df = spark.createDataFrame([*docs, *docs[:2], (None, item)], "doc_id long, text string")
+    got = decontaminate.find_leaks(df, spark.createDataFrame([(1, item)], "item_id long, text string"))
+    assert {r["doc_id"] for r in got.collect()} == {1, 2, 3, 4, None} and got.count() == 5
+
+
+def test_url_training_keeps_a_rare_class(spark):
+    urls = [f"http://h{i}.com/page{i}" for i in range(3000)] + [f"http://x{i}.net/es/{i}" for i in range(5)] + [f"http://x{i}.net/es" for i in range(5)] + [f"http://h{i}.org/page{i}" for i in range(20)]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: r for r in url_filter.judge_urls(df, URL_RULES).collect()}
+    assert all(got[i]["verdict"] == "block" for i in range(3000, 3010))
+    assert sum(got[i]["verdict"] == "allow" for i in range(3010, 3030)) >= 18
+
+
+def test_url_model_is_logistic_regression(spark):
+    """The weights are those of plain gradient descent on the same grams."""
+    import numpy as np
+
+    rows = [(f"{w}{i}.org", f"/{p}/{i}", int(w == "bad")) for i, (w, p) in enumerate([("bad", "win"), ("good", "read"), ("good", "win")] * 30)]
+    df = spark.createDataFrame(rows, "host string, path string, blocked int")
+    model = url_filter.fit(df, buckets=128, epochs=25, max_training_urls=1000).first()["model"]
+    data = df.select("blocked", url_filter.gram_buckets(F.col("host"), F.col("path"), n=3, buckets=128).alias("g")).collect()
+    x = np.zeros((len(data), 128))
+    for i, r in enumerate(data):
+        x[i, r["g"]] = 1 / math.sqrt(len(r["g"]))
+    y = np.array([r["blocked"] for r in data], dtype=float)
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    w, b = np.zeros(128), 0.0
+    for _ in range(25):
+        e = (y - 1 / (1 + np.exp(-(x @ w + b)))) * weight
+        w, b = w * (1 - 4.0 * 1e-4) + 4.0 * x.T @ e, b + 4.0 * e.sum()
+    assert np.allclose(model["w"], w) and math.isclose(model["b"], b, abs_tol=1e-9)
