@@ -378,3 +378,33 @@ PHASES = (
     ("phase_3_expertise", 4096, "advanced"),
     ("phase_4_adversarial", 4096, "adversarial"),
 )
+
+# --- acquisition (fixed values) -------------------------------------------------------------------------------
+CASE_DATABASES = (
+    "/ew/cases/EWCA/Civ/", "/ew/cases/EWCA/Crim/", "/ew/cases/EWHC/Admin/", "/ew/cases/EWHC/Admlty/", "/ew/cases/EWHC/Ch/",
+    "/ew/cases/EWHC/Comm/", "/ew/cases/EWHC/Costs/", "/ew/cases/EWHC/Exch/", "/ew/cases/EWHC/Fam/", "/ew/cases/EWHC/Mercantile/",
+    "/ew/cases/EWHC/Patents/", "/ew/cases/EWHC/KB/", "/ew/cases/EWHC/QB/", "/ew/cases/EWHC/TCC/", "/ew/cases/EWPCC/",
+    "/ew/cases/EWHC/IPEC/", "/ew/cases/EWCOP/", "/ew/cases/EWFC/", "/ew/cases/EWFC/HCJ/", "/ew/cases/EWFC/OJ/",
+    "/ew/cases/EWMC/FPC/",
+    "/uk/cases/UKPC/", "/uk/cases/UKHL/", "/uk/cases/UKSC/", "/uk/cases/UKUT/AAC/", "/uk/cases/UKUT/TCC/", "/uk/cases/UKUT/IAC/",
+    "/uk/cases/UKUT/LC/", "/uk/cases/UKFTT/GRC/", "/uk/cases/UKFTT/HESC/", "/uk/cases/UKFTT/PC/", "/uk/cases/UKFTT/TC/",
+    "/uk/cases/CAT/", "/uk/cases/DRS/", "/uk/cases/SIAC/", "/uk/cases/UKEAT/", "/uk/cases/UKET/", "/uk/cases/UKFSM/",
+    "/uk/cases/UKIAT/", "/uk/cases/UKAITUR/", "/uk/cases/UKIT/", "/uk/cases/UKSPC/", "/uk/cases/UKSSCSC/",
+)
+#: Acts and instruments that housing work starts from: type, year, number.
+HOUSING_ACTS_BY_NUMBER = (
+    ("ukpga", 1985, 68), ("ukpga", 1988, 50), ("ukpga", 1996, 52), ("ukpga", 2004, 34),
+    ("ukpga", 1977, 42), ("ukpga", 1965, 75),
+    ("ukpga", 1985, 70), ("ukpga", 1987, 31), ("ukpga", 1954, 56),
+    ("ukpga", 1967, 88), ("ukpga", 1993, 28), ("ukpga", 2002, 15),
+    ("ukpga", 2016, 22), ("ukpga", 2019, 4), ("ukpga", 2017, 13),
+    ("ukpga", 1977, 43), ("ukpga", 1972, 35),
+    ("ukpga", 2013, 5), ("ukpga", 1983, 34), ("ukpga", 1968, 52),
+    ("ukpga", 2020, 17), ("ukpga", 1988, 9), ("ukpga", 2014, 6),
+    ("uksi", 1988, 2203), ("uksi", 1997, 194), ("uksi", 2006, 2825), ("uksi", 2007, 1903), ("uksi", 2019, 947),
+    ("uksi", 2020, 914), ("uksi", 2021, 15),
+)
+HOUSING_SEARCH_TERMS = (
+    "housing", "tenancy", "landlord", "tenant", "rent", "eviction", "possession", "assured shorthold", "section 21", "section 8",
+    "deposit", "leasehold", "service charge", "disrepair", "harassment", "illegal eviction", "notice to quit",
+)

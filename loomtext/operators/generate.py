@@ -91,7 +91,13 @@ REASONING_KINDS = {
     "conclusion": ("Give the outcome of {t}", "Explain the effect of {t}"),
     "comparison": ("Compare {t} with earlier authority", "Distinguish {t} from a contrary case"),
 }
-COUNTER_ARGUMENTS = ("the facts differ", "the authority is weak", "the remedy is out of proportion", "the public interest points elsewhere")
+#: Opening and objection, one for each counter-argument row.
+COUNTER_PAIRS = (
+    ("Answer the objection to {t} that ", "the facts differ"),
+    ("How would the losing side of {t} argue that ", "the authority is weak"),
+    ("Defend {t} against the charge that ", "the remedy is out of proportion"),
+    ("On appeal from {t} it is said that ", "the public interest points elsewhere"),
+)
 PRACTICE_STARTS = ("How would a practitioner use ", "What should a client do in light of ")
 MULTI_STEP_STARTS = ("Work through the stages of ", "Set out, in order, what follows from ")
 ADVERSARIAL_STARTS = ("Make the strongest case against ", "Find the weakest point of ")
@@ -115,6 +121,18 @@ def practical(docs: DataFrame) -> DataFrame:
     return _from_starts(docs, "practical", PRACTICE_STARTS)
 
 
+def advanced(legal: DataFrame, tax: DataFrame) -> DataFrame:
+    """Questions on legal and tax documents; only legal ones have another side to argue."""
+    both = legal.unionByName(tax)
+    return multi_step(both).unionByName(adversarial(legal)).unionByName(practical(both))
+
+
+def enhanced(cases: DataFrame) -> DataFrame:
+    """(doc_id, mode, kind, question): reasoning and counter-argument rows of cases."""
+    one = reasoning_rows(cases).select("doc_id", F.lit("reasoning").alias("mode"), "kind", "question")
+    return one.unionByName(counter_rows(cases).select("doc_id", F.lit("counter").alias("mode"), F.col("argument").alias("kind"), "question"))
+
+
 def reasoning_rows(docs: DataFrame) -> DataFrame:
     """Ten rows each: five kinds by two templates."""
     rows = [
@@ -124,8 +142,8 @@ def reasoning_rows(docs: DataFrame) -> DataFrame:
 
 
 def counter_rows(docs: DataFrame) -> DataFrame:
-    """Four rows each."""
-    rows = [{"argument": F.lit(a), "question": _c("Answer the objection to ", F.col("title"), " that ", a)} for a in COUNTER_ARGUMENTS]
+    """Four rows each: the first opening with the first argument, and so on."""
+    rows = [{"argument": F.lit(a), "question": _c(o.split("{t}")[0], F.col("title"), o.split("{t}")[1], a)} for o, a in COUNTER_PAIRS]
     return docs.select("doc_id", F.explode(_rows(*rows)).alias("r")).select("doc_id", "r.*")
 
 

@@ -1,13 +1,15 @@
 """Vector search by inner product of unit vectors, with filters, boosts and reranking.
 
 Exact search: the query table is broadcast after a check of its size, candidates are scored in one scan, and top-k
-keeps k rows for each query and task before the shuffle. ``cells`` gives an inverted-file layout for large tables.
+keeps k rows for each query and task before the shuffle. Beyond that there is an inverted file: centres are learned from
+a bounded sample, every vector is put into its nearest cell, and a query is compared with the cells nearest to it.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,6 +81,52 @@ def nearest_cell(vector: Column, centres: list[list[float]]) -> Column:
     return -F.array_max(scores)["i"]
 
 
+def train_cells(items: DataFrame, cells: int, *, item: str = "vec_id", vector: str = "embedding", sample: int = 20_000, rounds: int = 15) -> np.ndarray:
+    """Centres of an inverted file by spherical k-means on at most ``sample`` vectors, the first by a hash of the id."""
+    known = normalised(items.select(item, F.col(vector).alias("_v")), "_v").where("_v is not null")
+    rows = known.orderBy(F.xxhash64(item), item).limit(sample).collect()
+    x = np.array([r["_v"] for r in rows], dtype=float)
+    if not len(x):
+        return np.zeros((0, 0))
+    centres = x[np.linspace(0, len(x) - 1, min(cells, len(x))).astype(int)]
+    for _ in range(rounds):
+        own = (x @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, own, x)
+        length = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(length > 0, sums / np.where(length > 0, length, 1.0), centres)
+    return centres
+
+
+def cell_index(items: DataFrame, centres: np.ndarray, *, item: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(item, embedding, cell): every vector that has a direction, as a unit vector, with its nearest cell; written partitioned
+    by ``cell``, a search reads the cells that it probes only."""
+    known = normalised(items.select(item, F.col(vector).alias("embedding")), "embedding").where("embedding is not null")
+    return known.withColumn("cell", F.get(_nearest_cells(centres, 1)("embedding"), 0))
+
+
+def _nearest_cells(centres: np.ndarray, n: int):
+    @F.pandas_udf("array<int>")
+    def run(vectors: pd.Series) -> pd.Series:
+        if not len(vectors):
+            return pd.Series([], dtype=object)
+        near = np.argsort(-(np.stack(vectors.to_numpy()) @ centres.T), axis=1, kind="stable")[:, :n]
+        return pd.Series(list(near.astype(np.int32)))
+
+    return run
+
+
+def search_cells(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int, *, probes: int = 8, item: str = "vec_id", query: str = "query_id", vector: str = "embedding", broadcast_queries: int = 10_000) -> DataFrame:
+    """(query, item, score): the k best items of the ``probes`` cells nearest to each query; all cells make it exact."""
+    known = normalised(queries.select(query, F.col(vector).alias("_q")), "_q").where("_q is not null")
+    asked = known.withColumn("cell", F.explode(_nearest_cells(centres, probes)("_q")))
+    few = queries.limit(broadcast_queries + 1).count() <= broadcast_queries
+    met = index.join(F.broadcast(asked) if few else asked, "cell")
+    scored = met.select(query, item, dot(F.col("embedding"), F.col("_q")).alias("score"))
+    best = W.partitionBy(query).orderBy(F.desc("score"), item)
+    return scored.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= k).drop("_n")
+
+
 def embed(df: DataFrame, text: str, fn, out: str = "embedding") -> DataFrame:
     """Apply an injected embedding function (list of texts to list of vectors), a batch at a time."""
     @F.pandas_udf("array<float>")

@@ -439,10 +439,11 @@ def _start_sql(kind: str, starts) -> str:
     return " UNION ALL ".join(f"SELECT doc_id, '{kind}' AS kind, concat({O.quote(s)}, title, '? ', CASE WHEN length(content) > 200 THEN concat(substr(content, 1, 200), '...') ELSE content END) AS question FROM legal_corpus WHERE length(content) >= 100" for s in starts)
 
 
-@query(f"{C} {_start_sql('multi_step', generate.MULTI_STEP_STARTS)} UNION ALL {_start_sql('adversarial', generate.ADVERSARIAL_STARTS)} UNION ALL {_start_sql('practical', generate.PRACTICE_STARTS)}")
+@query(f"{C} SELECT * FROM ({_start_sql('multi_step', generate.MULTI_STEP_STARTS)} UNION ALL {_start_sql('adversarial', generate.ADVERSARIAL_STARTS)} UNION ALL {_start_sql('practical', generate.PRACTICE_STARTS)}) WHERE kind <> 'adversarial' OR doc_id % 8 NOT IN (2, 3, 6)")
 def advanced_questions(spark, sf_dir):
     docs = legal_corpus(spark, sf_dir)
-    return generate.multi_step(docs).unionByName(generate.adversarial(docs)).unionByName(generate.practical(docs))
+    is_tax = F.col("doc_id") % 8
+    return generate.advanced(docs.where(~is_tax.isin(2, 3, 6)), docs.where(is_tax.isin(2, 3, 6)))
 
 
 @query(f"{C} " + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS kind, concat({O.quote(a.split('{t}')[0])}, title, {O.quote(a.split('{t}')[1])}) AS question FROM legal_corpus" for k, two in generate.REASONING_KINDS.items() for a in two))
@@ -450,7 +451,10 @@ def reasoning_rows(spark, sf_dir):
     return generate.reasoning_rows(legal_corpus(spark, sf_dir))
 
 
-@query(f"{C} " + " UNION ALL ".join(f"SELECT doc_id, {O.quote(a)} AS argument, concat('Answer the objection to ', title, {O.quote(' that ' + a)}) AS question FROM legal_corpus" for a in generate.COUNTER_ARGUMENTS))
+@query(
+    f"{C} SELECT doc_id, 'the facts differ' AS argument, concat('Answer the objection to ', title, ' that the facts differ') AS question FROM legal_corpus UNION ALL SELECT doc_id, 'the authority is weak', concat('How would the losing side of ', title, ' argue that the authority is weak') FROM legal_corpus "
+    "UNION ALL SELECT doc_id, 'the remedy is out of proportion', concat('Defend ', title, ' against the charge that the remedy is out of proportion') FROM legal_corpus UNION ALL SELECT doc_id, 'the public interest points elsewhere', concat('On appeal from ', title, ' it is said that the public interest points elsewhere') FROM legal_corpus"
+)
 def counter_rows(spark, sf_dir):
     return generate.counter_rows(legal_corpus(spark, sf_dir))
 
@@ -566,21 +570,21 @@ def evaluation_means(spark, sf_dir):
 _V = "v AS (SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings), u AS (SELECT vec_id, label, list_transform(e, lambda x: x / sqrt(list_dot_product(e, e))) AS e FROM v)"
 
 
-@query(f"WITH {_V}, s AS (SELECT q.vec_id AS query_id, i.vec_id AS vec_id, list_dot_product(i.e, q.e) AS score FROM u i, u q WHERE q.vec_id < 5) SELECT query_id, vec_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s) WHERE k <= 10")
+@query(f"WITH {_V}, s AS (SELECT q.vec_id AS query_id, i.vec_id AS vec_id, list_dot_product(i.e, q.e) AS score FROM u i, u q WHERE q.vec_id % 20 = 0) SELECT query_id, vec_id, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s) WHERE k <= 10")
 def vector_topk(spark, sf_dir):
     items = load(spark, sf_dir, "embeddings")
-    queries = items.where("vec_id < 5").select(F.col("vec_id").alias("query_id"), "embedding")
+    queries = items.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     return vector.search(items, queries, 10).select("query_id", "vec_id", F.round("score", 6).alias("score"))
 
 
-@query(f"WITH {_V}, s AS (SELECT i.vec_id, list_dot_product(i.e, q.e) * (1.0 + 1.0 / (1 + i.label % 8)) * 0.8 AS final FROM u i, u q WHERE q.vec_id = 0 AND i.label % 2 = 0) SELECT vec_id, round(final, 6) AS final FROM s ORDER BY final DESC, vec_id LIMIT 10")
+@query(f"WITH {_V}, s AS (SELECT q.vec_id AS query_id, i.vec_id, list_dot_product(i.e, q.e) * (1.0 + 1.0 / (1 + i.label % 8)) * 0.8 AS final FROM u i, u q WHERE q.vec_id % 20 = 0 AND i.label % 2 = 0) SELECT query_id, vec_id, round(final, 6) AS final FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY final DESC, vec_id) AS k FROM s) WHERE k <= 10")
 def vector_boosted(spark, sf_dir):
     items = load(spark, sf_dir, "embeddings").where("label % 2 = 0")
-    queries = load(spark, sf_dir, "embeddings").where("vec_id = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    queries = load(spark, sf_dir, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     weight = score.chunk_authority_weight(1 + F.col("label") % 8)
     boost = score.authority_boost(weight) * score.temporal_boost(F.lit(None).cast("date"), F.lit("2024-01-01").cast("date"))
     out = vector.search(items, queries, 10, boost=boost)
-    return out.select("vec_id", F.round("final", 6).alias("final"))
+    return out.select("query_id", "vec_id", F.round("final", 6).alias("final"))
 
 
 # --- set operations, upserts ----------------------------------------------------------------------------------
@@ -704,3 +708,5 @@ def star_approximate(spark, sf_dir):
     return items.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey").alias("parts"), F.approx_percentile("l_quantity", 0.5).alias("median_qty"))
 
 
+# the queries of the other module are registered by its import
+from loomtext.plans import catalog_answers as catalog_answers  # noqa: E402

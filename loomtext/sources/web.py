@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from loomtext.functions import lexicons as L
 from loomtext.functions.udf import arrow_udf
-from loomtext.operators.extract import links
+from loomtext.operators.extract import clean_lines, links
+from loomtext.operators.filters import case_url
 from loomtext.operators.graph import reachable
 from loomtext.operators.rank import keep_first
 
@@ -131,6 +133,72 @@ def listing_items(df: DataFrame, *, kind: str = "type", year: str = "year", html
     return keep_first(out.select("id", F.col(kind), F.col(year), "number", "href", "seq"), "id", "seq")
 
 
+def search_items(df: DataFrame, *, base: str, html: str = "html") -> DataFrame:
+    """Results of a search page by their links: id ``search_{type}_{year}``, type and url, the first of each url."""
+    href = df.select(F.posexplode(links(F.col(html))).alias("seq", "href"))
+    parts = F.split(F.regexp_replace("href", "^/+|/+$", ""), "/")
+    named = href.select("seq", "href", parts.alias("p")).where((F.size("p") >= 2) & F.startswith("href", F.lit("/uk")))
+    url = F.concat(F.lit(base.rstrip("/")), "href")
+    found = named.select(F.concat_ws("_", F.lit("search"), F.get("p", 0), F.get("p", 1)).alias("id"), F.get("p", 0).alias("type"), url.alias("url"), "seq")
+    return keep_first(found, "url", "seq").drop("seq")
+
+
+def case_databases(spark: SparkSession, paths: list[str] | tuple[str, ...]) -> DataFrame:
+    """Seeds of a crawl: one row (id) for each database path."""
+    return spark.createDataFrame([(p,) for p in paths], "id string")
+
+
+def crawl_databases(link_pairs: DataFrame, paths: tuple[str, ...] = L.CASE_DATABASES, *, max_depth: int = 3, durable=None) -> DataFrame:
+    """Case addresses within ``max_depth`` links of any of the databases; case pages are leaves."""
+    seeds = case_databases(link_pairs.sparkSession, paths)
+    met = crawl(link_pairs, seeds, max_depth=max_depth, is_leaf=case_url(F.col("src"), list(paths)), durable=durable)
+    return met.where(case_url(F.col("id"), list(paths))).select(F.col("id").alias("url"), "depth")
+
+
+def seed_items(spark: SparkSession, base: str, acts=L.HOUSING_ACTS_BY_NUMBER) -> DataFrame:
+    """(id, type, year, number, url) of fixed acts and instruments."""
+    rows = spark.createDataFrame(list(acts), "type string, year int, number int")
+    at = F.concat_ws("/", F.lit(base.rstrip("/")), "type", F.col("year").cast("string"), F.col("number").cast("string"))
+    return rows.select(F.concat_ws("_", "type", F.col("year").cast("string"), F.col("number").cast("string")).alias("id"), "type", "year", "number", at.alias("url"))
+
+
+def court_searches(spark: SparkSession, courts: list[str], terms=L.HOUSING_SEARCH_TERMS) -> DataFrame:
+    """One search (court, term) for each pair."""
+    return spark.createDataFrame([(c,) for c in courts], "court string").crossJoin(spark.createDataFrame([(t,) for t in terms], "term string"))
+
+
+def api_or_search(api: DataFrame, fallback: DataFrame) -> DataFrame:
+    """What the listing gave, or the keyword search's rows where it gave nothing."""
+    empty = api.limit(1).agg((F.count("*") == 0).alias("none"))
+    return api.unionByName(fallback.join(F.broadcast(empty.where("none")), how="cross").drop("none"))  # a table of one row or none
+
+
+#: (format, what is added to an item's address) of item downloads.
+ITEM_FORMATS = (("xml", "/data.xml"), ("html", ""))
+
+
+def download_items(items: DataFrame, fetch, *, formats=ITEM_FORMATS) -> DataFrame:
+    """(id, format, content) of items (id, url): what an injected ``fetch(url) -> (status, text)`` gives with status 200,
+    the text of the page, and a metadata record of what is there. Items without an address, or of which nothing is there, give none.
+    """
+    asked = items.where(F.coalesce("url", F.lit("")) != "").select(
+        "id", "url", F.explode(F.array(*[F.struct(F.lit(f).alias("format"), F.concat("url", F.lit(tail)).alias("address")) for f, tail in formats])).alias("f")
+    ).select("id", "url", "f.*")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            got = [fetch(a) for a in b["address"]]
+            kept = b.assign(content=[text if status == 200 else None for status, text in got]).dropna(subset=["content"])
+            yield kept[["id", "url", "format", "content"]]
+
+    found = asked.mapInPandas(run, f"id {items.schema['id'].dataType.simpleString()}, url string, format string, content string")
+    texts = found.where("format = 'html'").withColumn("format", F.lit("text")).withColumn("content", clean_lines(html_text("content")))
+    both = found.unionByName(texts)
+    records = both.groupBy("id", "url").agg(F.sort_array(F.collect_set("format")).alias("formats"))
+    about = records.select("id", "url", F.lit("metadata").alias("format"), F.to_json(F.struct("id", "url", "formats")).alias("content"))
+    return both.unionByName(about).select("id", "format", "content")
+
+
 def merged_discovery(*found: DataFrame) -> DataFrame:
     """Several discoveries (url, ...) in order, one row for each url, the first kept."""
     out = None

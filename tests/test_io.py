@@ -149,3 +149,27 @@ def test_progress(spark):
     states = events.progress(u("a", "b", "c"), u("b"), u("c"))
     assert {r["url"]: r["state"] for r in states.collect()} == {"a": "discovered", "b": "downloaded", "c": "failed"}
     assert [r["url"] for r in events.remaining(states, u("b")).collect()] == ["a", "b", "c"]
+
+
+def test_search_items_and_seeds(spark):
+    html = '<a href="/ukpga/1985/68/contents">Housing Act</a><a href="/ukpga/1985/68/contents">again</a><a href="/help/x">no</a><a href="/uk">short</a>'
+    got = web.search_items(spark.createDataFrame([(1, html)], "page int, html string"), base="https://x.org/").collect()
+    assert [(r["id"], r["type"], r["url"]) for r in got] == [("search_ukpga_1985", "ukpga", "https://x.org/ukpga/1985/68/contents")]
+    seeds = web.seed_items(spark, "https://x.org")
+    assert seeds.groupBy("type").count().collect() and {r["type"]: r["count"] for r in seeds.groupBy("type").count().collect()} == {"ukpga": 23, "uksi": 7}
+    assert seeds.where("id = 'ukpga_1988_50'").first()["url"] == "https://x.org/ukpga/1988/50"
+    assert web.court_searches(spark, ["a", "b"]).count() == 34
+    links = spark.createDataFrame([("/ew/cases/EWCOP/", "/ew/cases/EWCOP/2001/"), ("/ew/cases/EWCOP/2001/", "/ew/cases/EWCOP/2001/1.html"), ("/ew/cases/EWCOP/2001/1.html", "/ew/cases/EWCOP/2001/2.html")], "src string, dst string")
+    assert [r["url"] for r in web.crawl_databases(links).collect()] == ["/ew/cases/EWCOP/2001/1.html"]
+    none = spark.createDataFrame([], "url string")
+    some = spark.createDataFrame([("s",)], "url string")
+    assert web.api_or_search(none, some).count() == 1
+    assert [r["url"] for r in web.api_or_search(some, spark.createDataFrame([("t",)], "url string")).collect()] == ["s"]
+
+
+def test_item_downloads(spark):
+    pages = {"u1/data.xml": "<x/>", "u1": "<p>One  two</p><script>no</script>", "u2": "<p>Three</p>"}
+    items = spark.createDataFrame([("1", "u1"), ("2", "u2"), ("3", "u3"), ("4", None)], "id string, url string")
+    got = {(r["id"], r["format"]): r["content"] for r in web.download_items(items, lambda u: (200, pages[u]) if u in pages else (404, "")).collect()}
+    assert set(got) == {("1", "xml"), ("1", "html"), ("1", "text"), ("1", "metadata"), ("2", "html"), ("2", "text"), ("2", "metadata")}
+    assert got[("1", "text")] == "One\ntwo" and json.loads(got[("1", "metadata")])["formats"] == ["html", "text", "xml"]
