@@ -118,18 +118,20 @@ def copied_lengths(levels: list[DataFrame], scratch: Scratch) -> DataFrame | Non
             .join(ahead_of_first, (F.col("gd") == F.col("yd")) & (F.col("ga") + F.col("m") == F.col("ya")), "left")
             .select("doc", "at", "need", "k", "gd", "ga", "m", "x", F.col("x").eqNullSafe(F.col("y")).alias("same"))
         )
+        # with the interval's earliest suffix or with none: no other one is needed, and these may be many
+        plain = looked.where("x is null or same").withColumn("m", F.col("m") + F.when(F.col("x").isNotNull(), step).otherwise(0))
         # parts of the interval that its earliest suffix is not in have an earliest one of their own, which stays behind
-        part = ["gd", "ga", "m", "x"]
-        heads = looked.where("x is not null and not same").groupBy(*part).agg(F.min(F.struct("doc", "at")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-        split = looked.join(heads, part, "left")
-        on = F.col("x").isNotNull() & F.col("same")
+        part, apart = ["gd", "ga", "m", "x"], looked.where("x is not null and not same")
+        heads = apart.groupBy(*part).agg(F.min(F.struct("doc", "at")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
+        split = apart.join(heads, part, "left")
         away = F.col("head").isNotNull() & (F.struct("doc", "at") != F.col("head"))
+        names = ["doc", "at", "need", "k", "gd", "ga", "m"]
         moved = split.select(
             "doc", "at", "need", "k",
-            F.when(away & ~on, F.col("head.doc")).otherwise(F.col("gd")).alias("gd"),
-            F.when(away & ~on, F.col("head.at")).otherwise(F.col("ga")).alias("ga"),
-            F.when(on | away, F.col("m") + step).otherwise(F.col("m")).alias("m"),
-        )
+            F.when(away, F.col("head.doc")).otherwise(F.col("gd")).alias("gd"),
+            F.when(away, F.col("head.at")).otherwise(F.col("ga")).alias("ga"),
+            F.when(away, F.col("m") + step).otherwise(F.col("m")).alias("m"),
+        ).unionByName(plain.select(*names))
         found = scratch.put(moved, f"copies-{s}").unionByName(start.where(F.col("k") == s))
     return found.select("doc", "at", "need", "gd", "ga", "m")
 

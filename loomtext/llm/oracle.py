@@ -20,9 +20,11 @@ SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CAST(CAST(c
 _PHRASES = (
     "all rights reserved", "licensed under", "accept cookies", "cookie policy", "privacy policy", "terms of use",
     "terms of service", "click here", "sign up for", "log in to", "share this", "skip to content", "powered by",
-    "subscribe to",
+    "subscribe to", "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "cliquez ici",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken", "todos los derechos reservados",
+    "política de privacidad", "términos de uso", "haga clic aquí",
 )
-_BOILER = " OR ".join(f"contains(lower(x), '{p}')" for p in _PHRASES)
+_BOILER = " OR ".join("contains(lower(x), '" + p.replace("'", "''") + "')" for p in _PHRASES)
 
 QUALITY = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORD}') AS w FROM documents),

@@ -21,11 +21,14 @@ SYMBOLS = r"[#*$%&|<>]"
 #: Marks that running prose uses rarely; a line dense in them fails the punctuation rule.
 ODD_MARKS = r"[#*$%&|<>!?^~=_{}\[\]\\@+]"
 SEPARATORS = r"[|»›•·>]"
-#: Phrases of page furniture, lower case.
+#: Phrases of page furniture in English, French, German and Spanish, lower case.
 BOILERPLATE = (
     "all rights reserved", "licensed under", "accept cookies", "cookie policy", "privacy policy",
     "terms of use", "terms of service", "click here", "sign up for", "log in to", "share this",
     "skip to content", "powered by", "subscribe to",
+    "tous droits réservés", "politique de confidentialité", "conditions d'utilisation", "cliquez ici",
+    "alle rechte vorbehalten", "datenschutzerklärung", "nutzungsbedingungen", "hier klicken",
+    "todos los derechos reservados", "política de privacidad", "términos de uso", "haga clic aquí",
 )
 
 

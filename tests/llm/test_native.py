@@ -30,6 +30,19 @@ def test_quality_lines(spark):
     assert not b["base_failed"] and not b["kept"] and b["n_lost_words"] == 60
 
 
+def test_quality_phrases_of_other_languages(spark):
+    lines = ["Tous droits réservés.", "Alle Rechte vorbehalten", "Todos los derechos reservados", "Ein gewöhnlicher Satz."]
+    df = spark.createDataFrame([(1, "\n".join([*lines, " ".join(f"w{i}" for i in range(100))]))], ["doc_id", "text"])
+    assert quality_rules.assess(df).first()["clean_text"].startswith("Ein gewöhnlicher Satz.\nw0 ")
+
+
+def test_quality_counts_of_a_very_long_text(spark):
+    """Over 2^20 words: windows are compared by pairs, with the same counts."""
+    text = " ".join(f"w{i}" for i in range(2**20 + 20)) + " w5 w6 w7 w8"
+    r = quality_rules.assess(spark.createDataFrame([(1, text)], ["doc_id", "text"])).first()
+    assert (r["n_words"], r["n_repeat_words"], r["base_failed"]) == (2**20 + 24, 8, False)
+
+
 def test_clean_keeps_columns(docs, repeated, empty):
     out = quality_rules.clean(docs)
     assert out.columns == docs.columns
