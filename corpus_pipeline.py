@@ -2,6 +2,9 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last keep the columns of
 ``documents``. ``run`` writes each stage's result to the shared folder before the next one reads it.
+
+Defined results of all stages: an empty table gives an empty table; extra columns pass through, and the columns that a
+stage adds take names that no column has. What is null, empty, repeated or tied is said at each stage.
 """
 
 from __future__ import annotations
@@ -13,27 +16,43 @@ from loomtext.llm.common import Scratch, table
 
 
 def clean_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; failing lines go from the others."""
+    """Rejected documents go; failing lines go from the others.
+
+    Null, empty and short texts are rejected; repeated rows are judged alike.
+    """
     return quality_rules.clean(docs)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs go."""
+    """Later copies of repeated line runs go.
+
+    Null texts stay null, a text without a repeated run stays as it is, and an exact copy of a whole document is left empty;
+    the earliest by id stays, and rows that share id and text are one document.
+    """
     return line_dedup.dedup(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays: five-word shingles, similarity of 0.8 or more."""
+    """One document of each near-duplicate group stays, the one with the smallest id: five-word shingles, similarity of 0.8 or more.
+
+    Null and empty texts are linked with nothing and stay, as do rows with a null id; rows that share an id stay or go together.
+    """
     return near_dedup.keep_first(docs)
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go.
+
+    Null and empty texts and items match nothing; rows that share an id stay or go together.
+    """
     return decontaminate.drop_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out so that sources meet their target weights; ``copy`` counts repeats."""
+    """Documents repeated or left out so that sources meet their target weights; ``copy`` counts repeats.
+
+    A null source is one source, last in order; a null text has no words; rows that share an id are decided alike.
+    """
     return mixing.mix(docs)
 
 
