@@ -68,6 +68,14 @@ MAX_LEVEL = 8
 NEUTRAL_CITATION = r"(?i)\[(\d{4})\]\s+(UKSC|UKHL|UKPC|EWCA|EWHC|EWCOP|CSIH|CSOH|NICA|NIQB)\s+(\d+)"
 LAW_REPORT = r"(?i)\[(\d{4})\]\s+(\d+)\s+(AC|WLR|All\s+ER|QB|Ch|Fam|P|Lloyd's\s+Rep)"
 LAW_REPORT_PAGE = r"(?i)\[(\d{4})\]\s+(\d+)\s+(AC|WLR|All\s+ER|QB|Ch|Fam|P)\s+(\d+)"
+#: Forms of answers' citations, in which case counts (fixed patterns).
+NEUTRAL_CITATION_CASED = r"\[(\d{4})\]\s+(UKSC|UKHL|UKPC|EWCA|EWHC|EWCOP|CSIH|CSOH|NICA|NIQB)\s+(\d+)"
+LAW_REPORT_CASED = r"\[(\d{4})\]\s+(\d+)\s+(AC|WLR|All\s+ER|QB|Ch|Fam)"
+TAX_ACT_CASED = r"\b((?:TCGA|ITA|ITTOIA|CTA|IHTA|FA|VATA|TMA)\s+\d{4})\b"
+SECTION_NUMBER = r"(?i)\b(?:section|s\.|§)\s*(\d+)"
+SECTION_WITH_PARTS = r"(?i)\b(?:section|s\.|§)\s*(\d+(?:\([^)]+\))*)"
+MANUAL_CODE_CASED = r"\b([A-Z]{2,4}\d{5}[A-Z]*)\b"
+ANY_NEUTRAL_FORM = r"\[(\d{4})\]\s+[A-Z]+\s+\d+"
 SECTION_REFERENCE = r"(?i)(?:section|s\.|§)\s*(\d+(?:\(\d+\))*(?:[A-Z]*)?)"
 ACT_REFERENCE = r"(?i)([A-Z][A-Za-z\s]+Act\s+\d{4})"
 SI_REFERENCE = r"(?i)S\.?I\.?\s+(\d{4}/\d+)"

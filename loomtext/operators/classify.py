@@ -158,6 +158,7 @@ def area_consistent(text: Column, area: Column) -> Column:
     return out.otherwise(F.lit(True))
 
 
+#: Licence names and phrases (fixed values).
 LICENSE_NAMES = (
     ("mit license", "MIT"), ("mit", "MIT"), ("apache license 2.0", "Apache-2.0"), ("apache 2.0", "Apache-2.0"),
     ("apache software license", "Apache-2.0"), ("bsd license", "BSD"), ("bsd-3-clause", "BSD-3-Clause"),

@@ -15,11 +15,8 @@ def _capped(x: Column) -> Column:
 
 def _citations(text: Column) -> Column:
     kinds = (
-        (L.NEUTRAL_CITATION.removeprefix("(?i)"), 0),
-        (r"\[(\d{4})\]\s+(\d+)\s+(AC|WLR|All\s+ER|QB|Ch|Fam)", 0),
-        (L.TAX_ACT.removeprefix("(?i)"), 0),
-        (r"(?i)\b(?:section|s\.|§)\s*(\d+)", 0),
-    )
+        (L.NEUTRAL_CITATION_CASED, 0), (L.LAW_REPORT_CASED, 0), (L.TAX_ACT_CASED, 0), (L.SECTION_NUMBER, 0),
+    )
     return F.array_distinct(F.concat(*[F.regexp_extract_all(text, F.lit(k), F.lit(g)) for k, g in kinds]))
 
 

@@ -250,7 +250,7 @@ def qa_sections(text: Column) -> Column:
     """array<struct<number, text>>: matches of the first form with more than one, else paragraphs (at most 20); those of
     100 characters or less are left out and keep their number."""
     out = None
-    name = lambda label: lambda x, i: F.struct(F.concat(F.lit(label), (i + 1).cast("string")).alias("number"), F.trim(x).alias("text"))
+    name = lambda label: lambda x, i: F.struct(F.concat(F.lit(label), (i + 1).cast("string")).alias("number"), F.btrim(x, F.lit(" \t\n\x0b\x0c\r")).alias("text"))
     long = lambda a: F.filter(a, lambda x: F.length(x["text"]) > 100)
     for pattern in QA_SECTIONS:
         found = _all(text, pattern)

@@ -34,6 +34,23 @@ def as_of_join(left: DataFrame, right: DataFrame, *, on: str, left_time: str, ri
     return found.select(F.col("_k").alias(on), *[F.col("_l")[c].alias(c) for c in lcols], *[F.col("_m")[c].alias(f"matched_{c}") for c in (right_time, *values)])
 
 
+def numbered(df: DataFrame, by: list[str], order: list[Column], name: str, *, durable) -> DataFrame:
+    """Adds ``name``, the place of a row in its group in a total order, from 1, also where a group holds most of the rows.
+
+    Rows are sorted by range over all tasks and written; places count up inside a range, from the sum of the group's
+    rows in the ranges before, which is one row for each group and range.
+    """
+    dealt = durable(df.orderBy(*by, *order).withColumn("_part", F.spark_partition_id()))
+    counts = dealt.groupBy(*by, "_part").agg(F.count("*").alias("k"))
+    before = F.sum("k").over(W.partitionBy(*by).orderBy("_part")) - F.col("k")
+    start = counts.select(*[F.col(c).alias(f"_b{i}") for i, c in enumerate(by)], F.col("_part").alias("_p"), before.alias("_before"))
+    same = F.col("_part") == F.col("_p")
+    for i, c in enumerate(by):
+        same = same & F.col(c).eqNullSafe(F.col(f"_b{i}"))
+    place = F.row_number().over(W.partitionBy(*by, "_part").orderBy(*order))
+    return dealt.withColumn("_place", place).join(start, same).select(*df.columns, (F.col("_place") + F.col("_before")).alias(name))
+
+
 def range_join(points: DataFrame, ranges: DataFrame, *, point: str, low: str, high: str, width: float) -> DataFrame:
     """Points within [low, high] of a range, by buckets of ``width``: an equality join on bucket numbers."""
     bucketed = points.withColumn("_b", F.floor(F.col(point) / width))

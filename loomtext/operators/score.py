@@ -148,7 +148,7 @@ def risk_level(risks: Column) -> Column:
 
 def response_citations(response: Column) -> Column:
     """struct<n, score>: citations of four kinds, and 0.8 if there are any, else 0.5."""
-    kinds = (L.NEUTRAL_CITATION.removeprefix("(?i)"), r"\[(\d{4})\]\s+(\d+)\s+(AC|WLR|All\s+ER|QB|Ch|Fam)", L.TAX_ACT.removeprefix("(?i)"), r"(?i)\b(?:section|s\.|§)\s*(\d+)")
+    kinds = (L.NEUTRAL_CITATION_CASED, L.LAW_REPORT_CASED, L.TAX_ACT_CASED, L.SECTION_NUMBER)
     n = sum((F.regexp_count(response, F.lit(k)) for k in kinds), F.lit(0))
     return F.struct(n.alias("n"), F.when(n > 0, 0.8).otherwise(0.5).alias("score"))
 

@@ -59,7 +59,7 @@ def citation_accuracy(text: Column, *, this_year: int) -> Column:
     neutral = neutral_citations(text)
     good = F.size(F.filter(neutral, lambda c: (c["year"] >= 1900) & (c["year"] <= this_year)))
     # the manual pattern is case-sensitive
-    kinds = (L.LAW_REPORT_PAGE, L.TAX_ACT, r"(?i)\b(?:section|s\.|§)\s*(\d+(?:\([^)]+\))*)", r"\b([A-Z]{2,4}\d{5}[A-Z]*)\b")
+    kinds = (L.LAW_REPORT_PAGE, L.TAX_ACT, L.SECTION_WITH_PARTS, L.MANUAL_CODE_CASED)
     others = sum((F.regexp_count(text, F.lit(k)) for k in kinds), F.lit(0))
     total = F.size(neutral) + others
     return F.when(total == 0, 1.0).otherwise((good + others) / F.nullif(total, F.lit(0)).cast("double"))
@@ -70,7 +70,7 @@ def dangling_citations(texts: pd.Series) -> pd.Series:
     """Neutral-looking citations without a context word within 50 characters. Needs match positions."""
     import re
 
-    pattern = re.compile(r"\[(\d{4})\]\s+[A-Z]+\s+\d+")
+    pattern = re.compile(L.ANY_NEUTRAL_FORM)
 
     def find(text: str | None) -> list[str]:
         text = text or ""

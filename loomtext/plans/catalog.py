@@ -55,6 +55,7 @@ def legal_classes(spark, sf_dir):
     )
 
 
+# the document types and their words (fixed values)
 _DOCTYPE = (
     "CASE WHEN contains(lower(title), 'manual') THEN 'internal_manual' WHEN contains(lower(title), 'revenue and customs brief') THEN 'revenue_and_customs_brief' "
     "WHEN contains(lower(title), 'technical note') THEN 'technical_note' WHEN contains(lower(title), 'consultation') THEN 'consultation' "
@@ -221,7 +222,7 @@ def case_pages(spark, sf_dir):
     return web.case_page(load(spark, sf_dir, "pages"))
 
 
-@query()
+@query("SELECT doc_id, array_to_string(list_filter(list_transform(flatten(list_transform(string_split(text, chr(10)), lambda x: string_split(trim(x, ' '), '  '))), lambda y: trim(y, ' ')), lambda z: z <> ''), chr(10)) AS text FROM documents")
 def clean_line_texts(spark, sf_dir):
     return load(spark, sf_dir, "documents").select("doc_id", extract.clean_lines(F.col("text")).alias("text"))
 
@@ -336,7 +337,8 @@ def crawl_within(spark, sf_dir):
 
 @query()
 def page_rank(spark, sf_dir):
-    return graph.page_rank(_nodes(spark, sf_dir), _edges(spark, sf_dir), rounds=3).select("id", F.round("rank", 9).alias("rank"))
+    """Until it settles; ``page_rank_rounds`` has the SQL of a fixed number of rounds."""
+    return graph.page_rank(_nodes(spark, sf_dir), _edges(spark, sf_dir), tolerance=1e-3, durable=durable(spark)).select("id", F.round("rank", 9).alias("rank"))
 
 
 # --- chunks and splits ----------------------------------------------------------------------------------------
@@ -380,7 +382,17 @@ def section_split(spark, sf_dir):
     return parts.select("doc_id", F.col("s")["title"].alias("title"), F.length(F.col("s")["text"]).alias("n"))
 
 
-@query()
+_SECTIONS = (
+    "p AS (SELECT doc_id, 0 AS i, 'Section 1' AS section, substr(content, 1, strpos(content, chr(10) || 'Section 2') - 1) AS t FROM legal_corpus UNION ALL "
+    "SELECT doc_id, 1, 'Section 2', substr(content, strpos(content, chr(10) || 'Section 2') + 1, strpos(content, chr(10) || 'Section 3') - strpos(content, chr(10) || 'Section 2') - 1) FROM legal_corpus UNION ALL "
+    "SELECT doc_id, 2, 'Section 3', substr(content, strpos(content, chr(10) || 'Section 3') + 1) FROM legal_corpus), w AS (SELECT *, list_filter(string_split_regex(t, '\\s+'), lambda x: x <> '') AS ws FROM p)"
+)
+
+
+@query(
+    f"{C}, {_SECTIONS}, k AS (SELECT *, unnest(range(0, greatest(1, CAST(ceil((len(ws) - 30) / 170.0) AS BIGINT)))) AS j FROM w WHERE length(t) > 1000) SELECT concat(doc_id, '_s', i, '_c', j) AS chunk_id, doc_id, section, CAST(j * 170 AS INTEGER) AS start, length(array_to_string(ws[j * 170 + 1 : j * 170 + 200], ' ')) AS n FROM k "
+    "UNION ALL SELECT concat(doc_id, '_s', i, '_c0'), doc_id, section, 0, length(t) FROM w WHERE length(t) <= 1000"
+)
 def routed_chunks(spark, sf_dir):
     return chunk.route_chunks(legal_corpus(spark, sf_dir)).select("chunk_id", "doc_id", "section", "start", F.length("text").alias("n"))
 
@@ -559,7 +571,23 @@ def answer_metrics(spark, sf_dir):
     return _turns(spark, sf_dir).select("conv_id", "turn", F.round(evaluate.word_recall(p, r), 6).alias("word_recall"), evaluate.structure(p).alias("structure"), F.round(evaluate.coherence(p), 6).alias("coherence"))
 
 
-@query()
+_METRIC_SQL = (
+    "r AS (SELECT text AS p, asked AS r FROM p), l AS (SELECT *, lower(p) AS lp, lower(r) AS lr FROM r), "
+    "c AS (SELECT *, list_distinct(list_concat(list_concat(regexp_extract_all(p, '\\[(\\d{4})\\]\\s+(UKSC|UKHL|UKPC|EWCA|EWHC|EWCOP|CSIH|CSOH|NICA|NIQB)\\s+(\\d+)'), regexp_extract_all(p, '\\[(\\d{4})\\]\\s+(\\d+)\\s+(AC|WLR|All\\s+ER|QB|Ch|Fam)')), list_concat(regexp_extract_all(p, '\\b((?:TCGA|ITA|ITTOIA|CTA|IHTA|FA|VATA|TMA)\\s+\\d{4})\\b'), regexp_extract_all(p, '(?i)\\b(?:section|s\\.|§)\\s*(\\d+)')))) AS cp, "
+    "list_distinct(list_concat(list_concat(regexp_extract_all(r, '\\[(\\d{4})\\]\\s+(UKSC|UKHL|UKPC|EWCA|EWHC|EWCOP|CSIH|CSOH|NICA|NIQB)\\s+(\\d+)'), regexp_extract_all(r, '\\[(\\d{4})\\]\\s+(\\d+)\\s+(AC|WLR|All\\s+ER|QB|Ch|Fam)')), list_concat(regexp_extract_all(r, '\\b((?:TCGA|ITA|ITTOIA|CTA|IHTA|FA|VATA|TMA)\\s+\\d{4})\\b'), regexp_extract_all(r, '(?i)\\b(?:section|s\\.|§)\\s*(\\d+)')))) AS cr, "
+    "list_distinct(list_filter(string_split_regex(lp, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')) AS wp, list_distinct(list_filter(string_split_regex(lr, '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '')) AS wr FROM l), "
+    "m AS (SELECT CASE WHEN len(cr) = 0 THEN CASE WHEN len(cp) = 0 THEN 1.0 ELSE 0.8 END ELSE len(list_intersect(cp, cr)) / len(cr)::DOUBLE END AS citation_recall, "
+    "(CAST(regexp_matches(p, '(?i)Introduction|Background|Legal Framework|Analysis|Conclusion') AS INT) + CAST(regexp_matches(p, '(?i)pursuant to|in accordance with|as provided by') AS INT) + CAST(regexp_matches(p, '(?i)(s\\.|section)\\s*\\d+') AS INT) + CAST(regexp_matches(p, '(?i)(para\\.|paragraph)\\s*\\d+') AS INT)) / 4.0::DOUBLE AS structure, "
+    "least(1.0, (CAST(regexp_matches(p, '(?i)Supreme Court|UKSC') AS INT) + CAST(regexp_matches(p, '(?i)Court of Appeal|EWCA') AS INT) + CAST(regexp_matches(p, '(?i)High Court|EWHC') AS INT) + CAST(regexp_matches(p, '(?i)authority|precedent|binding') AS INT)) * 0.25::DOUBLE) AS hierarchy, "
+    "least(1.0, (CAST(regexp_matches(p, '(?i)therefore|thus|consequently|accordingly') AS INT) + CAST(regexp_matches(p, '(?i)however|nevertheless|notwithstanding') AS INT) + CAST(regexp_matches(p, '(?i)furthermore|moreover|additionally') AS INT) + CAST(regexp_matches(p, '(?i)step \\d+|firstly|secondly|finally') AS INT)) * 0.25::DOUBLE) AS coherence, "
+    "least(1.0, (CAST(contains(lp, 'notwithstanding') AS INT) + CAST(contains(lp, 'pursuant') AS INT) + CAST(contains(lp, 'whereas') AS INT) + CAST(contains(lp, 'hereby') AS INT) + CAST(contains(lp, 'therein') AS INT) + CAST(contains(lp, 'aforementioned') AS INT) + CAST(contains(lp, 'inter alia') AS INT) + CAST(contains(lp, 'prima facie') AS INT) + CAST(contains(lp, 'ultra vires') AS INT) + CAST(contains(lp, 'obiter dicta') AS INT) + CAST(contains(lp, 'ratio decidendi') AS INT)) * 0.1::DOUBLE) AS formal_language, "
+    "least(1.0, (CAST(regexp_matches(p, '\\[(\\d{4})\\]\\s+[A-Z]+\\s+\\d+') AS INT) + CAST(regexp_matches(p, '[A-Z][a-z]+\\s+v\\s+[A-Z][a-z]+') AS INT) + CAST(regexp_matches(p, '\\(\\d{4}\\)\\s+\\d+\\s+[A-Z]+') AS INT)) * 0.33::DOUBLE) AS citation_style, "
+    "least(1.0, (CAST(contains(lp, 'professional legal advice') AS INT) + CAST(contains(lp, 'qualified legal professional') AS INT) + CAST(contains(lp, 'specific circumstances') AS INT) + CAST(contains(lp, 'disclaimer') AS INT)) * 0.25::DOUBLE) AS disclaimer, "
+    "CASE WHEN len(wr) = 0 THEN 0.8 ELSE len(list_intersect(wp, wr)) / len(wr)::DOUBLE END AS word_recall FROM c), o AS (SELECT *, (citation_recall + structure + hierarchy + coherence + formal_language + citation_style + disclaimer + word_recall) / 8.0::DOUBLE AS overall FROM m)"
+)
+
+
+@query(f"WITH {_TURNS}, {_METRIC_SQL} SELECT " + ", ".join(f"round(avg({k}), 6)::DOUBLE AS {k}" for k in ("citation_recall", "structure", "hierarchy", "coherence", "formal_language", "citation_style", "disclaimer", "word_recall", "overall")) + " FROM o")
 def evaluation_means(spark, sf_dir):
     m = evaluate.all_metrics(F.col("output"), F.col("instruction"))
     return _turns(spark, sf_dir).select(*[c.alias(k) for k, c in m.items()]).agg(*[F.round(F.avg(k), 6).alias(k) for k in m])
@@ -685,8 +713,8 @@ def star_cube(spark, sf_dir):
 @query("SELECT o_orderkey, round(avg(o_totalprice) OVER w, 4) AS moving, rank() OVER (PARTITION BY o_orderstatus ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)")
 def star_windows(spark, sf_dir):
     moving = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey").rowsBetween(-2, 0)
-    place = W.partitionBy("o_orderstatus").orderBy(F.desc("o_totalprice"), "o_orderkey")
-    return load(spark, sf_dir, "orders").select("o_orderkey", F.round(F.avg("o_totalprice").over(moving), 4).alias("moving"), F.rank().over(place).alias("place"))
+    placed = relational.numbered(load(spark, sf_dir, "orders"), ["o_orderstatus"], [F.desc("o_totalprice"), F.col("o_orderkey")], "place", durable=durable(spark))
+    return placed.select("o_orderkey", F.round(F.avg("o_totalprice").over(moving), 4).alias("moving"), "place")
 
 
 @query("SELECT p_partkey, b AS band FROM part JOIN (SELECT unnest(range(0, 20)) * 100.0 + 900 AS lo, unnest(range(0, 20)) AS b) r ON p_retailprice >= lo AND p_retailprice <= lo + 99.99")
@@ -708,5 +736,6 @@ def star_approximate(spark, sf_dir):
     return items.groupBy("l_returnflag").agg(F.approx_count_distinct("l_partkey").alias("parts"), F.approx_percentile("l_quantity", 0.5).alias("median_qty"))
 
 
-# the queries of the other module are registered by its import
+# the queries of the other modules are registered by their import
 from loomtext.plans import catalog_answers as catalog_answers  # noqa: E402
+from loomtext.plans import catalog_sources as catalog_sources  # noqa: E402

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from loomtext.operators import aggregate, classify, evaluate, extract, filters, generate, graph, rank, score, validate, vector
+from loomtext.operators import aggregate, classify, extract, filters, generate, graph, rank, score, validate, vector
 from loomtext.plans.catalog import C, _ANSWERS, _CHECKS, _EDGES, _LEVEL, _NODES, _TURNS, _answers, _edges, _nodes, _turns, query
 from loomtext.plans.tables_catalogue import Catalogue
 from loomtext.sources.scratch import Scratch
@@ -162,15 +162,6 @@ def run_statistics(spark, sf_dir):
     return out.select("query_type", "n", *[F.round(c, 6).alias(c) for c in ("avg_score", "avg_authorities", "success_rate")])
 
 
-@query(
-    f"WITH {_TURNS}, m AS (SELECT lower(text) AS p, text AS o FROM p) SELECT round(avg(CAST(regexp_matches(o, '(?i)Supreme Court|UKSC') AS INT) * 0.25 + CAST(regexp_matches(o, '(?i)Court of Appeal|EWCA') AS INT) * 0.25 + CAST(regexp_matches(o, '(?i)High Court|EWHC') AS INT) * 0.25 + CAST(regexp_matches(o, '(?i)authority|precedent|binding') AS INT) * 0.25), 6)::DOUBLE AS hierarchy, "
-    "round(avg(CAST(regexp_matches(o, '(?i)(?:Introduction|Background|Legal Framework|Analysis|Conclusion)') AS INT) + CAST(regexp_matches(o, '(?i)(?:pursuant to|in accordance with|as provided by)') AS INT) + CAST(regexp_matches(o, '(?i)(?:s\\.|section)\\s*\\d+') AS INT) + CAST(regexp_matches(o, '(?i)(?:para\\.|paragraph)\\s*\\d+') AS INT)) / 4, 6)::DOUBLE AS structure FROM m"
-)
-def evaluation_shares(spark, sf_dir):
-    o = F.col("output")
-    return _turns(spark, sf_dir).agg(F.round(F.avg(evaluate.hierarchy(o)), 6).alias("hierarchy"), F.round(F.avg(evaluate.structure(o)), 6).alias("structure"))
-
-
 # --- hits and precedents --------------------------------------------------------------------------------------
 
 _HITS = "h AS (SELECT doc_id, concat('Rent and tax note ', CAST(doc_id AS VARCHAR(20))) AS title, 1.0 + (doc_id % 9) / 10.0::DOUBLE AS a, 0.8 + (doc_id % 5) / 10.0::DOUBLE AS t, CASE WHEN doc_id % 4 = 0 THEN NULL ELSE (doc_id % 10) / 10.0::DOUBLE END AS s FROM documents)"
@@ -434,13 +425,6 @@ def numbered_authorities(spark, sf_dir):
     return grouped.select("conv_id", generate.numbered_authorities(F.col("a")).alias("listing"))
 
 
-@query(
-    "SELECT doc_id, array_to_string(list_filter(list_transform(flatten(list_transform(string_split(text, chr(10)), lambda x: string_split(trim(x, ' '), '  '))), lambda y: trim(y, ' ')), lambda z: z <> ''), chr(10)) AS text FROM documents"
-)
-def cleaned_lines(spark, sf_dir):
-    return load(spark, sf_dir, "documents").select("doc_id", extract.clean_lines(F.col("text")).alias("text"))
-
-
 # --- catalogues of tables -------------------------------------------------------------------------------------
 
 

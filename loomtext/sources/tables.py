@@ -9,15 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 TEXT_TABLES = ("documents", "pages", "conversations")
 
 
-def spread(df: DataFrame, *, least: int = 4 << 20, most: int = 1 << 30) -> DataFrame:
-    """Deal out a table of a few small files, which would keep most cores idle, once over all cores.
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that the scan gives fewer tasks than there are cores, as a file of one row group is one task.
 
-    Only inputs between ``least`` and ``most`` bytes in fewer files than cores are dealt out; larger ones are split by
-    the scan, and smaller ones are not worth a shuffle.
+    Tables of more row groups than cores are split by the scan and not shuffled, whatever their size.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return df.repartition(cores) if least <= size <= most and len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

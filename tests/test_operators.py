@@ -184,6 +184,15 @@ def test_splits_are_exact(spark):
     assert chunk.ordered_split(ties, "k").where("split = 'train'").count() == 80
 
 
+def test_numbered_rows(spark):
+    df = spark.range(500).select("id", F.when(F.col("id") % 10 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("g")).repartition(5)
+    got = relational.numbered(df, ["g"], [F.desc("id")], "n", durable=durable(spark))
+    assert got.columns == ["id", "g", "n"]
+    for g in (None, 0, 1):
+        assert [r["id"] for r in got.where(F.col("g").eqNullSafe(F.lit(g).cast("long"))).orderBy("n").collect()] == sorted((i for i in range(500) if (None if i % 10 == 0 else i % 2) == g), reverse=True)
+        assert got.where(F.col("g").eqNullSafe(F.lit(g).cast("long"))).agg(F.min("n"), F.max("n"), F.countDistinct("n")).first()[:2] == (1, sum(1 for i in range(500) if (None if i % 10 == 0 else i % 2) == g))
+
+
 def test_rank_and_set_operations(spark):
     df = spark.createDataFrame([("u", 2, "b"), ("u", 1, "a"), ("w", 5, "c")], ["url", "seq", "v"])
     assert {r["v"] for r in rank.keep_first(df, "url", "seq").collect()} == {"a", "c"}

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomtext.operators import aggregate, extract, generate
-from loomtext.plans import rag
+from loomtext.plans import phases, rag
 from loomtext.sources.limits import RateLimiter, with_retries
 
 
@@ -83,3 +83,49 @@ def test_retries():
     with pytest.raises(OSError):
         with_retries(fails, sleep=pauses.append)
     assert len(calls) == 3 and pauses == [1.0, 2.0]
+
+
+DOCS = [
+    ("a", "Housing Act 1988", "Section 1 The landlord and tenant follow [2001] UKSC 2 on rent and lease.\n" + "word " * 60),
+    ("b", "Smith v Jones", "A tenant and landlord in England before the court on rent, lease, possession and eviction. " + "more " * 60),
+    ("c", "Copyright note", "The copyright of performers. " + "text " * 60),
+]
+
+
+def test_named_pipelines(spark, tmp_path):
+    docs = spark.createDataFrame(DOCS, "doc_id string, title string, content string")
+    names = spark.createDataFrame([("[2001] UKSC 2", "b")], "citation string, doc_id string")
+    done = phases.enrichment(docs, names, as_of="2024-01-01", this_year=2024).run(spark, str(tmp_path))
+    report = {(r["section"], r["dimension"], r["value"]): r["n"] for r in done["report"].collect()}
+    assert report[("documents", "total", "documents")] == 3 and report[("graph", "total", "edges")] == 1 and report[("examples", "level", "foundation")] == 9
+    assert sum(n for (s, _, _), n in report.items() if s == "compliance") == 18 and report[("authority", "score", "citations")] == 1
+    assert phases.enrichment(docs, names, as_of="2024-01-01", this_year=2024, max_documents=1).run(spark, str(tmp_path / "one"))["documents"].count() == 1
+    made = phases.all_tables(docs).run(spark, str(tmp_path))
+    assert made["instructions"].count() == 15 and {r["split"] for r in made["questions"].collect()} == {"test", "train"}
+    housed = phases.housing(docs.where("doc_id = 'a'"), docs.where("doc_id <> 'a'")).run(spark, str(tmp_path))
+    assert {(r["dimension"], r["value"]): r["n"] for r in housed["summary"].collect() if r["dimension"] == "kind"} == {("kind", "legislation"): 1, ("kind", "case"): 1}
+    assert phases.copyright_law(docs).run(spark, str(tmp_path))["summary"].first()["documents"] == 1
+
+
+def test_acquiring_pipelines(spark, tmp_path):
+    page = lambda u: (200, f"<h1>On {u}</h1><p>{'1. ' + 'long text ' * 20}</p>") if u.startswith("u") else (404, "")
+    items = spark.createDataFrame([("1", "u1"), ("2", "gone"), ("3", "u3")], "id string, url string")
+    done = phases.complete(items, page).run(spark, str(tmp_path))
+    assert {r["doc_id"] for r in done["documents"].collect()} == {"1", "3"} and done["instructions"].count() == 10 and "written" not in done
+    reply = lambda p: '[{"question": "q", "answer": "a"}]'
+    written = phases.complete(items, page, reply).run(spark, str(tmp_path / "model"))["written"]
+    assert written.select("question").distinct().count() == 1
+    rows = phases.quick(items, page).run(spark, str(tmp_path))["rows"]
+    assert rows.count() == 2 and rows.first()["specialist_type"] == "tax_specialist"
+    rows = spark.createDataFrame([(f"i{i}", "", "o", "basic", "legal") for i in range(10)], "instruction string, input string, output string, complexity string, domain string")
+    trained = phases.training(rows, domains={"legal_specialist": ["legal"]}, key="row_key").run(spark, str(tmp_path))
+    configs = [r.asDict() for r in trained["configs"].collect()]
+    assert [(c["n"], c["epochs"]) for c in configs] == [(10, 5)]
+    assert "| legal_specialist | phase_1_foundation | 10 |" in phases.training_readme(configs, configs)
+
+
+def test_smoke_run(spark):
+    chunks = spark.createDataFrame([("c1", "d1", "rent and lease", 1.0, "housing", "uk_wide", None), ("c2", "d2", "tax", 0.5, "tax", "uk_wide", None)], "chunk_id string, document_id string, text string, authority_weight double, area string, jurisdiction string, effective_date date")
+    embed = lambda texts: [[float("rent" in t or "landlord" in t), float("tax" in t), 0.1] for t in texts]
+    got = rag.smoke(rag.build_index(chunks, "text", embed), embed, lambda p: "" if "contract" in p else "The analysis applies the law.", as_of=F.lit("2024-01-01").cast("date"), this_year=2024).collect()
+    assert {r["query_id"]: r["answered"] for r in got} == {1: True, 2: True, 3: False}
