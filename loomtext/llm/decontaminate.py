@@ -3,8 +3,9 @@
 Numbers, units and names become typed placeholders; the rest is lower case without punctuation. Numbers are digits or
 number words, and a run of number words ("one hundred") is one number. A capitalised
 word that begins the text or a sentence, or follows a quote, bracket or other mark, may be a name or not: there are
-two templates, a narrow one in which it is a plain word and a wide one in which it is a name. A third one, plain, has no
-names at all, so that a copy in lower case, whose names cannot be told, is found by the words themselves.
+two templates, a narrow one in which it is a plain word and a wide one in which it is a name. The benchmark's windows
+also come in a third one, plain, without names, so that a copy in lower case, whose names cannot be told, is found by
+the words themselves.
 Windows of ``window`` template words are hash-joined with those of the benchmark. A (document, item) pair whose
 windows matched by any template are at least ``min_share`` of the item's distinct windows is a candidate (a pair
 that passes by the narrow template alone is judged and counted by that alone). For candidates the
@@ -51,49 +52,52 @@ START = "\x02"
 START_PATTERN = r"(?<![\p{L}\p{N}\x01])(?=\p{Lu}\p{Ll})"
 PUNCTUATION = r"[^\p{L}\p{N}\x01\x02]+"
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
-#: What a word is.
-LITERAL, IS_NUMBER, IS_UNIT, IS_NAME, MAY_BE_NAME = range(5)
-#: The kinds that are names, by template.
-NARROW, WIDE, PLAIN = (IS_NAME,), (IS_NAME, MAY_BE_NAME), ()
+#: Templates by what counts as a name.
+NARROW, WIDE, PLAIN = range(3)
+
+
+def _first(w: Column) -> Column:
+    return F.substring(w, 1, 1)
+
+
+def _bare(w: Column) -> Column:
+    return F.when(_first(w).isin(MARK, START), F.substring(w, 2, 2**30)).otherwise(w)
+
+
+def _digits(w: Column) -> Column:
+    return F.coalesce(_first(w).between("0", "9"), F.lit(False))
 
 
 def raw_words(text: Column) -> Column:
-    """array<struct<w, k>>: lower-case words without punctuation and their kinds; decimal marks inside numbers are dropped."""
+    """Lower-case words without punctuation; a name begins with ``MARK``, or ``START`` if it may be none; decimal marks
+    inside numbers, and number words that follow a number, are dropped."""
     names = F.regexp_replace(F.translate(F.coalesce(text, F.lit("")), MARK + START, "  "), NAME_PATTERN, MARK)
     marked = F.regexp_replace(names, START_PATTERN, START)
     numbers = F.when(marked.rlike("[0-9][.,][0-9]"), F.regexp_replace(marked, "(?<=[0-9])[.,](?=[0-9])", "")).otherwise(marked)
-
-    def kind(first: Column, w: Column) -> Column:
-        plain = F.when(w.isin(*NUMBERS), IS_NUMBER)
-        return (
-            F.when(first == MARK, plain.otherwise(IS_NAME))
-            .when(first == START, plain.when(w.isin(*UNITS), IS_UNIT).otherwise(MAY_BE_NAME))
-            .when(first.between("0", "9"), IS_NUMBER)
-            .otherwise(plain.when(w.isin(*UNITS), IS_UNIT).otherwise(LITERAL))
-        )
-
-    def typed(token: Column) -> Column:
-        first = F.substring(token, 1, 1)
-        bare = F.when(first.isin(MARK, START), F.substring(token, 2, 2**30)).otherwise(token)
-        return let(F.struct(first.alias("f"), bare.alias("w")), lambda x: F.struct(x["w"].alias("w"), kind(x["f"], x["w"]).alias("k")))
+    forms = [mark + n for n in NUMBERS for mark in ("", MARK, START)]
 
     def one_number(each: Column) -> Column:
-        digits = lambda x: F.substring(x["w"], 1, 1).between("0", "9")
-        follows = lambda i: F.get(each, i - 1)["k"].eqNullSafe(IS_NUMBER)
-        return F.filter(each, lambda x, i: (x["k"] != IS_NUMBER) | digits(x) | ~follows(i))
+        before = lambda i: F.get(each, i - 1)
+        return F.filter(each, lambda w, i: ~(w.isin(*forms) & F.coalesce(before(i).isin(*forms) | _digits(before(i)), F.lit(False))))
 
-    tokens = F.split(F.lower(numbers), PUNCTUATION, -1)
-    return let(F.filter(F.transform(tokens, typed), lambda x: x["w"] != ""), one_number)
+    return let(F.filter(F.split(F.lower(numbers), PUNCTUATION, -1), lambda w: (w != "") & (w != MARK)), one_number)
 
 
-def template(raw: Column, names: tuple[int, ...]) -> Column:
-    """Typed placeholders for the words that have a type; ``names`` are the kinds that count as names."""
+def template(raw: Column, kind: int) -> Column:
+    """Typed placeholders for the words that have a type."""
 
-    def placed(x: Column) -> Column:
-        out = F.when(x["k"] == LITERAL, x["w"]).when(x["k"] == IS_NUMBER, NUMBER).when(x["k"] == IS_UNIT, UNIT)
-        return out.when(x["k"].isin(*names), NAME).otherwise(x["w"]) if names else out.otherwise(x["w"])
+    def typed(w: Column) -> Column:
+        bare = F.substring(w, 2, 2**30)
+        name, maybe = (bare if kind == PLAIN else F.lit(NAME)), (F.lit(NAME) if kind == WIDE else bare)
+        return (
+            F.when(_first(w) == MARK, F.when(bare.isin(*NUMBERS), NUMBER).otherwise(name))
+            .when(_first(w) == START, F.when(bare.isin(*NUMBERS), NUMBER).when(bare.isin(*UNITS), UNIT).otherwise(maybe))
+            .when(_digits(w), NUMBER)
+            .when(w.isin(*NUMBERS, *UNITS), F.when(w.isin(*UNITS), UNIT).otherwise(NUMBER))
+            .otherwise(w)
+        )
 
-    return F.transform(raw, placed)
+    return F.transform(raw, typed)
 
 
 def window_hashes(t: Column, window: int) -> Column:
@@ -107,9 +111,9 @@ def window_hashes(t: Column, window: int) -> Column:
     return F.when(n >= window, each).when(n > 0, F.array(whole)).otherwise(F.array().cast("array<bigint>"))
 
 
-def all_windows(raw: Column, window: int) -> Column:
-    """array<struct<h, key, p, t>>: windows of the narrow template (t = 0) in order, then those of the wide (1) and the
-    plain one (2) that differ. ``key`` is the hash by the narrow template of the window at place ``p``.
+def all_windows(raw: Column, window: int, *, plain: bool = False) -> Column:
+    """array<struct<h, key, p, t>>: windows of the narrow template (t = 0) in order, then those of the wide (1) and, if
+    ``plain``, of the plain one (2) that differ. ``key`` is the hash by the narrow template of the window at place ``p``.
     """
 
     def listed(narrow: Column, *others: Column) -> Column:
@@ -117,10 +121,12 @@ def all_windows(raw: Column, window: int) -> Column:
         differ = lambda other, t: F.filter(F.transform(other, lambda h, p: one(h, p, t)), lambda x: x["h"] != x["key"])
         return F.concat(F.transform(narrow, lambda h, p: one(h, p, 0)), *[differ(x, t) for t, x in enumerate(others, 1)])
 
-    def hashed(names: tuple[int, ...]) -> Column:
-        return let(template(raw, names), lambda t: window_hashes(t, window))
+    def hashed(kind: int) -> Column:
+        return let(template(raw, kind), lambda t: window_hashes(t, window))
 
-    return let(hashed(NARROW), lambda narrow: let(hashed(WIDE), lambda wide: let(hashed(PLAIN), lambda plain: listed(narrow, wide, plain))))
+    if not plain:
+        return let(hashed(NARROW), lambda narrow: let(hashed(WIDE), lambda wide: listed(narrow, wide)))
+    return let(hashed(NARROW), lambda narrow: let(hashed(WIDE), lambda wide: let(hashed(PLAIN), lambda bare: listed(narrow, wide, bare))))
 
 
 def find_leaks(
@@ -141,7 +147,7 @@ def find_leaks(
     scratch = Scratch(docs.sparkSession)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("item_text"))
     windows = scratch.put(
-        items.select("item", F.explode(let(raw_words(F.col("item_text")), lambda raw: all_windows(raw, window))).alias("w"))
+        items.select("item", F.explode(let(raw_words(F.col("item_text")), lambda raw: all_windows(raw, window, plain=True))).alias("w"))
         .select("item", "w.h", "w.key", (F.col("w.t") > 0).alias("item_wide"))
         .distinct(),
         "windows",
@@ -194,12 +200,12 @@ def _slots(text: Column, item_text: Column, window: int) -> Column:
     pairs only.
     """
 
-    def compare(iraw: Column, iw: Column, ih: Column, raw: Column, *templates: Column) -> Column:
+    def compare(iraw: Column, iw: Column, ih: Column, raw: Column, narrow: Column, wide: Column) -> Column:
         def at(x: Column) -> Column:
             def slot(f: Column, k: Column) -> Column:
-                placed = F.when(x["t"] == 0, F.get(templates[0], x["p"] + k)).when(x["t"] == 1, F.get(templates[1], x["p"] + k)).otherwise(F.get(templates[2], x["p"] + k))
+                placed = F.when(x["t"] == 0, F.get(narrow, x["p"] + k)).otherwise(F.get(wide, x["p"] + k))
                 return F.struct(
-                    (x["p"] - f["p"]).alias("shift"), F.get(iraw, f["p"] + k)["w"].alias("theirs"), F.get(raw, x["p"] + k)["w"].alias("ours"),
+                    (x["p"] - f["p"]).alias("shift"), _bare(F.get(iraw, f["p"] + k)).alias("theirs"), _bare(F.get(raw, x["p"] + k)).alias("ours"),
                     ((x["t"] > 0) | (f["t"] > 0)).alias("wide"), placed.alias("kind"),
                 )
 
@@ -217,12 +223,11 @@ def _slots(text: Column, item_text: Column, window: int) -> Column:
     return bind(
         [
             lambda: raw_words(item_text),
-            lambda iraw: all_windows(iraw, window),
+            lambda iraw: all_windows(iraw, window, plain=True),
             lambda _, iw: F.transform(iw, lambda x: x["h"]),
             lambda *_: raw_words(text),
             lambda *done: template(done[3], NARROW),
             lambda *done: template(done[3], WIDE),
-            lambda *done: template(done[3], PLAIN),
         ],
         compare,
     )

@@ -162,10 +162,10 @@ def typed_words(text):
     return out
 
 
-def template_windows(ws, window):
+def template_windows(ws, window, plain):
     """[(template window, narrow window there, place, number of the template)]: narrow ones, then others that differ."""
     lists = []
-    for names in ({"name"}, {"name", "start"}, set()):
+    for names in ({"name"}, {"name", "start"}, set())[: 3 if plain else 2]:
         t = [f"<{k}>" if k in ("number", "unit") else "<name>" if k in names else w for w, k in ws]
         lists.append([tuple(t[p : p + window]) for p in range(len(t) - window + 1)] if len(t) >= window else [("short", *t)] if t else [])
     return [(h, lists[0][p], p, n) for n, one in enumerate(lists) for p, h in enumerate(one) if n == 0 or h != lists[0][p]]
@@ -176,7 +176,7 @@ def leaks(docs, items, window=5, share=0.8, consistent=0.8):
     found = {}
     for item, item_text in items:
         iws = typed_words(item_text)
-        iw = template_windows(iws, window)
+        iw = template_windows(iws, window, True)
         first = {}
         for x in iw:
             first.setdefault(x[0], x)
@@ -184,7 +184,7 @@ def leaks(docs, items, window=5, share=0.8, consistent=0.8):
         least = math.ceil(n_windows * share - 1e-9)
         for doc, text in docs:
             ws = typed_words(text)
-            hits = [x for x in template_windows(ws, window) if x[0] in first]
+            hits = [x for x in template_windows(ws, window, False) if x[0] in first]
             keys = collections.defaultdict(lambda: True)
             for h, _, _, n in hits:
                 for ih, key, _, m in iw:

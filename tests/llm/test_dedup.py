@@ -3,10 +3,11 @@
 import random
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.llm import components, line_dedup, near_dedup, substring_dedup
+from loomtext.llm import anchors, components, line_dedup, near_dedup, substring_dedup
 from loomtext.llm.common import Scratch
 
 
@@ -151,6 +152,29 @@ def test_substring_dedup_periodic(spark):
     assert got == brute.substring_dedup(texts, 40)
 
 
+def test_anchors_do_not_depend_on_the_text_around():
+    """The strings of a stretch have the same anchors in a short and in a very long text."""
+    rng = np.random.default_rng(4)
+    stretch, long = rng.integers(97, 101, 400).astype(np.uint8), rng.integers(97, 101, 3_000_000).astype(np.uint8)
+    long[1_500_000:1_500_400] = stretch
+    find = anchors.Anchorer(100)
+    short, far = find(stretch), find(long)
+    inside = lambda a, base: {int(x) - base for x, lo, hi in zip(a.at, a.low, a.high) if x - hi >= base and x - lo + 100 <= base + 400}
+    # all but the first and the last run of strings lie wholly inside
+    assert len(set(short.at.tolist()) & inside(far, 1_500_000)) >= len(short.at) - 2
+
+
+def test_substring_dedup_of_a_long_text(spark):
+    """A text of over 2^20 bytes, parts of which come back in short ones and in itself."""
+    rng = random.Random(9)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(2**20 + 5000))
+    texts = [(1, long), (2, "x" + long[700_000:700_250] + "y"), (3, long[-120:]), (4, "z" * 50 + long[10:105])]
+    texts[0] = (1, long + long[5:200])
+    df = spark.createDataFrame(texts, ["doc_id", "text"]).repartition(2)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], len(r["spans"]), r["h"]) for r in substring_dedup.dedup(df, length=100).withColumn("h", F.sha2("kept", 256)).collect()}
+    assert got == brute.substring_dedup(texts, 100) and [got[i][1] for i in (1, 2, 3, 4)] == [195, 250, 120, 0]
+
+
 def test_substring_dedup_edges(docs, repeated, empty):
     assert substring_dedup.dedup(empty).count() == 0
     out = substring_dedup.dedup(repeated, length=100)
