@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language_id, line_dedup, mixing, near_dedup, oracle, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
+from . import byte_bpe, decontaminate, language_id, line_dedup, mixing, near_dedup, oracle, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
 from .common import Scratch, table
 
 URL_RULES = (
@@ -98,7 +98,14 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), packed=True, keep=["doc_id"])
+    n_tokens = F.floor(F.octet_length("ids") / 4).alias("n_tokens")
+    return byte_bpe.decode(encoded).select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
+    "op11_byte_bpe": op11_byte_bpe,
     "op10_substring_dedup": op10_substring_dedup,
     "op4_quality_ranker": op4_quality_ranker,
     "op5_line_dedup": op5_line_dedup,

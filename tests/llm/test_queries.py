@@ -27,6 +27,7 @@ COLUMNS = {
     "op8_decontaminate": {"doc_id": "bigint", "item_id": "bigint", "n_windows": "bigint", "n_matched": "bigint", "n_slots": "bigint", "n_consistent": "bigint"},
     "op9_token_counts": {"source": "string", "lang": "string", "tokenizer_version": "string", "n_docs": "bigint", "n_tokens": "bigint"},
     "op10_substring_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
+    "op11_byte_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
 
@@ -104,6 +105,18 @@ def test_token_totals_as_by_hand(results, tables):
     assert {(r["source"], r["lang"], r["tokenizer_version"]): (r["n_docs"], r["n_tokens"]) for r in results["op9_token_counts"].collect()} == want
 
 
+def test_byte_bpe_as_the_library(results, tables):
+    import tiktoken
+
+    library = tiktoken.Encoding("x", pat_str=token_counts.PATTERN, mergeable_ranks=token_counts.load_ranks(token_counts.RANKS), special_tokens={})
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    want = {}
+    for d, text, *_ in tables[1]:
+        ids = library.encode_ordinary(text or "")
+        want[d] = (len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha((text or "").encode()))
+    assert {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in results["op11_byte_bpe"].collect()} == want
+
+
 def test_pages_as_by_hand(results):
     got = {r["page_id"]: r for r in results["op2_url_filter"].collect()}
     assert len(URL_RULES) == 5 and [got[i]["rule"] for i in range(6)] == ["example.com/en/", "net/es/", "net/fr/", None, "com/", None]
