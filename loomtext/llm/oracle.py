@@ -86,3 +86,47 @@ SELECT d.doc_id, CAST(len(h) / 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0
   sha256(unhex(CASE WHEN c.doc_id IS NULL THEN h ELSE concat(kept, substr(h, CAST(2 * last + 1 AS BIGINT))) END)) AS kept_sha256
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id
 """
+
+#: The checksum of a word is worked out byte by byte from the reversed polynomial.
+IMPORTANCE = rf"""
+WITH t AS (SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab FROM range(256) r(i)),
+d AS (SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+f AS (SELECT x, sum(n) AS n FROM (SELECT doc_id, unnest(w) AS x, 1 AS n FROM d) GROUP BY x),
+g AS (SELECT x, count(*) AS n FROM (SELECT unnest(w) AS x FROM b) GROUP BY x),
+h AS (SELECT x, hex(encode(x)) AS h FROM (SELECT x FROM f UNION SELECT x FROM g)),
+c AS (SELECT x, xor(list_reduce(list_concat([4294967295], list_transform(range(CAST(len(h) / 2 AS BIGINT)), lambda i: CAST(concat('0x', substr(h, 2 * i + 1, 2)) AS BIGINT))),
+  lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket FROM h, t),
+s AS (SELECT bucket, sum(n) AS n FROM f JOIN c USING (x) GROUP BY bucket),
+u AS (SELECT bucket, sum(n) AS n FROM g JOIN c USING (x) GROUP BY bucket),
+z AS (SELECT (SELECT coalesce(sum(n), 0) FROM s) AS S_all, (SELECT coalesce(sum(n), 0) FROM u) AS T_all),
+gain AS (SELECT bucket, CAST(floor(1000.0::DOUBLE * ln(((coalesce(u.n, 0) + 1)::DOUBLE * (S_all + 10000)::DOUBLE) / ((coalesce(s.n, 0) + 1)::DOUBLE * (T_all + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM (SELECT i AS bucket FROM range(10000) r(i)) k LEFT JOIN s USING (bucket) LEFT JOIN u USING (bucket), z),
+m AS (SELECT doc_id, CAST(count(*) AS BIGINT) AS n, sum(gain) AS g FROM (SELECT doc_id, unnest(w) AS x FROM d) JOIN c USING (x) JOIN gain USING (bucket) GROUP BY doc_id),
+v AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(CASE WHEN len(w) = 0 THEN 0 ELSE floor(m.g::DOUBLE / m.n) END AS BIGINT) AS weight,
+  CAST(concat('0x', substr(sha256(concat('2024:', coalesce(CAST(d.doc_id AS VARCHAR), 'null'))), 1, 8)) AS BIGINT) AS h FROM d LEFT JOIN m ON m.doc_id = d.doc_id),
+o AS (SELECT *, weight + CAST(floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score FROM v),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM o WHERE n_features >= 20)
+SELECT o.doc_id, n_features, weight, score, CASE WHEN 100 * r.rank <= 10 * r.n THEN CAST(r.rank AS BIGINT) END AS rank FROM o LEFT JOIN r ON r.doc_id = o.doc_id
+"""
+
+PHRASES = rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, string_split_regex({LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT id, lang, unnest(ps) AS piece, generate_subscripts(ps, 1) AS o FROM d),
+w AS (SELECT id, o, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+x AS (SELECT id, o, lang, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM w),
+y AS (SELECT lang, word AS w1, lead(word, 1) OVER q AS w2, lead(word, 2) OVER q AS w3, lead(word, 3) OVER q AS w4 FROM x WINDOW q AS (PARTITION BY id, o ORDER BY i)),
+g AS (SELECT lang, 1 AS k, w1 AS phrase FROM y UNION ALL SELECT lang, 2, concat(w1, ' ', w2) FROM y WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, concat(w1, ' ', w2, ' ', w3) FROM y WHERE w3 IS NOT NULL UNION ALL SELECT lang, 4, concat(w1, ' ', w2, ' ', w3, ' ', w4) FROM y WHERE w4 IS NOT NULL),
+f AS (SELECT lang, k, phrase, CAST(count(*) AS BIGINT) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, CAST(count(*) AS BIGINT) AS n FROM x GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+u AS (SELECT lang, phrase, a, cut, array_to_string(w[1 : cut], ' ') AS head, array_to_string(w[cut + 1 : k], ' ') AS tail FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+s AS (SELECT u.lang, u.phrase, u.a, u.cut, l.f AS l, r.f AS r, CAST((2000000::HUGEINT * u.a) // (l.f::HUGEINT + r.f) AS BIGINT) AS score
+  FROM u JOIN f l ON l.lang = u.lang AND l.phrase = u.head JOIN f r ON r.lang = u.lang AND r.phrase = u.tail),
+m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+b AS (SELECT lang, array_to_string(w[o : o + j - 1], ' ') AS phrase, max(a) AS longer FROM c, range(2, 4) y(j), range(1, 4) z(o) WHERE j < k AND o + j - 1 <= k GROUP BY ALL),
+e AS (SELECT m.* FROM m LEFT JOIN b ON b.lang = m.lang AND b.phrase = m.phrase WHERE b.phrase IS NULL OR 100::HUGEINT * b.longer < 80::HUGEINT * m.a)
+SELECT e.lang, CAST(row_number() OVER (PARTITION BY e.lang ORDER BY score DESC, a DESC, phrase) AS BIGINT) AS rank, phrase, a, l, r, n, score FROM e JOIN n ON n.lang = e.lang
+QUALIFY row_number() OVER (PARTITION BY e.lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, decontaminate, language_id, line_dedup, mixing, near_dedup, oracle, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
+from . import byte_bpe, decontaminate, importance, language_id, line_dedup, mixing, near_dedup, oracle, phrases, quality_ranker, quality_rules, substring_dedup, token_counts, url_filter
 from .common import Scratch, table
 
 URL_RULES = (
@@ -104,7 +104,19 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.decode(encoded).select("doc_id", n_tokens, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"), max_words=4, min_count=30, covered_percent=80, top=2000)
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    drawn = importance.resample(docs, benchmark, ngrams=1, buckets=10_000, percent=10, min_words=20, seed="2024", keep=["doc_id"])
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
+    "op12_phrases": op12_phrases,
+    "op13_importance_resample": op13_importance_resample,
     "op11_byte_bpe": op11_byte_bpe,
     "op10_substring_dedup": op10_substring_dedup,
     "op4_quality_ranker": op4_quality_ranker,
@@ -124,4 +136,6 @@ ORACLES: dict[str, str] = {
     "op5_line_dedup": oracle.LINES,
     "op7_near_dedup": oracle.NEAR,
     "op10_substring_dedup": oracle.SUBSTRINGS,
+    "op12_phrases": oracle.PHRASES,
+    "op13_importance_resample": oracle.IMPORTANCE,
 }

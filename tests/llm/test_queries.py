@@ -28,6 +28,8 @@ COLUMNS = {
     "op9_token_counts": {"source": "string", "lang": "string", "tokenizer_version": "string", "n_docs": "bigint", "n_tokens": "bigint"},
     "op10_substring_dedup": {"doc_id": "bigint", "n_bytes": "bigint", "n_removed": "bigint", "n_spans": "bigint", "kept_sha256": "string"},
     "op11_byte_bpe": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op12_phrases": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
+    "op13_importance_resample": {"doc_id": "bigint", "n_features": "bigint", "weight": "bigint", "score": "bigint", "rank": "bigint"},
 }
 
 
@@ -55,7 +57,7 @@ def results(spark, tables):
 def test_columns(results, tables, name):
     assert dict(results[name].dtypes) == COLUMNS[name]
     per_row = {"op2_url_filter": 6}.get(name, len(tables[1]))
-    assert name in ("op8_decontaminate", "op9_token_counts") or results[name].count() == per_row
+    assert name in ("op8_decontaminate", "op9_token_counts", "op12_phrases") or results[name].count() == per_row
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
