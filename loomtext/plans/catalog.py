@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 
 from loomtext.functions import lexicons as L
 from loomtext.functions.text import content_id
-from loomtext.operators import aggregate, chunk, classify, evaluate, extract, filters, generate, graph, rank, relational, score, validate, vector
+from loomtext.operators import aggregate, chunk, classify, evaluate, extract, filters, generate, graph, lexicon_scan, rank, relational, score, validate, vector
 from loomtext.plans import oracles as O
 from loomtext.sources import web
 from loomtext.sources.scratch import durable
@@ -41,18 +41,14 @@ C = O.CORPUS
 
 @query(f"{C} SELECT dimension, value, count(*) AS n FROM (SELECT 'legal_area' AS dimension, {O.first_of(O.opening(2000), L.LEGAL_AREAS, 'general')} AS value FROM legal_corpus UNION ALL SELECT 'source_type', {O.SOURCE_TYPE} FROM legal_corpus UNION ALL SELECT 'jurisdiction', {O.first_of(O.opening(1000), L.JURISDICTIONS, 'england_wales')} FROM legal_corpus UNION ALL SELECT 'tax_domain', {O.best_of(O.opening(2000), L.TAX_DOMAINS, 'general')} FROM legal_corpus) GROUP BY dimension, value")
 def class_histograms(spark, sf_dir):
-    docs = legal_corpus(spark, sf_dir).select(
-        classify.legal_area(F.col("title"), F.col("content")).alias("legal_area"), classify.source_type(F.col("title"), F.col("content")).alias("source_type"),
-        classify.jurisdiction(F.col("title"), F.col("content")).alias("jurisdiction"), classify.tax_domain(F.col("title"), F.col("content")).alias("tax_domain"),
-    )
-    return aggregate.histograms(docs, ["legal_area", "source_type", "jurisdiction", "tax_domain"])
+    names = ["legal_area", "source_type", "jurisdiction", "tax_domain"]
+    return aggregate.histograms(lexicon_scan.classified(legal_corpus(spark, sf_dir).select("title", "content"), names), names)
 
 
 @query(f"{C} SELECT doc_id, {O.SOURCE_TYPE} AS source_type, {O.first_of(O.opening(1000), L.JURISDICTIONS, 'england_wales')} AS jurisdiction, {O.first_of(O.opening(2000), L.LEGAL_AREAS, 'general')} AS legal_area FROM legal_corpus")
 def legal_classes(spark, sf_dir):
-    return legal_corpus(spark, sf_dir).select(
-        "doc_id", classify.source_type(F.col("title"), F.col("content")).alias("source_type"), classify.jurisdiction(F.col("title"), F.col("content")).alias("jurisdiction"), classify.legal_area(F.col("title"), F.col("content")).alias("legal_area")
-    )
+    found = lexicon_scan.classified(legal_corpus(spark, sf_dir).select("doc_id", "title", "content"), ["source_type", "jurisdiction", "legal_area"])
+    return found.select("doc_id", "source_type", "jurisdiction", "legal_area")
 
 
 # the document types and their words (fixed values)
@@ -759,4 +755,5 @@ def star_approximate(spark, sf_dir):
 
 # the queries of the other modules are registered by their import
 from loomtext.plans import catalog_answers as catalog_answers  # noqa: E402
+from loomtext.plans import catalog_connectors as catalog_connectors  # noqa: E402
 from loomtext.plans import catalog_sources as catalog_sources  # noqa: E402

@@ -15,6 +15,8 @@ from loomtext.operators.extract import clean_lines, links
 from loomtext.operators.filters import case_url
 from loomtext.operators.graph import reachable
 from loomtext.operators.rank import keep_first
+from loomtext.sources.limits import RateLimiter, with_retries
+from loomtext.sources.scratch import durable as written
 
 #: Elements whose text is page furniture.
 SKIPPED = ("script", "style", "nav", "footer", "aside")
@@ -177,21 +179,35 @@ def api_or_search(api: DataFrame, fallback: DataFrame) -> DataFrame:
 ITEM_FORMATS = (("xml", "/data.xml"), ("html", ""))
 
 
-def download_items(items: DataFrame, fetch, *, formats=ITEM_FORMATS) -> DataFrame:
+def download_items(
+    items: DataFrame, fetch, *, formats=ITEM_FORMATS, calls: int = 0, per_seconds: float = 60.0, gap: float = 0.0, tries: int = 3, pause: float = 1.0, durable=None
+) -> DataFrame:
     """(id, format, content) of items (id, url): what an injected ``fetch(url) -> (status, text)`` gives with status 200,
     the text of the page, and a metadata record of what is there. Items without an address, or of which nothing is there, give none.
+
+    What is fetched is written once, when the function is called, and everything else is worked out from that, so each
+    address is asked once for each format. A task makes at most ``calls`` calls in ``per_seconds`` (0: no limit) with
+    ``gap`` seconds between them, and asks again after an OSError, ``tries`` times in all; then the task fails.
     """
     asked = items.where(F.coalesce("url", F.lit("")) != "").select(
         "id", "url", F.explode(F.array(*[F.struct(F.lit(f).alias("format"), F.concat("url", F.lit(tail)).alias("address")) for f, tail in formats])).alias("f")
     ).select("id", "url", "f.*")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        limiter = RateLimiter(calls, per_seconds, gap) if calls else None
+
+        def ask(address: str):
+            if limiter:
+                limiter.wait()
+            return with_retries(lambda: fetch(address), tries=tries, pause=pause)
+
         for b in batches:
-            got = [fetch(a) for a in b["address"]]
+            got = [ask(a) for a in b["address"]]
             kept = b.assign(content=[text if status == 200 else None for status, text in got]).dropna(subset=["content"])
             yield kept[["id", "url", "format", "content"]]
 
     found = asked.mapInPandas(run, f"id {items.schema['id'].dataType.simpleString()}, url string, format string, content string")
+    found = (durable or written(items.sparkSession))(found)
     texts = found.where("format = 'html'").withColumn("format", F.lit("text")).withColumn("content", clean_lines(html_text("content")))
     both = found.unionByName(texts)
     records = both.groupBy("id", "url").agg(F.sort_array(F.collect_set("format")).alias("formats"))
@@ -241,7 +257,8 @@ def api_first(api: Column, html: Column) -> Column:
 class SearchPages(DataSource):
     """A paginated search as a table: ``spark.dataSource.register(SearchPages.with_fetch(fn))``, then
     ``spark.read.format("search_pages").option("pages", 50).load()``. ``fetch(start, count)`` returns a list of
-    (title, link, description, format); an empty page or an error ends a range. One partition reads one range."""
+    (title, link, description, format); an empty page ends a range, and an OSError is tried again, ``tries`` times in all
+    with growing pauses from ``pause`` seconds on, and then fails the task. One partition reads one range."""
 
     fetch: Callable[[int, int], list[tuple]] | None = None
 
@@ -257,7 +274,7 @@ class SearchPages(DataSource):
         return "title string, link string, description string, format string"
 
     def reader(self, schema) -> DataSourceReader:
-        return _SearchReader(type(self).fetch, int(self.options.get("pages", 10)), int(self.options.get("count", 100)), int(self.options.get("partitions", 4)))
+        return _SearchReader(type(self).fetch, int(self.options.get("pages", 10)), int(self.options.get("count", 100)), int(self.options.get("partitions", 4)), int(self.options.get("tries", 3)), float(self.options.get("pause", 1.0)))
 
 
 class _Range(InputPartition):
@@ -267,8 +284,8 @@ class _Range(InputPartition):
 
 
 class _SearchReader(DataSourceReader):
-    def __init__(self, fetch, pages: int, count: int, partitions: int):
-        self.fetch, self.pages, self.count, self.n = fetch, pages, count, partitions
+    def __init__(self, fetch, pages: int, count: int, partitions: int, tries: int, pause: float):
+        self.fetch, self.pages, self.count, self.n, self.tries, self.pause = fetch, pages, count, partitions, tries, pause
 
     def partitions(self):
         step = max(1, -(-self.pages // self.n))
@@ -276,10 +293,7 @@ class _SearchReader(DataSourceReader):
 
     def read(self, partition: _Range) -> Iterator[tuple]:
         for page in range(partition.first, partition.last):
-            try:
-                rows = self.fetch(page * self.count, self.count)
-            except OSError:
-                return
+            rows = with_retries(lambda at=page * self.count: self.fetch(at, self.count), tries=self.tries, pause=self.pause)
             if not rows:
                 return
             yield from rows
