@@ -18,7 +18,6 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
-from pyspark.sql.types import DoubleType, StructField, StructType
 
 from . import vector as V
 
@@ -61,7 +60,7 @@ class CellIndex:
 
         Up to ``broadcast_queries`` queries go to the vectors; beyond that both sides are joined by cell.
         """
-        out = StructType([queries.schema[query], StructField(item, self.vectors(item_type, item).schema[item].dataType), StructField("score", DoubleType())])
+        out = f"{query} {queries.schema[query].dataType.simpleString()}, {item} {item_type}, score double"
         if not len(self.centres):
             return self.spark.createDataFrame([], out)
         if queries.limit(broadcast_queries + 1).count() > broadcast_queries:
