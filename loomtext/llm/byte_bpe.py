@@ -27,10 +27,10 @@ from .common import fresh
 from .token_counts import PATTERN, RANKS
 
 #: Characters of a pre-token that may be kept in the table, and entries of the table.
-LONGEST_KNOWN, MAX_KNOWN = 40, 600_000
+LONGEST_KNOWN, MAX_KNOWN = 40, 300_000
 #: Characters of texts that are encoded together, and bytes of new pre-tokens that are merged together; one text, or
 #: pre-token, more is taken whole.
-HELD_CHARS, MERGED_BYTES = 1 << 20, 1 << 17
+HELD_CHARS, MERGED_BYTES = 1 << 23, 1 << 21
 #: Stands for a character that is neither letter, number nor space (private use).
 OTHER = "\ue000"
 #: One encoder for each vocabulary in a Python worker.
@@ -46,91 +46,112 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Merger:
     """Encodes pre-tokens, given as bytes, by the ranks of a vocabulary: many at once, as stretches of one linked list.
 
-    ``buckets[r]`` holds positions whose pair has, or had, rank r. Bit b of ``leaves[w]`` says that bucket
-    ``(w << bits) + b`` holds something, and bit w of the top word that ``leaves[w]`` is not 0.
+    A token is known by its rank. All positions of the lowest rank are merged together, but of overlapping pairs every
+    other one, from the left, and none behind one in its pre-token that opens a pair of still lower rank.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.single = ranks, [bytes([i]) for i in range(256)]
-        n = max(ranks.values(), default=0) + 1
-        self.bits = (n.bit_length() + 1) // 2
-        self.words = (n >> self.bits) + 1
-        self.byte_pairs = np.full(1 << 16, -1, "int64")
-        for token, rank in ranks.items():
-            if len(token) == 2:
-                self.byte_pairs[token[0] << 8 | token[1]] = rank
-
-    def __call__(self, pieces: list[bytes]) -> list[list[int]]:
-        rank_of, bits = self.ranks.get, self.bits
-        low, blob = (1 << bits) - 1, b"".join(pieces)
-        n = len(blob)
-        ends = np.cumsum([len(p) for p in pieces])
-        codes = np.frombuffer(blob, "u1").astype("int64")
-        first = np.append(self.byte_pairs[codes[:-1] << 8 | codes[1:]], -1)
-        first[ends - 1] = -1  # nothing merges across pre-tokens
-        links = np.arange(-1, n + 1)
-        links_after, links_before = links[2:].copy(), links[:-2].copy()
-        links_after[ends - 1] = n
-        links_before[ends[:-1]] = -1
-        token = [self.single[c] for c in blob]
-        after, before, pair = links_after.tolist(), links_before.tolist(), first.tolist()
-        order = np.argsort(first, kind="stable")
-        order = order[np.searchsorted(first[order], 0) :]
-        found, starts = np.unique(first[order], return_index=True)
-        buckets = dict(zip(found.tolist(), (x.tolist() for x in np.split(order, starts[1:])), strict=False)) if len(found) else {}
-        leaves, top = [0] * self.words, 0
-        for rank in buckets:
+        self.ranks = ranks
+        self.single = np.array([ranks.get(bytes([i]), -1) for i in range(256)], "int64")
+        size = max(ranks.values(), default=0) + 1
+        self.bits = (size.bit_length() + 1) // 2
+        self.words = (size >> self.bits) + 1
+        found = [(ranks[t[:i]] << 32 | ranks[t[i:]], rank) for t, rank in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks]
+        keys, self.pair_ranks = np.array(sorted(found), "int64").reshape(-1, 2).T.copy()
+        self.pair_keys = np.append(keys, np.iinfo("int64").max)
+        self.pair_ranks = np.append(self.pair_ranks, -1)
+
+    def _rank(self, left: np.ndarray | int, right: np.ndarray | int) -> np.ndarray:
+        """Ranks of pairs of tokens, -1 where there is none."""
+        key = left << 32 | right
+        at = np.searchsorted(self.pair_keys, key)
+        return np.where(self.pair_keys[at] == key, self.pair_ranks[at], -1)
+
+    def __call__(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pre-tokens, one after the other, and how many each has."""
+        bits, low = self.bits, (1 << self.bits) - 1
+        lengths = np.array([len(p) for p in pieces], "int64")
+        n = int(lengths.sum())
+        ends = np.cumsum(lengths)
+        token = np.append(self.single[np.frombuffer(b"".join(pieces), "u1")], (1 << 31) - 1)  # the last one stands for no token
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1] = n  # nothing merges across pre-tokens
+        before[ends[:-1]] = -1
+        pair = np.append(self._rank(token[:n], token[after[:n]]), -1)  # rank of the pair that begins at a position now, or -1
+
+        first = np.argsort(pair[:n], kind="stable")
+        first = first[np.searchsorted(pair[first], 0) :]
+        found, starts = np.unique(pair[first], return_index=True)
+        early = dict(zip(found.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(first)], strict=True), strict=True)) if len(found) else {}
+        late: dict[int, list[int]] = {}  # buckets: early ones as stretches of ``first``, later entries as lists
+        leaves, top = [0] * self.words, 0  # bit b of leaves[w]: bucket (w << bits) + b holds something; bit w of top: leaves[w] does
+        for rank in early:
             leaves[rank >> bits] |= 1 << (rank & low)
             top |= 1 << (rank >> bits)
         while top:
-            high = (top & -top).bit_length() - 1
+            high = (top & -top).bit_length() - 1  # first set bits give the lowest rank
             bit = leaves[high] & -leaves[high]
             leaves[high] ^= bit
             if not leaves[high]:
                 top ^= 1 << high
             rank = (high << bits) + bit.bit_length() - 1
-            bucket = buckets.pop(rank)
-            bucket.sort()  # leftmost first
-            for place, at in enumerate(bucket):
-                if pair[at] != rank:
-                    continue  # stale: one of the two is part of another token now
-                gone, left = after[at], before[at]
-                mine = token[at] = token[at] + token[gone]
-                token[gone], pair[gone] = None, -1
-                after[at] = end = after[gone]
-                lowest = rank
-                if end < n:
-                    before[end] = at
-                    new = pair[at] = rank_of(mine + token[end], -1)
-                    if new >= 0:
-                        if new < lowest:
-                            lowest = new
-                        if new in buckets:
-                            buckets[new].append(at)
-                        else:
-                            buckets[new] = [at]
-                            leaves[new >> bits] |= 1 << (new & low)
-                            top |= 1 << (new >> bits)
+            at = late.pop(rank, None)
+            if rank in early:
+                a, b = early.pop(rank)
+                at = first[a:b] if at is None else np.concatenate([first[a:b], np.array(at)])
+            else:
+                at = np.array(at)
+            at = at[pair[at] == rank]  # entries whose pair has changed are stale
+            if not len(at):
+                continue
+            at.sort()
+            at = at[self._apart(at, after[at])]
+            gone, left = after[at], before[at]
+            end = after[gone]
+            right_new, left_new = self._rank(rank, token[end]), self._rank(token[left], rank)
+            touching = np.append(end[:-1] == at[1:], False)
+            lower = ((right_new >= 0) & (right_new < rank)) | ((left_new >= 0) & (left_new < rank))
+            rest = at[:0]
+            if touching.any() and -1 < self._rank(rank, np.array([rank]))[0] < rank:
+                lower |= touching
+            if lower.any():
+                piece, behind = np.searchsorted(ends, at, "right"), np.cumsum(lower) - lower
+                opens = np.append(True, np.diff(piece) > 0)
+                keep = behind == np.maximum.accumulate(np.where(opens, behind, 0))
+                rest = at[~keep]
+                at, gone, left, end, right_new, left_new, touching = (x[keep] for x in (at, gone, left, end, right_new, left_new, touching))
+            token[at], token[gone], pair[gone] = rank, -1, -1
+            after[at] = end
+            before[end] = at
+            if touching.any():  # neighbours have changed
+                left = before[at]
+                right_new, left_new = self._rank(rank, token[end]), self._rank(token[left], rank)
+                left = np.where(np.append(False, left[1:] == at[:-1]), -1, left)
+            left_new, left = left_new[left >= 0], left[left >= 0]
+            pair[at], pair[left] = right_new, left_new
+            new, changed = np.concatenate([right_new, left_new]), np.concatenate([at, left])
+            known = new >= 0
+            pushed = zip(new[known].tolist(), changed[known].tolist(), strict=True)
+            for r, where in (*pushed, *((rank, p) for p in rest.tolist())):
+                if r in late:
+                    late[r].append(where)
                 else:
-                    pair[at] = -1
-                if left >= 0:
-                    new = pair[left] = rank_of(token[left] + mine, -1)
-                    if new >= 0:
-                        if new < lowest:
-                            lowest = new
-                        if new in buckets:
-                            buckets[new].append(left)
-                        else:
-                            buckets[new] = [left]
-                            leaves[new >> bits] |= 1 << (new & low)
-                            top |= 1 << (new >> bits)
-                if lowest < rank:  # it comes first
-                    buckets[rank] = bucket[place + 1 :]
-                    leaves[high] |= bit
-                    top |= 1 << high
-                    break
-        begins = [0, *ends.tolist()]
-        return [[self.ranks[t] for t in token[a:b] if t is not None] for a, b in zip(begins, begins[1:], strict=False)]
+                    late[r] = [where]
+                    leaves[r >> bits] |= 1 << (r & low)
+                    top |= 1 << (r >> bits)
+        token = token[:n]
+        alive = token >= 0
+        return token[alive], np.diff(np.append(0, np.cumsum(alive)[ends - 1]))
+
+    @staticmethod
+    def _apart(at: np.ndarray, gone: np.ndarray) -> np.ndarray:
+        """Of pairs that overlap in a chain, every other one."""
+        joined = np.append(False, gone[:-1] == at[1:])
+        if not joined.any():
+            return ~joined
+        place = np.arange(len(at))
+        begin = np.maximum.accumulate(np.where(joined, 0, place))
+        return (place - begin) % 2 == 0
 
 
 def splitter() -> Callable[[str], list[str]]:
@@ -165,15 +186,16 @@ def splitter() -> Callable[[str], list[str]]:
 
 
 class Known(dict):
-    """Packed ids by pre-token; those that are asked for and not known are noted."""
+    """Numbers of the pre-tokens met; a new one gets the next number."""
 
     def __init__(self):
         super().__init__()
-        self.unknown: dict[str, None] = {}
+        self.new: list[str] = []
 
-    def __missing__(self, piece: str) -> bytes:
-        self.unknown[piece] = None
-        return b""
+    def __missing__(self, piece: str) -> int:
+        number = self[piece] = len(self)
+        self.new.append(piece)
+        return number
 
 
 class Encoder:
@@ -181,59 +203,66 @@ class Encoder:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks, self.pieces, self.merge = ranks, splitter(), Merger(ranks)
-        self.known = Known()
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        rows, size = [], 0
-        for piece in pieces:
-            raw = piece.encode()
-            whole = self.ranks.get(raw)
-            if whole is not None:
-                self.known[piece] = whole.to_bytes(4, "little")
-                continue
-            rows.append((piece, raw))
-            size += len(raw)
-            if size >= MERGED_BYTES:
-                self._merge(rows)
-                rows, size = [], 0
-        if rows:
-            self._merge(rows)
+        self._reset([], [])
 
-    def _merge(self, rows: list[tuple[str, bytes]]) -> None:
-        merged = self.merge([raw for _, raw in rows])
-        packed = np.fromiter((i for ids in merged for i in ids), "<u4").tobytes()
-        at = 0
-        for (piece, _), ids in zip(rows, merged, strict=True):
-            self.known[piece] = packed[at : at + 4 * len(ids)]
-            at += 4 * len(ids)
+    def _reset(self, pieces: list[str], packed: list[bytes]) -> None:
+        self.known, self.packed = Known(), packed
+        self.known.update(zip(pieces, range(len(pieces)), strict=True))
+        self.uses = np.zeros(len(pieces), "int64")
 
     def __call__(self, texts: Iterable[str | None]) -> Iterator[bytes]:
         """The packed ids of each text; texts are taken in stretches of bounded size."""
-        held: list[list[str]] = []
+        held: list[np.ndarray] = []
         size = 0
         for text in texts:
-            held.append(self.pieces(text or ""))
+            pieces = self.pieces(text or "")
+            held.append(np.fromiter(map(self.known.__getitem__, pieces), "int32", len(pieces)))
             size += len(text or "")
             if size >= HELD_CHARS:
                 yield from self._packed(held)
                 held, size = [], 0
         yield from self._packed(held)
 
-    def _packed(self, held: list[list[str]]) -> Iterator[bytes]:
-        known = self.known
-        if len(known) > MAX_KNOWN:
-            known.clear()
-        done = [b"".join([known[p] for p in pieces]) for pieces in held]
-        if known.unknown:
-            new, known.unknown = known.unknown, {}
-            self._learn(new)
-            for at, pieces in enumerate(held):
-                if not new.keys().isdisjoint(pieces):
-                    done[at] = b"".join([known[p] for p in pieces])
-            for piece in new:
-                if len(piece) > LONGEST_KNOWN:
-                    del known[piece]
-        yield from done
+    def _packed(self, held: list[np.ndarray]) -> Iterator[bytes]:
+        self._learn()
+        for numbers in held:
+            yield b"".join(map(self.packed.__getitem__, numbers.tolist()))
+        if held and len(self.known) > MAX_KNOWN:
+            self._forget(np.bincount(np.concatenate(held), minlength=len(self.known)))
+
+    def _learn(self) -> None:
+        """Work out the ids of the new pre-tokens, in the order of their numbers."""
+        rows: list[bytes] = []
+        size = 0
+        for piece in self.known.new:
+            rows.append(piece.encode())
+            size += len(rows[-1])
+            if size >= MERGED_BYTES:
+                self._merge(rows)
+                rows, size = [], 0
+        if rows:
+            self._merge(rows)
+        self.known.new = []
+
+    def _merge(self, rows: list[bytes]) -> None:
+        whole = [self.ranks.get(r) for r in rows]
+        apart = [r for r, w in zip(rows, whole, strict=True) if w is None]
+        cut: Iterator[bytes] = iter(())
+        if apart:
+            ids, sizes = self.merge(apart)
+            blob, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(sizes)).tolist()
+            cut = (blob[a:b] for a, b in zip([0, *ends], ends, strict=False))
+        self.packed += [next(cut) if w is None else w.to_bytes(4, "little") for w in whole]
+
+    def _forget(self, used: np.ndarray) -> None:
+        """Keep the half of the table that is used most and is short."""
+        self.uses = used + np.append(self.uses, np.zeros(len(used) - len(self.uses), "int64")) // 2
+        pieces = list(self.known)
+        best = np.argsort(-self.uses, kind="stable")[: MAX_KNOWN // 2].tolist()
+        kept = [i for i in best if len(pieces[i]) <= LONGEST_KNOWN]
+        uses = self.uses[kept]
+        self._reset([pieces[i] for i in kept], [self.packed[i] for i in kept])
+        self.uses = uses
 
 
 def _mapped(df: DataFrame, source: str, out: str, kind: DataType, keep: list[str] | None, make: Callable[[], Callable[[Iterable], Iterable]]) -> DataFrame:

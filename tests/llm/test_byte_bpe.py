@@ -71,17 +71,19 @@ def test_a_new_pair_of_lower_rank_comes_first():
         ranks = {t: i for i, t in enumerate(order)}
         pieces = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(2, 25))) for _ in range(30)]
         pieces = [p for p in pieces if p not in ranks]
-        assert byte_bpe.Merger(ranks)(pieces) == [plain_merge(p, ranks) for p in pieces]
+        ids, sizes = byte_bpe.Merger(ranks)(pieces)
+        ends = sizes.cumsum()
+        assert [ids[e - n : e].tolist() for e, n in zip(ends, sizes, strict=True)] == [plain_merge(p, ranks) for p in pieces]
 
 
 def test_the_table_of_known_pieces_is_bounded(library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "MAX_KNOWN", 5)
+    monkeypatch.setattr(byte_bpe, "MAX_KNOWN", 6)
     monkeypatch.setattr(byte_bpe, "HELD_CHARS", 10)
     monkeypatch.setattr(byte_bpe, "MERGED_BYTES", 8)
     encoder = byte_bpe.Encoder(byte_bpe.read_ranks(RANKS))
     texts = ["one two three zzqx zzqy", None, "", "zzqx zzqy four " + "q" * 60, "zzqx"]
     assert [ids(x) for x in encoder(texts)] == [library(t or "") for t in texts]
-    assert all(len(p) <= byte_bpe.LONGEST_KNOWN for p in encoder.known)
+    assert len(encoder.known) <= 6 and all(len(p) <= byte_bpe.LONGEST_KNOWN for p in encoder.known) and len(encoder.packed) == len(encoder.known)
 
 
 def test_columns_rows_and_round_trip(docs, repeated, empty, rows, library):
