@@ -3,14 +3,16 @@
 Texts are cut into pieces and words, and runs of pieces into segments of about ``SEGMENT_WORDS`` words. A word has one list
 of positions in each segment, and the lengths of its lists add up to its exact frequency. Frequent words and phrases are
 extended level by level: in each segment the list of a phrase is merge-joined with the lists of the words that stand
-next to its occurrences, which gives the lists of the longer phrases; their lengths are summed over all segments, and
-the lists of those below ``min_count`` go. A gap between pieces keeps phrases inside them. A segment is one group of
-bounded size, so a hot word is as many lists as there are segments and never one group.
+next to its occurrences, which gives the lists of the longer phrases; their lengths go to buckets by a hash of the phrase,
+are summed there over all segments, and a segment hears which of its phrases are frequent. Between levels a segment keeps
+the lists of its words and the phrases, and forms the phrases' lists again. A gap between pieces keeps phrases inside them.
+Segments and buckets are groups of bounded size, a hot word or phrase is one list in each segment and never one group.
+Lists travel packed, one row for each segment, or segment and bucket.
 
 Every part of a frequent phrase is frequent, so its frequency is known. Cutting a candidate in two gives a score by
 exact decimal arithmetic, the lowest cut counts, and candidates that mostly occur inside a longer one are dropped.
 
-Terms and phrases are counted as written; up to ``broadcast_rows`` they are broadcast to the lists, beyond that it is an
+Frequent words are counted as written; up to ``broadcast_rows`` they are broadcast to the lists, beyond that it is an
 ordinary join.
 
 Defined results: null and empty texts have no words; a null language is ``und``; rows that share an id, and repeated
@@ -38,7 +40,11 @@ _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else 10 if b in _PIECE_ENDS else 32 if b == 9 else b for b in range(256))
 _GAP, _NOTHING = -1, -2
 _LISTS = "seg long, lang string, word string, n long, positions binary"
-_EXTENDED = "seg long, left long, right long, n long, positions binary"
+_PACKED = "seg long, level int, a binary, b binary, c binary"
+_COUNTED = "bucket long, seg long, a binary, b binary, c binary"
+_FOUND = "seg long, level int, a binary, b binary, c binary, left long, right long, id long, f long"
+#: Words of the corpus for each bucket of phrases; a bucket has as many rows at most, and the fewest buckets.
+BUCKET_WORDS, LEAST_BUCKETS = 1 << 23, 64
 
 
 def _binaries(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -134,82 +140,152 @@ def word_lists(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang
     return docs.select(F.col(text_col).alias("t"), F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("l")).mapInArrow(run, _LISTS)
 
 
-def extend(lists: DataFrame, k: int) -> DataFrame:
-    """(seg, left, right, n, positions): the lists of phrases of k + 1 words from those of k words and of words.
+def _pack(values: np.ndarray, kind: str) -> bytes:
+    """Numbers as compressed bytes, behind the size that they have without."""
+    raw = np.ascontiguousarray(values, kind).tobytes()
+    return len(raw).to_bytes(8, "little") + (pa.compress(raw, "zstd", asbytes=True) if raw else b"")
 
-    ``lists`` has seg, id, of_word (else of a phrase) and positions; for k = 1 words are the phrases.
+
+def _unpack(packed: bytes, kind: str) -> np.ndarray:
+    size = int.from_bytes(packed[:8], "little")
+    return np.frombuffer(pa.decompress(packed[8:], size, "zstd", asbytes=True) if size else b"", kind)
+
+
+def pack_words(lists: DataFrame) -> DataFrame:
+    """One row (seg, level 1, ids, sizes, positions) for each segment, from the rows (seg, id, positions) of its words."""
+
+    def one_segment(rows: pa.Table) -> pa.Table:
+        positions, sizes = _positions(rows.column("positions"))
+        packed = [_pack(rows.column("id").to_numpy(), "<i8"), _pack(sizes, "<i4"), _pack(positions, "<i4")]
+        columns = [pa.array([rows.column("seg")[0].as_py()]), pa.array([1], pa.int32()), *[pa.array([x], pa.binary()) for x in packed]]
+        return pa.table(columns, ["seg", "level", "a", "b", "c"])
+
+    return lists.groupBy("seg").applyInArrow(one_segment, _PACKED)
+
+
+class _Lists:
+    """Lists of phrases in a segment: their numbers, and all places with the list that each belongs to, by place."""
+
+    def __init__(self, ids: np.ndarray, at: np.ndarray, owner: np.ndarray):
+        self.ids, self.at, self.owner = ids, at, owner
+
+    def joined(self, words: _Lists, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge join of places with the words ``k`` further on: (phrase list, word list, place), by place."""
+        place = np.searchsorted(words.at, self.at + k)
+        hit = np.flatnonzero(place < len(words.at))
+        hit = hit[words.at[place[hit]] == self.at[hit] + k]
+        if k > 1:  # the last k words have to be a frequent phrase, too
+            suffix = np.searchsorted(self.at, self.at[hit] + 1)
+            inside = suffix < len(self.at)
+            hit = hit[inside][self.at[suffix[inside]] == self.at[hit[inside]] + 1]
+        return self.owner[hit], words.owner[place[hit]], self.at[hit]
+
+    def longer(self, words: _Lists, k: int, left: np.ndarray, right: np.ndarray, ids: np.ndarray) -> _Lists:
+        """The lists of the phrases ``ids`` of k + 1 words, each a phrase ``left`` and a word ``right``."""
+        head, tail, at = self.joined(words, k)
+        order = np.lexsort((right, left))
+        left, right, ids = left[order], right[order], ids[order]
+        heads, tails = self.ids[head], words.ids[tail]
+        known = np.searchsorted(left, heads, "left"), np.searchsorted(left, heads, "right")
+        # words are numbered anew, so that phrase and word make one number
+        _, codes = np.unique(np.concatenate([right, tails]), return_inverse=True)
+        width = int(codes.max(initial=0)) + 1
+        starts = np.searchsorted(left, left, "left")
+        place = np.searchsorted(starts * width + codes[: len(right)], known[0] * width + codes[len(right) :])
+        held = np.flatnonzero((known[0] < known[1]) & (place < len(ids)))
+        held = held[(left[place[held]] == heads[held]) & (right[place[held]] == tails[held])]
+        return _Lists(ids, at[held], place[held])
+
+
+def extend(segments: DataFrame, k: int, buckets: int) -> DataFrame:
+    """(bucket, seg, left, right, n packed): how often each phrase of k words is followed by a word, in each segment.
+
+    ``segments`` has for each segment the packed lists of words (level 1), and phrases of 2 to k words: left, right, id.
     """
 
     def one_segment(rows: pa.Table) -> pa.Table:
-        of_word = rows.column("of_word").to_numpy()
-        ids = rows.column("id").to_numpy()
-        words = rows.filter(pa.array(of_word))
-        at, sizes = _positions(words.column("positions"))
+        level = rows.column("level").to_numpy()
+        cells = [rows.column(c).to_pylist() for c in "abc"]
+        read = lambda n, c, kind: np.concatenate([np.empty(0, kind), *[_unpack(cells[c][i], kind) for i in np.flatnonzero(level == n)]])
+        at, sizes = read(1, 2, "<i4").astype("int64"), read(1, 1, "<i4")
         order = np.argsort(at)
-        at, who = at[order], np.repeat(np.arange(len(sizes)), sizes)[order]
-        word_ids, phrase_ids = ids[of_word], ids[of_word] if k == 1 else ids[~of_word]
-        if k > 1:
-            begins, sizes = _positions(rows.filter(pa.array(~of_word)).column("positions"))
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            order = np.argsort(begins)
-            begins, owner = begins[order], owner[order]
-        else:
-            begins, owner = at, who
-        place = np.searchsorted(at, begins + k)  # both sides rise: a merge join of occurrences and adjacent postings
-        hit = at[np.minimum(place, len(at) - 1)] == begins + k if len(at) else np.zeros(len(begins), bool)
-        if k > 1:  # the last k words are a frequent phrase, too
-            suffix = np.searchsorted(begins, begins + 1)
-            hit &= begins[np.minimum(suffix, len(begins) - 1)] == begins + 1 if len(begins) else hit
-        left, right, begins = owner[hit], who[place[hit]], begins[hit]
-        key = left * max(len(word_ids), 1) + right
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        starts = np.flatnonzero(np.diff(key, prepend=-1))
-        sizes = np.diff(starts, append=len(key))
-        firsts = order[starts]
-        seg = np.full(len(starts), rows.column("seg")[0].as_py())
-        columns = [pa.array(seg), pa.array(phrase_ids[left[firsts]]), pa.array(word_ids[right[firsts]]), pa.array(sizes), _binaries(begins[order], sizes)]
-        return pa.table(columns, ["seg", "left", "right", "n", "positions"])
-
-    return lists.groupBy("seg").applyInArrow(one_segment, _EXTENDED)
+        words = found = _Lists(read(1, 0, "<i8"), at[order], np.repeat(np.arange(len(sizes)), sizes)[order])
+        for n in range(2, k + 1):
+            found = found.longer(words, n - 1, *[read(n, c, "<i8") for c in range(3)])
+        head, tail, _ = found.joined(words, k)
+        key, counts = np.unique(head * max(len(words.ids), 1) + tail, return_counts=True)
+        left, right = found.ids[key // max(len(words.ids), 1)], words.ids[key % max(len(words.ids), 1)]
+        mixed = (left.astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) ^ (right.astype("uint64") * np.uint64(0xC2B2AE3D27D4EB4F))
+        bucket = ((mixed ^ (mixed >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)) % np.uint64(buckets)
+        order = np.argsort(bucket, kind="stable")
+        met, starts = np.unique(bucket[order], return_index=True)
+        packed = [[_pack(x[part], kind) for part in np.split(order, starts[1:])] if len(met) else [] for x, kind in ((left, "<i8"), (right, "<i8"), (counts, "<i4"))]
+        seg = rows.column("seg")[0].as_py()
+        columns = [pa.array(met.astype("int64")), pa.array(np.full(len(met), seg)), *[pa.array(x, pa.binary()) for x in packed]]
+        return pa.table(columns, ["bucket", "seg", "a", "b", "c"])
+
+    return segments.groupBy("seg").applyInArrow(one_segment, _COUNTED)
+
+
+def sum_up(counted: DataFrame, level: int, min_count: int) -> DataFrame:
+    """The frequent phrases of each bucket: rows with id and f, and rows that tell a segment which of its phrases they are."""
+
+    def one_bucket(rows: pa.Table) -> pa.Table:
+        segs = rows.column("seg").to_pylist()
+        parts = [[_unpack(x, kind) for x in rows.column(c).to_pylist()] for c, kind in (("a", "<i8"), ("b", "<i8"), ("c", "<i4"))]
+        left, right, n = (np.concatenate(x) for x in parts)
+        place = np.repeat(np.arange(len(segs)), [len(x) for x in parts[0]])
+        order = np.lexsort((place, right, left))
+        left, right, n, place = left[order], right[order], n[order].astype("int64"), place[order]
+        opens = np.flatnonzero(np.append(True, (np.diff(left) != 0) | (np.diff(right) != 0)))
+        f = np.add.reduceat(n, opens)
+        sizes = np.diff(opens, append=len(left))
+        often = f >= min_count
+        first = (rows.column("bucket")[0].as_py() << 32) + np.arange(int(often.sum()))
+        of = np.repeat(often, sizes)
+        ids = np.repeat(np.where(often, first[np.minimum(np.cumsum(often) - 1, max(len(first) - 1, 0))] if len(first) else 0, 0), sizes)[of]
+        left, right, place = left[of], right[of], place[of]
+        one = np.flatnonzero(np.append(True, np.diff(ids) != 0)) if len(ids) else np.empty(0, int)
+        told = [(segs[s], [_pack(x[place == s], "<i8") for x in (left, right, ids)]) for s in np.unique(place).tolist()]
+        nothing, m = [None] * len(one), len(told)
+        columns = [
+            pa.array([s for s, _ in told] + nothing, pa.int64()), pa.array([level] * (m + len(one)), pa.int32()),
+            *[pa.array([x[i] for _, x in told] + nothing, pa.binary()) for i in range(3)],
+            *[pa.array([None] * m + x.tolist(), pa.int64()) for x in (left[one], right[one], ids[one], f[often])],
+        ]
+        return pa.table(columns, ["seg", "level", "a", "b", "c", "left", "right", "id", "f"])
+
+    return counted.groupBy("bucket").applyInArrow(one_bucket, _FOUND)
 
 
 def frequent_phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", max_words: int = 4, min_count: int = 30, broadcast_rows: int = 300_000) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, words, f) of all phrases of 1 to ``max_words`` words that occur ``min_count`` times, and (lang, n)."""
     scratch = Scratch(docs.sparkSession)
     postings = scratch.put(word_lists(docs, text_col=text_col, lang_col=lang_col), "postings")
-
-    def small(df: DataFrame) -> DataFrame:
-        return F.broadcast(df) if df.limit(broadcast_rows + 1).count() <= broadcast_rows else df
-
-    def level(found: DataFrame, words: int) -> DataFrame:
-        return scratch.put(found.select(F.monotonically_increasing_id().alias("id"), "*", F.lit(words).alias("words")), f"phrases-{words}")
-
     total = F.sum("n").alias("f")
-    enough = F.col("f") >= min_count
-    terms = level(postings.groupBy("lang", F.col("word").alias("phrase")).agg(total).where(enough), 1)
+    found = postings.groupBy("lang", F.col("word").alias("phrase")).agg(total).where(F.col("f") >= min_count)
+    terms = scratch.put(found.select(F.monotonically_increasing_id().alias("id"), "*"), "terms")
     sizes = scratch.put(postings.groupBy("lang").agg(F.sum("n").alias("n")), "sizes")
+    buckets = max(LEAST_BUCKETS, (sizes.agg(F.sum("n")).first()[0] or 0) // BUCKET_WORDS)
     named = terms.select("id", F.col("lang").alias("of"), "phrase")
+    few = named.limit(broadcast_rows + 1).count() <= broadcast_rows
     same = (F.col("lang") == F.col("of")) & (F.col("word") == F.col("phrase"))
-    words = scratch.put(postings.join(small(named), same).select("seg", "id", F.lit(True).alias("of_word"), "positions"), "lists-1")
+    lists = postings.join(F.broadcast(named) if few else named, same).select("seg", "id", "positions")
+    segments = scratch.put(pack_words(lists), "words")
     scratch.drop("postings")
-    levels, lists = [terms], words
+    word = terms.select(F.col("id").alias("right"), F.col("phrase").alias("tail"))
+    levels = [terms.select("id", "lang", "phrase", "f", F.lit(1).alias("words"))]
     for k in range(1, max_words):
-        longer = scratch.put(extend(lists, k), f"extended-{k + 1}")
+        found = scratch.put(sum_up(extend(segments, k, buckets), k + 1, min_count), f"found-{k + 1}")
         parent = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("head"))
-        word = terms.select(F.col("id").alias("right"), F.col("phrase").alias("tail"))
-        found = longer.groupBy("left", "right").agg(total).where(enough).join(parent, "left").join(word, "right")
-        levels.append(level(found.select("left", "right", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "f"), k + 1))
-        if k + 1 < max_words:
-            kept = longer.join(small(levels[-1].select("left", "right", "id")), ["left", "right"])
-            lists = words.unionByName(scratch.put(kept.select("seg", "id", F.lit(False).alias("of_word"), "positions"), f"lists-{k + 1}"))
-        scratch.drop(f"extended-{k + 1}")
-        if k > 1:
-            scratch.drop(f"lists-{k}")
-    every = levels[0].select("lang", "phrase", "words", "f")
+        phrases = found.where("id is not null").join(parent, "left").join(word, "right")
+        phrases = phrases.select("id", "lang", F.concat_ws(" ", "head", "tail").alias("phrase"), "f", F.lit(k + 1).alias("words"))
+        levels.append(scratch.put(phrases, f"phrases-{k + 1}"))
+        segments = segments.unionByName(found.where("id is null").select("seg", "level", "a", "b", "c"))
+    every = levels[0]
     for more in levels[1:]:
-        every = every.unionByName(more.select("lang", "phrase", "words", "f"))
-    return every, sizes
+        every = every.unionByName(more)
+    return every.select("lang", "phrase", "words", "f"), sizes
 
 
 def _part(first: Column, length: Column) -> Column:
