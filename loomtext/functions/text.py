@@ -62,6 +62,11 @@ def best_label(text: Column, lexicon: Lexicon, default: str | None) -> Column:
     return F.when(best["n"] > 0, best["label"]).otherwise(F.lit(default))
 
 
+def bound(value: Column, body) -> Column:
+    """Evaluate ``value`` once and ``body`` on it."""
+    return F.transform(F.array(value), body).getItem(0)
+
+
 def opening(title: Column, text: Column, n: int) -> Column:
     """Lower-cased title and first ``n`` characters."""
     return F.lower(F.concat(title, F.lit(" "), F.substring(text, 1, n)))

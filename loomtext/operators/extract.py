@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions.udf import arrow_udf
 from loomtext.functions import lexicons as L
-from loomtext.functions.text import contains_any, content_id, lookup
+from loomtext.functions.text import bound, contains_any, content_id, lookup
 
 
 def _all(text: Column, pattern: str, group: int = 0) -> Column:
@@ -99,29 +99,52 @@ def case_references(text: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(named(L.CASE_NAME), named(L.CASE_AGAINST_AUTHORITY))))
 
 
-@arrow_udf("array<struct<act:string,section:string,full_name:string,kind:string,context:string>>")
-def legislation_references(texts: pd.Series) -> pd.Series:
-    """Acts with the sections within 100 characters of them. Needs match positions, which SQL does not give."""
-    import re
-
-    act, section = re.compile(L.TAX_ACT), re.compile(L.TAX_SECTION)
-    names = dict(L.ACT_NAMES)
-
-    def refs(text: str | None) -> list[dict]:
-        out: list[dict] = []
-        seen: set[str] = set()
-        for hit in act.finditer(text or ""):
-            name = hit[1].upper()
-            near = text[max(0, hit.start() - 100) : hit.end() + 100]
-            base = {"act": name, "full_name": names.get(name, name), "context": near.strip()}
-            found = [base | {"section": f"s.{s[1]}", "kind": "section"} for s in section.finditer(near)]
-            if not found and name not in seen:
-                found = [base | {"section": None, "kind": "act"}]
-            seen.add(name)
-            out.extend(found)
-        return out
-
-    return texts.map(refs)
+#: White space at either end.
+EDGE_SPACE = r"(?U)^\s+|\s+$"
+
+
+def match_spans(text: Column, pattern: str) -> Column:
+    """array<struct<first, end, found>>: the matches of a pattern with their places (characters from 0, end not included).
+
+    Places come from the lengths of what lies between and of the matches, each summed up once.
+    """
+    lengths = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"), _all(text, pattern, 0).alias("found"))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,end:int,found:string>>").alias("spans"))
+
+    def step(done: Column, x: Column) -> Column:
+        first = done["at"] + x["gap"]
+        end = first + F.length(x["found"])
+        return F.struct(F.coalesce(end, first).alias("at"), F.concat(done["spans"], F.array(F.struct(first.alias("first"), end.alias("end"), x["found"].alias("found")))).alias("spans"))
+
+    spans = F.aggregate(lengths, start, step, lambda done: done["spans"])
+    return F.filter(spans, lambda x: x["found"].isNotNull())
+
+
+def legislation_references(text: Column | str) -> Column:
+    """array<struct<act, section, full_name, kind, context>>: acts with the sections within 100 characters of them.
+
+    The first mention of an act without a section near it is a reference to the act itself.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+
+    def named(x: Column) -> Column:
+        near_from = F.greatest(x["first"] - 100, F.lit(0))
+        near = F.substring(text, near_from + 1, x["end"] + 100 - near_from)
+        return F.struct(F.upper(F.regexp_extract(x["found"], L.TAX_ACT, 1)).alias("act"), near.alias("near"), F.transform(_all(near, L.TAX_SECTION, 1), lambda s: F.concat(F.lit("s."), s)).alias("sections"))
+
+    def refs(hits: Column) -> Column:
+        acts = F.transform(hits, lambda h: h["act"])
+
+        def one(h: Column, i: Column, seen: Column) -> Column:
+            entry = lambda section, kind: F.struct(
+                h["act"].alias("act"), section.alias("section"), lookup(h["act"], L.ACT_NAMES, h["act"]).alias("full_name"), F.lit(kind).alias("kind"), F.regexp_replace(h["near"], EDGE_SPACE, "").alias("context")
+            )
+            whole = F.array(entry(F.lit(None).cast("string"), "act"))
+            return F.when(F.size(h["sections"]) > 0, F.transform(h["sections"], lambda s: entry(s, "section"))).when(F.array_position(seen, h["act"]) == i + 1, whole).otherwise(F.slice(whole, 1, 0))
+
+        return bound(acts, lambda seen: F.flatten(F.transform(hits, lambda h, i: one(h, i, seen))))
+
+    return bound(F.transform(match_spans(F.coalesce(text, F.lit("")), L.TAX_ACT), named), refs)
 
 
 def manual_code(url: Column, title: Column, content: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from loomtext.sources.scratch import durable as written
+
 from . import classify, extract, score
 
 
@@ -170,3 +172,40 @@ def label_propagation(nodes: DataFrame, edges: DataFrame, *, rounds: int = 5, du
         best = votes.groupBy(F.col("src").alias("id")).agg(F.min_by("label", F.struct(-F.col("n"), F.col("label"))).alias("new"))
         labels = keep(labels.join(best, "id", "left").select("id", F.coalesce("new", "label").alias("label")))
     return labels
+
+
+def communities(nodes: DataFrame, edges: DataFrame, *, max_rounds: int = 40, durable=None) -> tuple[DataFrame, bool]:
+    """(id, label) by label propagation until nobody wants to move, and whether that was reached.
+
+    A node takes the most frequent label among its neighbours, keeps its own if that is as frequent as any, and else the
+    least. In each round a half of the nodes, another one by a hash of node and round, may move, so that neighbours do not
+    swap labels for ever. Loops and repeated edges count for nothing; a node without an edge is a community of its own.
+    """
+    keep = durable or written(nodes.sparkSession)
+    both = keep(edges.where("src <> dst").select("src", "dst").unionAll(edges.where("src <> dst").select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    labels = keep(nodes.select("id", F.col("id").alias("label")).distinct())
+    calm = False
+    for n in range(max_rounds):
+        votes = both.join(labels.select(F.col("id").alias("dst"), "label"), "dst").groupBy("src", "label").agg(F.count("*").alias("n"))
+        own = labels.select(F.col("id").alias("src"), F.col("label").alias("own"))
+        order = F.struct(-F.col("n"), (F.col("label") != F.col("own")).alias("other"), F.col("label"))
+        best = votes.join(own, "src").groupBy(F.col("src").alias("id")).agg(F.min_by("label", order).alias("new"))
+        wants = labels.join(best, "id", "left").withColumn("moves", F.coalesce(F.col("new") != F.col("label"), F.lit(False)))
+        turn = F.pmod(F.xxhash64("id", F.lit(n // 2)), F.lit(2)) == n % 2
+        moved = keep(wants.select("id", F.when(F.col("moves") & turn, F.col("new")).otherwise(F.col("label")).alias("label"), "moves"))
+        labels = moved.select("id", "label")
+        calm = not moved.where("moves").limit(1).count()
+        if calm:
+            break
+    return labels, calm
+
+
+def modularity(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """(n_communities, modularity) of undirected edges: the share inside communities less what chance would give."""
+    pairs = edges.where("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
+    la, lb = labels.select(F.col("id").alias("a"), F.col("label").alias("la")), labels.select(F.col("id").alias("b"), F.col("label").alias("lb"))
+    known = pairs.join(la, "a").join(lb, "b")
+    ends = known.select(F.explode(F.array("la", "lb")).alias("label"), (F.col("la") == F.col("lb")).alias("inside"))
+    each = ends.groupBy("label").agg(F.count("*").alias("degree"), F.count_if("inside").alias("within"))
+    total = F.sum("degree").cast("double")
+    return each.agg(F.count("*").alias("n_communities"), (F.sum("within") / total - F.sum(F.col("degree").cast("double") * F.col("degree")) / (total * total)).alias("modularity"))

@@ -9,11 +9,11 @@ import sqlite3
 from pyspark.sql import functions as F
 
 from loomtext.functions import lexicons as L
-from loomtext.operators import lexicon_scan, vector, vector_index
+from loomtext.operators import graph, lexicon_scan, sketches, vector, vector_index
 from loomtext.plans import oracles as O
-from loomtext.plans.catalog import C, query
-from loomtext.sources import database, sinks
-from loomtext.sources.scratch import Scratch
+from loomtext.plans.catalog import C, _edges, _nodes, query
+from loomtext.sources import database, files, sinks
+from loomtext.sources.scratch import Scratch, durable
 from loomtext.sources.tables import legal_corpus, load
 from loomtext.streaming import pages, rates
 
@@ -188,3 +188,54 @@ def vector_index_recall(spark, sf_dir):
     queries = items.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
     got = vector_index.recall(index.search(queries, 10, probes=16), vector.search(items, queries, 10))
     return got.select("n_queries", "n_exact", (F.col("n_found") >= 0.9 * F.col("n_exact")).alias("nine_tenths"))
+
+
+# --- sketches of parts ----------------------------------------------------------------------------------------
+
+
+@query("SELECT l_returnflag, count(*) AS n, true AS parts_near, true AS median_near, true AS top_near FROM lineitem GROUP BY l_returnflag")
+def sketch_errors(spark, sf_dir):
+    """Distinct parts, median price and the three commonest quantities of each flag, from stored states of months, against exact ones."""
+    items = load(spark, sf_dir, "lineitem").select("l_returnflag", F.trunc("l_shipdate", "month").alias("month"), "l_partkey", "l_extendedprice", F.col("l_quantity").cast("int").alias("quantity"))
+    parts = Scratch(spark).put(sketches.states(items, ["l_returnflag", "month"], distinct={"parts": "l_partkey"}, quantiles={"price": "l_extendedprice"}, frequent={"quantities": "quantity"}), "states")
+    whole = sketches.merged(parts, ["l_returnflag"], distinct=["parts"], quantiles=["price"], frequent=["quantities"])
+    found = whole.select("l_returnflag", F.col("rows").alias("n"), sketches.distinct_of("parts").alias("parts"), sketches.quantile_of("price", 0.5).alias("median"), sketches.top_of("quantities", 3).alias("top"))
+    by_quantity = items.groupBy("l_returnflag", "quantity").count().groupBy("l_returnflag").agg(F.slice(F.sort_array(F.collect_list("count"), asc=False), 1, 3).alias("counts"))
+    placed = items.join(F.broadcast(found), "l_returnflag").groupBy("l_returnflag", "n", "parts", "top").agg(
+        F.count_distinct("l_partkey").alias("exact"), F.avg((F.col("l_extendedprice") <= F.col("median")).cast("double")).alias("place")
+    )
+    return placed.join(by_quantity, "l_returnflag").select(
+        "l_returnflag", "n", (F.abs(F.col("parts") - F.col("exact")) <= 0.05 * F.col("exact")).alias("parts_near"), F.col("place").between(0.47, 0.53).alias("median_near"),
+        (F.transform("top", lambda x: x["count"]) == F.col("counts")).alias("top_near"),
+    )
+
+
+# --- XML records ----------------------------------------------------------------------------------------------
+
+_PLAIN = "trim(regexp_replace(coalesce({0}, ''), '[^a-zA-Z0-9.,;<>&\"]+', ' '{1}))"
+
+
+@query(f"SELECT doc_id, lang, md5({_PLAIN.format('text', ', \'g\'')}) AS digest, false AS corrupt FROM documents UNION ALL SELECT NULL, NULL, NULL, true")
+def xml_rows(spark, sf_dir):
+    """All documents written as XML and read by row tag and schema, with one record that does not fit."""
+    scratch = Scratch(spark)
+    text = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), '[^a-zA-Z0-9.,;<>&"]+', " "))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "lang", text.alias("body"))
+    docs.write.format("xml").option("rowTag", "doc").option("rootTag", "docs").save(scratch.path("xml"))
+    spark.createDataFrame([("<docs><doc><doc_id>x</doc_id><lang>en</lang></doc></docs>",)], "value string").write.text(scratch.path("broken"))
+    schema = "doc_id long, lang string, body string"
+    read = files.xml_records(spark, scratch.path("xml"), "doc", schema).unionByName(files.xml_records(spark, scratch.path("broken"), "doc", schema))
+    bad = F.col(files.CORRUPT).isNotNull()
+    return read.select("doc_id", F.when(~bad, F.col("lang")).alias("lang"), F.when(~bad, F.md5(F.coalesce("body", F.lit("")))).alias("digest"), bad.alias("corrupt"))
+
+
+# --- communities ----------------------------------------------------------------------------------------------
+
+
+@query("SELECT count(*) AS n_nodes, true AS at_rest, true AS beyond_chance FROM documents")
+def citation_communities(spark, sf_dir):
+    """Communities of the citation graph: nobody wants to move any more, and far more edges lie inside than by chance."""
+    nodes, edges = _nodes(spark, sf_dir), _edges(spark, sf_dir)
+    labels, at_rest = graph.communities(nodes, edges, durable=durable(spark))
+    measure = graph.modularity(labels, edges)
+    return labels.agg(F.count("*").alias("n_nodes")).join(F.broadcast(measure), how="cross").select("n_nodes", F.lit(at_rest).alias("at_rest"), (F.col("modularity") > 0.3).alias("beyond_chance"))

@@ -148,3 +148,23 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
 def file_stream(spark: SparkSession, path: str, schema: str, fmt: str = "json", *, files_per_trigger: int = 1000) -> DataFrame:
     """New files as a stream; with a checkpoint, every file counts once across restarts."""
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).format(fmt).load(path)
+
+
+#: Column of what could not be read as a record.
+CORRUPT = "_corrupt_record"
+
+
+def xml_records(spark: SparkSession, path: str, tag: str, schema: str, **options) -> DataFrame:
+    """One row for each element ``tag`` of XML files, by a schema (attributes as ``_name``); Spark cuts large files between elements.
+
+    An element that does not fit the schema has its text in ``_corrupt_record``, and its columns are not to be used. Give
+    attributes as strings: Spark fails on one that does not fit.
+    """
+    reader = spark.read.format("xml").option("rowTag", tag).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    return reader.options(**options).schema(f"{schema}, {CORRUPT} string").load(path)
+
+
+def parsed_xml(xml: Column, schema: str) -> Column:
+    """A struct from the XML in a column; null if it does not parse. A null value gives null."""
+    record = F.from_xml(xml, f"{schema}, {CORRUPT} string", {"columnNameOfCorruptRecord": CORRUPT})
+    return F.when(xml.isNotNull() & record[CORRUPT].isNull(), record)

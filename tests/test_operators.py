@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions import lexicons
 from loomtext.sources.scratch import durable
-from loomtext.operators import aggregate, chunk, classify, evaluate, extract, filters, generate, graph, rank, relational, score, validate, vector
+from loomtext.operators import aggregate, chunk, classify, evaluate, extract, filters, generate, graph, rank, relational, score, sketches, validate, vector
 
 
 def one(spark, value):
@@ -55,6 +55,69 @@ def test_legislation_references_near_an_act(spark):
     assert [(r["act"], r["section"], r["kind"]) for r in got] == [("TCGA 1992", "s.12(2)", "section"), ("ITA 2007", None, "act")]
 
 
+def test_spans_and_references_as_a_plain_version_gives_them(spark):
+    """Places of matches, and references with their contexts, against Python's own regular expressions."""
+    L, rng = lexicons, random.Random(5)
+    bits = ["TCGA 1992", "tcga 1992", "ITA  2007", "FA 2010x", "section 3", "s.12(2)(a)B", "§ 9", "x" * 40, "é🙂 word", "\n", " ", ". ", "S. 5A", "VATA 1994"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " "]) for _ in range(rng.randrange(30))) for _ in range(200)] + [None, "", "ITA 2007"]
+    names = dict(L.ACT_NAMES)
+
+    def plain(text):
+        out, seen = [], set()
+        for hit in re.finditer(L.TAX_ACT, text or ""):
+            act, near = hit[1].upper(), text[max(0, hit.start() - 100) : hit.end() + 100]
+            found = [(act, f"s.{x[1]}", names.get(act, act), "section", near.strip()) for x in re.finditer(L.TAX_SECTION, near)]
+            out += found or ([(act, None, names.get(act, act), "act", near.strip())] if act not in seen else [])
+            seen.add(act)
+        return out
+
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r["i"]: r for r in df.select("i", extract.legislation_references("t").alias("r"), extract.match_spans(F.col("t"), L.TAX_ACT).alias("m")).collect()}
+    for i, t in enumerate(texts):
+        assert [tuple(x) for x in got[i]["r"]] == plain(t)
+        if t is not None:
+            assert [tuple(x) for x in got[i]["m"]] == [(m.start(), m.end(), m[0]) for m in re.finditer(L.TAX_ACT, t)]
+
+
+def test_communities(spark):
+    """Cliques that hang together by single edges, loops, repeated edges, and a node without any."""
+    edges = [(a, b) for c in range(3) for a in range(c * 5, c * 5 + 5) for b in range(c * 5, a)] + [(4, 5), (9, 10), (1, 0), (7, 7)]
+    nodes = spark.createDataFrame([(i,) for i in range(16)], "id long")
+    table = spark.createDataFrame(edges, "src long, dst long")
+    labels, at_rest = graph.communities(nodes, table)
+    groups = {}
+    for r in labels.collect():
+        groups.setdefault(r["label"], set()).add(r["id"])
+    assert at_rest and sorted(map(sorted, groups.values())) == [list(range(5)), list(range(5, 10)), list(range(10, 15)), [15]]
+    got = graph.modularity(labels, table).first()
+    assert got["n_communities"] == 3 and abs(got["modularity"] - (30 / 32 - (21**2 + 22**2 + 21**2) / 64**2)) < 1e-12
+    alone, _ = graph.communities(nodes, table.limit(0))
+    assert {(r["id"], r["label"]) for r in alone.collect()} == {(i, i) for i in range(16)}
+    _, at_rest = graph.communities(nodes, table, max_rounds=1)
+    assert not at_rest
+
+
+def test_stored_sketches(spark):
+    rows = [(i % 3, i % 4, i % 50, float(i)) for i in range(3000)] + [(9, 0, None, None)]
+    df = spark.createDataFrame(rows, "k int, part int, x int, v double")
+    parts = sketches.states(df, ["k", "part"], distinct={"d": "x"}, quantiles={"q": "v"}, frequent={"t": "x"})
+    whole = sketches.merged(parts, ["k"], distinct=["d"], quantiles=["q"], frequent=["t"])
+    got = {r["k"]: r for r in whole.select("k", "rows", sketches.distinct_of("d").alias("d"), sketches.quantile_of("q", 0.5).alias("q"), sketches.top_of("t", 2).alias("t")).collect()}
+    assert got[0]["rows"] == 1000 and abs(got[0]["d"] - 50) <= 2 and abs(got[0]["q"] - 1500) < 60 and [x["count"] for x in got[0]["t"]] == [20, 20]
+    assert (got[9]["rows"], got[9]["d"], got[9]["q"]) == (1, 0, None)
+    assert sketches.states(df.limit(0), ["k"], distinct={"d": "x"}).count() == 0
+
+
+def test_xml_records(spark, tmp_path):
+    from loomtext.sources import files
+
+    (tmp_path / "a.xml").write_text("<r><d n='a'><v>1</v></d><d n='b'><v>x</v></d><d/></r>")
+    got = files.xml_records(spark, str(tmp_path), "d", "_n string, v long")
+    assert sorted((r["v"] or 0, r[files.CORRUPT] is None) for r in got.collect()) == [(0, False), (0, True), (1, True)]
+    df = spark.createDataFrame([("<d><v>3</v></d>",), ("<d><v>",), (None,)], "x string")
+    assert [r["v"] and r["v"]["v"] for r in df.select(files.parsed_xml(F.col("x"), "v long").alias("v")).collect()] == [3, None, None]
+
+
 def test_long_capitalised_text_does_not_overflow(spark):
     text = "Word " * 20_000 + "Brown v Smith [1999] end"
     assert one(spark, F.size(extract.case_references(lit(text)))) == 1
