@@ -9,7 +9,7 @@ import sqlite3
 from pyspark.sql import functions as F
 
 from loomtext.functions import lexicons as L
-from loomtext.operators import graph, lexicon_scan, sketches, vector, vector_index
+from loomtext.operators import graph, lexicon_scan, models, sketches, table_functions, vector, vector_index
 from loomtext.plans import oracles as O
 from loomtext.plans.catalog import C, _edges, _nodes, query
 from loomtext.sources import database, files, sinks
@@ -239,3 +239,45 @@ def citation_communities(spark, sf_dir):
     labels, at_rest = graph.communities(nodes, edges, durable=durable(spark))
     measure = graph.modularity(labels, edges)
     return labels.agg(F.count("*").alias("n_nodes")).join(F.broadcast(measure), how="cross").select("n_nodes", F.lit(at_rest).alias("at_rest"), (F.col("modularity") > 0.3).alias("beyond_chance"))
+
+
+# --- table functions ------------------------------------------------------------------------------------------
+
+
+@query("SELECT doc_id, i AS number, md5(substr(text, CAST(i * 900 + 1 AS BIGINT), 1000)) AS digest FROM (SELECT doc_id, text, unnest(range(0, greatest(1, CAST(ceil((length(text) - 100) / 900.0) AS BIGINT)))) AS i FROM documents)")
+def lateral_chunks(spark, sf_dir):
+    """Overlapping chunks of every text by a table function in SQL."""
+    table_functions.register(spark)
+    sql = "SELECT d.doc_id, CAST(c.number AS BIGINT) AS number, md5(c.chunk) AS digest FROM {docs} d, LATERAL overlapping_chunks(d.text, 1000, 100) c"
+    return spark.sql(sql, docs=load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query("SELECT coalesce(source, '-') AS source, min(doc_id) AS first, count(*) AS rows, CAST(sum(n_chars) AS BIGINT) AS total FROM documents GROUP BY 1")
+def grouped_by_function(spark, sf_dir):
+    """First document, rows and characters of each source by a table function over the partitioned table."""
+    table_functions.register(spark)
+    docs = load(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("-")).alias("source"), "doc_id", "n_chars")
+    docs.createOrReplaceTempView("grouped_documents")
+    found = spark.sql("SELECT * FROM first_of_group(TABLE(SELECT source, doc_id, n_chars FROM grouped_documents) PARTITION BY source ORDER BY doc_id)")
+    return found.select(F.col("key").alias("source"), "first", "rows", "total")
+
+
+# --- models with fallback and retries -------------------------------------------------------------------------
+
+
+def _no_model():
+    raise OSError("not installed")
+
+
+def _digests():
+    """A stand-in for a model: it fails on a text, by its length, on the first attempts or on all."""
+    import hashlib
+
+    return lambda texts, attempt: [None if len(t) % 4 > attempt else hashlib.md5(t.encode()).hexdigest() for t in texts]
+
+
+@query("SELECT doc_id, CASE WHEN length(text) % 4 = 3 THEN 'no answer' ELSE md5(text) END AS answer, CAST(least(length(text) % 4, 2) + 1 AS INTEGER) AS answer_attempts, CASE WHEN length(text) % 4 < 3 THEN 1 END AS answer_model FROM documents")
+def retried_answers(spark, sf_dir):
+    """Every text through the second model, as the first does not load; failed rows again, twice at most, then the default."""
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    return models.apply_model(docs, "text", "answer", "string", family="digests", loaders=(_no_model, _digests), default=F.lit("no answer")).drop("text")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from loomtext.functions import text as T
 from loomtext.functions.terms import TermIndex
-from loomtext.operators import classify, lexicon_scan, relational, vector, vector_index
+from loomtext.operators import classify, extract, lexicon_scan, models, relational, table_functions, vector, vector_index
 from loomtext.sources import database, web
 from loomtext.streaming import pages, rates
 
@@ -289,3 +289,48 @@ def test_a_search_that_keeps_failing_is_an_error(spark):
     df = spark.read.format("search_pages").option("pages", 4).option("count", 3).option("pause", 0).load()
     with pytest.raises(Exception, match="gone"):
         df.count()
+
+
+# --- models and table functions -----------------------------------------------------------------------------------
+
+
+def test_only_failed_rows_are_sent_again(spark, tmp_path):
+    log = str(tmp_path / "log")
+
+    def load():
+        def model(texts, attempt):
+            with open(log, "a") as f:
+                f.writelines(f"{attempt} {t}\n" for t in texts)
+            if "boom" in texts and attempt == 0:
+                raise RuntimeError("a whole call fails")
+            return [None if t == "never" or (t == "later" and attempt < 2) else len(t) for t in texts]
+
+        return model
+
+    def broken():
+        raise ImportError("no")
+
+    texts = ["one", "later", "never", None, "boom", "one"]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)], "id int, t string, n string").coalesce(1)
+    got = models.apply_model(df, "t", "n", "int", family=log, loaders=(broken, load), default=F.lit(-1), batch=1)
+    assert sorted((r["id"], r["n"], r["n_attempts"], r["n_model"]) for r in got.collect()) == [(0, 3, 1, 1), (1, 5, 3, 1), (2, -1, 3, None), (3, 0, 1, 1), (4, 4, 2, 1), (5, 3, 1, 1)]
+    assert got.count() == 6 and sorted(open(log).read().split("\n")[:-1]) == sorted(["0 one", "0 later", "0 never", "0 ", "0 boom", "0 one", "1 later", "1 never", "1 boom", "2 later", "2 never"])
+    assert models.apply_model(df.limit(0), "t", "n", "int", family=log, loaders=(load,)).count() == 0
+    with pytest.raises(Exception, match="loads"):
+        models.apply_model(df, "t", "n", "int", family=log + "x", loaders=(broken,))
+
+
+def test_table_functions(spark):
+    table_functions.register(spark)
+    sections = "Section 1: " + "a" * 120 + "\nSection 2: short\nSection 3: " + "b" * 120
+    paragraphs = "\n\n".join(["c" * 150, "short", "d" * 101] + ["e" * 200] * 30)
+    df = spark.createDataFrame([(1, sections), (2, paragraphs), (3, None), (4, ""), (5, "x" * 25)], "id int, t string")
+    rows = spark.sql("SELECT id, s.* FROM {df} d, LATERAL section_rows(d.t) s", df=df).collect()
+    assert [(r["number"], r["section"][:10]) for r in rows if r["id"] == 1] == [(1, "Section 1:"), (3, "Section 3:")]
+    assert [r["number"] for r in rows if r["id"] == 2] == [1, *range(3, 22)] and {r["id"] for r in rows} == {1, 2}
+    assert {(r["id"], r["section"]) for r in rows} == {(r["id"], r["s"]["text"]) for r in df.select("id", F.explode(extract.qa_sections(F.col("t"))).alias("s")).collect()}
+    chunks = spark.sql("SELECT id, c.* FROM {df} d, LATERAL overlapping_chunks(d.t, 10, 3) c WHERE id >= 3", df=df).collect()
+    assert [(r["id"], r["number"], len(r["chunk"])) for r in chunks] == [(4, 0, 0), (5, 0, 10), (5, 1, 10), (5, 2, 10), (5, 3, 4)]
+    spark.createDataFrame([("a", 5, 1), ("a", 3, None), ("b", 9, 4)], "k string, id long, n long").createOrReplaceTempView("groups_")
+    got = spark.sql("SELECT * FROM first_of_group(TABLE(groups_) PARTITION BY k ORDER BY id)").collect()
+    assert sorted(map(tuple, got)) == [("a", 3, 2, 1), ("b", 9, 1, 4)]
