@@ -488,9 +488,20 @@ def counter_rows(spark, sf_dir):
     return generate.counter_rows(legal_corpus(spark, sf_dir))
 
 
-@query("SELECT 'income_tax' AS kind, 3 AS n UNION ALL SELECT 'vat', 2 UNION ALL SELECT 'corporation_tax', 2")
+_DOMAINS = f"k AS (SELECT {O.best_of(O.opening(2000), L.TAX_DOMAINS, 'general')} AS domain, count(*) AS docs FROM legal_corpus GROUP BY 1)"
+
+
+def _domain_counts(spark, sf_dir):
+    """(kind, docs): documents of each tax domain."""
+    found = lexicon_scan.classified(legal_corpus(spark, sf_dir).select("title", "content"), ["tax_domain"])
+    return found.groupBy(F.col("tax_domain").alias("kind")).agg(F.count("*").alias("docs"))
+
+
+@query(f"{C}, {_DOMAINS} SELECT kind, n * docs AS n FROM (VALUES ('income_tax', 3), ('vat', 2), ('corporation_tax', 2)) t(kind, n) JOIN k ON domain = kind")
 def tax_calculation_kinds(spark, sf_dir):
-    return generate.tax_calculations(spark).groupBy("kind").agg(F.count("*").alias("n"))
+    """Worked calculations beside each document of their domain."""
+    rows = generate.tax_calculations(spark).join(_domain_counts(spark, sf_dir), "kind")
+    return rows.groupBy("kind").agg(F.sum("docs").alias("n"))
 
 
 def _turns(spark, sf_dir):

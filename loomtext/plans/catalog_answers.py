@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomtext.operators import aggregate, classify, extract, filters, generate, graph, rank, score, validate, vector
-from loomtext.plans.catalog import C, _ANSWERS, _CHECKS, _EDGES, _LEVEL, _NODES, _TURNS, _answers, _edges, _nodes, _turns, query
+from loomtext.plans.catalog import C, _ANSWERS, _CHECKS, _DOMAINS, _EDGES, _LEVEL, _NODES, _TURNS, _answers, _domain_counts, _edges, _nodes, _turns, query
 from loomtext.plans.tables_catalogue import Catalogue
 from loomtext.sources.scratch import Scratch
 from loomtext.sources.tables import legal_corpus, load
@@ -402,9 +402,11 @@ def taxable_incomes(spark, sf_dir):
     return load(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), score.income_tax_base(income, pension).cast("long").alias("taxable"))
 
 
-@query("SELECT * FROM (VALUES ('income_tax', 3), ('vat', 2), ('corporation_tax', 2), ('optimisation', 6), ('compliance', 5)) t(kind, n)")
+@query(f"{C}, {_DOMAINS} SELECT kind, n, coalesce(docs, 0) AS docs FROM (VALUES ('income_tax', 3), ('vat', 2), ('corporation_tax', 2), ('optimisation', 6), ('compliance', 5)) t(kind, n) LEFT JOIN k ON domain = kind")
 def tax_scenario_kinds(spark, sf_dir):
-    return generate.tax_scenarios(spark).groupBy("kind").agg(F.count("*").alias("n"))
+    """Scenarios of each kind, and the documents of its domain."""
+    kinds = generate.tax_scenarios(spark).groupBy("kind").agg(F.count("*").alias("n"))
+    return kinds.join(_domain_counts(spark, sf_dir), "kind", "left").select("kind", "n", F.coalesce("docs", F.lit(0)).alias("docs"))
 
 
 @query(

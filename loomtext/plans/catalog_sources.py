@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomtext.functions.terms import TermIndex
 from loomtext.operators import extract, rank, vector
 from loomtext.plans.catalog import C, query
 from loomtext.sources import files, sinks, web
@@ -52,19 +53,36 @@ def merged_discoveries(spark, sf_dir):
     return web.merged_discovery(part(2, 50, "api"), part(3, 90, "feed"))
 
 
-@query("SELECT t.type, y.year FROM (VALUES ('ukpga'), ('uksi')) t(type), (SELECT unnest(range(1980, 2025)) AS year) y")
+@query("SELECT t.type, y.year, count(d.doc_id) AS known FROM (VALUES ('ukpga'), ('uksi')) t(type), (SELECT unnest(range(1980, 2025)) AS year) y LEFT JOIN documents d ON 1980 + d.doc_id % 45 = y.year AND CASE WHEN d.doc_id % 2 = 0 THEN 'ukpga' ELSE 'uksi' END = t.type GROUP BY 1, 2")
 def listing_requests(spark, sf_dir):
-    return web.requests(["ukpga", "uksi"], 1980, 2024, spark)
+    """Kinds and years to be listed, with the documents known of each."""
+    known = load(spark, sf_dir, "documents").groupBy(F.when(F.col("doc_id") % 2 == 0, "ukpga").otherwise("uksi").alias("type"), (1980 + F.col("doc_id") % 45).cast("int").alias("year")).agg(F.count("*").alias("known"))
+    return web.requests(["ukpga", "uksi"], 1980, 2024, spark).join(known, ["type", "year"], "left").select("type", "year", F.coalesce("known", F.lit(0)).alias("known"))
 
 
-@query("SELECT court, term FROM (VALUES ('EWCA'), ('UKUT')) c(court), (VALUES ('housing'), ('tenancy'), ('landlord'), ('tenant'), ('rent'), ('eviction'), ('possession'), ('assured shorthold'), ('section 21'), ('section 8'), ('deposit'), ('leasehold'), ('service charge'), ('disrepair'), ('harassment'), ('illegal eviction'), ('notice to quit')) t(term)")
+def _searched(docs, group, asked):
+    """``asked`` (group, term) with the documents of the group whose text holds the term, by one pass over each text."""
+    index = TermIndex([r["term"] for r in asked.select("term").distinct().collect()])  # terms of a fixed list
+    hits = docs.select(group, index.scan(F.lower("text"), {"all": (0, None)})["all"].alias("h"))
+    met = hits.select(group, F.explode("h").alias("n")).groupBy(group, "n").agg(F.count("*").alias("found"))
+    names = F.array(*[F.lit(t) for t in index.terms])
+    return asked.join(met.select(group, F.get(names, F.col("n")).alias("term"), "found"), [group, "term"], "left").select(group, "term", F.coalesce("found", F.lit(0)).alias("found"))
+
+
+@query(f"{C} SELECT court, term, count(doc_id) AS found FROM (VALUES ('EWCA'), ('UKSC')) c(court), (VALUES ('housing'), ('tenancy'), ('landlord'), ('tenant'), ('rent'), ('eviction'), ('possession'), ('assured shorthold'), ('section 21'), ('section 8'), ('deposit'), ('leasehold'), ('service charge'), ('disrepair'), ('harassment'), ('illegal eviction'), ('notice to quit')) t(term) LEFT JOIN (SELECT doc_id, lower(content) AS body, CASE doc_id % 4 WHEN 0 THEN 'UKSC' WHEN 1 THEN 'EWCA' ELSE 'other' END AS heard FROM legal_corpus) d ON heard = court AND contains(body, term) GROUP BY 1, 2")
 def court_searches(spark, sf_dir):
-    return web.court_searches(spark, ["EWCA", "UKUT"])
+    """Housing terms searched in the documents of two courts."""
+    heard = F.when(F.col("doc_id") % 4 == 0, "UKSC").when(F.col("doc_id") % 4 == 1, "EWCA").otherwise("other")
+    docs = legal_corpus(spark, sf_dir).select(heard.alias("court"), F.col("content").alias("text"))
+    return _searched(docs, "court", web.court_searches(spark, ["EWCA", "UKSC"]))
 
 
-@query("SELECT category, term FROM (VALUES ('a'), ('b')) c(category), (VALUES ('x'), ('y'), ('z')) t(term)")
+@query("SELECT category, term, count(d.doc_id) AS found FROM (SELECT DISTINCT lang AS category FROM documents WHERE lang IS NOT NULL) c, (VALUES ('and'), ('pour'), ('licen'), ('copyright'), ('cookie')) t(term) LEFT JOIN documents d ON d.lang = category AND contains(lower(d.text), term) GROUP BY 1, 2")
 def category_searches(spark, sf_dir):
-    return web.searches(["a", "b"], ["x", "y", "z"], spark)
+    """Terms searched in each language that the documents have."""
+    docs = load(spark, sf_dir, "documents").select(F.col("lang").alias("category"), "text")
+    categories = sorted(r["category"] for r in docs.where("category is not null").select("category").distinct().collect())  # as many as there are languages
+    return _searched(docs, "category", web.searches(categories, ["and", "pour", "licen", "copyright", "cookie"], spark))
 
 
 @query("SELECT DISTINCT concat('search_ukpga_', 1990 + doc_id % 30) AS id, 'ukpga' AS type, concat('https://x.example/ukpga/', 1990 + doc_id % 30) AS url FROM documents")
@@ -73,9 +91,12 @@ def search_result_items(spark, sf_dir):
     return web.search_items(load(spark, sf_dir, "documents").select(html.alias("html")), base="https://x.example/")
 
 
-@query("SELECT type, count(*) AS n, min(year) AS first_year, max(year) AS last_year FROM (VALUES ('ukpga', 1985), ('ukpga', 1988), ('ukpga', 1996), ('ukpga', 2004), ('ukpga', 1977), ('ukpga', 1965), ('ukpga', 1985), ('ukpga', 1987), ('ukpga', 1954), ('ukpga', 1967), ('ukpga', 1993), ('ukpga', 2002), ('ukpga', 2016), ('ukpga', 2019), ('ukpga', 2017), ('ukpga', 1977), ('ukpga', 1972), ('ukpga', 2013), ('ukpga', 1983), ('ukpga', 1968), ('ukpga', 2020), ('ukpga', 1988), ('ukpga', 2014), ('uksi', 1988), ('uksi', 1997), ('uksi', 2006), ('uksi', 2007), ('uksi', 2019), ('uksi', 2020), ('uksi', 2021)) t(type, year) GROUP BY type")
+@query("SELECT type, count(*) AS n, min(year) AS first_year, max(year) AS last_year, CAST(coalesce(sum(docs), 0) AS BIGINT) AS docs FROM (VALUES ('ukpga', 1985), ('ukpga', 1988), ('ukpga', 1996), ('ukpga', 2004), ('ukpga', 1977), ('ukpga', 1965), ('ukpga', 1985), ('ukpga', 1987), ('ukpga', 1954), ('ukpga', 1967), ('ukpga', 1993), ('ukpga', 2002), ('ukpga', 2016), ('ukpga', 2019), ('ukpga', 2017), ('ukpga', 1977), ('ukpga', 1972), ('ukpga', 2013), ('ukpga', 1983), ('ukpga', 1968), ('ukpga', 2020), ('ukpga', 1988), ('ukpga', 2014), ('uksi', 1988), ('uksi', 1997), ('uksi', 2006), ('uksi', 2007), ('uksi', 2019), ('uksi', 2020), ('uksi', 2021)) t(type, year) LEFT JOIN (SELECT 1965 + doc_id % 57 AS y, count(*) AS docs FROM documents GROUP BY 1) d ON y = year GROUP BY type")
 def seed_acts(spark, sf_dir):
-    return web.seed_items(spark, "https://x.example").groupBy("type").agg(F.count("*").alias("n"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    """Seeds of each type, and the documents of their years."""
+    years = load(spark, sf_dir, "documents").groupBy((1965 + F.col("doc_id") % 57).cast("int").alias("year")).agg(F.count("*").alias("docs"))
+    seeds = web.seed_items(spark, "https://x.example").join(years, "year", "left")
+    return seeds.groupBy("type").agg(F.count("*").alias("n"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.coalesce(F.sum("docs"), F.lit(0)).alias("docs"))
 
 
 @query("SELECT concat('https://x.example/ukpga/', 1990 + doc_id % 30, '/', doc_id) AS url, concat('Act ', doc_id) AS title, 'ukpga' AS type, CAST(1990 + doc_id % 30 AS VARCHAR) AS year, CAST(doc_id AS VARCHAR) AS number FROM documents")
