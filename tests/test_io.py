@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from loomtext.plans.tables_catalogue import Catalogue
+from loomtext.plans.tables_catalogue import Catalogue, Conflict
 from loomtext.plans.steps import Pipeline
 from loomtext.sources import files, sinks, web
 from loomtext.streaming import events
@@ -74,6 +74,25 @@ def test_capped_per_court(spark):
     assert web.capped_per_court(df, 4, first_court="t").count() == 5
 
 
+def test_two_writers_of_a_table(spark, tmp_path):
+    """Of two changes of one version one gets through; a change that fails leaves the table as it was."""
+    one, two = Catalogue(spark, str(tmp_path / "cat")), Catalogue(spark, str(tmp_path / "cat"))
+    one.save("t", spark.range(3).toDF("x"))
+
+    def interrupted(df):
+        two.append("t", spark.range(5, 7).toDF("x"))
+        return df.where("x > 0")
+
+    with pytest.raises(Conflict):
+        one._change("t", interrupted)
+    assert sorted(r["x"] for r in one.load("t").collect()) == [0, 1, 2, 5, 6]
+    with pytest.raises(Exception, match="(?i)zero"):
+        one.update_column("t", "x", "assert_true(x < 0, 'zero')")
+    two.update_metadata("t", {"a": 1})
+    two.save("t", spark.range(1).toDF("x"), {"b": 2})
+    assert one.load("t").count() == 1 and one.metadata("t") == {"b": 2} and one.names() == ["t"]
+
+
 def test_catalogue(spark, tmp_path):
     cat = Catalogue(spark, str(tmp_path / "cat"))
     cat.save("d", spark.createDataFrame([(1, "a")], ["id", "x"]), {"k": 1})
