@@ -452,5 +452,5 @@ def catalogue_records(spark, sf_dir):
     books.update_metadata("parties", {"kind": "b"})
     books.save("other", parties.limit(1))
     books.delete("other", confirm=True)
-    found = [(r["name"], books.info(r["name"])["rows"], len(books.info(r["name"])["columns"]), books.metadata(r["name"])["kind"], books.metadata(r["name"])["note"]) for r in books.listing()]
-    return spark.createDataFrame(found, "name string, rows long, columns int, kind string, note string")
+    m = F.col("metadata")
+    return books.records().select("name", "rows", F.size("columns").alias("columns"), m["kind"].alias("kind"), m["note"].alias("note"))

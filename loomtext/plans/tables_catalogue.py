@@ -77,6 +77,13 @@ class Catalogue:
         changed = lambda n: self._fs.getFileStatus(self._path(f"{self.root}/{n}/versions/{self._latest(n)}")).getModificationTime()
         return sorted(({"name": n, "modified": changed(n)} for n in self.names()), key=lambda r: (-r["modified"], r["name"]))
 
+    def records(self) -> DataFrame:
+        """(name, version, rows, columns, metadata) of all tables, from their latest records."""
+        part = lambda n: F.url_decode(F.element_at(F.split(F.col("_metadata.file_path"), "/"), n))
+        raw = self.spark.read.option("wholetext", True).text(f"{self.root}/*/versions/*").select(part(-3).alias("name"), part(-1).cast("int").alias("version"), "value")
+        latest = raw.groupBy("name").agg(F.max("version").alias("version"), F.max_by("value", "version").alias("value"))
+        return latest.select("name", "version", F.from_json("value", "rows long, columns array<string>, metadata map<string, string>").alias("r")).select("name", "version", "r.*")
+
     def _put(self, name: str, df: DataFrame, metadata: dict, base: int | None) -> None:
         """A new version of the table, behind ``base``, or behind whatever is the latest."""
         folder = f"data/{uuid.uuid4().hex}"
