@@ -177,29 +177,34 @@ def leaks(docs, items, window=5, share=0.8, consistent=0.8):
     for item, item_text in items:
         iws = typed_words(item_text)
         iw = template_windows(iws, window, True)
-        first = {}
-        for x in iw:
-            first.setdefault(x[0], x)
         n_windows = len({x[1] for x in iw})
         least = math.ceil(n_windows * share - 1e-9)
+        firsts = {}
+        for h, key, q, m in iw:
+            firsts[h, key] = min(firsts.get((h, key), (q, m)), (q, m))
         for doc, text in docs:
             ws = typed_words(text)
-            hits = [x for x in template_windows(ws, window, False) if x[0] in first]
-            keys = collections.defaultdict(lambda: True)
-            for h, _, _, n in hits:
-                for ih, key, _, m in iw:
-                    if ih == h:
-                        keys[key] &= n > 0 or m > 0
-            if not n_windows or len(keys) < least:
+            hits = [(h, p, n) for h, _, p, n in template_windows(ws, window, False)]
+            rows = [(p - q, key, p, q, n, m) for h, p, n in hits for (ih, key), (q, m) in firsts.items() if ih == h]
+            if not n_windows or len({r[1] for r in rows}) < least:
                 continue
+            here = {s: len({r[1] for r in rows if r[0] == s}) for s in {r[0] for r in rows}}
+            taken, total = set(), 0
+            for s in sorted(here, key=lambda s: (-here[s], s))[: 1 + math.floor(n_windows * (1 - share) / (window - 1) + 1e-9)]:
+                if total < least:
+                    taken.add(s)
+                total += here[s]
+            keys = collections.defaultdict(lambda: True)
             pairs = collections.defaultdict(lambda: collections.defaultdict(lambda: True))
-            for h, _, p, n in hits:
-                _, _, q, m = first[h]
+            for s, key, p, q, n, m in rows:
+                if s not in taken:
+                    continue
+                keys[key] &= n > 0 or m > 0
                 for k in range(window):
                     if q + k < len(iws) and p + k < len(ws):
                         names = ({"name"}, {"name", "start"}, set())[n]
                         if ws[p + k][1] in {"number", "unit"} | names:
-                            pairs[(p - q, iws[q + k][0])][ws[p + k][0]] &= n > 0 or m > 0
+                            pairs[iws[q + k][0]][ws[p + k][0]] &= n > 0 or m > 0
             for narrow in (True, False):
                 matched = sum(not wide for wide in keys.values()) if narrow else len(keys)
                 values = [sum(not wide for wide in v.values()) if narrow else len(v) for v in pairs.values()]

@@ -243,3 +243,25 @@ def test_url_model_is_logistic_regression(spark):
         e = (y - 1 / (1 + np.exp(-(x @ w + b)))) * weight
         w, b = w * (1 - 4.0 * 1e-4) + 4.0 * x.T @ e, b + 4.0 * e.sum()
     assert np.allclose(model["w"], w) and math.isclose(model["b"], b, abs_tol=1e-9)
+
+
+def test_scattered_windows_are_no_leak(spark):
+    """Windows of an item that stand apart, in any order, each with other names and numbers, are chance; a copy with words put in is not."""
+    rng = random.Random(12)
+    item = "On Monday the baker Anna sold 12 loaves for 3 dollars each, and on Tuesday the baker Anna sold 7 loaves for 5 dollars each, so how many dollars more did she take?"
+    words = item.split()
+    other = lambda w: rng.choice(["Berta", "Clara", "Doris"]) if w == "Anna" else str(rng.randrange(90)) if w.strip(",").isdigit() else w
+    pieces = [" ".join(map(other, words[i : i + 5])) for i in range(len(words) - 4)]
+    filler = lambda: " ".join(f"f{rng.randrange(10**6)}x" for _ in range(6))
+    scattered = " ".join(f"{p} {filler()}" for p in pieces)
+    rng.shuffle(pieces)
+    shuffled = " ".join(f"{p} {filler()}" for p in pieces)
+    renamed = item.replace("Anna", "Berta").replace("12", "40").replace("7", "9")
+    inside = " ".join([*renamed.split()[:9], filler(), *renamed.split()[9:]])
+    twice = f"{renamed} {filler()} {item.replace('Anna', 'Clara')}"
+    inconsistent = " ".join(map(other, words))
+    texts = [(1, scattered), (2, shuffled), (3, inside), (4, renamed), (5, item), (6, twice), (7, inconsistent.replace("3 ", "8 ", 1))]
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = {r["doc_id"] for r in decontaminate.find_leaks(spark.createDataFrame(texts, "doc_id long, text string"), bench).collect()}
+    assert got - {7} == {3, 4, 5, 6}
+    assert _leak_rows(decontaminate.find_leaks(spark.createDataFrame(texts, "doc_id long, text string"), bench)) == brute.leaks(texts, [(1, item)])
