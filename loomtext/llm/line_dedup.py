@@ -164,10 +164,11 @@ def repeated_runs(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
 
 def dedup(
-    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", counts_col: str | None = None, min_words: int = MIN_WORDS
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", counts_col: str | None = None, min_words: int = MIN_WORDS, keep_empty: bool = True
 ) -> DataFrame:
     """Documents without the later copies of repeated runs, in the input's columns.
 
+    Without ``keep_empty`` those go that have no word, or that the cuts leave without one.
     ``counts_col`` adds a struct of lines, removed and runs under that name, or the next free one.
     """
     runs = repeated_runs(docs, id_col=id_col, text_col=text_col, min_words=min_words)
@@ -175,6 +176,11 @@ def dedup(
     runs = runs.select(F.col(id_col).alias(key), F.col("text_hash").alias(mark), F.struct("spans", F.size("runs").alias("n")).alias(found))
     joined = docs.join(runs, F.col(id_col).eqNullSafe(F.col(key)) & (F.xxhash64(F.col(text_col)) == F.col(mark)), "left")
 
+    if not keep_empty:  # told from the spans, so that texts are not cut twice
+        s = F.col(found)["spans"]
+        all_gone = (F.size(s) == 1) & (F.get(s, 0)["from"] == 0) & (F.get(s, 0)["to"] == F.size(full_lines(F.col(text_col))))
+        joined = joined.where(F.col(text_col).rlike("[^ \\t-\\r]") & ~F.coalesce(all_gone, F.lit(False)))
+
     def cut(text: Column, spans: Column) -> Column:
         def by_number(lines: Column) -> Column:
             numbered = F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i")))
