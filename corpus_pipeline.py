@@ -10,14 +10,10 @@ stage adds take names that no column has. What is null, empty, repeated or tied
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomtext.llm import decontaminate, line_dedup, mixing, near_dedup, quality_rules
 from loomtext.llm.common import Scratch, table
 
-#: A character of a word, by the words of the operators.
-WORD = r"[^ \t-\r]"
-
 
 def clean_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; failing lines go from the others.
@@ -34,7 +30,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     all go; the earliest by id stays. Null, empty and blank texts go. A text without a repeated run stays as it is; what is
     left of a text is its own and stays, however short: the first stage's floor judges documents, not remainders.
     """
-    return line_dedup.dedup(docs).where(F.col("text").rlike(WORD))
+    return line_dedup.dedup(docs, keep_empty=False)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
