@@ -16,7 +16,7 @@ from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import LongType, StructField, StructType
@@ -26,10 +26,10 @@ ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 
 
 class WindowCounts(StatefulProcessor):
-    """Rows (key, event, at_us) in; (event, key, in_window) out when the watermark has passed the time. Events are numbers or texts."""
+    """Rows (no_key, key, no_event, event, at_us) in; (event, key, in_window) out when the watermark has passed the time. Events are numbers or texts."""
 
     def __init__(self, seconds: int, kind: str, key: str, event: str):
-        self.span, self.kind, self.key, self.event = seconds * 1_000_000, kind, key, event
+        self.span, self.kind, self.names = seconds * 1_000_000, kind, [event, key, "in_window"]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -39,8 +39,8 @@ class WindowCounts(StatefulProcessor):
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         first = None
         for part in rows:
-            for at, event in zip(part["at_us"].tolist(), part[self.event].astype(object).where(part[self.event].notna(), None), strict=True):
-                self.waiting.appendValue((at, event if event is None or isinstance(event, str) else int(event)))
+            for at, event, missing in zip(part["at_us"].tolist(), part["event"].tolist(), part["no_event"].tolist(), strict=True):
+                self.waiting.appendValue((at, None if missing else event))
                 first = at if first is None else min(first, at)
         if first is not None:
             self.handle.registerTimer(self._due(first))
@@ -68,7 +68,9 @@ class WindowCounts(StatefulProcessor):
         elif kept:
             self.handle.registerTimer(self._due(kept[-1] + self.span))
         if out:
-            yield pd.DataFrame({self.event: [e for e, _ in out], self.key: [key[0]] * len(out), "in_window": [n for _, n in out]})
+            no_key, value = key
+            columns = ([e for e, _ in out], [None if no_key else value] * len(out), [n for _, n in out])
+            yield pd.DataFrame({name: pd.Series(values, dtype=object) for name, values in zip(self.names, columns, strict=True)})
 
     @staticmethod
     def _due(at: int) -> int:
@@ -86,12 +88,19 @@ def use_rocks(spark: SparkSession) -> None:
 
 def stream_window_counts(events: DataFrame, *, by: str, time: str, event: str, seconds: int, late: str = "0 seconds") -> DataFrame:
     """(event, key, in_window) of a stream: events of the same key in the ``seconds`` up to and including each event."""
-    at = F.unix_micros(F.col(time).cast("timestamp"))
     fields = events.schema
-    marked = events.where(F.col(time).isNotNull()).withColumn("at_us", at).withColumn("at_time", F.col(time).cast("timestamp")).withWatermark("at_time", late)
+
+    def solid(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0).cast(fields[name].dataType))
+
+    # beside a null, pandas makes floats of all whole numbers of a batch, which holds many keys: so a null goes as a flag
+    marked = events.where(F.col(time).isNotNull()).select(
+        F.col(by).isNull().alias("no_key"), solid(by).alias("key"), F.col(event).isNull().alias("no_event"), solid(event).alias("event"),
+        F.unix_micros(F.col(time).cast("timestamp")).alias("at_us"), F.col(time).cast("timestamp").alias("at_time"),
+    ).withWatermark("at_time", late)
     schema = StructType([fields[event], fields[by], StructField("in_window", LongType())])
     processor = WindowCounts(seconds, fields[event].dataType.simpleString(), by, event)
-    return marked.select(by, event, "at_us", "at_time").groupBy(by).transformWithStateInPandas(processor, schema, outputMode="Append", timeMode="EventTime")
+    return marked.groupBy("no_key", "key").transformWithStateInPandas(processor, schema, outputMode="Append", timeMode="EventTime")
 
 
 def stream_violations(events: DataFrame, *, by: str, time: str, event: str, limit: int, seconds: int, late: str = "0 seconds") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from loomtext.functions import text as T
 from loomtext.functions.terms import TermIndex
 from loomtext.operators import classify, extract, lexicon_scan, models, relational, table_functions, vector, vector_index
+from loomtext.plans import catalog
 from loomtext.sources import database, web
 from loomtext.streaming import pages, rates
 
@@ -182,6 +183,41 @@ def test_stream_counts_as_the_window_does(spark, tmp_path):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
 
 
+def test_a_null_beside_whole_numbers_changes_no_key_and_no_event(spark, tmp_path):
+    big = 2**53 + 1  # floats do not tell it from 2**53
+    rows = [(big + i, None if i % 10 == 7 else big + i % 3, i) for i in range(60)] + [(None, big, 5), (None, None, 100_000)]
+    table = spark.createDataFrame(rows, "event_id long, user_id long, s long").select("event_id", "user_id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("ts"))
+    table.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).parquet(str(tmp_path / "in"))
+    shuffles = spark.conf.get("spark.sql.shuffle.partitions")
+    rates.use_rocks(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", "1")  # all keys in one Arrow batch
+    counted = rates.stream_window_counts(stream, by="user_id", time="ts", event="event_id", seconds=30, late="1 hour")
+    try:
+        counted.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.unset(rates.PROVIDER)
+        spark.conf.set("spark.sql.shuffle.partitions", shuffles)
+    want = relational.sliding_counts(table.where("event_id is not null or user_id is not null"), by="user_id", time="ts", seconds=30)
+    got = spark.read.schema(counted.schema).parquet(str(tmp_path / "out"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select("event_id", "user_id", "in_window").collect()))
+
+
+def test_rate_stream_loses_nothing_of_a_table_out_of_order(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, rng.randrange(12), rng.randrange(40 * 86_400)) for i in range(1500)]
+    table = spark.createDataFrame(rows, "event_id long, user_id long, s long").select("event_id", "user_id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("ts"))
+    table.repartition(12).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    want = relational.sliding_counts(table, by="user_id", time="ts", seconds=86_400).where("in_window > 2").select("event_id", "in_window")
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # many files of the sorted table
+    try:
+        got = catalog.QUERIES["rate_stream"](spark, str(tmp_path / "sf"))
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
 # --- lexicons -----------------------------------------------------------------------------------------------------
 
 
