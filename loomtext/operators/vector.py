@@ -102,10 +102,12 @@ def cell_index(items: DataFrame, centres: np.ndarray, *, item: str = "vec_id", v
     """(item, embedding, cell): every vector that has a direction, as a unit vector, with its nearest cell; written partitioned
     by ``cell``, a search reads the cells that it probes only."""
     known = normalised(items.select(item, F.col(vector).alias("embedding")), "embedding").where("embedding is not null")
-    return known.withColumn("cell", F.get(_nearest_cells(centres, 1)("embedding"), 0))
+    return known.withColumn("cell", F.get(nearest_cells(centres, 1)("embedding"), 0))
 
 
-def _nearest_cells(centres: np.ndarray, n: int):
+def nearest_cells(centres: np.ndarray, n: int):
+    """A function of a vector: the numbers of the ``n`` centres with the largest inner products, best first."""
+
     @F.pandas_udf("array<int>")
     def run(vectors: pd.Series) -> pd.Series:
         if not len(vectors):
@@ -119,7 +121,7 @@ def _nearest_cells(centres: np.ndarray, n: int):
 def search_cells(index: DataFrame, queries: DataFrame, centres: np.ndarray, k: int, *, probes: int = 8, item: str = "vec_id", query: str = "query_id", vector: str = "embedding", broadcast_queries: int = 10_000) -> DataFrame:
     """(query, item, score): the k best items of the ``probes`` cells nearest to each query; all cells make it exact."""
     known = normalised(queries.select(query, F.col(vector).alias("_q")), "_q").where("_q is not null")
-    asked = known.withColumn("cell", F.explode(_nearest_cells(centres, probes)("_q")))
+    asked = known.withColumn("cell", F.explode(nearest_cells(centres, probes)("_q")))
     few = queries.limit(broadcast_queries + 1).count() <= broadcast_queries
     met = index.join(F.broadcast(asked) if few else asked, "cell")
     scored = met.select(query, item, dot(F.col("embedding"), F.col("_q")).alias("score"))

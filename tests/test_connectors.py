@@ -280,6 +280,22 @@ def test_partitioned_index(spark, tmp_path):
     assert reopened.search(queries.limit(0), 5, probes=2).count() == 0
 
 
+def test_probes_follow_the_measured_recall(spark, tmp_path):
+    rng = random.Random(8)
+    items = spark.createDataFrame([(i, [rng.gauss(0.0, 1.0) for _ in range(64)]) for i in range(500)], "vec_id long, embedding array<double>")
+    items.write.parquet(str(tmp_path / "sf" / "embeddings.parquet"))  # no direction stands out: half of the cells are not enough
+    got = catalog.QUERIES["vector_index_recall"](spark, str(tmp_path / "sf")).first()
+    assert got["n_queries"] == 25 and got["n_exact"] == 250 and got["nine_tenths"]
+    index = vector_index.CellIndex.create(items, str(tmp_path / "i"), cells=8)
+    queries = items.where("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    exact = vector.search(items, queries, 5)
+    share = lambda probes: vector_index.recall(index.search(queries, 5, probes=probes), exact).first()["n_found"] / 125
+    for least in (0.3, 0.7, 1.0):
+        n = index.probes_for(queries, exact, least)
+        assert share(n) >= least and (n == 1 or share(n - 1) < least)
+    assert index.probes_for(queries.limit(0), exact.limit(0), 0.9) == 1
+
+
 def test_a_search_lists_the_probed_folders_only(spark, tmp_path):
     items = spark.createDataFrame([(i, [float(i % 4 == j) + 0.01 * (i % 3) for j in range(4)]) for i in range(80)], "vec_id long, embedding array<double>")
     index = vector_index.CellIndex.create(items, str(tmp_path / "i"), cells=4)
