@@ -41,10 +41,11 @@ def _crc_part(col: str, parts: int, value: int):
 
 
 def op4_quality_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    seen = Scratch(spark).put(quality_ranker.featured(table(spark, sf_dir, "documents")), "features")
     held = _crc_part("doc_id", 3, 1)
-    ranker = quality_ranker.learn(docs.where(~held), table(spark, sf_dir, "labels").where(~held))
-    return quality_ranker.score(docs, ranker).select("doc_id", held.alias("held_out"), "score", "predicted")
+    ranker = quality_ranker.fit(seen.where(~held), table(spark, sf_dir, "labels").where(~held))
+    score = ranker.score(F.col("features"))
+    return seen.select("doc_id", held.alias("held_out"), score.alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,3 +236,24 @@ def test_ranker_scores_as_by_hand(labelled):
         f = ranker_features(r["text"], quality_ranker.ODD_MARKS)
         z = sum((x - m) / s * w for x, m, s, w in zip(f, ranker.mean, ranker.scale, ranker.weights)) - ranker.threshold
         assert seen[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-z)), rel=1e-9)
+
+
+def test_ranker_takes_every_pair(spark, labelled):
+    """The gradient over all pairs of labelled rows vanishes, and as many training rows are rejected as are labelled bad."""
+    docs, labels = labelled
+    marked = labels.where("quality is not null").select("doc_id", "quality")
+    ranker = quality_ranker.learn(docs, labels)
+    rows = quality_ranker.featured(docs).join(marked, "doc_id").collect()
+    x, y = np.array([r["features"] for r in rows]), np.array([r["quality"] for r in rows])
+    w = np.array(ranker.weights)
+    z = (x - x.mean(0)) / np.where(x.std(0) < 1e-9, 1.0, x.std(0))
+    diff = (z[y == 1][:, None, :] - z[y == 0][None, :, :]).reshape(-1, len(w))
+    assert np.abs(diff.T @ (1 / (1 + np.exp(diff @ w))) / len(diff) - 1e-3 * w).max() < 2e-5
+    assert (z @ w < ranker.threshold).sum() == (y == 0).sum()
+
+
+def test_value_at(spark):
+    values = [0.25] * 400 + [1e-9 * i for i in range(300)] + [-7.5, 1e6, 1e6]
+    scores = spark.createDataFrame([(v,) for v in values], "s double")
+    for place in (1, 2, 151, 300, 301, 302, 701, 702, 703):
+        assert quality_ranker.value_at(scores, place, few=4) == sorted(values)[place - 1], place
