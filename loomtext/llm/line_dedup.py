@@ -15,7 +15,8 @@ interval's depth is the length of the longest run from there that also starts ea
 are the maximal repeated runs; those with ``min_words`` words are deleted, and the earliest start stays.
 
 Everything is a sort, a combined aggregate or an equality join whose hot keys AQE can split; nothing per line or per
-bucket is gathered. Each round is written to the shared folder. Text is shuffled once, for the cut.
+bucket is gathered. Each round is written to the shared folder, and what it reads more than once is written before. A
+join with a table of at most ``FEW`` rows, by a count, sends that table to all tasks. Text is shuffled once, for the cut.
 
 Defined results: null text stays null with no lines; text without a qualifying run is kept as it is; rows that share
 id and text are one document, so they do not make each other copies; rows that share an id only are documents of
@@ -32,6 +33,8 @@ from pyspark.sql import Window as W
 from .common import SPACES, Scratch, fresh, let, words
 
 MIN_WORDS = 3
+#: Rows of a table that a join sends to all tasks.
+FEW = 100_000
 
 
 def full_lines(text: Column) -> Column:
@@ -70,14 +73,23 @@ def line_table(docs: DataFrame, *, id_col: str, text_col: str, min_words: int) -
     return each.select("d", "u", "at", (F.col("x.n") - F.col("at")).alias("rest"), "x.need", "x.a", "x.b")
 
 
+def _sent(table: DataFrame) -> DataFrame:
+    """A written table to join with: sent to all tasks if it has at most ``FEW`` rows, so that the other side stays where it is."""
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
 def _ranked(pairs: DataFrame, scratch: Scratch, level: int) -> DataFrame:
     """Suffixes (doc, at, rest, need, x, y) that share (x, y) with another one, with rank ``r`` and the bucket's earliest (fd, fa)."""
+    pairs = scratch.put(pairs, f"pairs-{level}")  # read twice
     place = F.struct("doc", "at")
     shared = pairs.groupBy("x", "y").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     # numbers that rise along a global sort: ranks need order, not gaps of one
-    buckets = shared.orderBy("x", "y").select("x", "y", "first", F.monotonically_increasing_id().alias("r"))
-    found = pairs.join(buckets, ["x", "y"]).select("doc", "at", "rest", "need", "r", F.col("first.doc").alias("fd"), F.col("first.at").alias("fa"))
-    return scratch.put(found, f"ranks-{level}")
+    ordered = shared.orderBy("x", "y").select("x", "y", F.col("first.doc").alias("fd"), F.col("first.at").alias("fa"), F.monotonically_increasing_id().alias("r"))
+    buckets = scratch.put(ordered, f"buckets-{level}")
+    ranks = scratch.put(pairs.join(_sent(buckets), ["x", "y"]).select("doc", "at", "rest", "need", "r", "fd", "fa"), f"ranks-{level}")
+    scratch.drop(f"pairs-{level}")
+    scratch.drop(f"buckets-{level}")
+    return ranks
 
 
 def suffix_ranks(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[DataFrame]]:
@@ -86,14 +98,14 @@ def suffix_ranks(lines: DataFrame, scratch: Scratch) -> tuple[DataFrame, list[Da
     keys = scratch.put(lines.groupBy("a", "b").agg(F.count("*").alias("n")).where("n > 1").select("a", "b"), "line-ids")
     shared = scratch.put(lines.join(keys, ["a", "b"]), "shared")
     order = scratch.put(shared.select("d", "u").distinct().orderBy("d", "u").withColumn("doc", F.monotonically_increasing_id()), "order")
-    of = order.select(F.col("d").alias("od"), F.col("u").alias("ou"), "doc")
+    of = _sent(order.select(F.col("d").alias("od"), F.col("u").alias("ou"), "doc"))
     suffixes = shared.join(of, F.col("d").eqNullSafe(F.col("od")) & (F.col("u") == F.col("ou"))).dropDuplicates(["doc", "at"])
     levels = [_ranked(suffixes.select("doc", "at", "rest", "need", F.col("a").alias("x"), F.col("b").alias("y")), scratch, 0)]
     while not levels[-1].isEmpty():
         step = 2 ** (len(levels) - 1)
         here = levels[-1].where(F.col("rest") >= 2 * step).select("doc", "at", "rest", "need", F.col("r").alias("x"))
         there = levels[-1].select("doc", (F.col("at") - step).alias("at"), F.col("r").alias("y"))
-        levels.append(_ranked(here.join(there, ["doc", "at"]), scratch, len(levels)))
+        levels.append(_ranked(here.join(_sent(there), ["doc", "at"]), scratch, len(levels)))
     return order, levels[:-1]
 
 
@@ -113,17 +125,21 @@ def copied_lengths(levels: list[DataFrame], scratch: Scratch) -> DataFrame | Non
         step = 2**s
         ahead = levels[s].select(F.col("doc").alias("xd"), F.col("at").alias("xa"), F.col("r").alias("x"))
         ahead_of_first = ahead.select(F.col("xd").alias("yd"), F.col("xa").alias("ya"), F.col("x").alias("y"))
+        if levels[s].count() <= FEW:
+            ahead, ahead_of_first = F.broadcast(ahead), F.broadcast(ahead_of_first)
         looked = (
             found.join(ahead, (F.col("doc") == F.col("xd")) & (F.col("at") + F.col("m") == F.col("xa")), "left")
             .join(ahead_of_first, (F.col("gd") == F.col("yd")) & (F.col("ga") + F.col("m") == F.col("ya")), "left")
             .select("doc", "at", "need", "k", "gd", "ga", "m", "x", F.col("x").eqNullSafe(F.col("y")).alias("same"))
         )
+        looked = scratch.put(looked, f"looked-{s}")  # read three times
         # with the interval's earliest suffix or with none: no other one is needed, and these may be many
         plain = looked.where("x is null or same").withColumn("m", F.col("m") + F.when(F.col("x").isNotNull(), step).otherwise(0))
         # parts of the interval that its earliest suffix is not in have an earliest one of their own, which stays behind
         part, apart = ["gd", "ga", "m", "x"], looked.where("x is not null and not same")
         heads = apart.groupBy(*part).agg(F.min(F.struct("doc", "at")).alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-        split = apart.join(heads, part, "left")
+        heads = scratch.put(heads, f"heads-{s}")
+        split = apart.join(_sent(heads), part, "left")
         away = F.col("head").isNotNull() & (F.struct("doc", "at") != F.col("head"))
         names = ["doc", "at", "need", "k", "gd", "ga", "m"]
         moved = split.select(
@@ -133,6 +149,8 @@ def copied_lengths(levels: list[DataFrame], scratch: Scratch) -> DataFrame | Non
             F.when(away, F.col("m") + step).otherwise(F.col("m")).alias("m"),
         ).unionByName(plain.select(*names))
         found = scratch.put(moved, f"copies-{s}").unionByName(start.where(F.col("k") == s))
+        scratch.drop(f"looked-{s}")
+        scratch.drop(f"heads-{s}")
     return found.select("doc", "at", "need", "gd", "ga", "m")
 
 

@@ -180,3 +180,28 @@ def test_substring_dedup_edges(docs, repeated, empty):
     out = substring_dedup.dedup(repeated, length=100)
     assert out.count() == repeated.count()
     assert out.groupBy("doc_id").agg(F.countDistinct("n_removed").alias("n")).where("doc_id is not null and n > 1").count() == 0
+
+
+def test_line_rounds_by_either_join_and_in_few_tasks(spark, monkeypatch, request):
+    """Small tables are sent, large ones shuffled; what a round reads more than once is not worked out again."""
+    rng = random.Random(12)
+    lines = [f"line {i} of the text" for i in range(60)]
+    texts = ["\n".join(rng.choice(lines) for _ in range(rng.randrange(30))) for _ in range(60)]
+    texts += ["\n".join(lines[k : k + 25]) for k in range(0, 30, 5)] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    tracker, found, tasks = spark.sparkContext.statusTracker(), [], []
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        before = spark.conf.get(name)
+        spark.conf.set(name, value)
+        request.addfinalizer(lambda name=name, before=before: spark.conf.set(name, before))
+    for few in (line_dedup.FEW, 0):
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        spark.sparkContext.setJobGroup(f"few-{few}", "")
+        try:
+            found.append(sorted(map(str, line_dedup.repeated_runs(docs).collect())))
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = {i for job in tracker.getJobIdsForGroup(f"few-{few}") for i in tracker.getJobInfo(job).stageIds}
+        tasks.append(sum(info.numCompletedTasks for i in stages if (info := tracker.getStageInfo(i))))
+    assert found[0] and found[0] == found[1]
+    assert tasks[0] < tasks[1], tasks
