@@ -157,7 +157,8 @@ def manual_code(url: Column, title: Column, content: Column) -> Column:
 def clean_lines(text: Column) -> Column:
     """Strip lines, cut at double spaces, drop empties, join by line feed."""
     parts = F.flatten(F.transform(F.split(text, "\n"), lambda x: F.split(F.trim(x), "  ")))
-    return F.array_join(F.filter(F.transform(parts, F.trim), lambda x: x != ""), "\n")
+    # a lambda, as transform would hand the place of an element to F.trim as the characters to strip
+    return F.array_join(F.filter(F.transform(parts, lambda x: F.trim(x)), lambda x: x != ""), "\n")
 
 
 def api_url(url: Column, base: str) -> Column:

@@ -298,6 +298,10 @@ def test_generators(spark):
     assert generate.tax_calculations(spark).count() == 7
 
 
+def test_cleaned_lines_lose_blanks_only(spark):
+    assert one(spark, extract.clean_lines(lit("0997 x\n 1219 E 1  22  3 \n\n 4 "))) == "0997 x\n1219 E 1\n22\n3\n4"
+
+
 def test_licenses(spark):
     df = spark.createDataFrame([("p", "pypi", "MIT", "short"), ("p", "local", "MIT", "a longer text"), ("q", "pypi", "BSD", "xxxx"), ("q", "local", "MIT", "x")], ["name", "source", "license", "text"])
     got = {r["name"]: (r["license"], r["text"]) for r in aggregate.resolve_licenses(df).collect()}
