@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from loomtext.functions import lexicons
@@ -331,3 +332,47 @@ def test_inverted_file(spark):
     exact = pairs(vector.search(items, queries, 10))
     assert pairs(vector.search_cells(index, queries, centres, 10, probes=12)) == exact
     assert len(pairs(vector.search_cells(index, queries, centres, 10, probes=6, broadcast_queries=0)) & exact) >= 0.9 * len(exact)
+
+
+def _odd_vectors(spark):
+    """Many copies, near copies, vectors without a direction, of another length, with a NaN, and weights that are null or large."""
+    rng = random.Random(11)
+    plain = [[rng.gauss(0.0, 1.0) for _ in range(5)] for _ in range(40)]
+    vectors = [plain[rng.randrange(40)] for _ in range(300)] + [[x * (1 + rng.choice((0, 1e-9, 1e-15))) for x in plain[0]] for _ in range(60)]
+    vectors += [None, [0.0] * 5, [1.0, 2.0], [1.0, float("nan"), 0.0, 0.0, 0.0], [None, 1.0, 1.0, 1.0, 1.0], [float("inf"), 1.0, 0.0, 0.0, 0.0]]
+    rows = [(f"k{i}" if i % 50 else None, i, v, [None, 1.0, 0.5, 2.0, -1.0, 1e31][rng.randrange(6)]) for i, v in enumerate(vectors)]
+    return spark.createDataFrame(rows, "name string, vec_id long, embedding array<double>, w double")
+
+
+def _plainly(items, queries, k, item, boost=None):
+    """Every pair by column expressions."""
+    left = items.select(item, vector.unit(F.col("embedding")).alias("v"), (F.lit(1.0) if boost is None else boost).alias("b")).where("v is not null")
+    right = queries.select("query_id", vector.unit(F.col("embedding")).alias("q")).where("q is not null")
+    scored = left.crossJoin(right).select("query_id", item, vector.dot(F.col("v"), F.col("q")).alias("score"), "b").withColumn("final", F.col("score") * F.col("b"))
+    best = scored.withColumn("n", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("final"), item))).where(F.col("n") <= k)
+    return best.select("query_id", item, "score", *(["final"] if boost is not None else []))
+
+
+def _same(a, b):
+    assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+@pytest.mark.parametrize("item, boosted, k", [("vec_id", False, 7), ("name", True, 7), ("vec_id", True, 1000)])
+def test_search_by_matrix_products_is_exact(spark, monkeypatch, item, boosted, k):
+    monkeypatch.setattr(vector, "PAIRS", 50)
+    items = _odd_vectors(spark)
+    queries = items.where("vec_id % 9 = 0 or vec_id >= 355").select(F.col("vec_id").alias("query_id"), "embedding")
+    boost = F.col("w") if boosted else None
+    got = vector.search(items.repartition(3), queries, k, item=item, boost=boost)
+    _same(got, _plainly(items, queries, k, item, boost))
+    assert "MapInArrow" in got._jdf.queryExecution().toString()  # no row for each pair
+
+
+def test_cells_are_searched_without_a_row_for_each_pair(spark):
+    items = _odd_vectors(spark).where("vec_id < 360")
+    queries = items.where("vec_id % 9 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    centres = vector.train_cells(items, 6)
+    got = vector.search_cells(vector.cell_index(items, centres), queries, centres, 7, probes=6, broadcast_queries=0)
+    assert "Join" not in got._jdf.queryExecution().toString()
+    exact = {(r["query_id"], r["vec_id"]) for r in _plainly(items, queries, 7, "vec_id").collect()}
+    assert {(r["query_id"], r["vec_id"]) for r in got.collect()} == exact
