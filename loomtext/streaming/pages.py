@@ -16,11 +16,14 @@ from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+from pyspark.sql.types import StructType
 
 from loomtext.sources.limits import RateLimiter, with_retries
 
 
 class PageService(Protocol):
+    """A service may also have ``batches(start, count)``, the rows of a page as Arrow batches; these do not become Python objects."""
+
     def total(self) -> int: ...
 
     def page(self, start: int, count: int) -> list[tuple]: ...
@@ -61,8 +64,8 @@ class Position:
 class _Fetch:
     """Reads a range page by page."""
 
-    def __init__(self, service: PageService, options: dict):
-        self.service = service
+    def __init__(self, service: PageService, options: dict, schema: StructType):
+        self.service, self.schema = service, schema
         self.count = int(options.get("count", 1000))
         self.pages = int(options.get("pages_per_task", 10))
         self.tries, self.pause = int(options.get("tries", 3)), float(options.get("pause", 1.0))
@@ -75,16 +78,22 @@ class _Fetch:
     def total(self) -> int:
         return with_retries(self.service.total, tries=self.tries, pause=self.pause)
 
-    def rows(self, part: Rows) -> Iterator[tuple]:
+    def rows(self, part: Rows) -> Iterator:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        whole = hasattr(self.service, "batches")
+        fetch = (lambda at, n: list(self.service.batches(at, n))) if whole else self.service.page
+        kinds = to_arrow_schema(self.schema) if whole else None
         limiter = RateLimiter(self.limit, self.window, self.gap) if self.limit else None
         for start in range(part.first, part.last, self.count):
             n = min(self.count, part.last - start)
             if limiter:
                 limiter.wait()
-            got = with_retries(lambda at=start, n=n: self.service.page(at, n), tries=self.tries, pause=self.pause)
-            if len(got) != n:
-                raise OSError(f"{len(got)} of {n} rows from {start} on: the service holds less than it said")
-            yield from map(tuple, got)
+            got = with_retries(lambda at=start, n=n: fetch(at, n), tries=self.tries, pause=self.pause)
+            held = sum(b.num_rows for b in got) if whole else len(got)
+            if held != n:
+                raise OSError(f"{held} of {n} rows from {start} on: the service holds less than it said")
+            yield from (b.select(kinds.names).cast(kinds) for b in got) if whole else map(tuple, got)
 
 
 class PageSource(DataSource):
@@ -110,13 +119,13 @@ class PageSource(DataSource):
         return type(self).columns
 
     def reader(self, schema) -> DataSourceReader:
-        return _TableReader(_Fetch(type(self).service, dict(self.options)))
+        return _TableReader(_Fetch(type(self).service, dict(self.options), schema))
 
     def streamReader(self, schema) -> DataSourceStreamReader:
         most, position = int(self.options.get("rows_per_batch", 0)), self.options.get("position")
         if most and not position:
             raise ValueError("batches of bounded size need a position file")
-        return _PageStream(_Fetch(type(self).service, dict(self.options)), most, position)
+        return _PageStream(_Fetch(type(self).service, dict(self.options), schema), most, position)
 
 
 class _TableReader(DataSourceReader):
@@ -154,30 +163,47 @@ class _PageStream(DataSourceStreamReader):
 
 
 class ParquetPages:
-    """The rows of a parquet table as a paginated service, in the order of its files; a page reads the row groups that it needs."""
+    """The rows of a parquet table as a paginated service, in the order of its files.
+
+    A page reads the row groups that it needs, some thousand rows at a time, whatever the size of a row group.
+    """
 
     def __init__(self, path: str, columns: list[str]):
         self.path, self.columns = path, columns
 
-    def _groups(self):
-        """(fragment of one row group, its number of rows) of the whole table."""
+    def _files(self):
         from pyarrow import dataset
 
-        for fragment in sorted(dataset.dataset(self.path, format="parquet").get_fragments(), key=lambda f: f.path):
-            for group in fragment.split_by_row_group():
-                yield group, group.count_rows()
+        return sorted(dataset.dataset(self.path, format="parquet").get_fragments(), key=lambda f: f.path)
 
     def total(self) -> int:
-        return sum(n for _, n in self._groups())
+        return sum(f.metadata.num_rows for f in self._files())
+
+    def batches(self, start: int, count: int) -> Iterator:
+        from pyarrow import parquet
+
+        at, end = 0, start + count
+        for file in self._files():
+            if at >= end:
+                return
+            sizes = [file.metadata.row_group(i).num_rows for i in range(file.metadata.num_row_groups)]
+            if at + sum(sizes) <= start:
+                at += sum(sizes)
+                continue
+            with file.open() as f:
+                reader = parquet.ParquetFile(f, pre_buffer=False, buffer_size=1 << 20)
+                for i, n in enumerate(sizes):
+                    if at + n > start and at < end:
+                        for b in reader.iter_batches(8192, row_groups=[i], columns=self.columns, use_threads=False):
+                            if at + b.num_rows > start and at < end:
+                                yield b.slice(max(start - at, 0), end - max(at, start)).select(self.columns)
+                            at, n = at + b.num_rows, n - b.num_rows
+                            if at >= end:
+                                return
+                    at += n
 
     def page(self, start: int, count: int) -> list[tuple]:
-        rows, at = [], 0
-        for group, n in self._groups():
-            if at + n > start and at < start + count:
-                part = group.to_table(columns=self.columns).slice(max(start - at, 0), start + count - max(at, start))
-                rows += zip(*[part.column(c).to_pylist() for c in self.columns], strict=True)
-            at += n
-        return rows
+        return [row for b in self.batches(start, count) for row in zip(*[b.column(c).to_pylist() for c in self.columns], strict=True)]
 
 
 def run_to_end(source: DataFrame, path: str, checkpoint: str, *, timeout: float = 600.0) -> None:

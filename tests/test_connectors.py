@@ -1,5 +1,6 @@
 """Resumable pages, database upserts, rates with state, one-pass lexicons, the partitioned vector index, and item downloads."""
 
+import os
 import random
 import sqlite3
 import sys
@@ -93,6 +94,23 @@ def test_parquet_pages(spark, tmp_path):
     assert sorted(r[0] for p in parts for r in p) == list(range(57))
 
 
+def test_a_page_of_a_large_row_group_is_read_in_pieces(spark, tmp_path):
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    os.makedirs(tmp_path / "t")
+    for k in range(2):
+        parquet.write_table(pa.table({"x": ["a"] * 30_000, "i": range(30_000 * k, 30_000 * (k + 1))}), tmp_path / "t" / f"{k}.parquet", row_group_size=20_000)
+    service = pages.ParquetPages(str(tmp_path / "t"), ["i", "x"])
+    for start, count in ((0, 1), (0, 60_000), (19_999, 2), (8_190, 25_000), (29_999, 20_002), (59_999, 5), (60_000, 3)):
+        got = list(service.batches(start, count))
+        assert [i for b in got for i in b.column("i").to_pylist()] == list(range(60_000))[start : start + count]
+        assert all(b.num_rows <= 8192 for b in got)
+    spark.dataSource.register(pages.PageSource.of(service, "i long, x string", "large"))
+    read = spark.read.format("large").option("count", 7_000).option("pages_per_task", 3).load()
+    assert read.agg(F.sum("i"), F.count("x")).first() == (sum(range(60_000)), 60_000)
+
+
 # --- upserts ------------------------------------------------------------------------------------------------------
 
 
