@@ -221,6 +221,28 @@ def test_a_null_beside_whole_numbers_changes_no_key_and_no_event(spark, tmp_path
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select("event_id", "user_id", "in_window").collect()))
 
 
+def test_calls_of_the_state_do_not_grow_with_keys(spark, tmp_path):
+    """One entry of state for each bucket and batch, and counts as the window gives them, for many users in few buckets."""
+    rng = random.Random(5)
+    rows = [(f"e{i}" if i % 40 else None, rng.randrange(50) if i % 30 else None, rng.randrange(300)) for i in range(2_000)]
+    table = spark.createDataFrame(rows, "event_id string, user_id int, s long").select("event_id", "user_id", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("s")).alias("ts"))
+    for n in range(3):
+        table.where(F.floor((F.unix_seconds("ts") - 1_700_000_000) / 100) == n).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    table.limit(1).select(F.lit("end").alias("event_id"), F.lit(-1).alias("user_id"), F.timestamp_seconds(F.lit(1_700_100_000)).alias("ts")).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    rates.use_rocks(spark)
+    counted = rates.stream_window_counts(stream, by="user_id", time="ts", event="event_id", seconds=20, late="100 seconds", buckets=3)
+    try:
+        query = counted.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start()
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(rates.PROVIDER)
+    want = relational.sliding_counts(table, by="user_id", time="ts", seconds=20).select("event_id", "user_id", "in_window")
+    got = spark.read.schema(counted.schema).parquet(str(tmp_path / "out"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress) <= 3 * 20
+
+
 def test_rate_stream_loses_nothing_of_a_table_out_of_order(spark, tmp_path):
     rng = random.Random(3)
     rows = [(i, rng.randrange(12), rng.randrange(40 * 86_400)) for i in range(1500)]
