@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from loomtext.functions import lexicons as L
 from loomtext.functions.text import (
     best_label,
+    bound,
     contains_any,
     count_terms,
     first_label,
@@ -75,7 +76,7 @@ def tax_authority(document_type: Column) -> Column:
 
 
 def tax_domain(title: Column, text: Column) -> Column:
-    return best_label(opening(title, text, 2000), L.TAX_DOMAINS, "general")
+    return bound(opening(title, text, 2000), lambda low: best_label(low, L.TAX_DOMAINS, "general"))
 
 
 def entity_flags(text: Column) -> dict[str, Column]:
@@ -84,7 +85,7 @@ def entity_flags(text: Column) -> dict[str, Column]:
 
 
 def tax_concepts(title: Column, text: Column) -> Column:
-    return labels_found(opening(title, text, 3000), L.TAX_CONCEPTS)
+    return bound(opening(title, text, 3000), lambda low: labels_found(low, L.TAX_CONCEPTS))
 
 
 def has_examples(text: Column) -> Column:
@@ -97,7 +98,7 @@ def has_calculations(text: Column) -> Column:
 
 
 def tax_keywords(text: Column) -> Column:
-    return terms_found(F.lower(text), L.TAX_TERMS, 15)
+    return bound(F.lower(text), lambda low: terms_found(low, L.TAX_TERMS, 15))
 
 
 def housing_category(text: Column) -> Column:

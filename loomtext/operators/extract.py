@@ -87,16 +87,21 @@ def manual_references(text: Column) -> Column:
     )
 
 
+#: What every case reference holds; a text without it is not searched from each of its words on.
+CASE_MARK = r"(?i)[a-z]\s++v\.?\s++[a-z][a-z\s]*+\[\d{4}\]"
+
+
 def case_references(text: Column) -> Column:
     """Sorted distinct ``A v B [year]``."""
 
     def named(pattern: str) -> Column:
         # possessive repeats match the same (a single letter v or a bracket is no part of a name) without deep recursion
         pattern = pattern.replace("[a-z]+", "[a-z]++").replace(")*)", ")*+)")
-        parts = F.arrays_zip(_all(text, pattern, 1).alias("a"), _all(text, pattern, 2).alias("b"), _all(text, pattern, 3).alias("y"))
-        return F.transform(parts, lambda p: F.concat(p["a"], F.lit(" v "), p["b"], F.lit(" ["), p["y"], F.lit("]")))
+        part = lambda found, n: F.regexp_extract(found, pattern, n)
+        return F.transform(_all(text, pattern), lambda m: F.concat(part(m, 1), F.lit(" v "), part(m, 2), F.lit(" ["), part(m, 3), F.lit("]")))
 
-    return F.array_sort(F.array_distinct(F.concat(named(L.CASE_NAME), named(L.CASE_AGAINST_AUTHORITY))))
+    found = F.array_sort(F.array_distinct(F.concat(named(L.CASE_NAME), named(L.CASE_AGAINST_AUTHORITY))))
+    return F.when(text.isNull(), F.lit(None).cast("array<string>")).when(text.rlike(CASE_MARK), found).otherwise(F.array().cast("array<string>"))
 
 
 #: White space at either end.

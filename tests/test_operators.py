@@ -4,6 +4,7 @@ import datetime
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -80,6 +81,22 @@ def test_spans_and_references_as_a_plain_version_gives_them(spark):
             assert [tuple(x) for x in got[i]["m"]] == [(m.start(), m.end(), m[0]) for m in re.finditer(L.TAX_ACT, t)]
 
 
+def test_case_references_as_a_plain_version_gives_them(spark):
+    rng = random.Random(9)
+    bits = ["Ab v Cd [1999]", "Gh V. HMRC  [2001]", "Re", "Ab", "v", "V.", "v.", "HMRC", "Inspector of Taxes", "[1999]", "[99]", "X", "–", ",", ".", "\n", "a1b", "[2001] v"]
+    texts = ["".join(rng.choice(bits) + rng.choice(["", " ", " ", "  "]) for _ in range(rng.randrange(40))) for _ in range(600)] + ["Re Ab v. Cd Ef [1999] and Gh v HMRC [2001]", None]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").select("i", extract.case_references(F.col("t")).alias("r")).collect()
+    hits = lambda t: {f"{m[1]} v {m[2]} [{m[3]}]" for p in (lexicons.CASE_NAME, lexicons.CASE_AGAINST_AUTHORITY) for m in re.finditer(p, t, re.ASCII)}
+    assert {r["i"]: r["r"] for r in got} == {i: None if t is None else sorted(hits(t)) for i, t in enumerate(texts)}
+    assert sum(bool(r["r"]) for r in got) > 50
+
+
+def test_long_runs_of_words_without_a_case_are_not_searched_from_each_word(spark):
+    began = time.monotonic()
+    rows = spark.range(4).repartition(4).select(extract.case_references(F.concat(F.repeat(F.lit("word "), 60_000), F.col("id").cast("string"))).alias("found")).collect()
+    assert [r["found"] for r in rows] == [[]] * 4 and time.monotonic() - began < 15
+
+
 def test_communities(spark):
     """Cliques that hang together by single edges, loops, repeated edges, and a node without any."""
     edges = [(a, b) for c in range(3) for a in range(c * 5, c * 5 + 5) for b in range(c * 5, a)] + [(4, 5), (9, 10), (1, 0), (7, 7)]
