@@ -16,6 +16,7 @@ from __future__ import annotations
 import datetime
 import decimal
 import json
+import sqlite3
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -74,8 +75,9 @@ class Target:
     def noted(self) -> str:
         return f"SELECT count(*) FROM {self.writes} WHERE _write = {self.mark}"
 
-    def merge(self) -> str:
-        """Reported rows of a write, the latest of each key, over what is stored and not newer."""
+    def merge(self) -> tuple[str, str]:
+        """Reported rows of a write, the latest of each key, over what is stored and not newer: first the keys that occur
+        once, whose rows need no order, then the others. Each takes the write's id four times."""
         keys, columns = ", ".join(map(_quoted, self.key)), ", ".join(self.columns)
         age = [f"{_quoted(self.version)} IS NULL", f"{_quoted(self.version)} DESC"] if self.version else []
         order = ", ".join([*age, *[f"{c} DESC" for c in self.columns]])
@@ -86,8 +88,10 @@ class Target:
             newer = f" WHERE {self.rows}.{v} IS NULL OR excluded.{v} >= {self.rows}.{v}"
         update = f"DO UPDATE SET {', '.join(f'{c} = excluded.{c}' for c in values)}{newer}" if values else "DO NOTHING"
         reported = f"_write = {self.mark} AND _attempt IN (SELECT _attempt FROM {self.attempts} WHERE _write = {self.mark})"
-        latest = f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS _n FROM {self.staged} WHERE {reported}"
-        return f"INSERT INTO {self.rows} ({columns}, _part) SELECT {columns}, _part FROM ({latest}) AS t WHERE _n = 1 ON CONFLICT ({keys}) {update}"
+        repeated = f"({keys}) IN (SELECT {keys} FROM {self.staged} WHERE {reported} GROUP BY {keys} HAVING count(*) > 1)"
+        put = f"INSERT INTO {self.rows} ({columns}, _part) SELECT {columns}, _part FROM"
+        latest = f"SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY {order}) AS _n FROM {self.staged} WHERE {reported} AND {repeated}"
+        return f"{put} {self.staged} WHERE {reported} AND NOT {repeated} ON CONFLICT ({keys}) {update}", f"{put} ({latest}) AS t WHERE _n = 1 ON CONFLICT ({keys}) {update}"
 
     def plain(self, row) -> tuple:
         """A row's values as the database takes them, and its part."""
@@ -126,6 +130,9 @@ class _Upserts(DataSourceWriter):
         connection = self.connect()
         try:
             cursor = connection.cursor()
+            cursor.execute(self.target.noted(), (self.write_id,))
+            if cursor.fetchone()[0]:
+                return Staged(attempt, 0)  # sent again: nothing of it will count
             while rows := [(*self.target.plain(r), self.write_id, attempt) for r in islice(iterator, CHUNK)]:
                 cursor.executemany(self.target.stage(), rows)
                 n += len(rows)
@@ -142,8 +149,9 @@ class _Upserts(DataSourceWriter):
             if not cursor.fetchone()[0]:
                 cursor.execute(f"INSERT INTO {t.writes} VALUES ({t.mark})", (self.write_id,))
                 cursor.executemany(f"INSERT INTO {t.attempts} VALUES ({t.mark}, {t.mark})", [(self.write_id, m.attempt) for m in messages if m])
-                cursor.execute(t.merge(), (self.write_id, self.write_id))
-            self._forget(cursor)
+                for statement in t.merge():
+                    cursor.execute(statement, (self.write_id,) * 4)
+            self._forget(connection)
             connection.commit()
         finally:
             connection.close()
@@ -151,14 +159,27 @@ class _Upserts(DataSourceWriter):
     def abort(self, messages: list) -> None:
         connection = self.connect()
         try:
-            self._forget(connection.cursor())
+            self._forget(connection)
             connection.commit()
         finally:
             connection.close()
 
-    def _forget(self, cursor) -> None:
-        for table in (self.target.staged, self.target.attempts):
-            cursor.execute(f"DELETE FROM {table} WHERE _write = {self.target.mark}", (self.write_id,))
+    def _forget(self, connection) -> None:
+        """SQLite keeps a copy of every page from which rows are deleted one by one, or overwritten with zeros (some builds'
+        ``secure_delete``), but not if a table is emptied as a whole; what was staged then stays in free pages until they are used.
+
+        It has one writer, so that nobody stages rows between the look and the deletion; other databases have more.
+        """
+        cursor, t = connection.cursor(), self.target
+        single = isinstance(connection, sqlite3.Connection) and connection.in_transaction
+        for table in (t.staged, t.attempts):
+            if single and not cursor.execute(f"SELECT EXISTS (SELECT 1 FROM {table} WHERE _write <> {t.mark})", (self.write_id,)).fetchone()[0]:
+                before = cursor.execute("PRAGMA secure_delete").fetchone()[0]
+                cursor.execute("PRAGMA secure_delete = OFF")
+                cursor.execute(f"DELETE FROM {table}")
+                cursor.execute(f"PRAGMA secure_delete = {before}")
+            else:
+                cursor.execute(f"DELETE FROM {table} WHERE _write = {t.mark}", (self.write_id,))
 
 
 class _Parts(InputPartition):

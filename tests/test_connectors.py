@@ -163,6 +163,31 @@ def test_rows_of_attempts_that_are_not_reported_do_not_count(spark, store):
     assert held(store) == [(1, "a", 1), (2, "b", 1)]
 
 
+def test_a_write_orders_no_rows_of_single_keys_and_keeps_no_copy_of_staged_ones(spark, store):
+    target = database.Target("t", spark.createDataFrame([], "k long, x string, v long").schema, ["k"], "v")
+    with store[1]() as c:
+        target.prepare(c)
+        plans = [" ".join(r[3] for r in c.execute("EXPLAIN QUERY PLAN " + one, ("w",) * 4)) for one in target.merge()]
+    assert "ORDER BY" not in plans[0] and "ORDER BY" in plans[1]
+    writer = database._Upserts(store[1], target, "w")
+    rows = [(i, "x" * 1000, 1) for i in range(3_000)]
+    message = writer.write(iter(rows))
+    sizes, plain = [], writer._forget
+
+    def forget(connection):
+        plain(connection)
+        sizes.append(os.path.getsize(connection.execute("PRAGMA database_list").fetchone()[2] + "-journal"))
+
+    writer._forget = forget
+    writer.commit([message])
+    assert sizes[0] < 500_000 and len(held(store)) == 3_000
+    assert writer.write(iter(rows)).rows == 0  # sent again, nothing is staged
+    with store[1]() as c:
+        c.execute("INSERT INTO t_staged VALUES (9, 'other', 9, 0, 'w3', 'a')")
+    put(spark, store, [(7, "new", 2), (7, "newer", 3)], "w2")
+    assert store[1]().execute("SELECT x FROM t_staged").fetchall() == [("other",)] and (7, "newer", 3) in held(store)
+
+
 def test_kinds_and_reading_back(spark, store):
     rows = [(1, True, 0.5, [1, 2], bytearray(b"\x00x"), 'q"'), (2, None, None, None, None, None)]
     df = spark.createDataFrame(rows, "k long, flag boolean, d double, list array<int>, raw binary, s string")
