@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
@@ -265,7 +266,15 @@ def stored(spark: SparkSession, fmt: str, table: str, schema: str, *, tasks: int
 RECORD_KEYS = {"documents": ["id"], "nodes": ["id"], "edges": ["src", "dst", "kind"], "vectors": ["vector_id"]}
 
 
-def upsert_records(records: dict[str, DataFrame], fmt: str, *, prefix: str = "", write_id: str | None = None) -> None:
-    """Document, graph and vector-text tables of a load, each under the load's id; sent again, it goes on where it stopped."""
+def upsert_records(records: dict[str, DataFrame], fmt: str, *, prefix: str = "", write_id: str | None = None, parts: int = 1) -> None:
+    """Document, graph and vector-text tables of a load, each under the load's id; sent again, it goes on where it stopped.
+
+    With ``parts``, a table goes in so many writes, by a hash of its key, each of them whole: then no more than one part of
+    it is staged beside the stored rows, and the table is worked out once for each part.
+    """
     for name, df in records.items():
-        upsert(df, fmt, prefix + name, key=RECORD_KEYS[name], write_id=write_id)
+        key = RECORD_KEYS[name]
+        number = F.pmod(F.xxhash64(*key), F.lit(parts))
+        for i in range(parts):
+            of = f"{write_id}-{i}" if write_id and parts > 1 else write_id
+            upsert(df if parts == 1 else df.where(number == i), fmt, prefix + name, key=key, write_id=of)

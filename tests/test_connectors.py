@@ -188,6 +188,14 @@ def test_a_write_orders_no_rows_of_single_keys_and_keeps_no_copy_of_staged_ones(
     assert store[1]().execute("SELECT x FROM t_staged").fetchall() == [("other",)] and (7, "newer", 3) in held(store)
 
 
+def test_a_load_in_parts_holds_every_record_once(spark, store):
+    df = spark.range(500).select(F.concat(F.lit("v"), F.col("id") % 400).alias("vector_id"), F.lit("p").alias("preview"))
+    for _ in range(2):
+        database.upsert_records({"vectors": df}, store[0], write_id="load", parts=3)
+    count = lambda sql: store[1]().execute(sql).fetchone()[0]
+    assert count("SELECT count(*) FROM vectors") == 400 and count("SELECT count(*) FROM vectors_writes") == 3 and count("SELECT count(*) FROM vectors_staged") == 0
+
+
 def test_kinds_and_reading_back(spark, store):
     rows = [(1, True, 0.5, [1, 2], bytearray(b"\x00x"), 'q"'), (2, None, None, None, None, None)]
     df = spark.createDataFrame(rows, "k long, flag boolean, d double, list array<int>, raw binary, s string")
